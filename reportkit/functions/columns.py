@@ -15,7 +15,7 @@ __all__ = [
     "local_date", "scale_unit", "signed", "duration", "band", "make_key", "parse_hhmm",
     "exclude", "eq_ns", "in_array", "period", "week_start", "fiscal_year_start",
     "snapshot_date", "greatest_strict", "least_strict", "json_any", "json_concat_text",
-    "json_array_len", "extract_all", "round_money",
+    "json_array_len", "extract_all", "round_money", "rnd",
 ]
 
 
@@ -67,11 +67,21 @@ def ratio(num, den, scale: float = 1, digits: int | None = None) -> Column:
     if scale != 1:
         n = n * F.lit(float(scale))
     r = F.try_divide(n, F.nullif(c_(den).cast("double"), F.lit(0.0)))
-    return F.round(r, digits) if digits is not None else r
+    return rnd(r, digits) if digits is not None else r
+
+
+def rnd(c, digits: int = 2) -> Column:
+    """Half-up rounding of a double on its decimal value (via decimal(38,9)).
+
+    Rounding the binary double directly makes x.xx5 values fall either way
+    depending on the engine; going through a decimal makes the result
+    engine-independent and turns -0.0 into 0.0.
+    """
+    return F.round(c_(c).cast("decimal(38,9)"), digits).cast("double")
 
 
 def round_money(c, digits: int = 2) -> Column:
-    return F.round(c_(c).cast("double"), digits)
+    return rnd(c, digits)
 
 
 # --- P8 multi-format date parse ---------------------------------------------

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import c_
+from ..functions.columns import c_, rnd
 
 
 def _l(x):
@@ -41,7 +41,7 @@ def with_ratios(df: DataFrame, specs: dict, digits: int | None = None) -> DataFr
         num, den = spec[0], spec[1]
         scale = spec[2] if len(spec) > 2 else 1
         r = F.try_divide(c_(num).cast("double") * F.lit(float(scale)), F.nullif(c_(den).cast("double"), F.lit(0.0)))
-        cols[out] = F.round(r, digits) if digits is not None else r
+        cols[out] = rnd(r, digits) if digits is not None else r
     return df.withColumns(cols)
 
 

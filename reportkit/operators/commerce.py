@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import c_, classify, ratio
+from ..functions.columns import c_, classify, ratio, rnd
 from .joins import asof_join, merge_full, range_join
 from .windows import pick_one
 
@@ -61,7 +61,7 @@ def sales_over_time(lines: DataFrame, grain: list[str], row_type: str = "row_typ
         "net_quantity": F.col("quantity_ordered") + F.col("quantity_returned")})
     money = ["net_sales", "discounts", "returns", "shipping_charges", "duties", "return_fees", "taxes",
              "gross_sales", "total_sales", "quantity_ordered", "quantity_returned", "net_quantity"]
-    return g.withColumns({m: F.round(F.col(m), digits) for m in money})
+    return g.withColumns({m: rnd(F.col(m), digits) for m in money})
 
 
 def allocate(lines: DataFrame, order_key, amount: str, weight: str, out: str) -> DataFrame:
@@ -123,8 +123,8 @@ def contribution_margin(parts: list[DataFrame], keys: list[str], cost: DataFrame
     for r in revenue_cols:
         rev = F.col(r) if rev is None else rev + F.col(r)
     return base.withColumns({
-        "cogs": F.round(F.col(units) * F.col(unit_cost), 2),
-        "contribution_margin": F.round(rev - F.col(units) * F.col(unit_cost), 2)})
+        "cogs": rnd(F.col(units) * F.col(unit_cost), 2),
+        "contribution_margin": rnd(rev - F.col(units) * F.col(unit_cost), 2)})
 
 
 def impute_returns(returns: DataFrame, sales: DataFrame, key, units: str, revenue: str,
@@ -132,24 +132,24 @@ def impute_returns(returns: DataFrame, sales: DataFrame, key, units: str, revenu
     """Returned units valued at the key's average realised price (ratio of sums)."""
     price = sales.groupBy(*_l(key)).agg(ratio(F.sum(revenue), F.sum(units)).alias("avg_unit_price"))
     return returns.join(price, _l(key), "left").withColumn(
-        "imputed_return_value", F.round(F.col(returned_units) * F.col("avg_unit_price"), 2))
+        "imputed_return_value", rnd(F.col(returned_units) * F.col("avg_unit_price"), 2))
 
 
 def sales_by_product(lines: DataFrame, product: list[str], date: str, quantity: str, gross: str,
                      net: str, order_id: str) -> DataFrame:
     """Product x day sales on the order date."""
     return lines.groupBy(*product, F.to_date(F.col(date).cast("timestamp")).alias("date")).agg(
-        F.count_distinct(order_id).alias("orders"), F.round(F.sum(quantity), 2).alias("quantity"),
-        F.round(F.sum(gross), 2).alias("gross_sales"), F.round(F.sum(net), 2).alias("net_sales"))
+        F.count_distinct(order_id).alias("orders"), rnd(F.sum(quantity), 2).alias("quantity"),
+        rnd(F.sum(gross), 2).alias("gross_sales"), rnd(F.sum(net), 2).alias("net_sales"))
 
 
 def customer_summary(orders: DataFrame, customer: str, ts: str, amount: str, order_id: str) -> DataFrame:
     """Orders, spend, AOV, first / last order per customer."""
     g = orders.groupBy(customer).agg(
-        F.count_distinct(order_id).alias("order_count"), F.round(F.sum(amount), 2).alias("total_spent"),
+        F.count_distinct(order_id).alias("order_count"), rnd(F.sum(amount), 2).alias("total_spent"),
         F.min(F.to_date(F.col(ts).cast("timestamp"))).alias("first_order_date"),
         F.max(F.to_date(F.col(ts).cast("timestamp"))).alias("last_order_date"))
-    return g.withColumn("average_order_value", F.round(ratio("total_spent", "order_count"), 2))
+    return g.withColumn("average_order_value", rnd(ratio("total_spent", "order_count"), 2))
 
 
 def inventory_cover(stock: DataFrame, sales: DataFrame, key, date: str, qty: str, on_hand: str,
@@ -163,8 +163,8 @@ def inventory_cover(stock: DataFrame, sales: DataFrame, key, date: str, qty: str
                                                       F.coalesce("units_sold_window", F.lit(0.0)))
     rate = F.col("units_sold_window") / F.lit(float(window_days))
     return j.withColumns({
-        "daily_sales_rate": F.round(rate, 6),
-        "days_of_cover": F.round(ratio(F.col(on_hand), rate), 2),
+        "daily_sales_rate": rnd(rate, 6),
+        "days_of_cover": rnd(ratio(F.col(on_hand), rate), 2),
         "is_dead_stock": (F.col(on_hand) > 0) & (F.col("units_sold_window") == 0)})
 
 
@@ -177,7 +177,7 @@ def trailing_velocity(sales: DataFrame, keys: list[str], date: str, qty: str, da
     spine = s.select(*keys, "date") if stock is None else key_union([s, stock], keys + ["date"])
     j = spine.join(s, keys + ["date"], "left").withColumn("units", F.coalesce("units", F.lit(0.0)))
     j = trailing_agg(j, keys, "date", "units", days, "sum", True, out=f"units_{days}d")
-    return j.withColumn(f"velocity_{days}d", F.round(F.col(f"units_{days}d") / F.lit(float(days)), 6))
+    return j.withColumn(f"velocity_{days}d", rnd(F.col(f"units_{days}d") / F.lit(float(days)), 6))
 
 
 def forecast_vs_actuals(forecasts: DataFrame, actuals: DataFrame, on, lo: str, hi: str,
@@ -186,15 +186,15 @@ def forecast_vs_actuals(forecasts: DataFrame, actuals: DataFrame, on, lo: str, h
     keys = _l(on)
     a = actuals.groupBy(*keys, F.to_date(F.col(act_date).cast("timestamp")).alias("_ad")).agg(
         F.sum(act_value).alias("_av"))
-    f = forecasts.withColumn("_fid", F.monotonically_increasing_id())
-    m = range_join(a, f.select(*keys, "_fid", lo, hi), keys, "_ad", lo, hi, "[]")
-    sums = m.groupBy("_fid").agg(F.sum("_av").alias("actual"))
-    out = f.join(sums, "_fid", "left").withColumn("actual", F.coalesce("actual", F.lit(0.0))).drop("_fid")
+    # a forecast row is identified by (keys, lo, hi)
+    m = range_join(a, forecasts.select(*keys, lo, hi), keys, "_ad", lo, hi, "[]")
+    sums = m.groupBy(*keys, lo, hi).agg(F.sum("_av").alias("actual"))
+    out = forecasts.join(sums, keys + [lo, hi], "left").withColumn("actual", F.coalesce("actual", F.lit(0.0)))
     asof = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
     return out.withColumns({
-        "error": F.round(F.col("actual") - F.col(forecast_col), 2),
-        "abs_pct_error": F.round(ratio(F.abs(F.col("actual") - F.col(forecast_col)), F.col("actual")), 6),
-        "bias": F.round(ratio(F.col(forecast_col) - F.col("actual"), F.col("actual")), 6),
+        "error": rnd(F.col("actual") - F.col(forecast_col), 2),
+        "abs_pct_error": rnd(ratio(F.abs(F.col("actual") - F.col(forecast_col)), F.col("actual")), 6),
+        "bias": rnd(ratio(F.col(forecast_col) - F.col("actual"), F.col("actual")), 6),
         "status": F.when(F.col(hi) < asof, "complete").when(F.col(lo) > asof, "future").otherwise("in_progress")})
 
 
@@ -204,7 +204,7 @@ def item_mix(items: DataFrame, keys: list[str], day: str, qty: str, sales: str,
     from .windows import share_of
     src = items if voided is None else items.where(~F.coalesce(F.col(voided), F.lit(False)))
     g = src.groupBy(F.to_date(F.col(day).cast("timestamp")).alias("date"), *keys).agg(
-        F.round(F.sum(qty), 2).alias("quantity"), F.round(F.sum(sales), 2).alias("item_sales"))
+        rnd(F.sum(qty), 2).alias("quantity"), rnd(F.sum(sales), 2).alias("item_sales"))
     return share_of(g, ["date"], "item_sales", out="share_of_day_sales", digits=6)
 
 
@@ -246,4 +246,4 @@ def return_rates(shipped: DataFrame, returned: DataFrame, sku: str, date_s: str,
     r = returned.groupBy(sku, m(date_r).alias("month")).agg(F.sum(qty_r).alias("units_returned"))
     facts = s.join(r, [sku, "month"], "full")
     g = densify(facts, sku, "month", ["units_shipped", "units_returned"], end=end, step="month", fill=0.0)
-    return g.withColumn("return_rate", F.round(ratio("units_returned", "units_shipped"), 6))
+    return g.withColumn("return_rate", rnd(ratio("units_returned", "units_shipped"), 6))

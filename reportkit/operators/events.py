@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import c_, ratio
+from ..functions.columns import c_, ratio, rnd
 
 
 def sessionize(events: DataFrame, user: str, ts: str, event: str | None = None,
@@ -149,8 +149,8 @@ def funnel_metrics(step_counts: DataFrame, funnel, date: str, step_no: str, user
     return step_counts.withColumns({
         "users_entered": first,
         "drop_off": prev - F.col(users),
-        "step_conversion": F.round(ratio(F.col(users), prev), 6),
-        "overall_conversion": F.round(ratio(F.col(users), first), 6)})
+        "step_conversion": rnd(ratio(F.col(users), prev), 6),
+        "overall_conversion": rnd(ratio(F.col(users), first), 6)})
 
 
 def step_counts_from_events(events: DataFrame, user: str, ts: str, event: str, steps: list[str],
@@ -167,7 +167,7 @@ def event_counts(events: DataFrame, ts: str, event: str, user: str) -> DataFrame
     """Events and unique users per day x event."""
     return (events.groupBy(F.to_date(F.col(ts).cast("timestamp")).alias("date"), F.col(event).alias("event_name"))
             .agg(F.count(F.lit(1)).alias("events"), F.count_distinct(user).alias("unique_users"))
-            .withColumn("events_per_user", F.round(ratio("events", "unique_users"), 6)))
+            .withColumn("events_per_user", rnd(ratio("events", "unique_users"), 6)))
 
 
 def cohort_funnel(leads: DataFrame, created: str, converted: str, won: str, dims: list[str],
@@ -185,7 +185,7 @@ def cohort_funnel(leads: DataFrame, created: str, converted: str, won: str, dims
     facts = cohort.join(act, dims + ["date"], "full")
     out = densify(facts, dims, "date", ["created", "cohort_converted", "cohort_won", "converted_on_day", "won_on_day"],
                   end=end)
-    return out.withColumns({"cohort_conversion_rate": F.round(ratio("cohort_converted", "created"), 6)})
+    return out.withColumns({"cohort_conversion_rate": rnd(ratio("cohort_converted", "created"), 6)})
 
 
 def audience_growth(df: DataFrame, entity, date: str, level: str | None = None, gain: str | None = None,
@@ -214,8 +214,8 @@ def search_performance(df: DataFrame, grain: list[str], clicks: str, impressions
     g = df.groupBy(*grain).agg(
         F.sum(clicks).alias("clicks"), F.sum(impressions).alias("impressions"),
         F.sum(F.col(position) * F.col(impressions)).alias("position_weighted_sum"))
-    g = g.withColumns({"ctr": F.round(ratio("clicks", "impressions"), 6),
-                       "avg_position": F.round(ratio("position_weighted_sum", "impressions"), 6)})
+    g = g.withColumns({"ctr": rnd(ratio("clicks", "impressions"), 6),
+                       "avg_position": rnd(ratio("position_weighted_sum", "impressions"), 6)})
     return share_of(g, share_part, "clicks", out="click_share", digits=6) if share_part else g
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import c_
+from ..functions.columns import c_, rnd
 
 
 def _l(x) -> list:
@@ -88,7 +88,7 @@ def period_change(df: DataFrame, part, order: str, cols: list[str], calendar: st
         chg = F.col(c) - F.col(f"prev_{c}")
         gr = F.try_divide(chg.cast("double"), F.nullif(F.col(f"prev_{c}").cast("double"), F.lit(0.0)))
         out = out.withColumns({f"{c}_change": chg,
-                               f"{c}_growth": F.round(gr, digits) if digits is not None else gr})
+                               f"{c}_growth": rnd(gr, digits) if digits is not None else gr})
     return out
 
 
@@ -170,7 +170,7 @@ def share_of(df: DataFrame, part, c: str, out: str | None = None, digits: int |
     """X / SUM(x) over the partition (NULL on zero total)."""
     tot = F.sum(c).over(Window.partitionBy(*_l(part)))
     r = F.try_divide(F.col(c).cast("double"), F.nullif(tot.cast("double"), F.lit(0.0)))
-    return df.withColumn(out or f"share_of_{c}", F.round(r, digits) if digits is not None else r)
+    return df.withColumn(out or f"share_of_{c}", rnd(r, digits) if digits is not None else r)
 
 
 def flag_extreme(df: DataFrame, part, c: str, which: str = "max", out: str | None = None) -> DataFrame:

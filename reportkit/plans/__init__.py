@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import importlib
 
+from .common import expand_round
+
 MODULES = ["q_events", "q_commerce", "q_revenue", "q_ledger", "q_payments", "q_support",
            "q_crm", "q_marketing", "q_operations", "q_primitives", "q_checks"]
 
@@ -19,7 +21,7 @@ def _collect():
                 continue
             raise
         queries.update(mod.QUERIES)
-        oracle.update(getattr(mod, "ORACLE", {}))
+        oracle.update({k: expand_round(v) for k, v in getattr(mod, "ORACLE", {}).items()})
     return queries, oracle
 
 

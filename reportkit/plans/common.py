@@ -45,3 +45,33 @@ def sql_ts(x: str) -> str:
 def sql_secs(a: str, b: str) -> str:
     """Whole elapsed seconds (truncating), matching Spark's timestamp_diff."""
     return f"((epoch_us(CAST({b} AS TIMESTAMP)) - epoch_us(CAST({a} AS TIMESTAMP))) // 1000000)"
+
+
+def expand_round(sql: str) -> str:
+    """Rewrite every ``ROUND(x, d)`` of an oracle string to decimal half-up rounding,
+    the same rule as ``reportkit.functions.rnd`` (engine-independent on x.xx5)."""
+    out, i, key = [], 0, "ROUND("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k, comma = 1, j + len(key), None
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner_x = expand_round(sql[j + len(key):comma])
+        digits = sql[comma + 1:k - 1].strip()
+        out.append(sql[i:j])
+        out.append(f"CAST(ROUND(CAST({inner_x} AS DECIMAL(38,9)), {digits}) AS DOUBLE)")
+        i = k
