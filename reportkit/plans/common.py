@@ -75,3 +75,8 @@ def expand_round(sql: str) -> str:
         out.append(sql[i:j])
         out.append(f"CAST(ROUND(CAST({inner_x} AS DECIMAL(38,9)), {digits}) AS DOUBLE)")
         i = k
+
+
+def sx(expr: str):
+    """A Spark SQL expression with the same half-up decimal rounding as the oracle."""
+    return F.expr(expand_round(expr))

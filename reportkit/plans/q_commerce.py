@@ -13,9 +13,12 @@ from ..functions.columns import rnd
 
 from ..operators import commerce as cm
 from ..operators.joins import enrich
-from .common import finalize, load, sql_date
+from .common import finalize, load, sql_date, sx
 
-NET = "l_extendedprice * (1 - l_discount)"
+# line money is posted in cents before it is summed (engine-independent totals)
+NET = "ROUND(l_extendedprice * (1 - l_discount), 2)"
+DISC = "ROUND(l_extendedprice * l_discount, 2)"
+TAX = f"ROUND({NET} * l_tax, 2)"
 
 
 def order_lines(spark, d):
@@ -23,9 +26,9 @@ def order_lines(spark, d):
     li = load(spark, d, "lineitem")
     o = load(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    disc = F.col("l_extendedprice") * F.col("l_discount")
-    tax = net * F.col("l_tax")
+    net = sx(NET)
+    disc = sx(DISC)
+    tax = sx(TAX)
     sale = F.struct(F.to_date("o_orderdate").alias("report_date"), F.lit("SALE").alias("row_type"),
                     net.alias("amount_ex_tax"), disc.alias("discount_before_tax"), tax.alias("total_tax"),
                     F.col("l_quantity").alias("quantity"))
@@ -52,7 +55,7 @@ def order_allocation(spark, d):
 
 def order_residuals(spark, d):
     li = load(spark, d, "lineitem")
-    lines = li.select("l_orderkey", (F.expr(NET) * (1 + F.col("l_tax"))).alias("amount"))
+    lines = li.select("l_orderkey", (sx(NET) + sx(TAX)).alias("amount"))
     o = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_totalprice").alias("amount"))
     r = cm.residual(o, lines, "l_orderkey", ["amount"], eps=1e-4)
     return r.select("l_orderkey", "line_type", rnd("amount", 2).alias("residual_amount"))
@@ -63,7 +66,7 @@ def sales_by_product(spark, d):
     o = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     p = load(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     lines = li.join(o, "l_orderkey").join(p, "l_partkey").withColumns(
-        {"gross": F.col("l_extendedprice"), "net": F.expr(NET)})
+        {"gross": F.col("l_extendedprice"), "net": sx(NET)})
     return finalize(cm.sales_by_product(lines, ["p_brand"], "o_orderdate", "l_quantity", "gross", "net", "l_orderkey"))
 
 
@@ -102,7 +105,7 @@ def item_mix(spark, d):
     o = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     p = load(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     items = li.join(o, "l_orderkey").join(p, "l_partkey").withColumns(
-        {"sales": F.expr(NET), "voided": F.col("l_returnflag") == "R"})
+        {"sales": sx(NET), "voided": F.col("l_returnflag") == "R"})
     return finalize(cm.item_mix(items, ["p_type"], "o_orderdate", "l_quantity", "sales", voided="voided"))
 
 
@@ -151,11 +154,11 @@ _LINES = f"""
 WITH j AS (SELECT l.*, o.o_orderdate, o.o_orderstatus FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 lines AS (
   SELECT l_orderkey AS order_id, o_orderstatus AS channel, CAST(o_orderdate AS DATE) AS report_date, 'SALE' AS row_type,
-         'PRODUCT' AS line_type, {NET} AS amount_ex_tax, l_extendedprice * l_discount AS discount_before_tax,
-         {NET} * l_tax AS total_tax, l_quantity AS quantity FROM j
+         'PRODUCT' AS line_type, {NET} AS amount_ex_tax, {DISC} AS discount_before_tax,
+         {TAX} AS total_tax, l_quantity AS quantity FROM j
   UNION ALL
-  SELECT l_orderkey, o_orderstatus, CAST(l_shipdate AS DATE), 'RETURN', 'PRODUCT', -({NET}), -(l_extendedprice * l_discount),
-         -({NET} * l_tax), -l_quantity FROM j WHERE l_returnflag = 'R')
+  SELECT l_orderkey, o_orderstatus, CAST(l_shipdate AS DATE), 'RETURN', 'PRODUCT', -({NET}), -({DISC}),
+         -({TAX}), -l_quantity FROM j WHERE l_returnflag = 'R')
 """
 
 ORACLE = {
@@ -192,7 +195,7 @@ s AS (SELECT *, CASE WHEN ws > 0 THEN pos / ws ELSE 1.0 / n END AS share FROM w)
 SELECT l_orderkey, l_linenumber, ROUND(share, 6) AS weight, ROUND(o_totalprice * share, 2) AS allocated_total FROM s
 """,
     "order_residuals": f"""
-WITH lt AS (SELECT l_orderkey, SUM({NET} * (1 + l_tax)) AS amt FROM lineitem GROUP BY 1),
+WITH lt AS (SELECT l_orderkey, SUM({NET} + {TAX}) AS amt FROM lineitem GROUP BY 1),
 r AS (SELECT o.o_orderkey AS l_orderkey, o.o_totalprice - COALESCE(lt.amt, 0.0) AS amount
       FROM orders o LEFT JOIN lt ON lt.l_orderkey = o.o_orderkey)
 SELECT l_orderkey, 'ADJUSTMENT' AS line_type, ROUND(amount, 2) AS residual_amount FROM r WHERE ABS(amount) > 1e-4
@@ -200,7 +203,7 @@ SELECT l_orderkey, 'ADJUSTMENT' AS line_type, ROUND(amount, 2) AS residual_amoun
     "sales_by_product": f"""
 SELECT p.p_brand, {sql_date('CAST(o.o_orderdate AS DATE)')} AS date, COUNT(DISTINCT l.l_orderkey) AS orders,
        ROUND(SUM(l.l_quantity), 2) AS quantity, ROUND(SUM(l.l_extendedprice), 2) AS gross_sales,
-       ROUND(SUM(l.l_extendedprice * (1 - l.l_discount)), 2) AS net_sales
+       ROUND(SUM({NET}), 2) AS net_sales
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey
 GROUP BY p.p_brand, CAST(o.o_orderdate AS DATE)
 """,

@@ -65,7 +65,7 @@ def billing_by_month(spark, d):
         "month", F.to_date(F.date_trunc("month", "l_shipdate")))
     parts = {
         "invoiced": (o, {"invoiced": F.sum("o_totalprice")}),
-        "credited": (li, {"credited": F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))}),
+        "credited": (li, {"credited": F.sum(rnd(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2))}),
         "paid": (o.where(F.col("o_orderstatus") == "F"), {"paid": F.sum("o_totalprice")}),
     }
     b = rv.billing_by_month(parts, ["month"])
@@ -161,7 +161,7 @@ FROM g
 """,
     "billing_by_month": f"""
 WITH i AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, SUM(o_totalprice) AS invoiced FROM orders GROUP BY 1),
-c AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, SUM(l_extendedprice * (1 - l_discount)) AS credited
+c AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, SUM(ROUND(l_extendedprice * (1 - l_discount), 2)) AS credited
       FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
 p AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, SUM(o_totalprice) AS paid FROM orders
       WHERE o_orderstatus = 'F' GROUP BY 1),
