@@ -25,11 +25,13 @@ def general_ledger(lines: DataFrame, accounts: DataFrame, account: str, debit: s
     account-range group (``[from, to]`` range join on the account number); amount also
     signed to the account's natural side (debit-normal: debit - credit)."""
     gl = lines if deleted is None else anti_join(lines, deleted, doc_key)
-    gl = gl.join(accounts, account, "left")
+    acc = accounts
     if groups is not None:
-        g = range_join(gl.select(account).distinct().withColumn("_acct_no", F.col(account).cast("int")),
+        # the range join runs on the chart of accounts (a dimension), never on the lines
+        g = range_join(accounts.select(account).withColumn("_acct_no", F.col(account).try_cast("int")),
                        groups, None, "_acct_no", "range_from", "range_to", "[]")
-        gl = gl.join(g.drop("_acct_no", "range_from", "range_to"), account, "left")
+        acc = acc.join(g.drop("_acct_no", "range_from", "range_to"), account, "left")
+    gl = gl.join(acc, account, "left")
     amount = F.col(debit) - F.col(credit)
     return gl.withColumns({"net_amount": rnd(amount, 2),
                            "natural_amount": rnd(F.when(F.col(natural_side) == "credit", -amount).otherwise(amount), 2)})

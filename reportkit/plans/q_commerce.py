@@ -25,10 +25,10 @@ def order_lines(spark, d):
     """Typed line events (one lineitem scan, SALE + optional RETURN row via explode)."""
     li = load(spark, d, "lineitem")
     o = load(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
-    net = sx(NET)
-    disc = sx(DISC)
-    tax = sx(TAX)
+    j = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_orderkey", "o_orderstatus", "o_orderdate", "l_shipdate", "l_returnflag", "l_quantity",
+        sx(NET).alias("net"), sx(DISC).alias("disc"), sx(TAX).alias("tax"))
+    net, disc, tax = F.col("net"), F.col("disc"), F.col("tax")
     sale = F.struct(F.to_date("o_orderdate").alias("report_date"), F.lit("SALE").alias("row_type"),
                     net.alias("amount_ex_tax"), disc.alias("discount_before_tax"), tax.alias("total_tax"),
                     F.col("l_quantity").alias("quantity"))
@@ -37,7 +37,7 @@ def order_lines(spark, d):
         (-net).alias("amount_ex_tax"), (-disc).alias("discount_before_tax"), (-tax).alias("total_tax"),
         (-F.col("l_quantity")).alias("quantity")))
     rows = j.select(F.col("l_orderkey").alias("order_id"), F.col("o_orderstatus").alias("channel"),
-                    F.explode(F.filter(F.array(sale, ret), lambda x: x.isNotNull())).alias("r"))
+                    F.explode(F.array(sale, ret)).alias("r")).where("r IS NOT NULL")
     return rows.select("order_id", "channel", "r.*", F.lit("PRODUCT").alias("line_type"))
 
 
