@@ -102,7 +102,7 @@ SELECT g.*, n.n_name FROM g LEFT JOIN nation n ON n.n_nationkey = g.c_nationkey
     "open_pipeline": f"""
 SELECT o_orderpriority, COUNT(*) AS open_deals, ROUND(SUM(o_totalprice), 2) AS open_value,
        ROUND(AVG(date_diff('day', CAST(o_orderdate AS DATE), DATE '{SNAPSHOT_AS_OF}')), 4) AS avg_age_days,
-       MAX(date_diff('day', CAST(o_orderdate AS DATE), DATE '{SNAPSHOT_AS_OF}')) AS max_age_days
+       CAST(MAX(date_diff('day', CAST(o_orderdate AS DATE), DATE '{SNAPSHOT_AS_OF}')) AS INTEGER) AS max_age_days
 FROM orders WHERE o_orderstatus = 'O' GROUP BY 1
 """,
     "deal_outcomes": """

@@ -96,7 +96,7 @@ _LINES_SQL = f"""
 WITH l0 AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS service_start,
                    CAST(CAST(o_orderdate AS DATE) + ({_TERM_SQL}) * INTERVAL 1 DAY AS DATE) AS service_end, o_totalprice
             FROM orders),
-l1 AS (SELECT *, date_diff('day', service_start, service_end) AS service_days FROM l0 WHERE service_end > service_start),
+l1 AS (SELECT *, CAST(date_diff('day', service_start, service_end) AS INTEGER) AS service_days FROM l0 WHERE service_end > service_start),
 l2 AS (SELECT *, service_days / 30.4375 AS m, ROUND(service_days / 30.4375, 0) AS rm FROM l1),
 lines AS (SELECT *, CASE WHEN rm >= 1 AND ABS(service_days - rm * 30.4375) <= 3 THEN rm ELSE m END AS service_months,
                  o_totalprice / (CASE WHEN rm >= 1 AND ABS(service_days - rm * 30.4375) <= 3 THEN rm ELSE m END)

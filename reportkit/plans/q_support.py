@@ -128,8 +128,8 @@ grid AS (SELECT o_orderpriority, CAST(unnest(generate_series(s, GREATEST(e, DATE
 g AS (SELECT grid.o_orderpriority, grid.date, COALESCE(daily.created, 0) AS created, COALESCE(daily.closed, 0) AS closed
       FROM grid LEFT JOIN daily USING (o_orderpriority, date))
 SELECT o_orderpriority, {sql_date('date')} AS date, created, closed,
-       SUM(created - closed) OVER (PARTITION BY o_orderpriority ORDER BY date
-                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS open_backlog
+       CAST(SUM(created - closed) OVER (PARTITION BY o_orderpriority ORDER BY date
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS open_backlog
 FROM g
 """,
     "shipping_response_stats": f"""
