@@ -90,3 +90,15 @@ def test_greatest_strict_null_semantics(spark):
     r = spark.range(1).select(greatest_strict(F.lit(1), F.lit(None).cast("int")).alias("g"),
                               greatest_strict(F.lit(1), F.lit(2)).alias("h")).first()
     assert r.g is None and r.h == 2
+
+
+def test_streaming_keeps_newest_generation(spark, tmp_path):
+    from reportkit.streaming import append_generations, latest_generation
+    src, out = tmp_path / "src", tmp_path / "out"
+    name = f"t{tmp_path.name}"
+    spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double").write.parquet(str(src / "f1"))
+    append_generations(spark, str(src / "*"), "k string, v double", str(out), name).awaitTermination(120)
+    spark.createDataFrame([("a", 5.0)], "k string, v double").write.parquet(str(src / "f2"))
+    append_generations(spark, str(src / "*"), "k string, v double", str(out), name).awaitTermination(120)
+    got = {r.k: r.v for r in latest_generation(spark, str(out), ["k"]).collect()}
+    assert got == {"a": 5.0, "b": 2.0}
