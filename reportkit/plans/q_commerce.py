@@ -136,7 +136,22 @@ def forecast_vs_actuals(spark, d):
                                            "l_shipdate", "l_quantity", "forecast_units", "1996-01-01"))
 
 
+def sales_velocity(spark, d):
+    li = load(spark, d, "lineitem").select("l_partkey", "l_shipdate", "l_quantity")
+    v = cm.trailing_velocity(li, ["l_partkey"], "l_shipdate", "l_quantity", days=30)
+    return finalize(v.withColumn("units_30d", rnd("units_30d", 2)))
+
+
+def imputed_returns(spark, d):
+    li = load(spark, d, "lineitem").withColumn("revenue", sx(NET))
+    ret = li.where(F.col("l_returnflag") == "R").groupBy("l_partkey").agg(F.sum("l_quantity").alias("units_returned"))
+    return cm.impute_returns(ret, li, "l_partkey", "l_quantity", "revenue", "units_returned").withColumn(
+        "avg_unit_price", rnd("avg_unit_price", 4))
+
+
 QUERIES = {
+    "sales_velocity": sales_velocity,
+    "imputed_returns": imputed_returns,
     "sales_over_time": sales_over_time,
     "order_allocation": order_allocation,
     "order_residuals": order_residuals,
@@ -162,6 +177,19 @@ lines AS (
 """
 
 ORACLE = {
+    "sales_velocity": f"""
+WITH s AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS date, SUM(l_quantity) AS units FROM lineitem GROUP BY 1, 2),
+w AS (SELECT *, SUM(units) OVER (PARTITION BY l_partkey ORDER BY date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)
+                AS u30 FROM s)
+SELECT l_partkey, {sql_date('date')} AS date, units, ROUND(u30, 2) AS units_30d, ROUND(u30 / 30.0, 6) AS velocity_30d FROM w
+""",
+    "imputed_returns": f"""
+WITH r AS (SELECT l_partkey, SUM(l_quantity) AS units_returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+p AS (SELECT l_partkey, SUM({NET}) / NULLIF(SUM(l_quantity), 0) AS avg_unit_price FROM lineitem GROUP BY 1)
+SELECT r.l_partkey, r.units_returned, ROUND(p.avg_unit_price, 4) AS avg_unit_price,
+       ROUND(r.units_returned * p.avg_unit_price, 2) AS imputed_return_value
+FROM r LEFT JOIN p ON p.l_partkey = r.l_partkey
+""",
     "sales_over_time": _LINES + f"""
 , g AS (
   SELECT report_date, channel, row_type,
