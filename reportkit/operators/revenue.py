@@ -114,7 +114,8 @@ def subscription_churn(subs: DataFrame, key: str, ended: str, reason: str, lines
     from .joins import range_join
     ends = subs.where(F.col(ended).isNotNull()).withColumn("_day_before", F.date_sub(_d(ended), 1))
     ln = lines.select(F.col(line_key).alias(key), _d(start).alias("_ls"), _d(end).alias("_le"), F.col(monthly).alias("_m"))
-    m = range_join(ends.select(key, "_day_before"), ln, [key], "_day_before", "_ls", "_le", "[)")
+    # distinct (key, day) points: two subscriptions ending together must not double the MRR
+    m = range_join(ends.select(key, "_day_before").distinct(), ln, [key], "_day_before", "_ls", "_le", "[)")
     mrr = m.groupBy(key, "_day_before").agg(F.sum("_m").alias("mrr_before_churn"))
     cls = F.when(F.lower(F.col(reason)).rlike("nonpayment|failed|dunning|expired_card"), "involuntary").otherwise("voluntary")
     return ends.join(mrr, [key, "_day_before"], "left").withColumn("churn_type", cls).drop("_day_before")

@@ -80,7 +80,20 @@ def daily_orders_month_end(spark, d):
     return finalize(flag_extreme(daily, "o_orderpriority", "order_value", "max", out="is_best_day"))
 
 
+def subscription_churn(spark, d):
+    n = _lines(spark, d)
+    subs = n.select("o_orderkey", "o_custkey", F.when(F.col("service_end") <= F.lit(AS_OF).cast("date"),
+                                                      F.col("service_end")).alias("ended_on"),
+                    F.lit("cancelled").alias("reason"))
+    subs = subs.join(load(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey").withColumn(
+        "reason", F.when(F.col("o_orderstatus") == "P", "payment_failed").otherwise(F.col("reason"))).drop("o_orderstatus")
+    ch = rv.subscription_churn(subs, "o_custkey", "ended_on", "reason", n, "o_custkey", "service_start", "service_end",
+                               "monthly_amount")
+    return finalize(ch.withColumn("mrr_before_churn", rnd("mrr_before_churn", 2)))
+
+
 QUERIES = {
+    "subscription_churn": subscription_churn,
     "recurring_lines": recurring_lines,
     "mrr_by_customer_month": mrr_by_customer_month,
     "mrr_movements": mrr_movements,
@@ -131,6 +144,19 @@ mov AS (SELECT *, CASE WHEN opening_mrr = 0 AND mrr > 0 AND prior_max = 0 THEN '
 """
 
 ORACLE = {
+    "subscription_churn": _LINES_SQL + f"""
+, e AS (SELECT l.o_orderkey, l.o_custkey, l.service_end AS ended_on,
+               CASE WHEN o.o_orderstatus = 'P' THEN 'payment_failed' ELSE 'cancelled' END AS reason,
+               l.service_end - INTERVAL 1 DAY AS day_before
+        FROM lines l JOIN orders o ON o.o_orderkey = l.o_orderkey WHERE l.service_end <= DATE '{AS_OF}'),
+m AS (SELECT e.o_custkey, e.day_before, SUM(l.monthly_amount) AS mrr
+      FROM (SELECT DISTINCT o_custkey, day_before FROM e) e JOIN lines l
+        ON l.o_custkey = e.o_custkey AND e.day_before >= l.service_start AND e.day_before < l.service_end GROUP BY 1, 2)
+SELECT e.o_orderkey, e.o_custkey, {sql_date('e.ended_on')} AS ended_on, e.reason, ROUND(m.mrr, 2) AS mrr_before_churn,
+       CASE WHEN regexp_matches(lower(e.reason), 'nonpayment|failed|dunning|expired_card') THEN 'involuntary'
+            ELSE 'voluntary' END AS churn_type
+FROM e LEFT JOIN m ON m.o_custkey = e.o_custkey AND m.day_before = e.day_before
+""",
     "recurring_lines": _LINES_SQL + f"""
 SELECT o_orderkey, o_custkey, {sql_date('service_start')} AS service_start, {sql_date('service_end')} AS service_end,
        service_days, ROUND(service_months, 6) AS service_months, ROUND(monthly_amount, 2) AS monthly_amount FROM lines
