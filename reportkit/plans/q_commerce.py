@@ -13,7 +13,7 @@ from ..functions.columns import rnd
 
 from ..operators import commerce as cm
 from ..operators.joins import enrich
-from .common import finalize, load, sql_date, sx
+from .common import finalize, load, sql_date, sql_ts, sx
 
 # line money is posted in cents before it is summed (engine-independent totals)
 NET = "ROUND(l_extendedprice * (1 - l_discount), 2)"
@@ -149,7 +149,14 @@ def imputed_returns(spark, d):
         "avg_unit_price", rnd("avg_unit_price", 4))
 
 
+def order_fulfillment(spark, d):
+    o = load(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    li = load(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
+    return finalize(cm.order_fulfillment(o, li, "o_orderkey", "o_orderdate", "l_shipdate", sla_days=30))
+
+
 QUERIES = {
+    "order_fulfillment": order_fulfillment,
     "sales_velocity": sales_velocity,
     "imputed_returns": imputed_returns,
     "sales_over_time": sales_over_time,
@@ -177,6 +184,16 @@ lines AS (
 """
 
 ORACLE = {
+    "order_fulfillment": f"""
+WITH r AS (SELECT l_orderkey, COUNT(*) AS line_count, COUNT(l_shipdate) AS shipped_lines, MIN(l_shipdate) AS f,
+                  MAX(l_shipdate) AS l FROM lineitem GROUP BY 1),
+j AS (SELECT o.o_orderkey, o.o_orderdate, r.line_count, r.shipped_lines, r.f, r.l,
+             CAST(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(r.l AS DATE)) AS INTEGER) AS days_to_ship
+      FROM orders o LEFT JOIN r ON r.l_orderkey = o.o_orderkey)
+SELECT o_orderkey, {sql_ts('o_orderdate')} AS o_orderdate, line_count, shipped_lines, {sql_ts('f')} AS first_shipped_at,
+       {sql_ts('l')} AS last_shipped_at, shipped_lines = line_count AS is_fully_shipped, days_to_ship,
+       COALESCE(days_to_ship <= 30, FALSE) AS sla_met FROM j
+""",
     "sales_velocity": f"""
 WITH s AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS date, SUM(l_quantity) AS units FROM lineitem GROUP BY 1, 2),
 w AS (SELECT *, SUM(units) OVER (PARTITION BY l_partkey ORDER BY date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)
