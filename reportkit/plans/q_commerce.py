@@ -155,7 +155,20 @@ def order_fulfillment(spark, d):
     return finalize(cm.order_fulfillment(o, li, "o_orderkey", "o_orderdate", "l_shipdate", sla_days=30))
 
 
+def order_book(spark, d):
+    li = load(spark, d, "lineitem")
+    o = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    lines = li.join(o, "l_orderkey").select(
+        "l_orderkey", "l_quantity", F.date_add(F.to_date("o_orderdate"), 30).alias("promised_date"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).otherwise(0.0).alias("shipped"),
+        F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") != "R"), F.col("l_quantity")).otherwise(0.0)
+        .alias("invoiced"))
+    return finalize(cm.order_book(lines, ["l_orderkey"], "l_quantity", "shipped", "invoiced", "promised_date",
+                                  "1998-01-01"))
+
+
 QUERIES = {
+    "order_book": order_book,
     "order_fulfillment": order_fulfillment,
     "sales_velocity": sales_velocity,
     "imputed_returns": imputed_returns,
@@ -184,6 +197,18 @@ lines AS (
 """
 
 ORACLE = {
+    "order_book": f"""
+WITH l AS (SELECT l.l_orderkey, l.l_quantity, CAST(o.o_orderdate AS DATE) + INTERVAL 30 DAY AS promised_date,
+                  CASE WHEN l.l_linestatus = 'F' THEN l.l_quantity ELSE 0.0 END AS shipped,
+                  CASE WHEN l.l_linestatus = 'F' AND l.l_returnflag <> 'R' THEN l.l_quantity ELSE 0.0 END AS invoiced
+           FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+g AS (SELECT l_orderkey, SUM(l_quantity) AS qty_ordered, SUM(shipped) AS qty_shipped, SUM(invoiced) AS qty_invoiced,
+             MIN(promised_date) AS promised_date FROM l GROUP BY 1)
+SELECT l_orderkey, qty_ordered, qty_shipped, qty_invoiced, {sql_date('promised_date')} AS promised_date,
+       GREATEST(qty_ordered - qty_shipped, 0.0) AS qty_open, GREATEST(qty_shipped - qty_invoiced, 0.0) AS qty_uninvoiced,
+       GREATEST(qty_ordered - qty_shipped, 0.0) > 0 AND CAST(promised_date AS DATE) < DATE '1998-01-01' AS is_overdue
+FROM g
+""",
     "order_fulfillment": f"""
 WITH r AS (SELECT l_orderkey, COUNT(*) AS line_count, COUNT(l_shipdate) AS shipped_lines, MIN(l_shipdate) AS f,
                   MAX(l_shipdate) AS l FROM lineitem GROUP BY 1),
