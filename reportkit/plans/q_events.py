@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions.columns import rnd
 
 from ..operators import events as ev
 from .common import finalize, load, sql_date, sql_secs, sql_ts
@@ -35,7 +38,50 @@ def monthly_active_users(spark, d):
     return finalize(ev.monthly_active(e, signups, "user_id", "ts", "created_at", as_of="2024-03-01"))
 
 
+def cohort_funnel_daily(spark, d):
+    o = load(spark, d, "orders")
+    s = load(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.min("l_shipdate").alias("converted_at"), F.max("l_shipdate").alias("_last"))
+    leads = o.join(s, "o_orderkey", "left").withColumn(
+        "won_at", F.when(F.col("o_orderstatus") == "F", F.col("_last")))
+    return finalize(ev.cohort_funnel(leads, "o_orderdate", "converted_at", "won_at", ["o_orderpriority"]))
+
+
+def audience_growth_daily(spark, d):
+    e = load(spark, d, "events")
+    g = e.groupBy("event_type", F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("follower_gain"))
+    g = g.withColumn("current_follower_count", F.sum("follower_gain").over(Window.partitionBy("event_type")))
+    return finalize(ev.audience_growth(g, "event_type", "date", gain="follower_gain", total="current_follower_count")
+                    .withColumnRenamed("followers_total", "followers_estimated"))
+
+
+def _campaign_events(spark, d):
+    e = load(spark, d, "events")
+    return e.select(F.to_date("ts").alias("date"), "event_type",
+                    F.get_json_object("props", "$.k").try_cast("int").alias("campaign_id"))
+
+
+def search_performance_daily(spark, d):
+    e = _campaign_events(spark, d).select(
+        "date", "campaign_id", F.lit(1).alias("impressions"),
+        F.when(F.col("event_type") == "click", 1).otherwise(0).alias("clicks"),
+        (F.coalesce(F.col("campaign_id"), F.lit(0)) / 10.0).alias("position"))
+    out = ev.search_performance(e, ["date", "campaign_id"], "clicks", "impressions", "position", share_part=["date"])
+    return finalize(out.withColumn("position_weighted_sum", rnd("position_weighted_sum", 4)))
+
+
+def content_performance(spark, d):
+    long = _campaign_events(spark, d).groupBy("campaign_id", "event_type").agg(F.count(F.lit(1)).alias("value"))
+    mapping = {"view": "impressions", "click": "clicks", "purchase": "conversions", "signup": "signups"}
+    rates = {"ctr": ("clicks", "impressions"), "conversion_rate": ("conversions", "clicks")}
+    return ev.content_performance(long, "campaign_id", "event_type", "value", mapping, rates)
+
+
 QUERIES = {
+    "cohort_funnel_daily": cohort_funnel_daily,
+    "audience_growth_daily": audience_growth_daily,
+    "search_performance_daily": search_performance_daily,
+    "content_performance": content_performance,
     "sessions": sessions,
     "active_users_daily": active_users_daily,
     "event_counts_daily": event_counts_daily,
@@ -44,6 +90,58 @@ QUERIES = {
 }
 
 ORACLE = {
+    "cohort_funnel_daily": f"""
+WITH s AS (SELECT l_orderkey, MIN(l_shipdate) AS fs, MAX(l_shipdate) AS ls FROM lineitem GROUP BY 1),
+t AS (SELECT o.o_orderpriority, o.o_orderdate, s.fs AS conv, CASE WHEN o.o_orderstatus = 'F' THEN s.ls END AS won
+      FROM orders o LEFT JOIN s ON s.l_orderkey = o.o_orderkey),
+cohort AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS date, COUNT(*) AS created, COUNT(conv) AS cohort_converted,
+                  COUNT(won) AS cohort_won FROM t GROUP BY 1, 2),
+ev AS (SELECT o_orderpriority, CAST(conv AS DATE) AS date, 'c' AS m FROM t WHERE conv IS NOT NULL
+       UNION ALL SELECT o_orderpriority, CAST(won AS DATE), 'w' FROM t WHERE won IS NOT NULL),
+act AS (SELECT o_orderpriority, date, COUNT(*) FILTER (WHERE m = 'c') AS converted_on_day,
+               COUNT(*) FILTER (WHERE m = 'w') AS won_on_day FROM ev GROUP BY 1, 2),
+facts AS (SELECT COALESCE(c.o_orderpriority, a.o_orderpriority) AS o_orderpriority, COALESCE(c.date, a.date) AS date,
+                 c.created, c.cohort_converted, c.cohort_won, a.converted_on_day, a.won_on_day
+          FROM cohort c FULL JOIN act a ON a.o_orderpriority = c.o_orderpriority AND a.date = c.date),
+f AS (SELECT o_orderpriority, MIN(date) AS s FROM facts GROUP BY 1),
+e AS (SELECT MAX(date) AS e FROM facts),
+grid AS (SELECT f.o_orderpriority, CAST(unnest(generate_series(f.s, GREATEST(e.e, f.s), INTERVAL 1 DAY)) AS DATE) AS date
+         FROM f CROSS JOIN e),
+j AS (SELECT grid.o_orderpriority, grid.date, COALESCE(created, 0) AS created, COALESCE(cohort_converted, 0) AS cohort_converted,
+             COALESCE(cohort_won, 0) AS cohort_won, COALESCE(converted_on_day, 0) AS converted_on_day,
+             COALESCE(won_on_day, 0) AS won_on_day
+      FROM grid LEFT JOIN facts ON facts.o_orderpriority = grid.o_orderpriority AND facts.date = grid.date)
+SELECT o_orderpriority, {sql_date('date')} AS date, created, cohort_converted, cohort_won, converted_on_day, won_on_day,
+       ROUND(cohort_converted::DOUBLE / NULLIF(created, 0), 6) AS cohort_conversion_rate FROM j
+""",
+    "audience_growth_daily": f"""
+WITH g AS (SELECT event_type, CAST(ts AS DATE) AS date, COUNT(*) AS follower_gain FROM events GROUP BY 1, 2),
+t AS (SELECT *, CAST(SUM(follower_gain) OVER (PARTITION BY event_type) AS BIGINT) AS current_follower_count FROM g)
+SELECT event_type, {sql_date('date')} AS date, follower_gain, current_follower_count,
+       CAST(current_follower_count - COALESCE(SUM(follower_gain) OVER (PARTITION BY event_type ORDER BY date
+            ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS BIGINT) AS followers_estimated
+FROM t
+""",
+    "search_performance_daily": f"""
+WITH e AS (SELECT CAST(ts AS DATE) AS date, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS campaign_id,
+                  event_type FROM events),
+g AS (SELECT date, campaign_id, CAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS clicks,
+             CAST(COUNT(*) AS BIGINT) AS impressions, SUM(COALESCE(campaign_id, 0) / 10.0) AS pws FROM e GROUP BY 1, 2)
+SELECT {sql_date('date')} AS date, campaign_id, clicks, impressions, ROUND(pws, 4) AS position_weighted_sum,
+       ROUND(clicks::DOUBLE / NULLIF(impressions, 0), 6) AS ctr, ROUND(pws / NULLIF(impressions, 0), 6) AS avg_position,
+       ROUND(clicks::DOUBLE / NULLIF(SUM(clicks) OVER (PARTITION BY date), 0), 6) AS click_share
+FROM g
+""",
+    "content_performance": """
+WITH l AS (SELECT TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS campaign_id, event_type, COUNT(*) AS value
+           FROM events GROUP BY 1, 2),
+p AS (SELECT campaign_id, MAX(CASE WHEN event_type = 'view' THEN value END) AS impressions,
+             MAX(CASE WHEN event_type = 'click' THEN value END) AS clicks,
+             MAX(CASE WHEN event_type = 'purchase' THEN value END) AS conversions,
+             MAX(CASE WHEN event_type = 'signup' THEN value END) AS signups FROM l GROUP BY 1)
+SELECT *, ROUND(clicks::DOUBLE / NULLIF(impressions, 0), 6) AS ctr,
+       ROUND(conversions::DOUBLE / NULLIF(clicks, 0), 6) AS conversion_rate FROM p
+""",
     "sessions": f"""
 WITH ordered AS (
   SELECT user_id, event_type, ts, event_id, CAST(ts AS DATE) AS d,
