@@ -117,8 +117,8 @@ def contribution_margin(parts: list[DataFrame], keys: list[str], cost: DataFrame
     the day (``[from, to)``); margin NULL when no cost is known."""
     merged = merge_full(parts, keys, fill=0)
     c = cost.select(F.col(sku).alias("_sku"), valid_from, valid_to, unit_cost)
-    j = range_join(merged.withColumn("_sku", F.col(sku)), c, ["_sku"], date, valid_from, valid_to, "[)")
-    base = merged.join(j.select(*keys, unit_cost), keys, "left")
+    base = range_join(merged.withColumn("_sku", F.col(sku)), c, ["_sku"], date, valid_from, valid_to, "[)",
+                      how="left").drop("_sku", valid_from, valid_to)
     rev = None
     for r in revenue_cols:
         rev = F.col(r) if rev is None else rev + F.col(r)

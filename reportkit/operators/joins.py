@@ -82,13 +82,15 @@ def cross_join(a: DataFrame, b: DataFrame, small: bool = False) -> DataFrame:
 
 
 def range_join(a: DataFrame, b: DataFrame, on, point: str, lo: str, hi: str,
-               closed: str = "[)", bucket_days: int | None = None) -> DataFrame:
+               closed: str = "[)", bucket_days: int | None = None, how: str = "inner") -> DataFrame:
     """Equality keys plus ``point`` inside ``[lo, hi)`` (or ``[lo, hi]``).
 
     With equality keys the range is a residual predicate of a hash/sort-merge
     join. With ``bucket_days`` (dates), each range is exploded onto the buckets it
     overlaps and the match becomes an equi-join on (keys, bucket) plus the
     residual, so no nested-loop join is ever planned. ``hi`` NULL = open-ended.
+    ``how='left'`` keeps points without a covering range (each point has one bucket,
+    so a range still matches a point at most once).
     """
     keys = _keys(on) if on else []
     lo_c, hi_c, p_c = F.col(lo), F.col(hi), F.col(point)
@@ -103,7 +105,7 @@ def range_join(a: DataFrame, b: DataFrame, on, point: str, lo: str, hi: str,
     bb = b.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in b.columns])
     upper = (a[point] < bb[hi]) if closed == "[)" else (a[point] <= bb[hi])
     cond = [a[k] == bb[f"_r_{k}"] for k in keys] + [a[point] >= bb[lo], bb[hi].isNull() | upper]
-    out = a.join(bb, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+    out = a.join(bb, cond, how).drop(*[f"_r_{k}" for k in keys])
     return out.drop("_bk") if bucket_days else out
 
 

@@ -8,6 +8,7 @@ Net line value = ``l_extendedprice * (1 - l_discount)``; tax on top of it.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.columns import rnd
 
@@ -167,7 +168,26 @@ def order_book(spark, d):
                                   "1998-01-01"))
 
 
+def contribution_margin(spark, d):
+    li = load(spark, d, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("date"), "l_quantity",
+                                           sx(NET).alias("net"), sx(DISC).alias("disc"), sx(TAX).alias("tax"))
+    keys = ["date", "l_partkey"]
+    sales = li.groupBy(*keys).agg(F.sum("net").alias("revenue"), F.sum("l_quantity").alias("units"))
+    fees = li.groupBy(*keys).agg((-F.sum("disc")).alias("fees"))
+    reimb = li.groupBy(*keys).agg(F.sum("tax").alias("reimbursed_tax"))
+    h = _price_history(spark, d)
+    cost = h.select("l_partkey", F.col("effective_date").alias("valid_from"), "unit_cost",
+                    F.lead("effective_date").over(Window.partitionBy("l_partkey").orderBy("effective_date"))
+                    .alias("valid_to"))
+    out = cm.contribution_margin([sales, fees, reimb], keys, cost, "l_partkey", "date", "units",
+                                 ["revenue", "fees", "reimbursed_tax"])
+    return finalize(out.select(*keys, rnd("revenue", 2).alias("revenue"), "units", rnd("fees", 2).alias("fees"),
+                               rnd("reimbursed_tax", 2).alias("reimbursed_tax"), rnd("unit_cost", 4).alias("unit_cost"),
+                               "cogs", "contribution_margin"))
+
+
 QUERIES = {
+    "contribution_margin": contribution_margin,
     "order_book": order_book,
     "order_fulfillment": order_fulfillment,
     "sales_velocity": sales_velocity,
@@ -197,6 +217,24 @@ lines AS (
 """
 
 ORACLE = {
+    "contribution_margin": f"""
+WITH li AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS date, l_quantity, {NET} AS net, {DISC} AS disc, {TAX} AS tax
+            FROM lineitem),
+s AS (SELECT date, l_partkey, SUM(net) AS revenue, SUM(l_quantity) AS units FROM li GROUP BY 1, 2),
+f AS (SELECT date, l_partkey, -SUM(disc) AS fees FROM li GROUP BY 1, 2),
+r AS (SELECT date, l_partkey, SUM(tax) AS reimbursed_tax FROM li GROUP BY 1, 2),
+m AS (SELECT date, l_partkey, COALESCE(revenue, 0) AS revenue, COALESCE(units, 0) AS units, COALESCE(fees, 0) AS fees,
+             COALESCE(reimbursed_tax, 0) AS reimbursed_tax
+      FROM s FULL JOIN f USING (date, l_partkey) FULL JOIN r USING (date, l_partkey)),
+h AS (SELECT l.l_partkey, CAST(o.o_orderdate AS DATE) AS eff, SUM(l.l_extendedprice) / NULLIF(SUM(l.l_quantity), 0) AS cost
+      FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2),
+c AS (SELECT l_partkey, eff AS vf, LEAD(eff) OVER (PARTITION BY l_partkey ORDER BY eff) AS vt, cost FROM h),
+j AS (SELECT m.*, c.cost FROM m LEFT JOIN c ON c.l_partkey = m.l_partkey AND m.date >= c.vf AND (c.vt IS NULL OR m.date < c.vt))
+SELECT {sql_date('date')} AS date, l_partkey, ROUND(revenue, 2) AS revenue, units, ROUND(fees, 2) AS fees,
+       ROUND(reimbursed_tax, 2) AS reimbursed_tax, ROUND(cost, 4) AS unit_cost, ROUND(units * cost, 2) AS cogs,
+       ROUND(revenue + fees + reimbursed_tax - units * cost, 2) AS contribution_margin
+FROM j
+""",
     "order_book": f"""
 WITH l AS (SELECT l.l_orderkey, l.l_quantity, CAST(o.o_orderdate AS DATE) + INTERVAL 30 DAY AS promised_date,
                   CASE WHEN l.l_linestatus = 'F' THEN l.l_quantity ELSE 0.0 END AS shipped,

@@ -5,6 +5,9 @@ last ship day)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions.columns import rnd
 
 from ..operators import crm
 from .common import finalize, load, sql_date, sql_ts
@@ -53,7 +56,19 @@ def deal_outcomes(spark, d):
     return crm.deal_pipeline(o, "o_orderstatus", ["F"], ["P"], "o_totalprice")
 
 
+def segment_order_share(spark, d):
+    from ..operators.events import weighted_shares
+    c = load(spark, d, "customer")
+    per = c.groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("_n"))
+    shares = per.withColumn("customer_share", F.col("_n") / F.sum("_n").over(Window.partitionBy("c_nationkey"))).drop("_n")
+    o = load(spark, d, "orders").join(c.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    vol = o.groupBy("c_nationkey").agg(F.count(F.lit(1)).cast("double").alias("orders"))
+    out = weighted_shares(shares, vol, "c_nationkey", ["c_mktsegment"], "customer_share", "orders")
+    return out.withColumns({"customer_share": rnd("customer_share", 6), "estimated_volume": rnd("estimated_volume", 4)})
+
+
 QUERIES = {
+    "segment_order_share": segment_order_share,
     "stage_history": stage_history,
     "deal_flow_by_month": deal_flow_by_month,
     "orders_by_nation": orders_by_nation,
@@ -64,6 +79,16 @@ QUERIES = {
 _rank = "CASE stage " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in STAGE_ORDER.items()) + " END"
 
 ORACLE = {
+    "segment_order_share": """
+WITH per AS (SELECT c_nationkey, c_mktsegment, COUNT(*) AS n FROM customer GROUP BY 1, 2),
+sh AS (SELECT c_nationkey, c_mktsegment, n::DOUBLE / SUM(n) OVER (PARTITION BY c_nationkey) AS s FROM per),
+v AS (SELECT c.c_nationkey, CAST(COUNT(*) AS DOUBLE) AS orders FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+      GROUP BY 1),
+j AS (SELECT sh.c_nationkey, sh.c_mktsegment, sh.s, v.orders, sh.s * v.orders AS ev
+      FROM sh JOIN v ON v.c_nationkey IS NOT DISTINCT FROM sh.c_nationkey)
+SELECT c_nationkey, c_mktsegment, ROUND(s, 6) AS customer_share, orders, ROUND(ev, 4) AS estimated_volume,
+       ROUND(ev / NULLIF(SUM(ev) OVER (PARTITION BY c_mktsegment), 0), 6) AS share_of_total FROM j
+""",
     "stage_history": f"""
 WITH e AS (SELECT user_id, event_id, ts, event_type AS stage FROM events WHERE event_type IS NOT NULL),
 c AS (SELECT *, LAG(stage) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM e),

@@ -58,7 +58,14 @@ def balance_reconciliation(spark, d):
         "net_activity", F.expr("CAST(ROUND(CAST(net_activity AS DECIMAL(38,9)), 2) AS DOUBLE)"))
 
 
+def authorisation_rate(spark, d):
+    e = load(spark, d, "events")
+    lc = pm.lifecycle(e, "user_id", "event_type", "ts", "value", ["purchase", "error"], tiebreak="event_id")
+    return finalize(pm.decision_rate(lc, "date", [], "first_purchase_at", "first_error_at"))
+
+
 QUERIES = {
+    "authorisation_rate": authorisation_rate,
     "payment_lifecycle": payment_lifecycle,
     "settlement_ledger": settlement_ledger,
     "payout_reconciliation": payout_reconciliation,
@@ -73,6 +80,16 @@ _steps_sql = ",\n".join(
     f"BOOL_OR(event_type = '{s}') AS has_{s}" for s in STEPS)
 
 ORACLE = {
+    "authorisation_rate": f"""
+WITH l AS (SELECT user_id, MIN(CASE WHEN event_type = 'purchase' THEN ts END) AS a,
+                  MIN(CASE WHEN event_type = 'error' THEN ts END) AS r FROM events GROUP BY 1),
+d AS (SELECT *, CASE WHEN a IS NULL THEN r WHEN r IS NULL THEN a ELSE LEAST(a, r) END AS fd FROM l),
+g AS (SELECT CAST(fd AS DATE) AS date, COUNT(*) AS decided,
+             COUNT(*) FILTER (WHERE a IS NOT NULL AND (r IS NULL OR a <= r)) AS authorised
+      FROM d WHERE fd IS NOT NULL GROUP BY 1)
+SELECT {sql_date('date')} AS date, decided, authorised, ROUND(authorised::DOUBLE / NULLIF(decided, 0), 6) AS authorisation_rate
+FROM g
+""",
     "payment_lifecycle": f"""
 SELECT user_id, {_steps_sql},
        FIRST(event_type ORDER BY ts DESC, event_id DESC) FILTER (WHERE event_type IS NOT NULL) AS latest_step,
