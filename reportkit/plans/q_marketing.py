@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import json_any
 from ..operators import marketing as mk
+from ..functions.columns import rnd
 from .common import finalize, load, sql_date
 
 
@@ -47,7 +48,17 @@ def messaging_daily(spark, d):
                                        cost="value"))
 
 
+def cross_channel_daily(spark, d):
+    e = _events(spark, d)
+    display = (e.where(F.col("event_type") == "view").groupBy("date")
+               .agg(F.count(F.lit(1)).alias("impressions"), rnd(F.sum(F.col("value") / 100), 2).alias("spend")))
+    search = (e.where(F.col("event_type") == "click").groupBy("date")
+              .agg(F.count(F.lit(1)).alias("clicks"), rnd(F.sum(F.col("value") / 100), 2).alias("spend")))
+    return finalize(mk.cross_channel({"display": display, "search": search}, ["date"]))
+
+
 QUERIES = {
+    "cross_channel_daily": cross_channel_daily,
     "ad_performance_daily": ad_performance_daily,
     "ad_performance_by_day": ad_performance_by_day,
     "email_campaign_performance": email_campaign_performance,
@@ -73,6 +84,15 @@ def _rates(prefix=""):
 
 
 ORACLE = {
+    "cross_channel_daily": f"""
+WITH u AS (SELECT CAST(ts AS DATE) AS date, 'display' AS channel, COUNT(*) AS impressions, CAST(NULL AS BIGINT) AS clicks,
+                  ROUND(SUM(value / 100), 2) AS spend FROM events WHERE event_type = 'view' GROUP BY 1
+           UNION ALL
+           SELECT CAST(ts AS DATE), 'search', NULL, COUNT(*), ROUND(SUM(value / 100), 2) FROM events
+           WHERE event_type = 'click' GROUP BY 1)
+SELECT {sql_date('date')} AS date, channel, impressions, clicks, spend,
+       ROUND(spend / NULLIF(SUM(spend) OVER (PARTITION BY date), 0), 6) AS share_of_spend FROM u
+""",
     "ad_performance_daily": _E + f"""
 SELECT {sql_date('date')} AS date, campaign_id, CAST(impressions AS BIGINT) AS impressions, CAST(clicks AS BIGINT) AS clicks,
        spend, conversions, conversion_value, {_rates()}

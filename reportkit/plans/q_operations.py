@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import operations as op
 from ..operators.timegrid import flatten_tree
+from ..functions.columns import rnd
 from .common import finalize, load, sql_date
 from .q_support import _order_tickets
 
@@ -52,7 +53,31 @@ def region_revenue_month(spark, d):
     return finalize(op.area_month(facts, area_tree(spark, d), "node", "month", "o_totalprice"))
 
 
+# Fixed value: loaded labour cost per hour in the labour-vs-sales binding.
+HOURLY_COST = 20.0
+
+
+def labour_vs_sales(spark, d):
+    o = load(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(
+        rnd(F.sum("o_totalprice"), 2).alias("sales"))
+    li = load(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(
+        F.sum("l_quantity").alias("labour_hours"), rnd(F.sum(F.col("l_quantity") * HOURLY_COST), 2).alias("labour_cost"))
+    return finalize(op.labour_vs_sales(o, li, "date", "sales", "labour_cost", "labour_hours"))
+
+
+def budget_vs_actual(spark, d):
+    o = load(spark, d, "orders")
+    budget = (o.groupBy("o_orderpriority", F.trunc(F.to_date("o_orderdate"), "month").alias("period_start"))
+              .agg((F.count(F.lit(1)) * 150000.0).alias("budget"))
+              .withColumn("period_end", F.last_day("period_start")))
+    out = op.budget_vs_actual(budget, o, "o_orderpriority", "period_start", "period_end", "o_orderdate",
+                              "o_totalprice", "budget")
+    return finalize(out)
+
+
 QUERIES = {
+    "labour_vs_sales": labour_vs_sales,
+    "budget_vs_actual": budget_vs_actual,
     "open_workload": open_workload,
     "completion_stats": completion_stats,
     "line_flow_daily": line_flow_daily,
@@ -73,6 +98,28 @@ deepest AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY node_id ORDER BY depth DES
 """
 
 ORACLE = {
+    "labour_vs_sales": f"""
+WITH s AS (SELECT CAST(o_orderdate AS DATE) AS date, ROUND(SUM(o_totalprice), 2) AS sales FROM orders GROUP BY 1),
+l AS (SELECT CAST(l_shipdate AS DATE) AS date, SUM(l_quantity) AS labour_hours, ROUND(SUM(l_quantity * 20.0), 2) AS labour_cost
+      FROM lineitem GROUP BY 1),
+m AS (SELECT date, COALESCE(sales, 0) AS sales, COALESCE(labour_hours, 0) AS labour_hours,
+             COALESCE(labour_cost, 0) AS labour_cost FROM s FULL JOIN l USING (date))
+SELECT {sql_date('date')} AS date, sales, labour_hours, labour_cost,
+       ROUND(100.0 * labour_cost / NULLIF(sales, 0), 4) AS labour_pct,
+       ROUND(sales / NULLIF(labour_hours, 0), 4) AS sales_per_labour_hour FROM m
+""",
+    "budget_vs_actual": f"""
+WITH b AS (SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS period_start,
+                  CAST(COUNT(*) * 150000.0 AS DOUBLE) AS budget FROM orders GROUP BY 1, 2),
+a AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, SUM(o_totalprice) AS v FROM orders GROUP BY 1, 2),
+s AS (SELECT b.o_orderpriority, b.period_start, SUM(a.v) AS actual FROM b JOIN a ON a.o_orderpriority = b.o_orderpriority
+      AND a.day >= b.period_start AND a.day <= last_day(b.period_start) GROUP BY 1, 2)
+SELECT b.o_orderpriority, {sql_date('b.period_start')} AS period_start, b.budget,
+       {sql_date('last_day(b.period_start)')} AS period_end, ROUND(COALESCE(s.actual, 0.0), 2) AS actual,
+       ROUND(ROUND(COALESCE(s.actual, 0.0), 2) - b.budget, 2) AS variance,
+       ROUND((ROUND(COALESCE(s.actual, 0.0), 2) - b.budget) / NULLIF(b.budget, 0), 6) AS variance_pct
+FROM b LEFT JOIN s ON s.o_orderpriority = b.o_orderpriority AND s.period_start = b.period_start
+""",
     "open_workload": f"""
 SELECT c.c_mktsegment, COUNT(*) AS open_items,
        COUNT(*) FILTER (WHERE CAST(o.o_orderdate AS DATE) + INTERVAL 30 DAY < DATE '{WORKLOAD_AS_OF}') AS overdue_items,

@@ -92,7 +92,15 @@ def subscription_churn(spark, d):
     return finalize(ch.withColumn("mrr_before_churn", rnd("mrr_before_churn", 2)))
 
 
+def mrr_time_series(spark, d):
+    o = load(spark, d, "orders").select("o_custkey", F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"),
+                                        "o_totalprice")
+    t = rv.mrr_time_series(o, "o_custkey", "month", "o_totalprice")
+    return finalize(t.withColumns({"mrr": rnd("mrr", 2), "mrr_change": rnd("mrr_change", 2)}))
+
+
 QUERIES = {
+    "mrr_time_series": mrr_time_series,
     "subscription_churn": subscription_churn,
     "recurring_lines": recurring_lines,
     "mrr_by_customer_month": mrr_by_customer_month,
@@ -144,6 +152,22 @@ mov AS (SELECT *, CASE WHEN opening_mrr = 0 AND mrr > 0 AND prior_max = 0 THEN '
 """
 
 ORACLE = {
+    "mrr_time_series": f"""
+WITH g AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, SUM(o_totalprice) AS mrr
+           FROM orders GROUP BY 1, 2),
+f AS (SELECT o_custkey, MIN(month) AS s FROM g GROUP BY 1),
+e AS (SELECT MAX(month) AS e FROM g),
+grid AS (SELECT f.o_custkey, CAST(unnest(generate_series(f.s, GREATEST(e.e, f.s), INTERVAL 1 MONTH)) AS DATE) AS month
+         FROM f CROSS JOIN e),
+j AS (SELECT grid.o_custkey, grid.month, g.mrr AS raw FROM grid LEFT JOIN g USING (o_custkey, month)),
+c AS (SELECT *, COALESCE(raw, LAST_VALUE(raw IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY month
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS mrr FROM j)
+SELECT o_custkey, {sql_date('month')} AS month, ROUND(mrr, 2) AS mrr,
+       ROUND(mrr - LAG(mrr) OVER (PARTITION BY o_custkey ORDER BY month), 2) AS mrr_change,
+       CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY month) AS INTEGER) AS month_number,
+       CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY month DESC) AS INTEGER) AS months_from_latest
+FROM c
+""",
     "subscription_churn": _LINES_SQL + f"""
 , e AS (SELECT l.o_orderkey, l.o_custkey, l.service_end AS ended_on,
                CASE WHEN o.o_orderstatus = 'P' THEN 'payment_failed' ELSE 'cancelled' END AS reason,
