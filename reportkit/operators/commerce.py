@@ -247,3 +247,41 @@ def return_rates(shipped: DataFrame, returned: DataFrame, sku: str, date_s: str,
     facts = s.join(r, [sku, "month"], "full")
     g = densify(facts, sku, "month", ["units_shipped", "units_returned"], end=end, step="month", fill=0.0)
     return g.withColumn("return_rate", rnd(ratio("units_returned", "units_shipped"), 6))
+
+
+def shipment_lanes(shipments: DataFrame, lane: list[str], date: str, weight: str, cost: str,
+                   shipped: str, estimated_days: str | None = None) -> DataFrame:
+    """Per lane x month: shipments, weight, cost, cost per kg, mean transit days
+    and the share delivered within the estimate."""
+    month = F.to_date(F.date_trunc("month", F.col(date).cast("timestamp")))
+    transit = F.datediff(F.to_date(F.col(shipped).cast("timestamp")), F.to_date(F.col(date).cast("timestamp")))
+    aggs = [F.count(F.lit(1)).alias("shipments"), rnd(F.sum(weight), 2).alias("total_weight"),
+            rnd(F.sum(cost), 2).alias("total_cost"), rnd(F.avg(transit), 4).alias("avg_transit_days")]
+    if estimated_days:
+        aggs.append(F.count_if(transit <= F.col(estimated_days)).alias("on_time_shipments"))
+    g = shipments.groupBy(*lane, month.alias("month")).agg(*aggs)
+    g = g.withColumn("cost_per_kg", rnd(ratio("total_cost", "total_weight"), 4))
+    if estimated_days:
+        g = g.withColumn("on_time_rate", rnd(ratio("on_time_shipments", "shipments"), 6))
+    return g
+
+
+# Claim outcome groups.
+CLAIM_OUTCOMES = {"resolved": ["F"], "open": ["O"]}
+
+
+def claims_by_month(claims: DataFrame, base: DataFrame, dims: list[str], date: str, outcome: str,
+                    base_date: str, end=None) -> DataFrame:
+    """Claims with outcome groups per dims x month on a grid, claim rate over the
+    base volume (e.g. shipped lines) of the same dims x month."""
+    from .timegrid import densify
+    m = lambda c: F.to_date(F.date_trunc("month", F.col(c).cast("timestamp")))
+    grp = F.when(F.col(outcome).isin(CLAIM_OUTCOMES["resolved"]), "resolved").when(
+        F.col(outcome).isin(CLAIM_OUTCOMES["open"]), "open").otherwise("other")
+    c = claims.groupBy(*dims, m(date).alias("month")).agg(
+        F.count(F.lit(1)).alias("claims"), F.count_if(grp == "resolved").alias("resolved_claims"),
+        F.count_if(grp == "open").alias("open_claims"))
+    b = base.groupBy(*dims, m(base_date).alias("month")).agg(F.count(F.lit(1)).alias("base_volume"))
+    g = densify(c.join(b, dims + ["month"], "full"), dims, "month",
+                ["claims", "resolved_claims", "open_claims", "base_volume"], end=end, step="month")
+    return g.withColumn("claim_rate", rnd(ratio("claims", "base_volume"), 6))

@@ -78,3 +78,60 @@ def deal_pipeline(deals: DataFrame, status: str, won_values: list[str], lost_val
     outcome = F.when(s.isin(won_values), "won").when(s.isin(lost_values), "lost").otherwise("open")
     p = probability if probability is not None else F.when(outcome == "won", 1.0).when(outcome == "lost", 0.0).otherwise(0.5)
     return deals.withColumns({"outcome": outcome, "weighted_amount": rnd(F.col(amount) * p, 2)})
+
+
+def rep_activity(activities: dict, rep: str, ts: str, end=None) -> DataFrame:
+    """Activities of several kinds per rep x day on a grid from the rep's first
+    active day to ``end`` (default: the latest activity day)."""
+    from functools import reduce
+    from .timegrid import densify
+    parts = [df.select(F.col(rep).alias(rep), F.to_date(F.col(ts).cast("timestamp")).alias("date"),
+                       F.lit(kind).alias("_kind")) for kind, df in activities.items()]
+    u = reduce(lambda a, b: a.unionByName(b), parts)
+    g = u.groupBy(rep, "date").agg(*[F.count_if(F.col("_kind") == k).alias(k) for k in activities])
+    e = F.lit(end).cast("date") if isinstance(end, str) else end
+    g = densify(g, rep, "date", list(activities), end=e)
+    total = None
+    for k in activities:
+        total = F.col(k) if total is None else total + F.col(k)
+    return g.withColumn("total_activities", total)
+
+
+def account_360(base: DataFrame, key: str, facts: dict) -> DataFrame:
+    """Account row + every related fact rolled up to the account first."""
+    from .aggs import rollup_facts
+    return rollup_facts(base, facts, key, fill=None)
+
+
+def bookings_by_source(bookings: DataFrame, id_col: str, next_col: str, is_new, booked_at: str,
+                       source: str, outcome, final_ts: str, max_hops: int = 50) -> DataFrame:
+    """Each new booking followed through its reschedule chain (R2, capped) to the
+    final record; per booking month x source x final outcome: bookings, reschedules,
+    lead time (hours, from the original booking to the final record)."""
+    from .timegrid import follow_chain
+    ch = follow_chain(bookings.select(id_col, next_col), id_col, next_col, max_hops)
+    start = bookings.where(is_new).select(F.col(id_col).alias("id"), F.col(booked_at).alias("_booked"),
+                                          F.coalesce(F.col(source).cast("string"), F.lit("(not set)")).alias("source"))
+    fin = bookings.select(F.col(id_col).alias("final_id"), outcome.alias("final_outcome"), F.col(final_ts).alias("_fts"))
+    j = start.join(ch, "id").join(fin, "final_id")
+    return (j.groupBy(F.to_date(F.date_trunc("month", F.col("_booked").cast("timestamp"))).alias("booking_month"),
+                      "source", "final_outcome")
+            .agg(F.count(F.lit(1)).alias("bookings"), F.sum("hops").alias("reschedules"),
+                 rnd(F.avg(F.timestamp_diff("MINUTE", F.col("_booked"), F.col("_fts")) / 60.0), 4).alias("avg_lead_time_hours")))
+
+
+def meetings_daily(events: DataFrame, dims: list[str], booked: str, held: str) -> DataFrame:
+    """Two date bases per dims x day: meetings booked on the day and held on the day."""
+    from .timegrid import events_from_timestamps
+    return events_from_timestamps(events, {booked: "meetings_booked", held: "meetings_held"}, dims)
+
+
+def call_analytics(turns: DataFrame, call: str, speaker: str, text: str, speakers: list[str]) -> DataFrame:
+    """Per call: turns, characters, talk share per speaker, questions asked,
+    longest turn (stats pivoted from per-speaker rows)."""
+    n = F.length(F.col(text))
+    g = turns.groupBy(call).agg(
+        F.count(F.lit(1)).alias("turns"), F.sum(n).alias("total_chars"),
+        *[F.sum(F.when(F.col(speaker) == s, n).otherwise(0)).alias(f"{s}_chars") for s in speakers],
+        F.count_if(F.col(text).contains("?")).alias("questions"), F.max(n).alias("longest_turn_chars"))
+    return g.withColumns({f"{s}_talk_share": rnd(ratio(f"{s}_chars", "total_chars"), 6) for s in speakers})

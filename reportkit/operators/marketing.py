@@ -71,3 +71,48 @@ def messaging_daily(events: DataFrame, kind: str, ts: str, dims: list[str], stag
     if cost:
         aggs.append(rnd(F.sum(cost), 2).alias("cost"))
     return events.groupBy(F.to_date(F.col(ts).cast("timestamp")).alias("date"), *dims).agg(*aggs)
+
+
+def breakdown_performance(delivery: DataFrame, actions: DataFrame, grain: list[str], **kw) -> DataFrame:
+    """The D55 report at another grain (country, placement, audience, product...)."""
+    return ad_performance(delivery, grain, actions, **kw)
+
+
+# Fixed value: e-mail address pattern used to parse recipients.
+EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[a-z]{2,}"
+
+
+def thread_messages(messages: DataFrame, thread: str, order: list[str], text: str) -> DataFrame:
+    """Per message: recipients parsed from the text (distinct, sorted), their count,
+    position in the thread ascending and descending, first / last flags."""
+    from pyspark.sql.window import Window
+    w = Window.partitionBy(thread).orderBy(*order)
+    wd = Window.partitionBy(thread).orderBy(*[F.col(o).desc() for o in order])
+    rec = F.array_sort(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(EMAIL_PATTERN), 0)))
+    return messages.select(*messages.columns, rec.alias("recipients")).select(
+        *[c for c in messages.columns if c != text],
+        F.array_join("recipients", ",").alias("recipient_list"), F.size("recipients").alias("recipient_count"),
+        F.row_number().over(w).alias("position_in_thread"), F.row_number().over(wd).alias("position_from_end")
+    ).withColumns({"is_first": F.col("position_in_thread") == 1, "is_last": F.col("position_from_end") == 1})
+
+
+def correspondents(messages: DataFrame, dims: list[str], text: str, direction: str | None = None) -> DataFrame:
+    """Messages per correspondent address x dims (sent / received split when a
+    direction column is given); addresses exploded from the parsed recipients."""
+    rec = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(EMAIL_PATTERN), 0))
+    ex = messages.select(*dims, *([direction] if direction else []), F.explode(rec).alias("address"))
+    aggs = [F.count(F.lit(1)).alias("messages")]
+    if direction:
+        aggs += [F.count_if(F.col(direction) == "sent").alias("sent"),
+                 F.count_if(F.col(direction) == "received").alias("received")]
+    return ex.groupBy(F.lower("address").alias("address"), *dims).agg(*aggs)
+
+
+def campaign_roi(facts: dict, keys: list[str], cost: str | None = None, value: str | None = None) -> DataFrame:
+    """Per key union: each fact rolled up first (proposals, content, conversions,
+    payables, ...), then ROI = value / cost when both measures are given."""
+    from .aggs import rollup_facts
+    out = rollup_facts(None, facts, keys, fill=0)
+    if cost and value:
+        out = out.withColumn("roi", rnd(ratio(value, cost), 6))
+    return out

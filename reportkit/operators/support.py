@@ -100,3 +100,68 @@ def topic_share(tags: DataFrame, record: str, topic: str, dims: list[str]) -> Da
     g = tags.groupBy(*dims, topic).agg(F.count_distinct(record).alias("records"))
     j = g.join(tot, dims, "left") if dims else g.crossJoin(F.broadcast(tot))
     return j.withColumn("topic_share", rnd(ratio("records", "commenting_records"), 6))
+
+
+def agent_performance(facts: dict, agent: str, period: str) -> DataFrame:
+    """Several facts per agent x period on the union of their keys (each rolled up first)."""
+    from .aggs import rollup_facts
+    return rollup_facts(None, facts, [agent, period], fill=0)
+
+
+def answer_detail(responses: DataFrame, key: str, answers: str, labels: DataFrame | None = None,
+                  label_key: str | None = None) -> DataFrame:
+    """Long answers: array answers exploded with their position, choice labels resolved."""
+    ex = responses.select(key, *[c for c in responses.columns if c not in (key, answers)],
+                          F.posexplode(F.col(answers)).alias("position", "answer"))
+    if labels is not None:
+        ex = ex.join(labels, label_key, "left")
+    return ex
+
+
+def response_volume(responses: DataFrame, form: str, ts: str, completed, duration: str, as_of,
+                    exact: bool = True) -> DataFrame:
+    """Responses, completion rate and median duration per form x day on a grid from
+    the form's first day to ``as_of``."""
+    a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
+    d = responses.groupBy(form, F.to_date(F.col(ts).cast("timestamp")).alias("date")).agg(
+        F.count(F.lit(1)).alias("responses"), F.count_if(completed).alias("completed"),
+        rnd(quantile(duration, 0.5, exact), 4).alias("median_duration"))
+    span = d.groupBy(form).agg(F.min("date").alias("_s"))
+    grid = span.select(form, F.explode(F.sequence("_s", F.greatest(a, F.col("_s")))).alias("date"))
+    g = grid.join(d, [form, "date"], "left").fillna({"responses": 0, "completed": 0})
+    return g.withColumn("completion_rate", rnd(ratio("completed", "responses"), 6))
+
+
+def attribution_by_answer(answers: DataFrame, answer: str, order_id: str, value: str, dims: list[str]) -> DataFrame:
+    """Distinct orders and their revenue per answer (orders de-duplicated first so a
+    response answered twice does not double revenue)."""
+    u = answers.select(*dims, answer, order_id, value).dropDuplicates([*dims, answer, order_id])
+    return u.groupBy(*dims, answer).agg(F.count_distinct(order_id).alias("orders"), rnd(F.sum(value), 2).alias("revenue"))
+
+
+def distribution_funnel(df: DataFrame, dims: list[str], stage_col: str, stages: list[str]) -> DataFrame:
+    """Counts per funnel stage (wide) and each stage's rate against the previous and the first."""
+    g = df.groupBy(*dims).agg(*[F.count_if(F.col(stage_col) == s).alias(s) for s in stages])
+    cols = {}
+    for prev, cur in zip(stages, stages[1:]):
+        cols[f"{cur}_rate"] = rnd(ratio(cur, prev), 6)
+        cols[f"{cur}_of_{stages[0]}"] = rnd(ratio(cur, stages[0]), 6)
+    return g.withColumns(cols)
+
+
+def reviews_running(reviews: DataFrame, entity: list[str], ts: str, rating: str, replied, as_of,
+                    negative_max: int = 2) -> DataFrame:
+    """New / replied / negative reviews per month on a grid to ``as_of``, plus the
+    running review count and running average rating."""
+    from .timegrid import densify
+    a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
+    m = F.to_date(F.date_trunc("month", F.col(ts).cast("timestamp")))
+    g = reviews.groupBy(*entity, m.alias("month")).agg(
+        F.count(F.lit(1)).alias("new_reviews"), F.count_if(replied).alias("replied_reviews"),
+        F.count_if(F.col(rating) <= negative_max).alias("negative_reviews"), F.sum(rating).alias("_rs"))
+    g = densify(g, entity, "month", ["new_reviews", "replied_reviews", "negative_reviews", "_rs"],
+                end=F.trunc(a, "month"), step="month")
+    w = Window.partitionBy(*entity).orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    return g.withColumns({"running_reviews": F.sum("new_reviews").over(w),
+                          "running_avg_rating": rnd(ratio(F.sum("_rs").over(w), F.sum("new_reviews").over(w)), 4)}
+                         ).drop("_rs")

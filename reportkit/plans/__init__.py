@@ -8,7 +8,8 @@ import importlib
 from .common import expand_round
 
 MODULES = ["q_events", "q_commerce", "q_revenue", "q_ledger", "q_payments", "q_support",
-           "q_crm", "q_marketing", "q_operations", "q_primitives", "q_checks"]
+           "q_crm", "q_marketing", "q_operations", "q_primitives", "q_checks", "q_logistics", "q_content",
+           "q_activity", "q_trends"]
 
 
 def _collect():
