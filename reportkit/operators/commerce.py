@@ -285,3 +285,13 @@ def claims_by_month(claims: DataFrame, base: DataFrame, dims: list[str], date: s
     g = densify(c.join(b, dims + ["month"], "full"), dims, "month",
                 ["claims", "resolved_claims", "open_claims", "base_volume"], end=end, step="month")
     return g.withColumn("claim_rate", rnd(ratio("claims", "base_volume"), 6))
+
+
+def product_sales_over_time(lines: DataFrame, adjustments: DataFrame, grain: list[str], measures: list[str]) -> DataFrame:
+    """Line-grain money that reconciles with the order-level report: product line
+    rows plus explicit adjustment rows (NULL product, from D14 residuals) stacked into
+    one schema (U1), then summed at the grain."""
+    from .sets import union_events
+    u = union_events({"PRODUCT": lines, "ADJUSTMENT": adjustments}, label="line_type")
+    return u.groupBy(*grain, "line_type").agg(
+        *[rnd(F.sum(m), 2).alias(m) for m in measures], F.count(F.lit(1)).alias("source_rows"))

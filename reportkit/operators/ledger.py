@@ -180,3 +180,22 @@ def convert(df: DataFrame, amount: str, ccy: str, date: str, rates: DataFrame, r
     r = rates.select(F.col(rate_ccy).alias("_rc"), F.col(rate_date).alias("_rd"), F.col(rate).alias("_rate"))
     j = df.join(r, (F.col(ccy) == F.col("_rc")) & (_d(date) == F.col("_rd")), "left")
     return j.withColumn(out, rnd(F.try_divide(F.col(amount), F.nullif("_rate", F.lit(0.0))), 2)).drop("_rc", "_rd")
+
+
+def trial_balance_year(openings: DataFrame, movements: DataFrame, on: list[str], opening: str = "opening_balance",
+                       movement: str = "movement") -> DataFrame:
+    """Per financial year, the reported opening balance full-outer-joined with the
+    year's movements (either side may be missing), closing = opening + movement."""
+    from .joins import merge_full
+    m = merge_full([openings, movements], on, fill=0.0)
+    return m.withColumn("closing_balance", rnd(F.col(opening) + F.col(movement), 2))
+
+
+def invoice_lines(headers: DataFrame, lines: DataFrame, key: str, dims: dict) -> DataFrame:
+    """Invoice lines with header attributes and dimension attributes attached
+    (lookups made unique first, so nothing fans out). ``dims = {key: dim_df}``."""
+    from .joins import enrich
+    out = lines.join(headers, key, "left")
+    for k, dim in dims.items():
+        out = enrich(out, dim, k)
+    return out

@@ -186,7 +186,34 @@ def contribution_margin(spark, d):
                                "cogs", "contribution_margin"))
 
 
+def product_sales_over_time(spark, d):
+    li = load(spark, d, "lineitem")
+    o = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_totalprice")
+    j = li.join(o, "l_orderkey")
+    lines = j.select(F.to_date("o_orderdate").alias("report_date"), "l_partkey", "l_quantity",
+                     (sx(NET) + sx(TAX)).alias("amount"))
+    per_order = j.groupBy("l_orderkey").agg(F.sum(sx(NET) + sx(TAX)).alias("amount"))
+    adj = cm.residual(o.select("l_orderkey", "o_orderdate", F.col("o_totalprice").alias("amount")).drop("o_orderdate"),
+                      per_order, "l_orderkey", ["amount"], eps=1e-4).join(o.select("l_orderkey", "o_orderdate"), "l_orderkey")
+    adj = adj.select(F.to_date("o_orderdate").alias("report_date"), F.lit(None).cast("bigint").alias("l_partkey"),
+                     F.lit(0.0).alias("l_quantity"), "amount")
+    out = cm.product_sales_over_time(lines, adj, ["report_date", "l_partkey"], ["amount", "l_quantity"])
+    return finalize(out)
+
+
+def invoice_lines(spark, d):
+    from ..operators.ledger import invoice_lines as build
+    li = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                           sx(NET).alias("net_amount"))
+    hdr = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    cust = load(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    part = load(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
+    return finalize(build(hdr, li, "l_orderkey", {"o_custkey": cust, "l_partkey": part}))
+
+
 QUERIES = {
+    "product_sales_over_time": product_sales_over_time,
+    "invoice_lines": invoice_lines,
     "contribution_margin": contribution_margin,
     "order_book": order_book,
     "order_fulfillment": order_fulfillment,
@@ -217,6 +244,25 @@ lines AS (
 """
 
 ORACLE = {
+    "product_sales_over_time": f"""
+WITH j AS (SELECT l.*, o.o_orderdate, o.o_totalprice, {NET} + {TAX} AS amt FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+po AS (SELECT l_orderkey, SUM(amt) AS s FROM j GROUP BY 1),
+r AS (SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice - COALESCE(po.s, 0.0) AS amount FROM orders o
+      LEFT JOIN po ON po.l_orderkey = o.o_orderkey),
+u AS (SELECT CAST(o_orderdate AS DATE) AS report_date, l_partkey, l_quantity, amt AS amount, 'PRODUCT' AS line_type FROM j
+      UNION ALL
+      SELECT CAST(o_orderdate AS DATE), CAST(NULL AS BIGINT), 0.0, amount, 'ADJUSTMENT' FROM r WHERE ABS(amount) > 1e-4)
+SELECT {sql_date('report_date')} AS report_date, l_partkey, line_type, ROUND(SUM(amount), 2) AS amount,
+       ROUND(SUM(l_quantity), 2) AS l_quantity, COUNT(*) AS source_rows FROM u GROUP BY ALL
+""",
+    "invoice_lines": f"""
+WITH c AS (SELECT c_custkey, MAX(c_name) AS c_name, MAX(c_mktsegment) AS c_mktsegment FROM customer GROUP BY 1),
+p AS (SELECT p_partkey, MAX(p_brand) AS p_brand, MAX(p_type) AS p_type FROM part GROUP BY 1)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, {NET} AS net_amount, o.o_custkey,
+       {sql_ts('o.o_orderdate')} AS o_orderdate, c.c_name, c.c_mktsegment, p.p_brand, p.p_type
+FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN c ON c.c_custkey = o.o_custkey
+LEFT JOIN p ON p.p_partkey = l.l_partkey
+""",
     "contribution_margin": f"""
 WITH li AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS date, l_quantity, {NET} AS net, {DISC} AS disc, {TAX} AS tax
             FROM lineitem),
