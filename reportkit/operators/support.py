@@ -15,15 +15,21 @@ def _l(x):
 
 
 def reply_waits(messages: DataFrame, thread: str, ts: str, direction: str, received="received",
-                sent="sent", order=None) -> DataFrame:
+                sent="sent", order=None, bucket=None) -> DataFrame:
     """A wait opens at a received message whose previous message in the thread is
-    absent or sent; the reply is the earliest sent message strictly after it in row order."""
-    o = [F.col(ts)] + ([F.col(c) for c in _l(order)] if order else [])
-    w = Window.partitionBy(thread).orderBy(*o)
-    m = messages.withColumn("_prev_dir", F.lag(direction).over(w))
-    m = m.withColumn("_reply", F.min(F.when(F.col(direction) == sent, F.col(ts))).over(
-        w.rowsBetween(1, Window.unboundedFollowing)))
-    opens = (F.col(direction) == received) & (F.col("_prev_dir").isNull() | (F.col("_prev_dir") == sent))
+    absent or sent; the reply is the earliest sent message strictly after it in row order.
+
+    Previous message and next reply are computed per (thread, ``bucket``) and fixed up
+    across buckets (two-level, see ``seq_neighbors`` / ``seq_next_when``); ``bucket``
+    defaults to the day of ``ts`` (use a coarse bucket of the ordinal for turn numbers).
+    """
+    from .windows import seq_neighbors, seq_next_when
+    o = [ts] + (_l(order) if order else [])
+    bk = bucket if bucket is not None else F.to_date(F.col(ts).cast("timestamp"))
+    m = seq_neighbors(messages, thread, o, [direction], bk, prev_prefix="_prev_", next_prefix=None)
+    m = seq_next_when(m, thread, o, F.col(direction) == sent, ts, "_reply", bk)
+    prev_dir = F.col(f"_prev_{direction}")
+    opens = (F.col(direction) == received) & (prev_dir.isNull() | (prev_dir == sent))
     return m.where(opens).select(thread, F.col(ts).alias("waiting_since"), F.col("_reply").alias("replied_at"),
                                  F.col("_reply").isNotNull().alias("is_answered"))
 

@@ -177,3 +177,56 @@ def flag_extreme(df: DataFrame, part, c: str, which: str = "max", out: str | Non
     """Flag rows equal to the partition max/min (e.g. month-end, first day)."""
     e = (F.max if which == "max" else F.min)(c).over(Window.partitionBy(*_l(part)))
     return df.withColumn(out or f"is_{which}_{c}", F.col(c) == e)
+
+
+def _ns_join(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be NULL (IS NOT DISTINCT FROM)."""
+    o = other.select(*[F.col(c).alias(f"_k_{c}") if c in keys else F.col(c) for c in other.columns])
+    cond = [df[k].eqNullSafe(o[f"_k_{k}"]) for k in keys]
+    return df.join(o, cond, "left").drop(*[f"_k_{k}" for k in keys])
+
+
+def seq_neighbors(df: DataFrame, keys, order: list[str], cols: list[str], bucket: Column,
+                  prev_prefix: str | None = "prev_", next_prefix: str | None = "next_") -> DataFrame:
+    """LAG / LEAD of ``cols`` per key in ``order``, computed in two levels so that no
+    task sorts a whole (possibly hot) key.
+
+    ``bucket`` must be non-decreasing in ``order`` (e.g. the day or hour of the
+    timestamp). Rows are windowed per (key, bucket); the first / last row of every
+    bucket is found by a hash aggregate (min / max of a struct that sorts like
+    ``order``) and a key's bucket rows -- bounded by its time span, not its volume --
+    supply the neighbour across bucket boundaries. Equivalent to a single window per
+    key.
+    """
+    keys = _l(keys)
+    s = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in cols])
+    d = df.withColumns({"_bk": bucket, "_s": s})
+    w = Window.partitionBy(*keys, "_bk").orderBy(*order)
+    wb = Window.partitionBy(*keys).orderBy("_bk")
+    agg = d.groupBy(*keys, "_bk").agg(F.min("_s").alias("_first"), F.max("_s").alias("_last"))
+    agg = agg.select(*keys, "_bk", F.lag("_last").over(wb).alias("_p_out"), F.lead("_first").over(wb).alias("_n_out"))
+    d = d.withColumns({"_p_in": F.lag("_s").over(w), "_n_in": F.lead("_s").over(w)})
+    d = _ns_join(d, agg, keys + ["_bk"])
+    out = {}
+    for c in cols:
+        if prev_prefix is not None:
+            out[prev_prefix + c] = F.coalesce(F.col("_p_in"), F.col("_p_out"))[c]
+        if next_prefix is not None:
+            out[next_prefix + c] = F.coalesce(F.col("_n_in"), F.col("_n_out"))[c]
+    return d.withColumns(out).drop("_bk", "_s", "_p_in", "_n_in", "_p_out", "_n_out")
+
+
+def seq_next_when(df: DataFrame, keys, order: list[str], cond: Column, c: str, out: str, bucket: Column) -> DataFrame:
+    """W16 in two levels: the smallest ``c`` among strictly later rows meeting ``cond``
+    (``c`` non-decreasing in ``order``, e.g. the timestamp). Within the row's (key,
+    bucket) window plus a suffix minimum over the key's later bucket aggregates."""
+    keys = _l(keys)
+    d = df.withColumn("_bk", bucket)
+    hit = F.when(cond, F.col(c))
+    w = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
+    d = d.withColumn("_in", F.min(hit).over(w))
+    agg = d.groupBy(*keys, "_bk").agg(F.min(hit).alias("_bmin"))
+    wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(1, Window.unboundedFollowing)
+    agg = agg.select(*keys, "_bk", F.min("_bmin").over(wb).alias("_later"))
+    d = _ns_join(d, agg, keys + ["_bk"])
+    return d.withColumn(out, F.least("_in", "_later")).drop("_bk", "_in", "_later")

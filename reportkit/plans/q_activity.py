@@ -7,12 +7,12 @@ days after the last, org = market segment); a supplier is an agent."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.columns import rnd
 from ..operators import crm
 from ..operators import operations as op
 from ..operators import support as sp
+from ..operators.windows import seq_neighbors
 from .common import finalize, load, sql_date
 
 ACTIVITY_KINDS = ["signup", "view", "click", "purchase", "error"]
@@ -43,10 +43,9 @@ def account_360(spark, d):
 
 
 def bookings_by_source(spark, d):
-    e = load(spark, d, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    b = e.select("event_id", "ts", "event_type", F.get_json_object("props", "$.k").alias("source"),
-                 F.lead("event_id").over(w).alias("next_event_id"))
+    e = load(spark, d, "events").select("user_id", "event_id", "ts", "event_type",
+                                        F.get_json_object("props", "$.k").alias("source"))
+    b = seq_neighbors(e, "user_id", ["ts", "event_id"], ["event_id"], F.to_date("ts"), prev_prefix=None)
     outcome = (F.when(F.col("event_type") == "error", "canceled").when(F.col("event_type") == "purchase", "completed")
                .otherwise("no_show"))
     return finalize(crm.bookings_by_source(b, "event_id", "next_event_id", F.col("event_type") == "signup", "ts",

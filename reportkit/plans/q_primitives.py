@@ -5,13 +5,12 @@ ranks (A12, W17, W3)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.aggregates import weighted_avg
 from ..functions.columns import extract_all, json_any, rnd
 from ..operators.arrays import explode_arrays
 from ..operators.timegrid import follow_chain
-from ..operators.windows import rank_within, share_of
+from ..operators.windows import rank_within, seq_neighbors, share_of
 from .common import load
 
 CHAIN_HOPS = 50
@@ -19,9 +18,10 @@ LINK_PATTERN = 'href="([^"]+)"'
 
 
 def event_chains(spark, d):
-    e = load(spark, d, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    links = e.select("event_id", F.lead("event_id").over(w).alias("next_event_id"))
+    e = load(spark, d, "events").select("user_id", "ts", "event_id")
+    # successor = the user's next event; found per user x day, then across days
+    links = seq_neighbors(e, "user_id", ["ts", "event_id"], ["event_id"], F.to_date("ts"), prev_prefix=None)
+    links = links.select("event_id", "next_event_id")
     return follow_chain(links, "event_id", "next_event_id", max_hops=CHAIN_HOPS)
 
 

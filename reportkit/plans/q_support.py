@@ -23,7 +23,7 @@ def _messages(spark, d):
 
 
 def reply_waits(spark, d):
-    w = sp.reply_waits(_messages(spark, d), "conv_id", "turn", "direction")
+    w = sp.reply_waits(_messages(spark, d), "conv_id", "turn", "direction", bucket=F.floor(F.col("turn") / 64))
     return w.withColumn("wait_turns", F.col("replied_at") - F.col("waiting_since"))
 
 

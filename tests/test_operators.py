@@ -102,3 +102,24 @@ def test_streaming_keeps_newest_generation(spark, tmp_path):
     append_generations(spark, str(src / "*"), "k string, v double", str(out), name).awaitTermination(120)
     got = {r.k: r.v for r in latest_generation(spark, str(out), ["k"]).collect()}
     assert got == {"a": 5.0, "b": 2.0}
+
+
+def test_two_level_neighbors_match_single_window(spark):
+    import random
+    from pyspark.sql.window import Window
+    from reportkit.operators.windows import seq_neighbors, seq_next_when
+    random.seed(3)
+    rows = []
+    for i in range(400):
+        u = "hot" if random.random() < 0.6 else random.choice(["a", "b", None])
+        ts = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=random.randint(0, 60 * 24 * 5))
+        rows.append((u, ts, i, random.choice(["x", "y", "z"])))
+    df = spark.createDataFrame(rows, "u string, ts timestamp, id int, v string")
+    w = Window.partitionBy("u").orderBy("ts", "id")
+    ref = df.select("id", F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("n"),
+                    F.min(F.when(F.col("v") == "z", F.col("ts"))).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("nz"))
+    got = seq_neighbors(df, "u", ["ts", "id"], ["v"], F.to_date("ts"))
+    got = seq_next_when(got, "u", ["ts", "id"], F.col("v") == "z", "ts", "nz", F.to_date("ts"))
+    a = sorted((r.id, r.p, r.n, r.nz) for r in ref.collect())
+    b = sorted((r.id, r.prev_v, r.next_v, r.nz) for r in got.select("id", "prev_v", "next_v", "nz").collect())
+    assert a == b
