@@ -82,18 +82,28 @@ def breakdown_performance(delivery: DataFrame, actions: DataFrame, grain: list[s
 EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[a-z]{2,}"
 
 
-def thread_messages(messages: DataFrame, thread: str, order: list[str], text: str) -> DataFrame:
+def thread_messages(messages: DataFrame, thread: str, order: list[str], text: str, bucket=None) -> DataFrame:
     """Per message: recipients parsed from the text (distinct, sorted), their count,
-    position in the thread ascending and descending, first / last flags."""
+    position in the thread ascending and descending, first / last flags.
+
+    With ``bucket`` (non-decreasing in ``order``) positions are numbered in two levels
+    (``seq_number``), so one huge thread is not numbered in a single task.
+    """
     from pyspark.sql.window import Window
-    w = Window.partitionBy(thread).orderBy(*order)
-    wd = Window.partitionBy(thread).orderBy(*[F.col(o).desc() for o in order])
+    from .windows import seq_number
     rec = F.array_sort(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(EMAIL_PATTERN), 0)))
-    return messages.select(*messages.columns, rec.alias("recipients")).select(
-        *[c for c in messages.columns if c != text],
-        F.array_join("recipients", ",").alias("recipient_list"), F.size("recipients").alias("recipient_count"),
-        F.row_number().over(w).alias("position_in_thread"), F.row_number().over(wd).alias("position_from_end")
-    ).withColumns({"is_first": F.col("position_in_thread") == 1, "is_last": F.col("position_from_end") == 1})
+    base = messages.select(*[c for c in messages.columns if c != text],
+                           F.array_join(rec, ",").alias("recipient_list"), F.size(rec).alias("recipient_count"))
+    if bucket is not None:
+        out = seq_number(base, thread, order, "position_in_thread", bucket, desc_out="position_from_end")
+        out = out.withColumns({"position_in_thread": F.col("position_in_thread").cast("int"),
+                               "position_from_end": F.col("position_from_end").cast("int")})
+    else:
+        w = Window.partitionBy(thread).orderBy(*order)
+        wd = Window.partitionBy(thread).orderBy(*[F.col(o).desc() for o in order])
+        out = base.withColumns({"position_in_thread": F.row_number().over(w),
+                                "position_from_end": F.row_number().over(wd)})
+    return out.withColumns({"is_first": F.col("position_in_thread") == 1, "is_last": F.col("position_from_end") == 1})
 
 
 def correspondents(messages: DataFrame, dims: list[str], text: str, direction: str | None = None) -> DataFrame:

@@ -105,8 +105,13 @@ def daily_change(df: DataFrame, part, date: str, c: str, mode: str = "gap_guarde
     return df.withColumn(name, F.col(c) - F.last(c, ignorenulls=True).over(w2))
 
 
-def change_points(df: DataFrame, keys, order, c: str) -> DataFrame:
-    """Keep the first row and rows whose value differs from the previous (NULLs dropped)."""
+def change_points(df: DataFrame, keys, order, c: str, bucket: Column | None = None) -> DataFrame:
+    """Keep the first row and rows whose value differs from the previous (NULLs dropped).
+    With ``bucket`` the previous value comes from the two-level ``seq_neighbors``."""
+    if bucket is not None:
+        d = seq_neighbors(df.where(F.col(c).isNotNull()), keys, _l(order), [c], bucket, prev_prefix="_p_",
+                          next_prefix=None)
+        return d.where(F.col(f"_p_{c}").isNull() | (F.col(f"_p_{c}") != F.col(c))).drop(f"_p_{c}")
     w = Window.partitionBy(*_l(keys)).orderBy(*_ord(order))
     return (df.where(F.col(c).isNotNull())
             .withColumn("_p", F.lag(c).over(w))
@@ -230,3 +235,31 @@ def seq_next_when(df: DataFrame, keys, order: list[str], cond: Column, c: str, o
     agg = agg.select(*keys, "_bk", F.min("_bmin").over(wb).alias("_later"))
     d = _ns_join(d, agg, keys + ["_bk"])
     return d.withColumn(out, F.least("_in", "_later")).drop("_bk", "_in", "_later")
+
+
+def seq_running_sum(df: DataFrame, keys, order: list[str], c: str, out: str, bucket: Column) -> DataFrame:
+    """W9 in two levels: running sum per (key, bucket) plus the totals of the key's
+    earlier buckets (a window over bucket aggregates, bounded by the bucket count)."""
+    keys = _l(keys)
+    d = df.withColumn("_bk", bucket)
+    w = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_local", F.sum(c).over(w))
+    agg = d.groupBy(*keys, "_bk").agg(F.sum(c).alias("_bsum"))
+    wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    agg = agg.select(*keys, "_bk", F.coalesce(F.sum("_bsum").over(wb), F.lit(0)).alias("_before"))
+    d = _ns_join(d, agg, keys + ["_bk"])
+    return d.withColumn(out, F.col("_local") + F.col("_before")).drop("_bk", "_local", "_before")
+
+
+def seq_number(df: DataFrame, keys, order: list[str], out: str, bucket: Column,
+               desc_out: str | None = None) -> DataFrame:
+    """W4 in two levels: ROW_NUMBER per key = position inside its (key, bucket) plus the
+    row counts of the key's earlier buckets; ``desc_out`` also gives the position
+    counted from the end. ``bucket`` must be non-decreasing in ``order``."""
+    keys = _l(keys)
+    d = df.withColumn("_one", F.lit(1))
+    d = seq_running_sum(d, keys, order, "_one", out, bucket).drop("_one")
+    if desc_out:
+        tot = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tot"))
+        d = _ns_join(d, tot, keys).withColumn(desc_out, F.col("_tot") - F.col(out) + 1).drop("_tot")
+    return d

@@ -123,3 +123,22 @@ def test_two_level_neighbors_match_single_window(spark):
     a = sorted((r.id, r.p, r.n, r.nz) for r in ref.collect())
     b = sorted((r.id, r.prev_v, r.next_v, r.nz) for r in got.select("id", "prev_v", "next_v", "nz").collect())
     assert a == b
+
+
+def test_two_level_numbering_and_running_sum(spark):
+    import random
+    from pyspark.sql.window import Window
+    from reportkit.operators.windows import change_points, seq_number, seq_running_sum
+    random.seed(5)
+    rows = [("hot" if random.random() < 0.7 else "cold", random.randint(0, 5000), i, float(random.randint(1, 9)),
+             random.choice(["a", "b"])) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, t int, id int, v double, s string")
+    w = Window.partitionBy("k").orderBy("t", "id")
+    ref = {r.id: (r.rn, r.rs) for r in df.select("id", F.row_number().over(w).alias("rn"),
+                                                  F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rs")).collect()}
+    b = F.floor(F.col("t") / 700)
+    got = seq_running_sum(seq_number(df, "k", ["t", "id"], "rn", b), "k", ["t", "id"], "v", "rs", b)
+    assert {r.id: (r.rn, r.rs) for r in got.collect()} == ref
+    one = {r.id for r in change_points(df, "k", ["t", "id"], "s").collect()}
+    two = {r.id for r in change_points(df, "k", ["t", "id"], "s", bucket=b).collect()}
+    assert one == two
