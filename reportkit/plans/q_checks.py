@@ -10,6 +10,19 @@ from ..operators import commerce as cm
 from ..operators import events as ev
 from ..operators import ledger as lg
 from . import q_commerce, q_events, q_ledger, q_support
+
+
+def _oracle_of(module: str):
+    import importlib
+    mod = importlib.import_module(f"{__package__}.{module}")
+    return lambda name: mod.ORACLE[name]
+
+
+q_commerce_oracle = _oracle_of("q_commerce")
+q_marketing_oracle = _oracle_of("q_marketing")
+q_content_oracle = _oracle_of("q_content")
+q_staging_oracle = _oracle_of("q_staging")
+q_crm_oracle = _oracle_of("q_crm")
 from .common import finalize, load
 
 
@@ -54,7 +67,55 @@ def check_nps_in_range(spark, d):
     return q.check_expr(n, F.col("nps").between(-100, 100) | F.col("nps").isNull())
 
 
+def check_product_reconciles(spark, d):
+    from . import q_commerce as qc
+    ps = qc.product_sales_over_time(spark, d).select("report_date", "amount")
+    o = load(spark, d, "orders").select(F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd").alias("report_date"),
+                                        F.col("o_totalprice").alias("amount"))
+    return q.check_reconciles(ps, o, "report_date", ["amount"], tol=0.05)
+
+
+def check_ad_non_negative(spark, d):
+    from . import q_marketing as qm
+    return q.check_non_negative(qm.ad_performance_daily(spark, d), ["impressions", "clicks", "spend"])
+
+
+def check_clicks_within_impressions(spark, d):
+    from . import q_events as qe
+    return q.check_within(qe.search_performance_daily(spark, d), "clicks", "impressions")
+
+
+def check_funnel_monotonic(spark, d):
+    from . import q_content as qc
+    return q.check_monotonic(qc.distribution_funnel(spark, d), ["signup", "view", "click", "purchase"]).select(
+        "campaign_id", "signup", "view", "click", "purchase")
+
+
+def check_event_classes_accepted(spark, d):
+    from . import q_staging as qs
+    return q.check_accepted(qs.staged_events(spark, d), "event_class",
+                            ["conversion", "acquisition", "error", "engagement"]).select("event_id", "event_class")
+
+
+def check_clock_text_parses(spark, d):
+    from ..functions.columns import parse_hhmm
+    e = load(spark, d, "events").select("event_id", F.date_format("ts", "H:mm").alias("clock_text"))
+    return q.check_parses(e.withColumn("minutes", parse_hhmm("clock_text")), "clock_text", "minutes")
+
+
+def check_single_current_stage(spark, d):
+    from . import q_crm as qc
+    return q.check_single_current(qc.stage_history(spark, d), "user_id", "is_current")
+
+
 QUERIES = {
+    "check_product_reconciles": check_product_reconciles,
+    "check_ad_non_negative": check_ad_non_negative,
+    "check_clicks_within_impressions": check_clicks_within_impressions,
+    "check_funnel_monotonic": check_funnel_monotonic,
+    "check_event_classes_accepted": check_event_classes_accepted,
+    "check_clock_text_parses": check_clock_text_parses,
+    "check_single_current_stage": check_single_current_stage,
     "check_sales_equation": check_sales_equation,
     "check_sessions_unique": check_sessions_unique,
     "check_vouchers_balance": check_vouchers_balance,
@@ -66,6 +127,37 @@ QUERIES = {
 }
 
 ORACLE = {
+    "check_product_reconciles": f"""
+WITH a AS (SELECT report_date, SUM(amount) AS a_amount FROM ({q_commerce_oracle('product_sales_over_time')}) s GROUP BY 1),
+b AS (SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS report_date, SUM(o_totalprice) AS b_amount FROM orders GROUP BY 1),
+j AS (SELECT * FROM a FULL JOIN b USING (report_date))
+SELECT * FROM j WHERE ABS(COALESCE(a_amount, 0.0) - COALESCE(b_amount, 0.0)) > 0.05
+""",
+    "check_ad_non_negative": f"""
+SELECT * FROM ({q_marketing_oracle('ad_performance_daily')}) s WHERE impressions < 0 OR clicks < 0 OR spend < 0
+""",
+    "check_clicks_within_impressions": f"""
+SELECT * FROM ({q_events.ORACLE['search_performance_daily']}) s WHERE clicks > impressions
+""",
+    "check_funnel_monotonic": f"""
+SELECT campaign_id, signup, view, click, purchase FROM ({q_content_oracle('distribution_funnel')}) s
+WHERE view > signup OR click > view OR purchase > click
+""",
+    "check_event_classes_accepted": f"""
+SELECT event_id, event_class FROM ({q_staging_oracle('staged_events')}) s
+WHERE event_class IS NULL OR event_class NOT IN ('conversion', 'acquisition', 'error', 'engagement')
+""",
+    "check_clock_text_parses": """
+WITH e AS (SELECT event_id, CAST(hour(ts) AS VARCHAR) || ':' || lpad(CAST(minute(ts) AS VARCHAR), 2, '0') AS clock_text FROM events),
+p AS (SELECT *, CASE WHEN regexp_full_match(trim(clock_text), '[0-9]{1,3}:[0-5][0-9]')
+                     THEN TRY_CAST(split_part(trim(clock_text), ':', 1) AS INTEGER) * 60
+                          + TRY_CAST(split_part(trim(clock_text), ':', 2) AS INTEGER) END AS minutes FROM e)
+SELECT * FROM p WHERE clock_text IS NOT NULL AND trim(clock_text) <> '' AND minutes IS NULL
+""",
+    "check_single_current_stage": f"""
+SELECT user_id, COUNT(*) FILTER (WHERE is_current) AS n_current FROM ({q_crm_oracle('stage_history')}) s
+GROUP BY 1 HAVING COUNT(*) FILTER (WHERE is_current) <> 1
+""",
     "check_sales_equation": f"""
 SELECT report_date, channel, row_type, net_sales AS lhs, gross_sales + discounts + returns AS rhs
 FROM ({q_commerce.ORACLE['sales_over_time']}) s WHERE ABS(net_sales - (gross_sales + discounts + returns)) > 0.01
