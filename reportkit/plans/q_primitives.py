@@ -47,7 +47,20 @@ def supplier_scorecard(spark, d):
     return rank_within(g, "s_nationkey", ["-revenue", "l_suppkey"], out="rank_in_nation")
 
 
+SPINE_AS_OF = "2002-12-01"
+
+
+def monthly_order_spine(spark, d):
+    from ..operators.timegrid import spine
+    o = load(spark, d, "orders")
+    cal = spine(o, F.trunc(F.min(F.to_date("o_orderdate")), "month"), SPINE_AS_OF, "month", out="month")
+    m = o.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("month")).agg(F.count(F.lit(1)).alias("orders"))
+    out = cal.join(m, "month", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+    return out.select(F.date_format("month", "yyyy-MM-dd").alias("month"), "orders")
+
+
 QUERIES = {
+    "monthly_order_spine": monthly_order_spine,
     "event_chains": event_chains,
     "event_props": event_props,
     "page_links": page_links,
@@ -55,6 +68,12 @@ QUERIES = {
 }
 
 ORACLE = {
+    "monthly_order_spine": f"""
+WITH cal AS (SELECT CAST(unnest(generate_series(CAST(date_trunc('month', MIN(o_orderdate)) AS DATE), DATE '{SPINE_AS_OF}',
+                                                INTERVAL 1 MONTH)) AS DATE) AS month FROM orders),
+m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS orders FROM orders GROUP BY 1)
+SELECT strftime(cal.month, '%Y-%m-%d') AS month, COALESCE(m.orders, 0) AS orders FROM cal LEFT JOIN m USING (month)
+""",
     # the chain along one user's events is linear, so the walk's end is a positional lookup
     "event_chains": f"""
 WITH o AS (SELECT event_id, user_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,

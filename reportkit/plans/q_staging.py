@@ -37,9 +37,41 @@ def staged_events(spark, d):
     return finalize(typed.drop("ts"))
 
 
-QUERIES = {"staged_events": staged_events}
+# URL and HTML patterns of the page staging model.
+DOMAIN_PATTERN = r"^https?://([^/?#]+)"
+LANG_PATTERN = r"/(en|de|fr|es)/"
+TITLE_PATTERN = r"<title>(.*?)</title>"
+HREF_PATTERN = 'href="([^"]+)"'
+
+
+def staged_pages(spark, d):
+    p = load(spark, d, "pages")
+    path = F.regexp_replace(F.regexp_replace(F.col("url"), r"^https?://[^/?#]+", ""), r"[?#].*$", "")
+    return p.select(
+        "page_id",
+        F.lower(F.regexp_extract("url", DOMAIN_PATTERN, 1)).alias("domain"),
+        C.clean_text(F.regexp_extract("url", LANG_PATTERN, 1)).alias("url_lang"),
+        F.startswith(F.col("url"), F.lit("https")).alias("is_https"),
+        F.size(F.filter(F.split(path, "/"), lambda x: x != "")).alias("path_depth"),
+        C.clean_text(F.regexp_extract("html", TITLE_PATTERN, 1)).alias("title"),
+        F.size(C.extract_all("html", HREF_PATTERN)).alias("link_count"),
+        F.length("html").alias("html_chars"))
+
+
+QUERIES = {"staged_events": staged_events, "staged_pages": staged_pages}
 
 ORACLE = {
+    "staged_pages": r"""
+SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS domain,
+       NULLIF(trim(regexp_extract(url, '/(en|de|fr|es)/', 1)), '') AS url_lang,
+       starts_with(url, 'https') AS is_https,
+       CAST(len(list_filter(string_split(regexp_replace(regexp_replace(url, '^https?://[^/?#]+', ''), '[?#].*$', ''), '/'),
+                            lambda x: x <> '')) AS INTEGER) AS path_depth,
+       NULLIF(trim(regexp_extract(html, '<title>(.*?)</title>', 1)), '') AS title,
+       CAST(len(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS INTEGER) AS link_count,
+       CAST(length(html) AS INTEGER) AS html_chars
+FROM pages
+""",
     "staged_events": f"""
 SELECT event_id, user_id, 'replica' AS source_account,
        NULLIF(upper(trim(event_type)), '') AS event_name,
