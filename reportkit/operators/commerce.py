@@ -295,3 +295,25 @@ def product_sales_over_time(lines: DataFrame, adjustments: DataFrame, grain: lis
     u = union_events({"PRODUCT": lines, "ADJUSTMENT": adjustments}, label="line_type")
     return u.groupBy(*grain, "line_type").agg(
         *[rnd(F.sum(m), 2).alias(m) for m in measures], F.count(F.lit(1)).alias("source_rows"))
+
+
+def repoint_refunds(orders: DataFrame, order_id: str, parent_id: str, out: str = "report_order_id") -> DataFrame:
+    """D11 variant: refunds stored as child orders are re-pointed to their parent order."""
+    return orders.withColumn(out, F.coalesce(F.col(parent_id), F.col(order_id)))
+
+
+def drop_declined_refunds(lines: DataFrame, refund_id: str, declined: str) -> DataFrame:
+    """D11 variant: a refund whose lines are *all* declined is dropped (LOGICAL_AND per refund)."""
+    bad = (lines.groupBy(refund_id).agg(F.bool_and(F.coalesce(F.col(declined), F.lit(False))).alias("_all"))
+           .where("_all").select(refund_id))
+    return lines.join(bad, refund_id, "left_anti")
+
+
+def cap_cancelled(lines: DataFrame, cancelled: str, ordered: str) -> DataFrame:
+    """D11 variant: cancelled units never exceed ordered units."""
+    return lines.withColumn(cancelled, F.least(F.col(cancelled), F.col(ordered)))
+
+
+def sign_credit_notes(lines: DataFrame, cols: list[str], is_credit) -> DataFrame:
+    """D11 variant (P12): credit notes are negative orders."""
+    return lines.withColumns({c: F.when(is_credit, -F.abs(F.col(c))).otherwise(F.col(c)) for c in cols})

@@ -199,3 +199,11 @@ def invoice_lines(headers: DataFrame, lines: DataFrame, key: str, dims: dict) ->
     for k, dim in dims.items():
         out = enrich(out, dim, k)
     return out
+
+
+def aging_union(receivables: DataFrame, payables: DataFrame, due: str | None, date: str, open_amount: str,
+                as_of, closed: str | None = None) -> DataFrame:
+    """D50 variant: receivable and payable documents unioned with a side label, then aged."""
+    u = (receivables.withColumn("side", F.lit("receivable"))
+         .unionByName(payables.withColumn("side", F.lit("payable")), allowMissingColumns=True))
+    return aging(u, due, date, open_amount, as_of, closed)

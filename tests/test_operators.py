@@ -142,3 +142,16 @@ def test_two_level_numbering_and_running_sum(spark):
     one = {r.id for r in change_points(df, "k", ["t", "id"], "s").collect()}
     two = {r.id for r in change_points(df, "k", ["t", "id"], "s", bucket=b).collect()}
     assert one == two
+
+
+def test_sales_variants(spark):
+    orders = spark.createDataFrame([(1, None), (2, 1), (3, None)], "id int, parent int")
+    assert {r.id: r.report_order_id for r in cm.repoint_refunds(orders, "id", "parent").collect()} == {1: 1, 2: 1, 3: 3}
+    lines = spark.createDataFrame([("r1", True), ("r1", True), ("r2", True), ("r2", False), ("r3", None)],
+                                  "refund string, declined boolean")
+    assert sorted({r.refund for r in cm.drop_declined_refunds(lines, "refund", "declined").collect()}) == ["r2", "r3"]
+    c = spark.createDataFrame([(5.0, 3.0), (1.0, 3.0)], "cancelled double, ordered double")
+    assert [r.cancelled for r in cm.cap_cancelled(c, "cancelled", "ordered").collect()] == [3.0, 1.0]
+    n = spark.createDataFrame([("credit", 10.0), ("invoice", 10.0)], "t string, amt double")
+    got = {r.t: r.amt for r in cm.sign_credit_notes(n, ["amt"], F.col("t") == "credit").collect()}
+    assert got == {"credit": -10.0, "invoice": 10.0}
