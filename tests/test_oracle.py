@@ -50,3 +50,13 @@ def test_every_query_has_an_oracle_or_is_documented():
     missing = set(QUERIES) - set(ORACLE)
     # queries without SQL oracle are tested against brute force in their own module
     assert missing <= {"follow_chain", "flatten_tree"}
+
+
+def test_registry_publish_and_checks(spark):
+    from reportkit import registry
+    views = registry.publish_all(spark, SF, prefix="rk_")
+    assert "rk_sales_over_time" in views
+    assert spark.sql("SELECT COUNT(*) AS n FROM rk_sales_over_time").first().n > 0
+    res = registry.run_checks(spark, SF, sample=2)
+    assert res["check_sales_equation"]["passed"] and res["check_vouchers_balance"]["passed"]
+    assert all(len(v["sample"]) <= 2 for v in res.values())
