@@ -13,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.columns import c_
 
@@ -110,27 +109,30 @@ def range_join(a: DataFrame, b: DataFrame, on, point: str, lo: str, hi: str,
 
 
 def asof_join(a: DataFrame, b: DataFrame, on, a_time: str, b_time: str, cols: list[str],
-              fallback: str | None = "earliest") -> DataFrame:
+              fallback: str | None = "earliest", bucket: str = "month") -> DataFrame:
     """For each row of ``a`` the ``b`` row effective at or before ``a_time``.
 
-    Scalable form: the distinct (key, time) points of ``a`` are unioned with the
-    history rows and a single sorted pass per key carries the last effective
-    values forward (``last(ignorenulls)``) -- no inequality join, no pairs. The
-    window groups hold distinct points + history rows per key, not the fact rows;
-    facts join back on (key, time) as an equi-join. ``fallback='earliest'`` uses
-    the key's earliest later row when nothing was effective yet; ``None`` leaves NULL.
+    No inequality join and no pairs: the distinct (key, time) points of ``a`` are
+    unioned with the history rows and the last effective value is carried forward
+    in time order (``seq_carry_forward``: per key x ``bucket`` of time, then across
+    the key's buckets), so a key with a huge history or many points is spread
+    over its time buckets. ``fallback='earliest'`` takes the key's earliest row when
+    nothing was effective yet (a per-key hash aggregate); ``None`` leaves NULL. Facts
+    join back on (key, time) as an equi-join.
     """
+    from .windows import seq_carry_forward
     keys = _keys(on)
     pts = a.select(*keys, F.col(a_time).alias("_t")).distinct()
     hist = b.select(*keys, F.col(b_time).alias("_t"), F.struct(*[F.col(c) for c in cols]).alias("_v"))
     u = (pts.select(*keys, "_t", F.lit(None).cast(hist.schema["_v"].dataType).alias("_v"), F.lit(1).alias("_o"))
          .unionByName(hist.withColumn("_o", F.lit(0))))
-    w = Window.partitionBy(*keys).orderBy("_t", "_o").rowsBetween(Window.unboundedPreceding, 0)
-    u = u.withColumn("_asof", F.last("_v", ignorenulls=True).over(w))
-    if fallback == "earliest":
-        wf = Window.partitionBy(*keys).orderBy("_t", "_o").rowsBetween(0, Window.unboundedFollowing)
-        u = u.withColumn("_asof", F.coalesce("_asof", F.first("_v", ignorenulls=True).over(wf)))
+    bk = F.trunc(F.to_date(F.col("_t").cast("timestamp")), bucket) if bucket in ("month", "year", "week") \
+        else F.to_date(F.col("_t").cast("timestamp"))
+    u = seq_carry_forward(u, keys, ["_t", "_o"], "_v", "_asof", bk)
     res = u.where(F.col("_o") == 1).select(*keys, F.col("_t").alias(a_time), "_asof")
+    if fallback == "earliest":
+        first = hist.groupBy(*keys).agg(F.min_by("_v", "_t").alias("_first"))
+        res = res.join(first, keys, "left").withColumn("_asof", F.coalesce("_asof", "_first")).drop("_first")
     return a.join(res, keys + [a_time], "left").select("*", *[F.col("_asof")[c].alias(c) for c in cols]).drop("_asof")
 
 

@@ -263,3 +263,19 @@ def seq_number(df: DataFrame, keys, order: list[str], out: str, bucket: Column,
         tot = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tot"))
         d = _ns_join(d, tot, keys).withColumn(desc_out, F.col("_tot") - F.col(out) + 1).drop("_tot")
     return d
+
+
+def seq_carry_forward(df: DataFrame, keys, order: list[str], c: str, out: str, bucket: Column) -> DataFrame:
+    """W13 in two levels: last non-NULL ``c`` at or before each row, per key. Inside a
+    (key, bucket) window, then from the key's earlier buckets (each bucket's last
+    non-NULL value, carried over the bucket rows of the key)."""
+    keys = _l(keys)
+    d = df.withColumn("_bk", bucket)
+    w = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_in", F.last(c, ignorenulls=True).over(w))
+    ordering = F.struct(*[F.col(o) for o in order])
+    agg = d.groupBy(*keys, "_bk").agg(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordering)).alias("_blast"))
+    wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    agg = agg.select(*keys, "_bk", F.last("_blast", ignorenulls=True).over(wb).alias("_before"))
+    d = _ns_join(d, agg, keys + ["_bk"])
+    return d.withColumn(out, F.coalesce("_in", "_before")).drop("_bk", "_in", "_before")

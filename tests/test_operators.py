@@ -155,3 +155,27 @@ def test_sales_variants(spark):
     n = spark.createDataFrame([("credit", 10.0), ("invoice", 10.0)], "t string, amt double")
     got = {r.t: r.amt for r in cm.sign_credit_notes(n, ["amt"], F.col("t") == "credit").collect()}
     assert got == {"credit": -10.0, "invoice": 10.0}
+
+
+def test_asof_two_level_matches_brute_force(spark):
+    import random
+    random.seed(11)
+    hist = [("hot" if random.random() < 0.7 else "k2", D(2023, 1, 1) + dt.timedelta(days=random.randint(0, 400)),
+             float(i)) for i in range(120)]
+    seen = {}
+    for k, d, v in hist:  # keep one history row per (key, day)
+        seen[(k, d)] = v
+    hist = [(k, d, v) for (k, d), v in seen.items()]
+    facts = [("hot" if random.random() < 0.7 else random.choice(["k2", "k3"]),
+              D(2022, 12, 1) + dt.timedelta(days=random.randint(0, 450))) for _ in range(300)]
+    fdf = spark.createDataFrame(facts, "sku string, d date")
+    hdf = spark.createDataFrame(hist, "sku string, eff date, cost double")
+    got = sorted((r.sku, str(r.d), r.cost) for r in asof_join(fdf, hdf, "sku", "d", "eff", ["cost"]).collect())
+
+    def brute(k, d):
+        before = [(e, v) for kk, e, v in hist if kk == k and e <= d]
+        if before:
+            return max(before)[1]
+        after = [(e, v) for kk, e, v in hist if kk == k]
+        return min(after)[1] if after else None
+    assert got == sorted((k, str(d), brute(k, d)) for k, d in facts)
