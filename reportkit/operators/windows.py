@@ -53,19 +53,32 @@ def rank_within(df: DataFrame, part, order, out: str = "rank") -> DataFrame:
     return df.withColumn(out, F.rank().over(Window.partitionBy(*_l(part)).orderBy(*_ord(order))))
 
 
-def number_rows(df: DataFrame, part, order, out: str = "row_number", desc: bool = False) -> DataFrame:
-    """Position in sequence, ascending or descending."""
+def number_rows(df: DataFrame, part, order, out: str = "row_number", desc: bool = False,
+                bucket: Column | None = None) -> DataFrame:
+    """Position in sequence, ascending or descending (``bucket``: two-level, see ``seq_number``)."""
+    if bucket is not None:
+        if desc:
+            return seq_number(df, part, _l(order), "_asc", bucket, desc_out=out).drop("_asc")
+        return seq_number(df, part, _l(order), out, bucket)
     o = [x.desc() for x in _ord(order)] if desc else _ord(order)
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*_l(part)).orderBy(*o)))
 
 
-def prev(df: DataFrame, part, order, c: str, out: str | None = None, n: int = 1) -> DataFrame:
-    """LAG."""
+def prev(df: DataFrame, part, order, c: str, out: str | None = None, n: int = 1,
+         bucket: Column | None = None) -> DataFrame:
+    """LAG (``bucket``: two-level previous row, see ``seq_neighbors``)."""
+    if bucket is not None and n == 1:
+        return seq_neighbors(df, part, _l(order), [c], bucket, prev_prefix="_pv_", next_prefix=None
+                             ).withColumnRenamed(f"_pv_{c}", out or f"prev_{c}")
     return df.withColumn(out or f"prev_{c}", F.lag(c, n).over(Window.partitionBy(*_l(part)).orderBy(*_ord(order))))
 
 
-def next_(df: DataFrame, part, order, c: str, out: str | None = None, n: int = 1) -> DataFrame:
-    """LEAD."""
+def next_(df: DataFrame, part, order, c: str, out: str | None = None, n: int = 1,
+          bucket: Column | None = None) -> DataFrame:
+    """LEAD (``bucket``: two-level next row, see ``seq_neighbors``)."""
+    if bucket is not None and n == 1:
+        return seq_neighbors(df, part, _l(order), [c], bucket, prev_prefix=None, next_prefix="_nx_"
+                             ).withColumnRenamed(f"_nx_{c}", out or f"next_{c}")
     return df.withColumn(out or f"next_{c}", F.lead(c, n).over(Window.partitionBy(*_l(part)).orderBy(*_ord(order))))
 
 
@@ -118,9 +131,13 @@ def change_points(df: DataFrame, keys, order, c: str, bucket: Column | None = No
             .where(F.col("_p").isNull() | (F.col("_p") != F.col(c))).drop("_p"))
 
 
-def running_total(df: DataFrame, part, order, c: str, out: str | None = None, reset=None) -> DataFrame:
-    """Cumulative sum; ``reset`` (a column) restarts it (e.g. fiscal year)."""
+def running_total(df: DataFrame, part, order, c: str, out: str | None = None, reset=None,
+                  bucket: Column | None = None) -> DataFrame:
+    """Cumulative sum; ``reset`` (a column) restarts it (e.g. fiscal year);
+    ``bucket``: two-level, see ``seq_running_sum``."""
     p = _l(part) + ([reset] if reset is not None else [])
+    if bucket is not None:
+        return seq_running_sum(df, p, _l(order), c, out or f"running_{c}", bucket)
     w = Window.partitionBy(*p).orderBy(*_ord(order)).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(out or f"running_{c}", F.sum(c).over(w))
 
