@@ -179,3 +179,10 @@ def test_asof_two_level_matches_brute_force(spark):
         after = [(e, v) for kk, e, v in hist if kk == k]
         return min(after)[1] if after else None
     assert got == sorted((k, str(d), brute(k, d)) for k, d in facts)
+
+
+def test_recommended_conf_sizes_partitions():
+    from reportkit.session import recommended_conf
+    c = recommended_conf(100 * (1 << 40), 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(recommended_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
