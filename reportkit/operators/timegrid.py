@@ -92,8 +92,9 @@ def follow_chain(df: DataFrame, id_col: str, next_col: str, max_hops: int = 50)
     """R2: follow successor ids to the final record, at most ``max_hops`` hops.
 
     Pointer doubling: jump tables for 1, 2, 4, ... hops are built by joining the
-    previous table with itself, then ``max_hops`` is walked as a sum of powers of
-    two -- O(log max_hops) joins instead of one join per hop. A successor that
+    previous table with itself (each level checkpointed, see below), then
+    ``max_hops`` is walked as a sum of powers of two -- O(log max_hops) joins
+    instead of one join per hop. A successor that
     does not exist ends the chain; cycles end at the cap.
     Returns (id, final_id, hops).
     """
@@ -103,7 +104,10 @@ def follow_chain(df: DataFrame, id_col: str, next_col: str, max_hops: int = 50)
     one = (base.join(ids.withColumn("_ok", F.lit(True)), "n", "left")
            .select("s", F.when(F.col("_ok"), F.col("n")).otherwise(F.col("s")).alias("t"),
                    F.when(F.col("_ok"), 1).otherwise(0).alias("h")))
-    tables = [one]
+    # every level is a self-join of the previous one: without materialising each level
+    # the plan would double per level, so levels are checkpointed into the shared
+    # spark.checkpoint.dir (reliable: survives executor loss, cuts the lineage)
+    tables = [cut_lineage(one)]
     k = 1
     while (1 << k) <= max_hops:
         prev_t = tables[-1]
@@ -111,9 +115,7 @@ def follow_chain(df: DataFrame, id_col: str, next_col: str, max_hops: int = 50)
             F.col("a.s").alias("s"),
             F.when(F.col("a.h") == (1 << (k - 1)), F.col("b.t")).otherwise(F.col("a.t")).alias("t"),
             (F.col("a.h") + F.when(F.col("a.h") == (1 << (k - 1)), F.col("b.h")).otherwise(0)).alias("h"))
-        if k % 6 == 0:  # only very long caps build deep plans; cut them in the shared dir
-            nxt = cut_lineage(nxt)
-        tables.append(nxt)
+        tables.append(cut_lineage(nxt))
         k += 1
     # walk max_hops as a sum of powers of two, largest first
     cur = base.select(F.col("s").alias("id"), F.col("s").alias("t"), F.lit(0).alias("h"), F.lit(False).alias("_done"))
