@@ -86,14 +86,16 @@ def period_change(df: DataFrame, part, order: str, cols: list[str], calendar: st
                   digits: int | None = None) -> DataFrame:
     """Change and growth vs the previous row, or vs the previous calendar month.
 
-    ``calendar='month'``: previous value comes from an equi self-join on
-    ``add_months(order, -1)``, so a gap month gives NULL rather than the older row.
+    ``calendar='month'``: the previous value counts only when the previous row is
+    exactly the previous calendar month (a gap month gives NULL rather than the
+    older row) -- the calendar self-join of the reference, done as one gap-guarded
+    LAG so the input is read once.
     """
     part = _l(part)
     if calendar == "month":
-        prevdf = df.select(*part, F.add_months(F.col(order), 1).alias(order),
-                           *[F.col(c).alias(f"prev_{c}") for c in cols])
-        out = df.join(prevdf, part + [order], "left")
+        w = Window.partitionBy(*part).orderBy(order)
+        is_prev = F.lag(order).over(w) == F.add_months(F.col(order), -1)
+        out = df.withColumns({f"prev_{c}": F.when(is_prev, F.lag(c).over(w)) for c in cols})
     else:
         w = Window.partitionBy(*part).orderBy(order)
         out = df.withColumns({f"prev_{c}": F.lag(c).over(w) for c in cols})
