@@ -46,7 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="reportkit-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for cluster runs")
+        d = tempfile.mkdtemp(prefix="reportkit-ckpt-")  # local mode only (tests, bench)
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
