@@ -109,7 +109,7 @@ def range_join(a: DataFrame, b: DataFrame, on, point: str, lo: str, hi: str,
 
 
 def asof_join(a: DataFrame, b: DataFrame, on, a_time: str, b_time: str, cols: list[str],
-              fallback: str | None = "earliest", bucket: str = "month") -> DataFrame:
+              fallback: str | None = "earliest", bucket: str = "month", distinct_points: bool = False) -> DataFrame:
     """For each row of ``a`` the ``b`` row effective at or before ``a_time``.
 
     No inequality join and no pairs: the distinct (key, time) points of ``a`` are
@@ -118,7 +118,8 @@ def asof_join(a: DataFrame, b: DataFrame, on, a_time: str, b_time: str, cols: li
     the key's buckets), so a key with a huge history or many points is spread
     over its time buckets. ``fallback='earliest'`` takes the key's earliest row when
     nothing was effective yet (a per-key hash aggregate); ``None`` leaves NULL. Facts
-    join back on (key, time) as an equi-join.
+    join back on (key, time) as an equi-join, unless ``distinct_points`` says ``a`` is
+    already the distinct (key, time) set.
     """
     from .windows import seq_carry_forward
     keys = _keys(on)
@@ -133,6 +134,8 @@ def asof_join(a: DataFrame, b: DataFrame, on, a_time: str, b_time: str, cols: li
     if fallback == "earliest":
         first = hist.groupBy(*keys).agg(F.min_by("_v", "_t").alias("_first"))
         res = res.join(first, keys, "left").withColumn("_asof", F.coalesce("_asof", "_first")).drop("_first")
+    if distinct_points and set(a.columns) == set(keys + [a_time]):  # the facts are the points: no join back
+        return res.select(*keys, a_time, *[F.col("_asof")[c].alias(c) for c in cols])
     return a.join(res, keys + [a_time], "left").select("*", *[F.col("_asof")[c].alias(c) for c in cols]).drop("_asof")
 
 

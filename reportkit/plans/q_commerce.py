@@ -91,7 +91,8 @@ def _price_history(spark, d):
 def point_in_time_cost(spark, d):
     facts = load(spark, d, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("date")).distinct()
     hist = _price_history(spark, d)
-    r = cm.point_in_time(facts, hist, "l_partkey", "date", "effective_date", ["unit_cost", "effective_date"])
+    r = cm.point_in_time(facts, hist, "l_partkey", "date", "effective_date", ["unit_cost", "effective_date"],
+                         distinct_points=True)
     return finalize(r.select("l_partkey", "date", rnd("unit_cost", 4).alias("unit_cost"),
                              (F.col("effective_date") > F.col("date")).alias("is_fallback")))
 
