@@ -94,11 +94,16 @@ def range_join(a: DataFrame, b: DataFrame, on, point: str, lo: str, hi: str,
     keys = _keys(on) if on else []
     lo_c, hi_c, p_c = F.col(lo), F.col(hi), F.col(point)
     if bucket_days:
-        far = F.date_add(F.col(lo), 36600)
-        b = b.withColumn("_bk", F.explode(F.sequence(
-            F.floor(F.unix_date(lo_c.cast("date")) / bucket_days).cast("int"),
-            F.floor(F.unix_date(F.coalesce(hi_c.cast("date"), far)) / bucket_days).cast("int"))))
+        # ranges explode onto buckets, but never past the last bucket any point can
+        # fall in (a one-row bound from the points): open-ended ranges stay bounded
         a = a.withColumn("_bk", F.floor(F.unix_date(p_c.cast("date")) / bucket_days).cast("int"))
+        bound = a.agg(F.max("_bk").alias("_bmax"))
+        lo_b = F.floor(F.unix_date(lo_c.cast("date")) / bucket_days).cast("int")
+        hi_b = F.floor(F.unix_date(hi_c.cast("date")) / bucket_days).cast("int")
+        b = (b.crossJoin(F.broadcast(bound))
+             .withColumn("_bk", F.explode(F.sequence(lo_b, F.greatest(lo_b, F.least(F.coalesce(hi_b, F.col("_bmax")),
+                                                                                  F.col("_bmax"))))))
+             .drop("_bmax"))
         keys = keys + ["_bk"]
     # key columns of the right side are renamed so the result keeps the left's
     bb = b.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in b.columns])
