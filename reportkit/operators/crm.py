@@ -20,15 +20,15 @@ def stage_history(changes: DataFrame, key, value: str, ts: str, as_of, stage_ord
     (only inside one pipeline, by ``stage_order``). NULL values dropped; repeats
     compressed (W8).
 
-    Neighbours are found with the two-level ``seq_neighbors`` (per key x day, then
-    across the key's days), so a key with a huge change log is never sorted in one
+    Neighbours are found with the two-level ``seq_neighbors`` (per key x hour, then
+    across the key's hours), so a key with a huge change log is never sorted in one
     task. ``bucket`` overrides the day bucketing (must grow with ``ts``).
     """
     from .windows import seq_neighbors
     keys = _l(key)
     part = keys + ([pipeline] if pipeline else [])
     order = [ts] + ([tiebreak] if tiebreak else [])
-    bk = bucket if bucket is not None else F.to_date(F.col(ts).cast("timestamp"))
+    bk = bucket if bucket is not None else F.date_trunc("hour", F.col(ts).cast("timestamp"))
     c = seq_neighbors(changes.where(F.col(value).isNotNull()), part, order, [value], bk,
                       prev_prefix="_prev_", next_prefix=None)
     c = c.where(F.col(f"_prev_{value}").isNull() | (F.col(f"_prev_{value}") != F.col(value))).drop(f"_prev_{value}")

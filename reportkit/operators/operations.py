@@ -103,12 +103,12 @@ def checklist_progress(items: DataFrame, key: str, resolved) -> DataFrame:
 def incident_response(events: DataFrame, entity: str, ts: str, kind: str, incident: str, ack_kinds: list[str],
                       resolve_kinds: list[str], order: list[str] | None = None, bucket=None) -> DataFrame:
     """Each incident event is acknowledged by the entity's next event of an ack kind
-    and resolved by the next of a resolve kind (W16, two-level per entity x day so a
+    and resolved by the next of a resolve kind (W16, two-level per entity x hour so a
     noisy entity is not one task); per day: incidents, mean minutes to acknowledge
     (MTTA) and to resolve (MTTR), unresolved count."""
     from .windows import seq_next_when
     o = [ts] + list(order or [])
-    bk = bucket if bucket is not None else F.to_date(F.col(ts).cast("timestamp"))
+    bk = bucket if bucket is not None else F.date_trunc("hour", F.col(ts).cast("timestamp"))
     e = seq_next_when(events, entity, o, F.col(kind).isin(ack_kinds), ts, "_ack", bk)
     e = seq_next_when(e, entity, o, F.col(kind).isin(resolve_kinds), ts, "_res", bk)
     inc = e.where(F.col(kind) == incident)

@@ -21,11 +21,11 @@ def reply_waits(messages: DataFrame, thread: str, ts: str, direction: str, recei
 
     Previous message and next reply are computed per (thread, ``bucket``) and fixed up
     across buckets (two-level, see ``seq_neighbors`` / ``seq_next_when``); ``bucket``
-    defaults to the day of ``ts`` (use a coarse bucket of the ordinal for turn numbers).
+    defaults to the hour of ``ts`` (use a coarse bucket of the ordinal for turn numbers).
     """
     from .windows import seq_neighbors, seq_next_when
     o = [ts] + (_l(order) if order else [])
-    bk = bucket if bucket is not None else F.to_date(F.col(ts).cast("timestamp"))
+    bk = bucket if bucket is not None else F.date_trunc("hour", F.col(ts).cast("timestamp"))
     m = seq_neighbors(messages, thread, o, [direction], bk, prev_prefix="_prev_", next_prefix=None)
     m = seq_next_when(m, thread, o, F.col(direction) == sent, ts, "_reply", bk)
     prev_dir = F.col(f"_prev_{direction}")

@@ -45,7 +45,7 @@ def account_360(spark, d):
 def bookings_by_source(spark, d):
     e = load(spark, d, "events").select("user_id", "event_id", "ts", "event_type",
                                         F.get_json_object("props", "$.k").alias("source"))
-    b = seq_neighbors(e, "user_id", ["ts", "event_id"], ["event_id"], F.to_date("ts"), prev_prefix=None)
+    b = seq_neighbors(e, "user_id", ["ts", "event_id"], ["event_id"], F.date_trunc("hour", "ts"), prev_prefix=None)
     outcome = (F.when(F.col("event_type") == "error", "canceled").when(F.col("event_type") == "purchase", "completed")
                .otherwise("no_show"))
     return finalize(crm.bookings_by_source(b, "event_id", "next_event_id", F.col("event_type") == "signup", "ts",

@@ -20,7 +20,7 @@ LINK_PATTERN = 'href="([^"]+)"'
 def event_chains(spark, d):
     e = load(spark, d, "events").select("user_id", "ts", "event_id")
     # successor = the user's next event; found per user x day, then across days
-    links = seq_neighbors(e, "user_id", ["ts", "event_id"], ["event_id"], F.to_date("ts"), prev_prefix=None)
+    links = seq_neighbors(e, "user_id", ["ts", "event_id"], ["event_id"], F.date_trunc("hour", "ts"), prev_prefix=None)
     links = links.select("event_id", "next_event_id")
     return follow_chain(links, "event_id", "next_event_id", max_hops=CHAIN_HOPS)
 
