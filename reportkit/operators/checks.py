@@ -18,7 +18,7 @@ def _l(x):
 
 
 def check_unique(df: DataFrame, keys) -> DataFrame:
-    """Q1: key combinations that occur more than once."""
+    """Q1: key combinations that occur more than once (F5: a HAVING-style filter)."""
     return df.groupBy(*_l(keys)).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 

@@ -63,7 +63,7 @@ def flow_by_period(df: DataFrame, created: str, won: str, lost: str, dims: list[
 
 
 def count_by(df: DataFrame, dims: list[str], lookup: DataFrame | None = None, on=None, measure: str | None = None) -> DataFrame:
-    """Count (and optional sum) per dims, joined to names, sorted by count."""
+    """Count (and optional sum) per dims, joined to names, sorted by count (O1)."""
     aggs = [F.count(F.lit(1)).alias("record_count")]
     if measure:
         aggs.append(rnd(F.sum(measure), 2).alias(f"total_{measure}"))

@@ -43,7 +43,8 @@ def dedup_latest(df: DataFrame, keys, order_by) -> DataFrame:
 
 
 def pick_one(df: DataFrame, keys, order) -> DataFrame:
-    """One row per key by a multi-key priority; ``'-col'`` means descending."""
+    """One row per key by a multi-key priority; ``'-col'`` means descending
+    (F4: the window column is filtered right after, the ``QUALIFY`` pattern)."""
     w = Window.partitionBy(*_l(keys)).orderBy(*_ord(order))
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
