@@ -1,6 +1,6 @@
 """Operations reports. Binding: open orders are work items (due 30 days after the
 order day, owner segment = customer market segment); fulfilled orders complete on
-their last ship day; nation -> region is the area tree."""
+their last ship day; customer -> nation -> region is the area tree."""
 
 from __future__ import annotations
 
@@ -36,20 +36,22 @@ def line_flow_daily(spark, d):
 def area_tree(spark, d):
     r = load(spark, d, "region")
     n = load(spark, d, "nation")
+    c = load(spark, d, "customer")
     nodes = (r.select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("id"),
                       F.lit(None).cast("string").alias("parent_id"), F.col("r_name").alias("name"))
              .unionByName(n.select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("id"),
                                    F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("parent_id"),
-                                   F.col("n_name").alias("name"))))
+                                   F.col("n_name").alias("name")))
+             .unionByName(c.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("id"),
+                                   F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("parent_id"),
+                                   F.col("c_name").alias("name"))))
     return flatten_tree(nodes, "id", "parent_id", "name", max_depth=10)
 
 
 def region_revenue_month(spark, d):
     o = load(spark, d, "orders")
-    c = load(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    facts = o.join(c, "o_custkey").select(
-        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("node"),
-        F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"), "o_totalprice")
+    facts = o.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("node"),
+                     F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"), "o_totalprice")
     return finalize(op.area_month(facts, area_tree(spark, d), "node", "month", "o_totalprice"))
 
 
@@ -88,7 +90,8 @@ QUERIES = {
 _TREE = """
 WITH RECURSIVE nodes AS (
   SELECT 'R' || CAST(r_regionkey AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS parent_id, r_name AS name FROM region
-  UNION ALL SELECT 'N' || CAST(n_nationkey AS VARCHAR), 'R' || CAST(n_regionkey AS VARCHAR), n_name FROM nation),
+  UNION ALL SELECT 'N' || CAST(n_nationkey AS VARCHAR), 'R' || CAST(n_regionkey AS VARCHAR), n_name FROM nation
+  UNION ALL SELECT 'C' || CAST(c_custkey AS VARCHAR), 'N' || CAST(c_nationkey AS VARCHAR), c_name FROM customer),
 walk AS (
   SELECT id AS node_id, parent_id AS nxt, id AS root_id, [name] AS path, 1 AS depth FROM nodes
   UNION ALL
@@ -153,8 +156,8 @@ FROM deepest WHERE rn = 1
 """,
     "region_revenue_month": _TREE + f"""
 , tree AS (SELECT node_id, path[1] AS area FROM deepest WHERE rn = 1),
-f AS (SELECT 'N' || CAST(c.c_nationkey AS VARCHAR) AS node, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
-             o.o_totalprice FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey),
+f AS (SELECT 'C' || CAST(o.o_custkey AS VARCHAR) AS node, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
+             o.o_totalprice FROM orders o),
 g AS (SELECT t.area, f.month, SUM(f.o_totalprice) AS v FROM f LEFT JOIN tree t ON t.node_id = f.node GROUP BY 1, 2),
 p AS (SELECT g.*, pr.v AS pv, ROUND(g.v / NULLIF(SUM(g.v) OVER (PARTITION BY g.month), 0), 6) AS share_of_month
       FROM g LEFT JOIN g pr ON pr.area = g.area AND pr.month = g.month - INTERVAL 1 MONTH)
