@@ -68,24 +68,50 @@ def flatten_tree(df: DataFrame, id_col: str, parent_col: str, name_col: str,
                  max_depth: int = 10, sep: str = " > ") -> DataFrame:
     """Walk parent pointers to the root; path root->node, depth, root id.
 
-    Bounded iterative self-join (``max_depth`` levels, which also guards cycles:
-    a cycle yields a capped row). Nodes whose parent is missing end at themselves.
+    Pointer doubling, like ``follow_chain``: table k holds, for every node, the
+    first 2^k nodes of its ancestor chain (ids and names, at most ``max_depth``
+    long) and the node 2^k steps up; table k+1 joins table k with itself. The walk
+    then takes exactly ``max_depth`` nodes as a sum of powers of two, so a cycle
+    or a chain deeper than the cap yields a capped row (``depth_capped``), never an
+    error. O(log max_depth) joins; every table is checkpointed into the shared
+    checkpoint dir so the plan stays linear. A missing parent ends the chain.
     """
-    nodes = df.select(F.col(id_col).alias("_id"), F.col(parent_col).alias("_pid"), F.col(name_col).alias("_nm"))
-    cur = nodes.select(F.col("_id").alias("node_id"), F.col("_pid").alias("_next"),
-                       F.col("_id").alias("root_id"), F.array(F.col("_nm")).alias("_path"), F.lit(1).alias("depth"))
-    for i in range(1, max_depth):
-        step = cur.join(nodes, cur["_next"] == nodes["_id"], "left")
-        moved = step["_id"].isNotNull()
-        cur = step.select(
-            "node_id",
-            F.when(moved, step["_pid"]).alias("_next"),
-            F.when(moved, step["_id"]).otherwise(step["root_id"]).alias("root_id"),
-            F.when(moved, F.concat(F.array(step["_nm"]), step["_path"])).otherwise(step["_path"]).alias("_path"),
-            F.when(moved, step["depth"] + 1).otherwise(step["depth"]).alias("depth"))
-    return cur.select("node_id", "root_id", F.array_join("_path", sep).alias("path"), "depth",
-                      F.get(F.col("_path"), 0).alias("root_name"),
-                      F.col("_next").isNotNull().alias("depth_capped"))
+    nodes = df.select(F.col(id_col).alias("s"), F.col(parent_col).alias("p"), F.col(name_col).alias("nm"))
+    ids = nodes.select(F.col("s").alias("p"), F.lit(True).alias("_ok")).distinct()
+    t0 = (nodes.join(ids, "p", "left")
+          .select("s", F.when(F.col("_ok"), F.col("p")).alias("a"),
+                  F.array(F.col("s")).alias("ids"), F.array(F.col("nm")).alias("names")))
+    tables = [cut_lineage(t0)]
+    k = 1
+    while (1 << k) <= max_depth:
+        prev_t = tables[-1]
+        x, y = prev_t.alias("x"), prev_t.alias("y")
+        j = x.join(y, F.col("x.a") == F.col("y.s"), "left")
+        nxt = j.select(F.col("x.s").alias("s"),
+                       F.when(F.col("x.a").isNull(), F.lit(None)).otherwise(F.col("y.a")).alias("a"),
+                       F.when(F.col("x.a").isNull(), F.col("x.ids")).otherwise(F.concat("x.ids", "y.ids")).alias("ids"),
+                       F.when(F.col("x.a").isNull(), F.col("x.names"))
+                       .otherwise(F.concat("x.names", "y.names")).alias("names"))
+        tables.append(cut_lineage(nxt))
+        k += 1
+    cur = nodes.select(F.col("s").alias("node_id"), F.col("s").alias("a"),
+                       F.array().cast("array<string>").alias("ids"), F.array().cast("array<string>").alias("names"))
+    cur = cur.withColumns({"ids": F.col("ids").cast(t0.schema["ids"].dataType),
+                           "names": F.col("names").cast(t0.schema["names"].dataType)})
+    for k in reversed(range(len(tables))):
+        if not (max_depth >> k) & 1:
+            continue
+        tb = tables[k].alias("tb")
+        j = cur.join(tb, cur["a"] == F.col("tb.s"), "left")
+        cur = j.select("node_id",
+                       F.when(cur["a"].isNull(), F.lit(None)).otherwise(F.col("tb.a")).alias("a"),
+                       F.when(cur["a"].isNull(), cur["ids"]).otherwise(F.concat(cur["ids"], F.col("tb.ids"))).alias("ids"),
+                       F.when(cur["a"].isNull(), cur["names"])
+                       .otherwise(F.concat(cur["names"], F.col("tb.names"))).alias("names"))
+    path = F.reverse("names")
+    return cur.select("node_id", F.element_at("ids", -1).alias("root_id"), F.array_join(path, sep).alias("path"),
+                      F.size("names").alias("depth"), F.element_at(path, 1).alias("root_name"),
+                      F.col("a").isNotNull().alias("depth_capped"))
 
 
 def follow_chain(df: DataFrame, id_col: str, next_col: str, max_hops: int = 50) -> DataFrame:

@@ -186,3 +186,10 @@ def test_recommended_conf_sizes_partitions():
     c = recommended_conf(100 * (1 << 40), 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(recommended_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_flatten_tree_cycle_is_capped(spark):
+    rows = [("a", "b", "A"), ("b", "a", "B"), ("r", None, "R"), ("x", "r", "X")]
+    got = {r.node_id: (r.depth, r.depth_capped, r.path) for r in flatten_tree(
+        spark.createDataFrame(rows, "id string, p string, n string"), "id", "p", "n", max_depth=5).collect()}
+    assert got["a"] == (5, True, "A > B > A > B > A") and got["x"] == (2, False, "R > X")
