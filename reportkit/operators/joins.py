@@ -71,7 +71,7 @@ def merge_full(dfs: list[DataFrame], on, fill: dict | float | None = 0) -> DataF
     if isinstance(fill, dict):
         return out.fillna(fill)
     return out.withColumns({m: F.coalesce(F.col(m), F.lit(fill)) for m in measures
-                            if dict(out.dtypes)[m] in ("double", "float", "int", "bigint", "smallint")
+                            if dict(out.dtypes)[m] in ("double", "float", "int", "bigint", "smallint", "tinyint")
                             or dict(out.dtypes)[m].startswith("decimal")})
 
 

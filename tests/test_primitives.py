@@ -116,3 +116,19 @@ def test_bucketed_generic_windows_equal_plain(spark):
                                                                   bucket=b), "k", o, desc=True, bucket=b), "k", o, "v", bucket=b)
     cols = ["id", "prev_v", "next_v", "row_number", "running_v"]
     assert sorted(tuple(r) for r in plain.select(*cols).collect()) == sorted(tuple(r) for r in two.select(*cols).collect())
+
+
+def test_scalar_builders(spark):
+    r = spark.range(1).select(
+        C.local_date(F.lit(T := dt.datetime(2024, 1, 1, 23, 30)), "Europe/Copenhagen").alias("cph"),
+        C.local_date(F.lit(T), offset_seconds=F.lit(-3600 * 24)).alias("off"),
+        C.scale_unit(F.lit(1234), 100).alias("major"),
+        C.signed(F.lit(5.0), F.lit(True)).alias("neg"),
+        C.duration(F.lit(T), F.lit(None).cast("timestamp"), "HOUR", as_of="2024-01-02 02:30:00").alias("open_h"),
+        C.make_key(F.lit("a"), F.lit(1)).alias("key"),
+        C.parse_hhmm(F.lit(" 7:05 ")).alias("ok"), C.parse_hhmm(F.lit("7:65")).alias("bad"),
+        C.clean_text(F.lit("  ")).alias("blank"), C.in_array(F.lit("x"), F.lit(None).cast("array<string>")).alias("ina"),
+        C.ratio(F.lit(1), F.lit(0)).alias("r0"), C.ratio(F.lit(1), F.lit(3), scale=100, digits=2).alias("pct")).first()
+    assert str(r.cph) == "2024-01-02" and str(r.off) == "2023-12-31" and r.major == 12.34 and r.neg == -5.0
+    assert r.open_h == 3 and r.key == "a:1" and r.ok == 425 and r.bad is None and r.blank is None
+    assert r.ina is False and r.r0 is None and r.pct == 33.33
