@@ -118,17 +118,29 @@ def incident_response(events: DataFrame, entity: str, ts: str, kind: str, incide
         rnd(F.avg(mins("_res")), 4).alias("mttr_minutes"), F.count_if(F.col("_res").isNull()).alias("unresolved"))
 
 
-def headcount(spans: DataFrame, person: str, org: str, start: str, end: str, as_of) -> DataFrame:
+def headcount(spans: DataFrame, person: str, org: str, start: str, end: str, as_of,
+              history: DataFrame | None = None, hist_ts: str | None = None) -> DataFrame:
     """Per month x org: headcount at the start (started <= previous month end and not
     ended by it) and at the end of the month, hires and leavers inside the month,
     turnover = leavers / mean(start, end). Each person is exploded onto the months of
-    their own span only."""
+    their own span only.
+
+    With ``history`` (person, ``hist_ts``, ``org``; one row per person and day) the
+    org is time-varying: the latest history row at ``least(month end, end date)``
+    (J6 as-of join); otherwise ``spans[org]`` is used.
+    """
+    from .joins import asof_join
     a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
     s, e = F.to_date(F.col(start).cast("timestamp")), F.to_date(F.col(end).cast("timestamp"))
-    p = spans.select(person, org, s.alias("_s"), e.alias("_e"))
+    cols = [person] + ([org] if history is None else [])
+    p = spans.select(*cols, s.alias("_s"), e.alias("_e"))
     months = F.sequence(F.trunc("_s", "month"), F.trunc(F.least(F.coalesce(F.add_months("_e", 1), a), a), "month"),
                         F.expr("INTERVAL 1 MONTH"))
-    ex = p.select(person, org, "_s", "_e", F.explode(months).alias("month"))
+    ex = p.select(*cols, "_s", "_e", F.explode(months).alias("month"))
+    if history is not None:
+        ex = ex.withColumn("_ref", F.least(F.last_day("month"), F.coalesce("_e", F.last_day("month"))))
+        h = history.select(person, F.to_date(F.col(hist_ts).cast("timestamp")).alias("_eff"), org)
+        ex = asof_join(ex, h, person, "_ref", "_eff", [org], fallback=None)
     prev_end = F.date_sub(F.col("month"), 1)
     mend = F.last_day("month")
     g = ex.groupBy("month", org).agg(

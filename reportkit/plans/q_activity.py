@@ -2,7 +2,7 @@
 activity kinds; a signup opens a booking whose reschedule chain is the user's later
 events; an error event is an incident; a conversation is a call (speakers = roles);
 a customer is an account and an employee (employed from the first order until 180
-days after the last, org = market segment); a supplier is an agent."""
+days after the last; org = priority of the latest order at the month end, an as-of join); a supplier is an agent."""
 
 from __future__ import annotations
 
@@ -85,11 +85,14 @@ def incident_response(spark, d):
 
 def headcount_monthly(spark, d):
     o = load(spark, d, "orders")
-    c = load(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     spans = o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("start_date"), F.max("o_orderdate").alias("_last"))
-    spans = spans.join(c, "o_custkey").withColumn("end_date", F.date_add(F.to_date("_last"), 180))
+    spans = spans.withColumn("end_date", F.date_add(F.to_date("_last"), 180))
     spans = spans.withColumn("end_date", F.when(F.col("end_date") <= F.lit(HEADCOUNT_AS_OF).cast("date"), F.col("end_date")))
-    return finalize(op.headcount(spans, "o_custkey", "c_mktsegment", "start_date", "end_date", HEADCOUNT_AS_OF))
+    # org history: the priority of the person's latest order (one row per person and day)
+    hist = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("changed_on")).agg(
+        F.max("o_orderpriority").alias("org"))
+    return finalize(op.headcount(spans, "o_custkey", "org", "start_date", "end_date", HEADCOUNT_AS_OF,
+                                 history=hist, hist_ts="changed_on"))
 
 
 QUERIES = {
@@ -186,19 +189,23 @@ SELECT {sql_date('CAST(ts AS DATE)')} AS date, COUNT(*) AS incidents,
 FROM w WHERE event_type = 'error' GROUP BY CAST(ts AS DATE)
 """,
     "headcount_monthly": f"""
-WITH s AS (SELECT o.o_custkey, c.c_mktsegment, CAST(MIN(o.o_orderdate) AS DATE) AS st,
-                  CAST(MAX(o.o_orderdate) AS DATE) + INTERVAL 180 DAY AS e0
-           FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY 1, 2),
-p AS (SELECT o_custkey, c_mktsegment, st, CASE WHEN e0 <= DATE '{HEADCOUNT_AS_OF}' THEN CAST(e0 AS DATE) END AS en FROM s),
+WITH s AS (SELECT o_custkey, CAST(MIN(o_orderdate) AS DATE) AS st, CAST(MAX(o_orderdate) AS DATE) + INTERVAL 180 DAY AS e0
+           FROM orders GROUP BY 1),
+p AS (SELECT o_custkey, st, CASE WHEN e0 <= DATE '{HEADCOUNT_AS_OF}' THEN CAST(e0 AS DATE) END AS en FROM s),
 ex AS (SELECT p.*, CAST(unnest(generate_series(CAST(date_trunc('month', st) AS DATE),
                   CAST(date_trunc('month', LEAST(COALESCE(en + INTERVAL 1 MONTH, DATE '{HEADCOUNT_AS_OF}'), DATE '{HEADCOUNT_AS_OF}')) AS DATE),
                   INTERVAL 1 MONTH)) AS DATE) AS month FROM p),
-g AS (SELECT month, c_mktsegment,
+r AS (SELECT *, LEAST(last_day(month), COALESCE(en, last_day(month))) AS ref FROM ex),
+h AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS eff, MAX(o_orderpriority) AS org FROM orders GROUP BY 1, 2),
+o AS (SELECT r.o_custkey, r.month, arg_max(h.org, h.eff) AS org
+      FROM r LEFT JOIN h ON h.o_custkey = r.o_custkey AND h.eff <= r.ref GROUP BY 1, 2),
+x AS (SELECT r.*, o.org FROM r JOIN o ON o.o_custkey = r.o_custkey AND o.month = r.month),
+g AS (SELECT month, org,
              COUNT(*) FILTER (WHERE st <= month - INTERVAL 1 DAY AND (en IS NULL OR en > month - INTERVAL 1 DAY)) AS headcount_start,
              COUNT(*) FILTER (WHERE st <= last_day(month) AND (en IS NULL OR en > last_day(month))) AS headcount_end,
              COUNT(*) FILTER (WHERE date_trunc('month', st) = month) AS hires,
-             COUNT(*) FILTER (WHERE date_trunc('month', en) = month) AS leavers FROM ex GROUP BY 1, 2)
-SELECT {sql_date('month')} AS month, c_mktsegment, headcount_start, headcount_end, hires, leavers,
+             COUNT(*) FILTER (WHERE date_trunc('month', en) = month) AS leavers FROM x GROUP BY 1, 2)
+SELECT {sql_date('month')} AS month, org, headcount_start, headcount_end, hires, leavers,
        ROUND(leavers / NULLIF((headcount_start + headcount_end) / 2.0, 0), 6) AS turnover_rate FROM g
 """,
 }
