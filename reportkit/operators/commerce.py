@@ -116,10 +116,22 @@ def point_in_time(facts: DataFrame, history: DataFrame, on, date: str, eff: str,
 
 def contribution_margin(parts: list[DataFrame], keys: list[str], cost: DataFrame, sku: str, date: str,
                         units: str, revenue_cols: list[str], unit_cost: str = "unit_cost",
-                        valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+                        valid_from: str = "valid_from", valid_to: str = "valid_to",
+                        subset_parts: list | None = None) -> DataFrame:
     """Full-outer merge of sales/fees/reimbursements, minus COGS at the cost valid on
-    the day (``[from, to)``); margin NULL when no cost is known."""
-    merged = merge_full(parts, keys, fill=0)
+    the day (``[from, to)``); margin NULL when no cost is known.
+
+    ``subset_parts = [(df, subset_keys)]`` are full-outer joined afterwards on fewer
+    keys (reimbursements carry no marketplace): like the reference, such a row meets
+    every merged row sharing its subset key, and stands alone (other keys NULL) when
+    none does.
+    """
+    merged = merge_full(parts, keys, fill=None)
+    for df, sub in subset_parts or []:
+        merged = merged.join(df, list(sub), "full")
+    measures = [c for c, t in merged.dtypes if c not in keys and (t in ("double", "float", "int", "bigint")
+                                                                  or t.startswith("decimal"))]
+    merged = merged.withColumns({m: F.coalesce(F.col(m), F.lit(0)) for m in measures})
     c = cost.select(F.col(sku).alias("_sku"), valid_from, valid_to, unit_cost)
     base = range_join(merged.withColumn("_sku", F.col(sku)), c, ["_sku"], date, valid_from, valid_to, "[)",
                       how="left").drop("_sku", valid_from, valid_to)

@@ -77,3 +77,18 @@ def test_ticket_never_answered(spark):
     got = {r.t: (r.first_reply_at, r.reply_count, r.is_answered) for r in
            support.ticket_lifecycle(tickets, msgs, "t", "created", "n", F.col("who") == "agent").collect()}
     assert got == {"t1": (1, 1, True), "t2": (None, 0, False)}
+
+
+def test_contribution_margin_subset_keyed_reimbursements(spark):
+    from reportkit.operators import commerce as cm
+    k = ["d", "mkt", "sku"]
+    sales = spark.createDataFrame([(D(2024, 1, 1), "de", "a", 100.0, 2.0), (D(2024, 1, 1), "fr", "a", 50.0, 1.0)],
+                                  "d date, mkt string, sku string, revenue double, units double")
+    fees = spark.createDataFrame([(D(2024, 1, 2), "de", "a", -5.0)], "d date, mkt string, sku string, fees double")
+    reimb = spark.createDataFrame([(D(2024, 1, 1), "a", 7.0), (D(2024, 1, 3), "a", 3.0)], "d date, sku string, reimb double")
+    cost = spark.createDataFrame([("a", D(2023, 1, 1), None, 10.0)], "sku string, valid_from date, valid_to date, unit_cost double")
+    out = cm.contribution_margin([sales, fees], k, cost, "sku", "d", "units", ["revenue", "fees", "reimb"],
+                                 subset_parts=[(reimb, ["d", "sku"])])
+    got = sorted((str(r.d), r.mkt, r.revenue, r.fees, r.reimb, r.contribution_margin) for r in out.collect())
+    assert got == [("2024-01-01", "de", 100.0, 0.0, 7.0, 87.0), ("2024-01-01", "fr", 50.0, 0.0, 7.0, 47.0),
+                   ("2024-01-02", "de", 0.0, -5.0, 0.0, -5.0), ("2024-01-03", None, 0.0, 0.0, 3.0, 3.0)]
