@@ -1 +1 @@
-from .tables import read_source, union_sources, publish, seed, with_settings, cross_settings  # noqa: F401
+from .tables import bucketed, cross_settings, publish, read_source, seed, union_sources, with_settings  # noqa: F401

@@ -61,3 +61,15 @@ def with_settings(df: DataFrame, **consts) -> DataFrame:
 def cross_settings(df: DataFrame, settings: DataFrame) -> DataFrame:
     """Attach a data-derived one-row relation (e.g. spine bounds) without collect()."""
     return df.crossJoin(F.broadcast(settings))
+
+
+def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str) -> DataFrame:
+    """Materialise ``df`` as a table bucketed (and sorted) on ``keys`` at a shared ``path``.
+
+    Two facts bucketed on the same key with the same bucket count join without a
+    shuffle on either side (e.g. lineitem and orders on the order key), and
+    aggregations on that key reuse the layout.
+    """
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)

@@ -21,3 +21,18 @@ def test_read_union_publish_seed_settings(spark, tmp_path):
     assert [x.inactivity_minutes for x in w] == [30]
     c = cross_settings(r, r.agg(F.max("r_regionkey").alias("max_key")))
     assert c.select("max_key").distinct().count() == 1
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from reportkit.sources import bucketed
+    li = read_source(spark, SF, "lineitem", view=False)
+    o = read_source(spark, SF, "orders", view=False)
+    bl = bucketed(li, "li_b", ["l_orderkey"], 4, str(tmp_path / "li"))
+    bo = bucketed(o.withColumnRenamed("o_orderkey", "l_orderkey"), "o_b", ["l_orderkey"], 4, str(tmp_path / "o"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = bl.join(bo, "l_orderkey")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and j.count() == li.join(o.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
