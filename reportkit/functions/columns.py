@@ -36,6 +36,7 @@ def typed(df: DataFrame, spec: dict, safe: bool = False) -> DataFrame:
 
 # --- P3 blank normalise ------------------------------------------------------
 def clean_text(c, case: str | None = None) -> Column:
+    """Trim, empty string -> NULL, optional upper / lower case."""
     v = F.nullif(F.trim(c_(c)), F.lit(""))
     if case == "upper":
         v = F.upper(v)
@@ -46,7 +47,7 @@ def clean_text(c, case: str | None = None) -> Column:
 
 # --- P5 classify -------------------------------------------------------------
 def classify(rules: list, default=None) -> Column:
-    """Ordered CASE: ``rules = [(condition Column, value), ...]``; first match wins."""
+    """P5: ordered CASE: ``rules = [(condition Column, value), ...]``; first match wins."""
     expr = None
     for cond, val in rules:
         v = val if isinstance(val, Column) else F.lit(val)
@@ -57,12 +58,13 @@ def classify(rules: list, default=None) -> Column:
 
 # --- P6 default fill ---------------------------------------------------------
 def fill(df: DataFrame, values: dict) -> DataFrame:
+    """NULL -> default value / label per column."""
     return df.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in values.items()})
 
 
 # --- P7 safe ratio -----------------------------------------------------------
 def ratio(num, den, scale: float = 1, digits: int | None = None) -> Column:
-    """NULL when the denominator is 0 or NULL, never 0 and never an error."""
+    """NULL when the denominator is 0 or NULL, never 0 and never an error."""
     n = c_(num).cast("double")
     if scale != 1:
         n = n * F.lit(float(scale))
@@ -86,12 +88,13 @@ def round_money(c, digits: int = 2) -> Column:
 
 # --- P8 multi-format date parse ---------------------------------------------
 def parse_date_any(c, fmts: list[str]) -> Column:
+    """The first format that parses wins, else NULL."""
     return F.coalesce(*[F.try_to_timestamp(c_(c), F.lit(f)).cast("date") for f in fmts])
 
 
 # --- P9 epoch conversion -----------------------------------------------------
 def from_epoch(c, unit: str = "s", finer: int = 1) -> Column:
-    """s / ms / us ticks -> timestamp; ``finer`` integer-divides a finer tick count first."""
+    """S / ms / us ticks -> timestamp; ``finer`` integer-divides a finer tick count first."""
     v = c_(c).cast("long")
     if finer != 1:
         v = F.floor(v / F.lit(finer)).cast("long")
@@ -101,7 +104,7 @@ def from_epoch(c, unit: str = "s", finer: int = 1) -> Column:
 
 # --- P10 localise then date --------------------------------------------------
 def local_date(ts, zone=None, offset_seconds=None) -> Column:
-    """Instant -> local date; ``zone`` is a literal or a per-row column; or a fixed offset."""
+    """P10: instant -> local date; ``zone`` is a literal or a per-row column; or a fixed offset."""
     t = c_(ts).cast("timestamp")
     if offset_seconds is not None:
         return F.to_date(t + F.make_dt_interval(secs=c_(offset_seconds)))
@@ -113,17 +116,19 @@ def local_date(ts, zone=None, offset_seconds=None) -> Column:
 
 # --- P11 unit scaling --------------------------------------------------------
 def scale_unit(c, divisor: float) -> Column:
+    """Minor units / micros / ms -> major unit."""
     return c_(c).cast("double") / F.lit(float(divisor))
 
 
 # --- P12 signed amount -------------------------------------------------------
 def signed(c, negative_when: Column) -> Column:
+    """Apply the sign of the document type."""
     return F.when(negative_when, -c_(c)).otherwise(c_(c))
 
 
 # --- P13 duration ------------------------------------------------------------
 def duration(start, end, unit: str = "SECOND", as_of=None) -> Column:
-    """Whole units between start and end (truncating); open ends run to ``as_of``."""
+    """Whole units between start and end (truncating); open ends run to ``as_of``."""
     e = c_(end)
     if as_of is not None:
         e = F.coalesce(e, as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp"))
@@ -132,7 +137,7 @@ def duration(start, end, unit: str = "SECOND", as_of=None) -> Column:
 
 # --- P14 band ----------------------------------------------------------------
 def band(c, edges: list, labels: list, null_label: str | None = None):
-    """Ordered bands: value <= edges[i] -> labels[i]; beyond the last edge -> labels[-1].
+    """Ordered bands: value <= edges[i] -> labels[i]; beyond the last edge -> labels[-1].
 
     Returns ``(label, order)`` Columns; NULL input gets ``null_label`` and order len(labels)+1.
     """
@@ -147,12 +152,13 @@ def band(c, edges: list, labels: list, null_label: str | None = None):
 
 # --- P15 surrogate key -------------------------------------------------------
 def make_key(*cols, sep: str = ":") -> Column:
+    """Surrogate key from the key parts."""
     return F.concat_ws(sep, *[c_(c).cast("string") for c in cols])
 
 
 # --- P16 parse clock text ----------------------------------------------------
 def parse_hhmm(c) -> Column:
-    """``h:mm`` / ``hh:mm`` text -> minutes; anything else -> NULL."""
+    """``h:mm`` / ``hh:mm`` text -> minutes; anything else -> NULL."""
     v = F.trim(c_(c))
     ok = v.rlike(r"^[0-9]{1,3}:[0-5][0-9]$")
     parts = F.split(v, ":")
@@ -162,21 +168,23 @@ def parse_hhmm(c) -> Column:
 
 # --- F2 / F3 / F6 predicates -------------------------------------------------
 def exclude(c, values: list) -> Column:
-    """``NOT IN`` that keeps NULL rows (BigQuery-style filters lose them)."""
+    """``NOT IN`` that keeps NULL rows (a plain NOT IN filter loses them)."""
     return c_(c).isNull() | ~c_(c).isin(values)
 
 
 def eq_ns(a, b) -> Column:
+    """IS NOT DISTINCT FROM."""
     return c_(a).eqNullSafe(c_(b))
 
 
 def in_array(x, arr) -> Column:
+    """membership in an array column (NULL array -> false)."""
     return F.coalesce(F.array_contains(c_(arr), c_(x)), F.lit(False))
 
 
 # --- T3-T6 calendar helpers --------------------------------------------------
 def period(c, unit: str = "month") -> Column:
-    """Truncate to day/week(ISO, Monday)/month/quarter/year; returns a DATE."""
+    """Truncate to day / week (ISO, Monday) / month / quarter / year; returns a DATE."""
     u = unit.lower()
     if u == "day":
         return F.to_date(c_(c))

@@ -24,7 +24,7 @@ def spine(df: DataFrame, start, end, step: str = "day", out: str = "period") ->
 
 def densify(facts: DataFrame, entity, period: str, measures: list[str], end=None,
             step: str = "day", start=None, fill=0, end_floor_to_start: bool = True) -> DataFrame:
-    """Entity x period grid, each entity from its own first period to ``end``.
+    """Entity x period grid, each entity from its own first period to ``end``.
 
     ``end``: literal/Column (e.g. ``as_of``), or None = the data's global max
     period. The grid is generated per entity row (distributed by entity), then

@@ -192,7 +192,8 @@ def next_when(df: DataFrame, part, order, cond: Column, c: str, out: str) -> Dat
 
 
 def share_of(df: DataFrame, part, c: str, out: str | None = None, digits: int | None = None) -> DataFrame:
-    """X / SUM(x) over the partition (NULL on zero total)."""
+    """X / SUM(x) over the partition (NULL on zero total); applied to a grouped
+    result it is the aggregate-over-an-aggregate pattern."""
     tot = F.sum(c).over(Window.partitionBy(*_l(part)))
     r = F.try_divide(F.col(c).cast("double"), F.nullif(tot.cast("double"), F.lit(0.0)))
     return df.withColumn(out or f"share_of_{c}", rnd(r, digits) if digits is not None else r)

@@ -17,7 +17,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Bind a driver table (no temp view: plans compose DataFrames)."""
+    from ..sources import read_source
+    return read_source(spark, sf_dir, name, view=False)
 
 
 def finalize(df: DataFrame) -> DataFrame:

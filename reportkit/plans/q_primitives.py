@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import weighted_avg
-from ..functions.columns import extract_all, json_any, rnd
+from ..functions.columns import extract_all, json_any, json_array_len, json_concat_text, rnd
 from ..operators.arrays import explode_arrays
 from ..operators.timegrid import follow_chain
 from ..operators.windows import rank_within, seq_neighbors, share_of
@@ -27,7 +27,9 @@ def event_chains(spark, d):
 
 def event_props(spark, d):
     e = load(spark, d, "events")
-    return e.select("event_id", json_any("props", ["$.k", "$.K", "$.key"]).try_cast("int").alias("k"))
+    as_list = F.concat(F.lit("["), F.col("props"), F.lit("]"))  # the props object as a one-item list
+    return e.select("event_id", json_any("props", ["$.k", "$.K", "$.key"]).try_cast("int").alias("k"),
+                    json_concat_text(as_list, "$[*].k").alias("k_text"), json_array_len(as_list).alias("props_items"))
 
 
 def page_links(spark, d):
@@ -84,7 +86,10 @@ SELECT t.id, o2.event_id AS final_id, t.hops FROM t JOIN o o2 ON o2.user_id IS N
 """,
     "event_props": """
 SELECT event_id, TRY_CAST(COALESCE(json_extract_string(props, '$.k'), json_extract_string(props, '$.K'),
-                                   json_extract_string(props, '$.key')) AS INTEGER) AS k FROM events
+                                   json_extract_string(props, '$.key')) AS INTEGER) AS k,
+       CASE WHEN json_valid('[' || props || ']') THEN COALESCE(json_extract_string(props, '$.k'), '') END AS k_text,
+       CASE WHEN json_valid('[' || props || ']') THEN CAST(json_array_length('[' || props || ']') AS INTEGER) END AS props_items
+FROM events
 """,
     "page_links": """
 WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS link FROM pages)

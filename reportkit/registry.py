@@ -27,9 +27,10 @@ def oracle(name: str) -> str | None:
 
 def publish_all(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[str]:
     """Register every report as a temp view (lazy: nothing runs until queried)."""
+    from .sources import publish
     out = []
     for n in names():
-        QUERIES[n](spark, sf_dir).createOrReplaceTempView(prefix + n)
+        publish(QUERIES[n](spark, sf_dir), prefix + n)
         out.append(prefix + n)
     return out
 
