@@ -77,7 +77,19 @@ def content_performance(spark, d):
     return ev.content_performance(long, "campaign_id", "event_type", "value", mapping, rates)
 
 
+def weekly_purchasers(spark, d):
+    from ..operators.joins import trailing_join
+    e = load(spark, d, "events").where(F.col("event_type") == "purchase")
+    ud = e.select("user_id", F.to_date("ts").alias("date")).distinct()
+    days = ud.select("date").distinct()
+    # Every purchase day is emitted onto the 7 days whose trailing window holds it
+    win = trailing_join(ud, ["user_id"], "date", 7, out_col="window_date")
+    counted = win.groupBy(F.col("window_date").alias("date")).agg(F.count_distinct("user_id").alias("purchasers_7d"))
+    return finalize(days.join(counted, "date", "left"))
+
+
 QUERIES = {
+    "weekly_purchasers": weekly_purchasers,
     "cohort_funnel_daily": cohort_funnel_daily,
     "audience_growth_daily": audience_growth_daily,
     "search_performance_daily": search_performance_daily,
@@ -90,6 +102,12 @@ QUERIES = {
 }
 
 ORACLE = {
+    "weekly_purchasers": f"""
+WITH ud AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS date FROM events WHERE event_type = 'purchase'),
+d AS (SELECT DISTINCT date FROM ud)
+SELECT {sql_date('d.date')} AS date, COUNT(DISTINCT u.user_id) AS purchasers_7d
+FROM d JOIN ud u ON u.date > d.date - INTERVAL 7 DAY AND u.date <= d.date GROUP BY d.date
+""",
     "cohort_funnel_daily": f"""
 WITH s AS (SELECT l_orderkey, MIN(l_shipdate) AS fs, MAX(l_shipdate) AS ls FROM lineitem GROUP BY 1),
 t AS (SELECT o.o_orderpriority, o.o_orderdate, s.fs AS conv, CASE WHEN o.o_orderstatus = 'F' THEN s.ls END AS won

@@ -75,13 +75,36 @@ def customer_monthly_balance(spark, d):
     return finalize(m.withColumns({c: C.rnd(c, 2) for c in money}))
 
 
+def priority_month_grid(spark, d):
+    from ..operators.timegrid import spine
+    o = load(spark, d, "orders")
+    months = spine(o, F.trunc(F.min(F.to_date("o_orderdate")), "month"), F.trunc(F.max(F.to_date("o_orderdate")), "month"),
+                   "month", out="month")
+    # Dims x calendar; the calendar side is bounded by its span, so it is the broadcast one
+    grid = joins.cross_join(aggs.distinct_keys(o, ["o_orderpriority"]), months, small=True)
+    counts = aggs.group_agg(o, ["o_orderpriority", F.trunc(F.to_date("o_orderdate"), "month").alias("month")],
+                            {"orders": F.count(F.lit(1))})
+    out = grid.join(counts, ["o_orderpriority", "month"], "left")
+    return finalize(C.fill(out, {"orders": 0}))
+
+
 QUERIES = {
+    "priority_month_grid": priority_month_grid,
     "customer_order_profile": customer_order_profile,
     "customers_without_orders": customers_without_orders,
     "customer_monthly_balance": customer_monthly_balance,
 }
 
 ORACLE = {
+    "priority_month_grid": f"""
+WITH b AS (SELECT CAST(date_trunc('month', MIN(o_orderdate)) AS DATE) AS s, CAST(date_trunc('month', MAX(o_orderdate)) AS DATE) AS e
+           FROM orders),
+m AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 MONTH)) AS DATE) AS month FROM b),
+p AS (SELECT DISTINCT o_orderpriority FROM orders),
+c AS (SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS orders FROM orders GROUP BY 1, 2)
+SELECT p.o_orderpriority, {sql_date('m.month')} AS month, COALESCE(c.orders, 0) AS orders
+FROM p CROSS JOIN m LEFT JOIN c ON c.o_orderpriority IS NOT DISTINCT FROM p.o_orderpriority AND c.month = m.month
+""",
     "customer_order_profile": f"""
 WITH o AS (SELECT * FROM orders WHERE o_orderkey IN (SELECT DISTINCT l_orderkey FROM lineitem)),
 p AS (SELECT o_custkey, COUNT(*) AS orders,
