@@ -30,7 +30,8 @@ def main():
                 for i in re.findall(r"\b([SPFJAWOUTRNDQ]\d{1,3})\b", head):
                     funcs.setdefault(i, []).append(f"`{mod}.{node.name}`")
     plan_src = {os.path.basename(f)[:-3]: open(f).read()
-                for f in sorted(glob.glob(os.path.join(ROOT, "reportkit", "plans", "q_*.py")))}
+                for f in sorted(glob.glob(os.path.join(ROOT, "reportkit", "plans", "q_*.py")))
+                + [os.path.join(ROOT, "reportkit", "plans", "common.py"), os.path.join(ROOT, "reportkit", "registry.py")]}
     # operators reach the plans directly or through other operators: follow one level of calls
     op_src = {f: open(f).read() for f in glob.glob(os.path.join(ROOT, "reportkit", "operators", "*.py"))}
 
