@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.aggregates import quantile
 from ..operators import support as sp
 from .common import finalize, load, sql_date
 
@@ -81,7 +82,20 @@ def source_topic_share(spark, d):
     return sp.topic_share(docs, "doc_id", "source", ["lang"])
 
 
+def delivery_time_quantiles(spark, d):
+    """A6 on the scalable path: mergeable approximate percentiles (no exact oracle;
+    tested against nearest-rank brute force on a small table)."""
+    li = load(spark, d, "lineitem").select("l_orderkey", "l_shipdate")
+    o = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
+    j = li.join(o, "l_orderkey").select(
+        "o_orderpriority", F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")).alias("days_to_ship"))
+    return j.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("lines"),
+        quantile("days_to_ship", 0.5).alias("p50_days"), quantile("days_to_ship", 0.9).alias("p90_days"))
+
+
 QUERIES = {
+    "delivery_time_quantiles": delivery_time_quantiles,
     "reply_waits": reply_waits,
     "conversation_lifecycle": conversation_lifecycle,
     "order_backlog": order_backlog,

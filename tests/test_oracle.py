@@ -49,7 +49,23 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_has_an_oracle_or_is_documented():
     missing = set(QUERIES) - set(ORACLE)
     # queries without SQL oracle are tested against brute force in their own module
-    assert missing <= {"follow_chain", "flatten_tree"}
+    assert missing <= {"delivery_time_quantiles"}
+
+
+def test_delivery_time_quantiles_match_nearest_rank(spark, con):
+    import math as m
+    got = {r.o_orderpriority: (r.lines, r.p50_days, r.p90_days)
+           for r in QUERIES["delivery_time_quantiles"](spark, SF).collect()}
+    rows = con.execute("""SELECT o.o_orderpriority, date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE))
+                          FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""").fetchall()
+    by = {}
+    for p, v in rows:
+        by.setdefault(p, []).append(v)
+    for p, vals in by.items():
+        vals.sort()
+        def rank(q):  # smallest value with at least q of the values at or below it
+            return vals[max(0, m.ceil(q * len(vals)) - 1)]
+        assert got[p] == (len(vals), rank(0.5), rank(0.9))
 
 
 def test_registry_publish_and_checks(spark):
