@@ -92,3 +92,18 @@ def test_contribution_margin_subset_keyed_reimbursements(spark):
     got = sorted((str(r.d), r.mkt, r.revenue, r.fees, r.reimb, r.contribution_margin) for r in out.collect())
     assert got == [("2024-01-01", "de", 100.0, 0.0, 7.0, 87.0), ("2024-01-01", "fr", 50.0, 0.0, 7.0, 47.0),
                    ("2024-01-02", "de", 0.0, -5.0, 0.0, -5.0), ("2024-01-03", None, 0.0, 0.0, 3.0, 3.0)]
+
+
+def test_mrr_snapshot_rules(spark):
+    from reportkit.operators import revenue
+    lines = spark.createDataFrame([
+        ("c", D(2024, 1, 15), D(2024, 2, 29), 100.0),   # ends on Feb 29: not active on the Feb snapshot (exclusive end)
+        ("c", D(2024, 4, 1), D(2024, 5, 31), 50.0),     # gap in March, back in April
+        ("c", D(2024, 4, 10), D(2024, 5, 31), -80.0),   # credit note: April MRR floored at 0
+        ("z", D(2024, 1, 1), D(2024, 1, 20), 0.004)],   # rounds to 0: never starts
+        "k string, s date, e date, m double")
+    out = {str(r.month): (str(r.snapshot_date), r.mrr)
+           for r in revenue.mrr_by_customer_month(lines, "k", "s", "e", "m", "2024-05-20").where("k = 'c'").collect()}
+    assert out == {"2024-01-01": ("2024-01-31", 100.0), "2024-02-01": ("2024-02-29", 0.0), "2024-03-01": ("2024-03-31", 0.0),
+                   "2024-04-01": ("2024-04-30", 0.0), "2024-05-01": ("2024-05-20", 0.0)}
+    assert revenue.mrr_by_customer_month(lines, "k", "s", "e", "m", "2024-05-20").where("k = 'z'").count() == 0
