@@ -23,6 +23,7 @@ q_marketing_oracle = _oracle_of("q_marketing")
 q_content_oracle = _oracle_of("q_content")
 q_staging_oracle = _oracle_of("q_staging")
 q_crm_oracle = _oracle_of("q_crm")
+q_revenue_oracle = _oracle_of("q_revenue")
 from .common import finalize, load
 
 
@@ -108,7 +109,15 @@ def check_single_current_stage(spark, d):
     return q.check_single_current(qc.stage_history(spark, d), "user_id", "is_current")
 
 
+def check_mrr_bridge_continuity(spark, d):
+    from . import q_revenue as qr
+    b = qr.mrr_bridge(spark, d)
+    return q.check_bridge(b, "currency", "month", "opening_mrr", "closing_mrr").select(
+        "currency", "month", "opening_mrr", "prev_closing")
+
+
 QUERIES = {
+    "check_mrr_bridge_continuity": check_mrr_bridge_continuity,
     "check_product_reconciles": check_product_reconciles,
     "check_ad_non_negative": check_ad_non_negative,
     "check_clicks_within_impressions": check_clicks_within_impressions,
@@ -127,6 +136,12 @@ QUERIES = {
 }
 
 ORACLE = {
+    "check_mrr_bridge_continuity": f"""
+WITH b AS (SELECT *, LAG(closing_mrr) OVER (PARTITION BY currency ORDER BY month) AS prev_closing
+           FROM ({q_revenue_oracle('mrr_bridge')}) s)
+SELECT currency, month, opening_mrr, prev_closing FROM b
+WHERE prev_closing IS NOT NULL AND ABS(opening_mrr - prev_closing) > 0.01
+""",
     "check_product_reconciles": f"""
 WITH a AS (SELECT report_date, SUM(amount) AS a_amount FROM ({q_commerce_oracle('product_sales_over_time')}) s GROUP BY 1),
 b AS (SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS report_date, SUM(o_totalprice) AS b_amount FROM orders GROUP BY 1),
