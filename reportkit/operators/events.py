@@ -38,23 +38,27 @@ def sessionize(events: DataFrame, user: str, ts: str, event: str | None = None,
         part = [F.col(user).alias("_u"), F.lit(None).cast("date").alias("_d")]
         bk = F.floor(F.unix_micros(t) / F.lit(gap_s * 1_000_000))
     rows = e.select(*part, bk.cast("long").alias("_bk"), t.alias("_t"), tb.alias("_tb"), ev.alias("_ev"))
-    buckets = (rows.groupBy("_u", "_d", "_bk")
-               .agg(F.min(F.struct("_t", "_tb", "_ev")).alias("_first"), F.max("_t").alias("_last"),
-                    F.count(F.lit(1)).alias("_n")))
+    # one pass over the events: aggregate per (user, day, bucket, event name); bucket rows
+    # and the distinct event names per session are both derived from this (the shuffle
+    # is shared), so the raw events are read once
+    per_name = (rows.groupBy("_u", "_d", "_bk", "_ev")
+                .agg(F.min(F.struct("_t", "_tb", "_ev")).alias("_first"), F.max("_t").alias("_last"),
+                     F.count(F.lit(1)).alias("_n")))
+    buckets = (per_name.groupBy("_u", "_d", "_bk")
+               .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n")))
     w = Window.partitionBy("_u", "_d").orderBy("_bk")
     prev_last = F.lag("_last").over(w)
     starts = F.when(prev_last.isNull() | (F.timestamp_diff("SECOND", prev_last, F.col("_first._t")) > gap_s), 1) \
         .otherwise(0)
     buckets = buckets.withColumn("_start", starts)
     buckets = buckets.withColumn("_seq", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    sess = (buckets.groupBy("_u", "_d", "_seq")
+    # every (bucket, name) row learns its session number; all session figures are then
+    # one aggregate over those rows (per_name is consumed whole on both paths, so its
+    # shuffle is reused instead of re-reading the events)
+    tagged = per_name.join(buckets.select("_u", "_d", "_bk", "_seq"), ["_u", "_d", "_bk"])
+    sess = (tagged.groupBy("_u", "_d", "_seq")
             .agg(F.min("_first").alias("_first"), F.max("_last").alias("session_ended_at"),
-                 F.sum("_n").alias("events")))
-    # distinct event names per session: distinct (bucket, name) pairs mapped to their session
-    names = (rows.select("_u", "_d", "_bk", "_ev").distinct()
-             .join(buckets.select("_u", "_d", "_bk", "_seq"), ["_u", "_d", "_bk"])
-             .groupBy("_u", "_d", "_seq").agg(F.count_distinct("_ev").alias("distinct_event_names")))
-    sess = sess.join(names, ["_u", "_d", "_seq"], "left")
+                 F.sum("_n").alias("events"), F.count_distinct("_ev").alias("distinct_event_names")))
     day = F.col("_d") if split_at_midnight else F.to_date(F.col("_first._t"))
     return sess.select(
         F.concat_ws(":", F.col("_u").cast("string"), day.cast("string"), F.col("_seq").cast("string")).alias("session_id"),
