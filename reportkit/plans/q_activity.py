@@ -24,8 +24,7 @@ SPEAKERS = ["user", "assistant", "system"]
 
 def rep_activity(spark, d):
     e = load(spark, d, "events")
-    acts = {k: e.where(F.col("event_type") == k) for k in ACTIVITY_KINDS}
-    return finalize(crm.rep_activity(acts, "user_id", "ts", end=REP_END))
+    return finalize(crm.rep_activity_by_kind(e, "user_id", "ts", "event_type", ACTIVITY_KINDS, end=REP_END))
 
 
 def account_360(spark, d):

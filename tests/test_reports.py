@@ -107,3 +107,13 @@ def test_mrr_snapshot_rules(spark):
     assert out == {"2024-01-01": ("2024-01-31", 100.0), "2024-02-01": ("2024-02-29", 0.0), "2024-03-01": ("2024-03-31", 0.0),
                    "2024-04-01": ("2024-04-30", 0.0), "2024-05-01": ("2024-05-20", 0.0)}
     assert revenue.mrr_by_customer_month(lines, "k", "s", "e", "m", "2024-05-20").where("k = 'z'").count() == 0
+
+
+def test_rep_activity_multi_source_equals_single_scan(spark):
+    rows = [("r1", T(2024, 1, 1, 9), "call"), ("r1", T(2024, 1, 3, 9), "mail"), ("r2", T(2024, 1, 2, 9), "call")]
+    df = spark.createDataFrame(rows, "rep string, ts timestamp, kind string")
+    a = crm.rep_activity({k: df.where(F.col("kind") == k) for k in ["call", "mail"]}, "rep", "ts", end="2024-01-04")
+    b = crm.rep_activity_by_kind(df, "rep", "ts", "kind", ["call", "mail"], end="2024-01-04")
+    cols = ["rep", "date", "call", "mail", "total_activities"]
+    assert sorted(tuple(r) for r in a.select(*cols).collect()) == sorted(tuple(r) for r in b.select(*cols).collect())
+    assert a.count() == 4 + 3  # r1: Jan 1-4, r2: Jan 2-4
