@@ -64,6 +64,22 @@ def email_campaign_performance(facts: dict, key, user: str) -> DataFrame:
     return out
 
 
+def email_campaign_performance_by_kind(events: DataFrame, key, user: str, kind: str, kinds: dict) -> DataFrame:
+    """D59 when sends / opens / clicks are rows of one event table: ``kinds = {name:
+    event kind}``; one scan (``rollup_kinds``), same columns and rates as
+    ``email_campaign_performance``."""
+    from .aggs import rollup_kinds
+    specs = {k: {f"{n}_total": ("count", None), f"{n}_unique": ("count_distinct", user)} for n, k in kinds.items()}
+    out = rollup_kinds(events, key, kind, specs, fill=0)
+    names = list(kinds)
+    if len(names) >= 3:
+        s, o, c = names[:3]
+        out = out.withColumns({f"{o}_rate": rnd(ratio(f"{o}_unique", f"{s}_unique"), 6),
+                               f"{c}_rate": rnd(ratio(f"{c}_unique", f"{s}_unique"), 6),
+                               f"{c}_to_{o}_rate": rnd(ratio(f"{c}_unique", f"{o}_unique"), 6)})
+    return out
+
+
 def messaging_daily(events: DataFrame, kind: str, ts: str, dims: list[str], stages: list[str],
                     cost: str | None = None) -> DataFrame:
     """Day x dims funnel requests -> delivered -> opened -> clicked (+ cost)."""

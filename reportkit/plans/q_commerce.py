@@ -173,14 +173,14 @@ def contribution_margin(spark, d):
     li = load(spark, d, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("date"), "l_quantity",
                                            sx(NET).alias("net"), sx(DISC).alias("disc"), sx(TAX).alias("tax"))
     keys = ["date", "l_partkey"]
-    sales = li.groupBy(*keys).agg(F.sum("net").alias("revenue"), F.sum("l_quantity").alias("units"))
-    fees = li.groupBy(*keys).agg((-F.sum("disc")).alias("fees"))
-    reimb = li.groupBy(*keys).agg(F.sum("tax").alias("reimbursed_tax"))
+    # sales, fees and reimbursements all come from lineitem here: one roll-up, one scan
+    parts = li.groupBy(*keys).agg(F.sum("net").alias("revenue"), F.sum("l_quantity").alias("units"),
+                                  (-F.sum("disc")).alias("fees"), F.sum("tax").alias("reimbursed_tax"))
     h = _price_history(spark, d)
     cost = h.select("l_partkey", F.col("effective_date").alias("valid_from"), "unit_cost",
                     F.lead("effective_date").over(Window.partitionBy("l_partkey").orderBy("effective_date"))
                     .alias("valid_to"))
-    out = cm.contribution_margin([sales, fees, reimb], keys, cost, "l_partkey", "date", "units",
+    out = cm.contribution_margin([parts], keys, cost, "l_partkey", "date", "units",
                                  ["revenue", "fees", "reimbursed_tax"])
     return finalize(out.select(*keys, rnd("revenue", 2).alias("revenue"), "units", rnd("fees", 2).alias("fees"),
                                rnd("reimbursed_tax", 2).alias("reimbursed_tax"), rnd("unit_cost", 4).alias("unit_cost"),

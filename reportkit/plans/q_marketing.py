@@ -38,9 +38,8 @@ def ad_performance_by_day(spark, d):
 
 
 def email_campaign_performance(spark, d):
-    e = _events(spark, d)
-    facts = {k: e.where(F.col("event_type") == t) for k, t in [("sends", "view"), ("opens", "click"), ("clicks", "purchase")]}
-    return mk.email_campaign_performance(facts, "campaign_id", "user_id")
+    return mk.email_campaign_performance_by_kind(_events(spark, d), "campaign_id", "user_id", "event_type",
+                                                 {"sends": "view", "opens": "click", "clicks": "purchase"})
 
 
 def messaging_daily(spark, d):

@@ -68,10 +68,12 @@ def reported_vs_rebuilt(spark, d):
 
 def profile_activity(spark, d):
     e = load(spark, d, "events").withColumn("date", F.to_date("ts"))
-    views = e.where(F.col("event_type") == "view").groupBy("date", "event_type").agg(F.count(F.lit(1)).alias("views"))
-    eng = e.where(F.col("event_type") != "view").groupBy("date", "event_type").agg(
-        F.count(F.lit(1)).alias("engagements"), rnd(F.sum("value"), 2).alias("engagement_value"))
-    return finalize(op.profile_activity([views, eng], ["date", "event_type"], ["date"], "engagements"))
+    # the view report and the engagement report come from one scan (conditional aggregates)
+    is_view = F.col("event_type") == "view"
+    both = e.groupBy("date", "event_type").agg(
+        F.count_if(is_view).alias("views"), F.count_if(~is_view).alias("engagements"),
+        rnd(F.coalesce(F.sum(F.when(~is_view, F.col("value"))), F.lit(0.0)), 2).alias("engagement_value"))
+    return finalize(op.profile_activity([both], ["date", "event_type"], ["date"], "engagements"))
 
 
 QUERIES = {

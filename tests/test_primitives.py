@@ -132,3 +132,15 @@ def test_scalar_builders(spark):
     assert str(r.cph) == "2024-01-02" and str(r.off) == "2023-12-31" and r.major == 12.34 and r.neg == -5.0
     assert r.open_h == 3 and r.key == "a:1" and r.ok == 425 and r.bad is None and r.blank is None
     assert r.ina is False and r.r0 is None and r.pct == 33.33
+
+
+def test_rollup_facts_and_kinds_keep_null_keys(spark):
+    a = spark.createDataFrame([(None, 1.0), ("k", 2.0)], "k string, v double")
+    b = spark.createDataFrame([(None, 5.0)], "k string, w double")
+    r = {x.k: (x.sv, x.sw) for x in aggs.rollup_facts(None, {"a": (a, {"sv": F.sum("v")}), "b": (b, {"sw": F.sum("w")})},
+                                                        "k").collect()}
+    assert r == {None: (1.0, 5.0), "k": (2.0, 0.0)}
+    ev = spark.createDataFrame([(None, "x", 1), (None, "y", 2), ("k", "x", 3)], "k string, kind string, u int")
+    g = {x.k: (x.nx, x.uy) for x in aggs.rollup_kinds(ev, "k", "kind", {"x": {"nx": ("count", None)},
+                                                                         "y": {"uy": ("count_distinct", "u")}}).collect()}
+    assert g == {None: (1, 1), "k": (1, 0)}
