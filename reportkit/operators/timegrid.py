@@ -26,22 +26,42 @@ def densify(facts: DataFrame, entity, period: str, measures: list[str], end=None
             step: str = "day", start=None, fill=0, end_floor_to_start: bool = True) -> DataFrame:
     """Entity x period grid, each entity from its own first period to ``end``.
 
-    ``end``: literal/Column (e.g. ``as_of``), or None = the data's global max
-    period. The grid is generated per entity row (distributed by entity), then
-    the sparse facts are left-joined and measures zero-filled.
+    ``facts`` hold at most one row per (entity, period). ``end``: literal / Column
+    (e.g. ``as_of``), or None = the data's global max period.
+
+    Single pass over ``facts``: fact rows inside the grid are kept, and the entity's first row
+    (found with a window per entity, bounded by its periods) also emits the whole
+    period sequence; one hash aggregate per (entity, period) then merges the grid
+    row with the fact row. The facts are therefore read once (twice only when the
+    global end has to be derived from them).
     """
+    from pyspark.sql.window import Window
     ent = [entity] if isinstance(entity, str) else list(entity)
-    firsts = facts.groupBy(*ent).agg(F.min(period).alias("_s"))
-    if start is not None:
-        firsts = firsts.withColumn("_s", start if isinstance(start, Column) else F.lit(start).cast("date"))
+    f = facts.where(F.col(period).isNotNull())
+    others = [c for c in f.columns if c not in ent + [period]]
+    s_col = (start if isinstance(start, Column) else F.lit(start).cast("date")) if start is not None \
+        else F.min(period).over(Window.partitionBy(*ent))
+    f = f.withColumn("_s", s_col)
     if end is None:
         gmax = facts.agg(F.max(period).alias("_e"))
-        firsts = firsts.crossJoin(F.broadcast(gmax))  # one-row relation
+        f = f.crossJoin(F.broadcast(gmax))  # one-row relation
     else:
-        firsts = firsts.withColumn("_e", end if isinstance(end, Column) else F.lit(end).cast("date"))
+        f = f.withColumn("_e", end if isinstance(end, Column) else F.lit(end).cast("date"))
     e = F.greatest(F.col("_e"), F.col("_s")) if end_floor_to_start else F.col("_e")
-    grid = firsts.select(*ent, F.explode(F.sequence(F.col("_s"), e, _step(step))).alias(period))
-    out = grid.join(facts, ent + [period], "left")
+    # the entity's first fact row carries the grid (one per entity, even with a start override)
+    f = f.withColumn("_first", F.row_number().over(Window.partitionBy(*ent).orderBy(period)) == 1)
+    first = F.col("_first")
+    ptype = f.schema[period].dataType.simpleString()
+    grid = F.when(first, F.sequence(F.col("_s"), e, _step(step))).otherwise(F.array().cast(f"array<{ptype}>"))
+    in_grid = (F.col(period) >= F.col("_s")) & (F.col(period) <= e)  # facts outside the grid are dropped
+    items = F.concat(
+        F.when(in_grid, F.array(F.struct(F.col(period).alias("p"), F.lit(True).alias("is_fact"))))
+        .otherwise(F.array().cast(f"array<struct<p:{ptype},is_fact:boolean>>")),
+        F.transform(grid, lambda x: F.struct(x.alias("p"), F.lit(False).alias("is_fact"))))
+    rows = f.select(*ent, *others, F.explode(items).alias("_x"))
+    rows = rows.select(*ent, F.col("_x.p").alias(period),
+                       *[F.when(F.col("_x.is_fact"), F.col(c)).alias(c) for c in others])
+    out = rows.groupBy(*ent, period).agg(*[F.max(c).alias(c) for c in others])
     if fill is not None:
         out = out.withColumns({m: F.coalesce(F.col(m), F.lit(fill)) for m in measures})
     return out
