@@ -49,13 +49,14 @@ def trial_balance(ledger: DataFrame, entity, account: str, date: str, debit: str
     """
     ent = _l(entity)
     a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
+    from .timegrid import densify
     m = ledger.groupBy(*ent, account, F.trunc(_d(date), "month").alias("month")).agg(
         F.sum(debit).alias("debit"), F.sum(credit).alias("credit"))
-    span = m.groupBy(*ent).agg(F.min("month").alias("_s"), F.max("month").alias("_e"))
-    accts = m.select(*ent, account).distinct().join(span, ent)
-    grid = accts.select(*ent, account, F.explode(F.sequence(
-        "_s", F.greatest("_e", F.trunc(a, "month")), F.expr("INTERVAL 1 MONTH"))).alias("month"))
-    g = grid.join(m, ent + [account, "month"], "left").fillna({"debit": 0.0, "credit": 0.0})
+    # every account of an entity spans the entity's months (windows over the entity's
+    # aggregated account-months, bounded by accounts x calendar); one pass (densify)
+    we = Window.partitionBy(*ent)
+    g = densify(m, ent + [account], "month", ["debit", "credit"], step="month", fill=0.0,
+                start=F.min("month").over(we), end=F.greatest(F.max("month").over(we), F.trunc(a, "month")))
     g = g.withColumn("movement", F.col("debit") - F.col("credit"))
     w = Window.partitionBy(*ent, account).orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
     g = g.withColumn("closing_balance", F.sum("movement").over(w))
@@ -126,10 +127,9 @@ def fill_rates(rates: DataFrame, currency: str, date: str, rate: str, as_of) ->
     over days (calendar-bounded).
     """
     a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
+    from .timegrid import densify
     r = rates.select(F.col(currency).alias(currency), _d(date).alias("rate_date"), F.col(rate).alias("_rate"))
-    first = r.groupBy(currency).agg(F.min("rate_date").alias("_s"))
-    grid = first.select(currency, F.explode(F.sequence("_s", F.greatest(a, F.col("_s")))).alias("rate_date"))
-    j = grid.join(r, [currency, "rate_date"], "left").withColumn(
+    j = densify(r, currency, "rate_date", [], end=a, fill=None).withColumn(
         "_src", F.when(F.col("_rate").isNotNull(), F.col("rate_date")))
     w = Window.partitionBy(currency).orderBy("rate_date").rowsBetween(Window.unboundedPreceding, 0)
     return j.select(currency, "rate_date",

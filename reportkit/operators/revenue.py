@@ -49,10 +49,12 @@ def mrr_by_customer_month(lines: DataFrame, keys, start: str, end: str, monthly:
                       F.explode(months).alias("month"))
     snap = F.least(F.last_day("month"), a)
     ex = ex.where((F.col("month") <= F.trunc(a, "month")) & (F.col("_s") <= snap) & (snap < F.col("_e")))
+    from .timegrid import densify
     per = ex.groupBy(*keys, "month").agg(F.sum("_m").alias("_mrr"))
-    firsts = (per.where(rnd("_mrr", 2) > 0).groupBy(*keys).agg(F.min("month").alias("_first")))
-    grid = firsts.select(*keys, F.explode(F.sequence("_first", F.trunc(a, "month"), F.expr("INTERVAL 1 MONTH"))).alias("month"))
-    out = grid.join(per, keys + ["month"], "left")
+    # grid from the first month with MRR > 0 (a window over the key's months) to as_of, one pass
+    first_pos = F.min(F.when(rnd("_mrr", 2) > 0, F.col("month"))).over(Window.partitionBy(*keys))
+    out = densify(per, keys, "month", [], step="month", fill=None, start=first_pos, end=F.trunc(a, "month"),
+                  end_floor_to_start=False)
     return out.select(*keys, "month", F.least(F.last_day("month"), a).alias("snapshot_date"),
                       F.greatest(rnd(F.coalesce("_mrr", F.lit(0.0)), 2), F.lit(0.0)).alias("mrr"))
 

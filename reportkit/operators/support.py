@@ -50,14 +50,13 @@ def volume_backlog(tickets: DataFrame, created: str, closed: str, dims: list[str
     """Created and closed per day x dims (each on its own day) on a grid from the
     dims' first created day to the latest of as_of / created / closed; backlog =
     running sum of created - closed."""
-    from .timegrid import events_from_timestamps
+    from .timegrid import densify, events_from_timestamps
     a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
     daily = events_from_timestamps(tickets, {created: "created", closed: "closed"}, dims)
-    span = daily.groupBy(*dims).agg(F.min(F.when(F.col("created") > 0, F.col("date"))).alias("_s"),
-                                    F.max("date").alias("_e"))
-    grid = span.where(F.col("_s").isNotNull()).select(
-        *dims, F.explode(F.sequence("_s", F.greatest("_e", a))).alias("date"))
-    g = grid.join(daily, dims + ["date"], "left").fillna({"created": 0, "closed": 0})
+    wd = Window.partitionBy(*dims)
+    g = densify(daily, dims, "date", ["created", "closed"], fill=0,
+                start=F.min(F.when(F.col("created") > 0, F.col("date"))).over(wd),
+                end=F.greatest(F.max("date").over(wd), a))
     w = Window.partitionBy(*dims).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     return g.withColumn("open_backlog", F.sum(F.col("created") - F.col("closed")).over(w))
 
