@@ -76,42 +76,43 @@ def sessionize(events: DataFrame, user: str, ts: str, event: str | None = None,
 def active_users(events: DataFrame, user: str, ts: str, wau_days: int = 7, mau_days: int = 28) -> DataFrame:
     """DAU, trailing WAU / MAU, new / returning users, stickiness, full-window flag.
 
-    Rows only for days with activity. Sweep-line plan instead of a
-    days x user-days join: each user's active days are merged into islands of
-    coverage (a day d is covered when the user was active in (d-N, d]); every
-    island contributes +1 at its first covered day and -1 after its last, and a
-    running sum over the calendar gives the distinct count for every day. Work is
-    O(user-days); the only unpartitioned window runs over calendar days.
+    Rows only for days with activity. Sweep line instead of a days x user-days join,
+    in one pass over the distinct user-days: a user-day opens a coverage island when
+    the user's previous active day is at least N days earlier (+1 on that day) and
+    closes one when the next is at least N days later (-1 on day + N); every user-day
+    emits its own row plus those markers (one explode), one aggregate per calendar
+    day sums them, and running sums over the calendar give the distinct counts. The
+    per-user window runs over the user's active days (bounded by the calendar); the
+    only unpartitioned window runs over calendar days.
     """
     ud = (events.where(F.col(user).isNotNull())
           .select(F.col(user).alias("_u"), F.to_date(F.col(ts).cast("timestamp")).alias("date")).distinct())
     wu = Window.partitionBy("_u").orderBy("date")
-    ud = ud.withColumns({"_prev": F.lag("date").over(wu),
+    ud = ud.withColumns({"_prev": F.lag("date").over(wu), "_next": F.lead("date").over(wu),
                          "_first_day": F.min("date").over(Window.partitionBy("_u"))})
 
-    def coverage(n: int, name: str) -> DataFrame:
-        # island starts where the previous active day is >= n days earlier
-        isl = ud.withColumn("_new", F.when(F.col("_prev").isNull() | (F.datediff("date", "_prev") >= n), 1).otherwise(0))
-        isl = isl.withColumn("_island", F.sum("_new").over(wu.rowsBetween(Window.unboundedPreceding, 0)))
-        spans = isl.groupBy("_u", "_island").agg(F.min("date").alias("_s"), F.max("date").alias("_e"))
-        deltas = spans.select(F.explode(F.array(
-            F.struct(F.col("_s").alias("d"), F.lit(1).alias("v")),
-            F.struct(F.date_add("_e", n).alias("d"), F.lit(-1).alias("v")))).alias("x"))
-        # active days join with delta 0 so the running sum is evaluated on every one of them
-        pts = deltas.select(F.col("x.d").alias("date"), F.col("x.v").alias("v")).unionByName(
-            ud.select("date").distinct().withColumn("v", F.lit(0)))
-        per_day = pts.groupBy("date").agg(F.sum("v").alias("_delta"))
-        w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)  # calendar-sized
-        return per_day.withColumn(name, F.sum("_delta").over(w).cast("long")).drop("_delta")
-
-    daily = ud.groupBy("date").agg(
-        F.count(F.lit(1)).alias("dau"),
-        F.count_if(F.col("date") == F.col("_first_day")).alias("new_users"))
-    first = ud.agg(F.min("date").alias("_fd"))
-    out = (daily.join(coverage(wau_days, "wau"), "date", "left")
-           .join(coverage(mau_days, "mau"), "date", "left")
-           .crossJoin(F.broadcast(first)))
-    return out.select(
+    def opens(n):
+        return F.when(F.col("_prev").isNull() | (F.datediff("date", "_prev") >= n), 1).otherwise(0)
+
+    def closes(n):
+        return F.col("_next").isNull() | (F.datediff("_next", "date") >= n)
+
+    def item(d, active, new, dw, dm):
+        return F.struct(d.alias("d"), F.lit(active).alias("active") if isinstance(active, int) else active.alias("active"),
+                        new.alias("new"), dw.alias("dw"), dm.alias("dm"))
+    z, f = F.lit(0), F.lit(False)
+    items = F.array(
+        item(F.col("date"), 1, F.col("date") == F.col("_first_day"), opens(wau_days), opens(mau_days)),
+        F.when(closes(wau_days), item(F.date_add("date", wau_days), 0, f, F.lit(-1), z)),
+        F.when(closes(mau_days), item(F.date_add("date", mau_days), 0, f, z, F.lit(-1))))
+    ex = ud.select(F.explode(items).alias("x")).where(F.col("x").isNotNull())
+    per_day = ex.groupBy(F.col("x.d").alias("date")).agg(
+        F.sum("x.active").cast("long").alias("dau"), F.count_if("x.new").alias("new_users"),
+        F.sum("x.dw").alias("_dw"), F.sum("x.dm").alias("_dm"))
+    wc = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)  # calendar-sized
+    per_day = per_day.withColumns({"wau": F.sum("_dw").over(wc).cast("long"), "mau": F.sum("_dm").over(wc).cast("long"),
+                                   "_fd": F.min(F.when(F.col("dau") > 0, F.col("date"))).over(wc)})
+    return per_day.where(F.col("dau") > 0).select(
         "date", "dau", "wau", "mau", "new_users",
         (F.col("dau") - F.col("new_users")).alias("returning_users"),
         ratio("dau", "mau").alias("dau_mau_stickiness"),
