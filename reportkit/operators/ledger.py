@@ -151,9 +151,16 @@ def cross_rates(base_rates: DataFrame, currency: str, date: str = "rate_date", r
     names = [currency, rate] + ([source_date] if source_date else []) + ([carried] if carried else [])
     b = base_rates.select(date, *names)
     if base is not None:
-        per_day = b.groupBy(date).agg(*([F.min(source_date).alias(source_date)] if source_date else []),
-                                      *([F.lit(False).alias(carried)] if carried else []))
-        b = b.unionByName(per_day.withColumns({currency: F.lit(base), rate: F.lit(1.0)}).select(date, *names))
+        # every rate row also emits the base currency's row (rate 1); one aggregate per
+        # (date, currency) collapses them -- the rates are read once, not once more per day
+        base_row = F.struct(F.lit(base).alias(currency), F.lit(1.0).alias(rate),
+                            *([F.col(source_date).alias(source_date)] if source_date else []),
+                            *([F.lit(False).alias(carried)] if carried else []))
+        own_row = F.struct(*[F.col(n).alias(n) for n in names])
+        b = b.select(date, F.explode(F.array(own_row, base_row)).alias("_r")).select(date, "_r.*")
+        b = b.groupBy(date, currency).agg(F.max(rate).alias(rate),
+                                          *([F.min(source_date).alias(source_date)] if source_date else []),
+                                          *([F.bool_or(carried).alias(carried)] if carried else []))
     if currencies is not None:
         b = b.where(F.col(currency).isin(currencies))
     f = b.select(date, *[F.col(n).alias(f"from_{n}") for n in names])
