@@ -142,7 +142,8 @@ def follow_chain(df: DataFrame, id_col: str, next_col: str, max_hops: int = 50)
     does not exist ends the chain; cycles end at the cap.
     Returns (id, final_id, hops).
     """
-    base = df.select(F.col(id_col).alias("s"), F.col(next_col).alias("n"))
+    # the link table is read three times below (ids, first hop, walk start): materialise it once
+    base = cut_lineage(df.select(F.col(id_col).alias("s"), F.col(next_col).alias("n")))
     ids = base.select(F.col("s").alias("n")).distinct()
     # one-hop table: t = target after <= 1 hop, h = hops actually taken
     one = (base.join(ids.withColumn("_ok", F.lit(True)), "n", "left")

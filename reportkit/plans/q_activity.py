@@ -13,6 +13,7 @@ from ..operators import crm
 from ..operators import operations as op
 from ..operators import support as sp
 from ..operators.windows import seq_neighbors
+from ..session import cut_lineage
 from .common import finalize, load, sql_date
 
 ACTIVITY_KINDS = ["signup", "view", "click", "purchase", "error"]
@@ -45,6 +46,7 @@ def bookings_by_source(spark, d):
     e = load(spark, d, "events").select("user_id", "event_id", "ts", "event_type",
                                         F.get_json_object("props", "$.k").alias("source"))
     b = seq_neighbors(e, "user_id", ["ts", "event_id"], ["event_id"], F.date_trunc("hour", "ts"), prev_prefix=None)
+    b = cut_lineage(b)  # bookings feed the chain walk, the start rows and the final rows: read the events once
     outcome = (F.when(F.col("event_type") == "error", "canceled").when(F.col("event_type") == "purchase", "completed")
                .otherwise("no_show"))
     return finalize(crm.bookings_by_source(b, "event_id", "next_event_id", F.col("event_type") == "signup", "ts",
