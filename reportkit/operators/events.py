@@ -23,8 +23,10 @@ def sessionize(events: DataFrame, user: str, ts: str, event: str | None = None,
     session, and its predecessor is the last event of the previous non-empty
     bucket. Events are therefore hash-aggregated per (user, day, bucket) --
     combining map-side, so a user holding a third of all rows is never sorted
-    in one task -- and the lag / running-sum windows run over bucket rows, of
-    which a user-day has at most 24*60/gap.
+    in one task -- and the range windows that find each bucket's predecessor and
+    number the sessions run over the user-day's (bucket, event name) rows: at most
+    24*60/gap buckets times the distinct event names, whatever the user's volume.
+    The events are read once.
     """
     gap_s = gap_minutes * 60
     t = F.col(ts).cast("timestamp")
@@ -38,25 +40,23 @@ def sessionize(events: DataFrame, user: str, ts: str, event: str | None = None,
         part = [F.col(user).alias("_u"), F.lit(None).cast("date").alias("_d")]
         bk = F.floor(F.unix_micros(t) / F.lit(gap_s * 1_000_000))
     rows = e.select(*part, bk.cast("long").alias("_bk"), t.alias("_t"), tb.alias("_tb"), ev.alias("_ev"))
-    # one pass over the events: aggregate per (user, day, bucket, event name); bucket rows
-    # and the distinct event names per session are both derived from this (the shuffle
-    # is shared), so the raw events are read once
+    # one pass over the events: aggregate per (user, day, bucket, event name)
     per_name = (rows.groupBy("_u", "_d", "_bk", "_ev")
                 .agg(F.min(F.struct("_t", "_tb", "_ev")).alias("_first"), F.max("_t").alias("_last"),
                      F.count(F.lit(1)).alias("_n")))
-    buckets = (per_name.groupBy("_u", "_d", "_bk")
-               .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n")))
-    w = Window.partitionBy("_u", "_d").orderBy("_bk")
-    prev_last = F.lag("_last").over(w)
-    starts = F.when(prev_last.isNull() | (F.timestamp_diff("SECOND", prev_last, F.col("_first._t")) > gap_s), 1) \
-        .otherwise(0)
-    buckets = buckets.withColumn("_start", starts)
-    buckets = buckets.withColumn("_seq", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    # every (bucket, name) row learns its session number; all session figures are then
-    # one aggregate over those rows (per_name is consumed whole on both paths, so its
-    # shuffle is reused instead of re-reading the events)
-    tagged = per_name.join(buckets.select("_u", "_d", "_bk", "_seq"), ["_u", "_d", "_bk"])
-    sess = (tagged.groupBy("_u", "_d", "_seq")
+    # bucket-level figures are range windows over the (bucket, name) rows of the user-day,
+    # so per_name is consumed once: the bucket's first event, the last event of all
+    # earlier buckets, the session start flag and the running session number
+    w_bk = Window.partitionBy("_u", "_d").orderBy("_bk")
+    same_bk = w_bk.rangeBetween(0, 0)
+    rows2 = per_name.withColumns({"_bfirst": F.min("_first").over(same_bk),
+                                  "_prev_last": F.max("_last").over(w_bk.rangeBetween(Window.unboundedPreceding, -1))})
+    start_flag = F.col("_prev_last").isNull() | \
+        (F.timestamp_diff("SECOND", F.col("_prev_last"), F.col("_bfirst._t")) > gap_s)
+    rep = F.col("_ev").eqNullSafe(F.col("_bfirst._ev"))  # one row per bucket carries its start
+    rows2 = rows2.withColumn("_start", F.when(rep & start_flag, 1).otherwise(0))
+    rows2 = rows2.withColumn("_seq", F.sum("_start").over(w_bk.rangeBetween(Window.unboundedPreceding, 0)))
+    sess = (rows2.groupBy("_u", "_d", "_seq")
             .agg(F.min("_first").alias("_first"), F.max("_last").alias("session_ended_at"),
                  F.sum("_n").alias("events"), F.count_distinct("_ev").alias("distinct_event_names")))
     day = F.col("_d") if split_at_midnight else F.to_date(F.col("_first._t"))
