@@ -23,11 +23,11 @@ def reply_waits(messages: DataFrame, thread: str, ts: str, direction: str, recei
     across buckets (two-level, see ``seq_neighbors`` / ``seq_next_when``); ``bucket``
     defaults to the hour of ``ts`` (use a coarse bucket of the ordinal for turn numbers).
     """
-    from .windows import seq_neighbors, seq_next_when
+    from .windows import seq_prev_and_next_when
     o = [ts] + (_l(order) if order else [])
     bk = bucket if bucket is not None else F.date_trunc("hour", F.col(ts).cast("timestamp"))
-    m = seq_neighbors(messages, thread, o, [direction], bk, prev_prefix="_prev_", next_prefix=None)
-    m = seq_next_when(m, thread, o, F.col(direction) == sent, ts, "_reply", bk)
+    m = seq_prev_and_next_when(messages, thread, o, [direction], F.col(direction) == sent, ts, "_reply", bk,
+                               prev_prefix="_prev_")
     prev_dir = F.col(f"_prev_{direction}")
     opens = (F.col(direction) == received) & (prev_dir.isNull() | (prev_dir == sent))
     return m.where(opens).select(thread, F.col(ts).alias("waiting_since"), F.col("_reply").alias("replied_at"),

@@ -300,3 +300,25 @@ def seq_carry_forward(df: DataFrame, keys, order: list[str], c: str, out: str, b
     agg = agg.select(*keys, "_bk", F.last("_blast", ignorenulls=True).over(wb).alias("_before"))
     d = _ns_join(d, agg, keys + ["_bk"])
     return d.withColumn(out, F.coalesce("_in", "_before")).drop("_bk", "_in", "_before")
+
+
+def seq_prev_and_next_when(df: DataFrame, keys, order: list[str], prev_cols: list[str], cond: Column, c: str,
+                           out: str, bucket: Column, prev_prefix: str = "prev_") -> DataFrame:
+    """``seq_neighbors`` (previous row's ``prev_cols``) and ``seq_next_when`` (smallest
+    later ``c`` meeting ``cond``) in one two-level pass: one bucket aggregate and one
+    join back, so the input is consumed twice instead of four times."""
+    keys = _l(keys)
+    s = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(x) for x in prev_cols])
+    hit = F.when(cond, F.col(c))
+    d = df.withColumns({"_bk": bucket, "_s": s, "_hit": hit})
+    w = Window.partitionBy(*keys, "_bk").orderBy(*order)
+    d = d.withColumns({"_p_in": F.lag("_s").over(w),
+                       "_in": F.min("_hit").over(w.rowsBetween(1, Window.unboundedFollowing))})
+    agg = d.groupBy(*keys, "_bk").agg(F.max("_s").alias("_last"), F.min("_hit").alias("_bmin"))
+    wb = Window.partitionBy(*keys).orderBy("_bk")
+    agg = agg.select(*keys, "_bk", F.lag("_last").over(wb).alias("_p_out"),
+                     F.min("_bmin").over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("_later"))
+    d = _ns_join(d, agg, keys + ["_bk"])
+    prev = F.coalesce(F.col("_p_in"), F.col("_p_out"))
+    return (d.withColumns({**{prev_prefix + x: prev[x] for x in prev_cols}, out: F.least("_in", "_later")})
+            .drop("_bk", "_s", "_hit", "_p_in", "_in", "_p_out", "_later"))

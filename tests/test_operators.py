@@ -193,3 +193,18 @@ def test_flatten_tree_cycle_is_capped(spark):
     got = {r.node_id: (r.depth, r.depth_capped, r.path) for r in flatten_tree(
         spark.createDataFrame(rows, "id string, p string, n string"), "id", "p", "n", max_depth=5).collect()}
     assert got["a"] == (5, True, "A > B > A > B > A") and got["x"] == (2, False, "R > X")
+
+
+def test_fused_prev_and_next_when_equals_separate(spark):
+    import random
+    from reportkit.operators.windows import seq_neighbors, seq_next_when, seq_prev_and_next_when
+    random.seed(9)
+    rows = [("hot" if random.random() < 0.7 else "c", random.randint(0, 3000), i, random.choice(["r", "s"]))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t int, id int, d string")
+    b = F.floor(F.col("t") / 250)
+    sep = seq_next_when(seq_neighbors(df, "k", ["t", "id"], ["d"], b, next_prefix=None), "k", ["t", "id"],
+                        F.col("d") == "s", "t", "nxt", b)
+    fused = seq_prev_and_next_when(df, "k", ["t", "id"], ["d"], F.col("d") == "s", "t", "nxt", b)
+    cols = ["id", "prev_d", "nxt"]
+    assert sorted(tuple(r) for r in sep.select(*cols).collect()) == sorted(tuple(r) for r in fused.select(*cols).collect())
