@@ -106,11 +106,11 @@ def incident_response(events: DataFrame, entity: str, ts: str, kind: str, incide
     and resolved by the next of a resolve kind (W16, two-level per entity x hour so a
     noisy entity is not one task); per day: incidents, mean minutes to acknowledge
     (MTTA) and to resolve (MTTR), unresolved count."""
-    from .windows import seq_next_when
+    from .windows import seq_next_when_many
     o = [ts] + list(order or [])
     bk = bucket if bucket is not None else F.date_trunc("hour", F.col(ts).cast("timestamp"))
-    e = seq_next_when(events, entity, o, F.col(kind).isin(ack_kinds), ts, "_ack", bk)
-    e = seq_next_when(e, entity, o, F.col(kind).isin(resolve_kinds), ts, "_res", bk)
+    e = seq_next_when_many(events, entity, o, {"_ack": F.col(kind).isin(ack_kinds),
+                                               "_res": F.col(kind).isin(resolve_kinds)}, ts, bk)
     inc = e.where(F.col(kind) == incident)
     mins = lambda c: F.timestamp_diff("MINUTE", F.col(ts), F.col(c))
     return inc.groupBy(F.to_date(F.col(ts).cast("timestamp")).alias("date")).agg(

@@ -322,3 +322,18 @@ def seq_prev_and_next_when(df: DataFrame, keys, order: list[str], prev_cols: lis
     prev = F.coalesce(F.col("_p_in"), F.col("_p_out"))
     return (d.withColumns({**{prev_prefix + x: prev[x] for x in prev_cols}, out: F.least("_in", "_later")})
             .drop("_bk", "_s", "_hit", "_p_in", "_in", "_p_out", "_later"))
+
+
+def seq_next_when_many(df: DataFrame, keys, order: list[str], conds: dict, c: str, bucket: Column) -> DataFrame:
+    """Several W16 look-aheads (``conds = {out: condition}``) in one two-level pass:
+    one window, one bucket aggregate, one join back."""
+    keys = _l(keys)
+    d = df.withColumns({"_bk": bucket, **{f"_h_{o}": F.when(cnd, F.col(c)) for o, cnd in conds.items()}})
+    w = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
+    d = d.withColumns({f"_in_{o}": F.min(f"_h_{o}").over(w) for o in conds})
+    agg = d.groupBy(*keys, "_bk").agg(*[F.min(f"_h_{o}").alias(f"_b_{o}") for o in conds])
+    wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(1, Window.unboundedFollowing)
+    agg = agg.select(*keys, "_bk", *[F.min(f"_b_{o}").over(wb).alias(f"_l_{o}") for o in conds])
+    d = _ns_join(d, agg, keys + ["_bk"])
+    d = d.withColumns({o: F.least(f"_in_{o}", f"_l_{o}") for o in conds})
+    return d.drop("_bk", *[f"_{p}_{o}" for o in conds for p in ("h", "in", "l")])
