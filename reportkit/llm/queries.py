@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .common import read_table
+from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
@@ -11,10 +12,14 @@ def op4_substring_dedup(spark, sf_dir):
     return substring_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_near_dedup(spark, sf_dir):
+    return simhash_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup, op7_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op4_substring_dedup, op6_simhash_near_dedup, op7_suffix_array_dedup)}
 
 ORACLE: dict[str, str] = {}
