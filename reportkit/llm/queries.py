@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from .chat import conversation_nodes, digests, format_trees
 from .common import read_table
 from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
@@ -20,6 +23,34 @@ def op7_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup, op6_simhash_near_dedup, op7_suffix_array_dedup)}
-
-ORACLE: dict[str, str] = {}
+def op9_chat_formatting(spark, sf_dir):
+    told = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return digests(format_trees(conversation_nodes(told.unionByName(planted))))
+
+
+QUERIES = {f.__name__: f for f in (op4_substring_dedup, op6_simhash_near_dedup, op7_suffix_array_dedup,
+                                  op9_chat_formatting)}
+
+_ESCAPED = r"replace(replace(replace(replace({}, '\', '\0'), '[', '\1'), '<', '\2'), '>', '\3')"
+
+ORACLE: dict[str, str] = {
+    "op9_chat_formatting": f"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        sums AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS told,
+                   coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+                   sum(length({_ESCAPED.format("text")}) + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 11
+                       ELSE 11 + length({_ESCAPED.format("role")}) END) AS formatted_chars
+            FROM rows GROUP BY conv_id)
+        SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(told) AS turns_sha256,
+               CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+               CAST(formatted_chars AS BIGINT) AS formatted_chars
+        FROM sums""",
+}
