@@ -6,11 +6,17 @@ from pyspark.sql import functions as F
 
 from .chat import conversation_nodes, digests, format_trees
 from .common import read_table
+from .license_scan import license_scan
+from .license_scan import oracle_sql as license_sql
 from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
 
+def op2_license_scan(spark, sf_dir):
+    return license_scan(read_table(spark, sf_dir, "documents")).drop("places")
+
+
 def op4_substring_dedup(spark, sf_dir):
     return substring_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -31,12 +37,13 @@ def op9_chat_formatting(spark, sf_dir):
     return digests(format_trees(conversation_nodes(told.unionByName(planted))))
 
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup, op6_simhash_near_dedup, op7_suffix_array_dedup,
+QUERIES = {f.__name__: f for f in (op2_license_scan, op4_substring_dedup, op6_simhash_near_dedup, op7_suffix_array_dedup,
                                   op9_chat_formatting)}
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\0'), '[', '\1'), '<', '\2'), '>', '\3')"
 
 ORACLE: dict[str, str] = {
+    "op2_license_scan": license_sql(),
     "op9_chat_formatting": f"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
