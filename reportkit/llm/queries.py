@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .chat import conversation_nodes, digests, format_trees
 from .common import read_table
+from .decontaminate import leaks
 from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
 from .simhash import simhash_groups
@@ -21,6 +22,10 @@ def op4_substring_dedup(spark, sf_dir):
     return substring_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark, sf_dir):
+    return leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("_row")
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     return simhash_groups(read_table(spark, sf_dir, "documents"))
 
@@ -37,7 +42,8 @@ def op9_chat_formatting(spark, sf_dir):
     return digests(format_trees(conversation_nodes(told.unionByName(planted))))
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op4_substring_dedup, op6_simhash_near_dedup, op7_suffix_array_dedup,
+QUERIES = {f.__name__: f for f in (op2_license_scan, op4_substring_dedup, op5_benchmark_decontamination,
+                                  op6_simhash_near_dedup, op7_suffix_array_dedup,
                                   op9_chat_formatting)}
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\0'), '[', '\1'), '<', '\2'), '>', '\3')"
