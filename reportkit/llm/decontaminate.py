@@ -38,7 +38,11 @@ def _words(c: str) -> Column:
 
 
 def seeds(rows: DataFrame, masks=MASKS) -> DataFrame:
-    """(id, text) -> (id, mask, pos, seed): the hash of every window of every text under every mask, in one pass."""
+    """(id, text) -> (id, ends, at, seed): the hash of every window of every text under every mask, in one pass.
+
+    ``at`` counts over the windows of all masks, ``ends`` says where each mask's windows end (see ``_pos``).
+    explode_outer: the filter that Spark infers for explode would compute every array twice.
+    """
     hashed = rows.select("id", F.transform(_words("text"), lambda w: F.xxhash64(w)).alias("w"))
 
     def under(m: int, mask: str) -> Column:
@@ -50,9 +54,13 @@ def seeds(rows: DataFrame, masks=MASKS) -> DataFrame:
     sizes = [F.greatest(F.size("w") - len(m) + 1, F.lit(0)) for m in masks]
     ends = F.array(*[reduce(Column.__add__, sizes[:m + 1]) for m in range(len(masks))])
     flat = hashed.select("id", ends.alias("ends"), F.concat(*[under(m, k) for m, k in enumerate(masks)]).alias("seeds"))
+    return flat.select("id", "ends", F.posexplode_outer("seeds").alias("at", "seed")).where("seed IS NOT NULL")
+
+
+def _pos() -> Column:
+    """First word of the window numbered ``at``."""
     mask = F.size(F.filter("ends", lambda e: e <= F.col("at")))
-    return (flat.select("id", "ends", F.posexplode("seeds").alias("at", "seed"))
-            .select("id", mask.alias("mask"), (F.col("at") - F.coalesce(F.get("ends", mask - 1), F.lit(0))).alias("pos"), "seed"))
+    return F.col("at") - F.coalesce(F.get("ends", mask - 1), F.lit(0))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, masks=MASKS, overlap: int = OVERLAP,
@@ -65,15 +73,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks=MASKS, overlap: int = OVE
     texts = numbered(docs, "doc_id", "text")
     items = numbered(benchmark, "item_id", "text").select(F.col("_row").alias("item"), "item_id", "text", _words("text").alias("item_words"))
     index = seeds(items.select(F.col("item").alias("id"), "text"), masks) \
-        .select(F.col("id").alias("item"), F.col("pos").alias("item_pos"), "seed")
+        .select(F.col("id").alias("item"), _pos().alias("item_pos"), "seed")
     if index.count() <= BROADCAST_ROWS:
         index = F.broadcast(index)
     found = seeds(texts.select(F.col("_row").alias("id"), "text"), masks).join(index, "seed")
-    hits = (found.select(F.col("id").alias("_row"), "item", "item_pos", "pos")
+    hits = (found.select(F.col("id").alias("_row"), "item", "item_pos", _pos().alias("pos"))
             .groupBy("_row", "item").agg(F.collect_set(F.struct("pos", "item_pos")).alias("hits"))
             .join(items.select("item", "item_id", "item_words"), "item")
             .groupBy("_row").agg(F.collect_list(F.struct("item_id", "item_words", "hits")).alias("found")))
-    both = texts.select("_row", "doc_id", _words("text").alias("words")).join(hits, "_row").where(F.size("words") > 0)
+    both = texts.select("_row", "doc_id", _words("text").alias("words")).join(hits, "_row")
 
     def verify(item: Column, hit: Column) -> Column:
         """The best stretch of the item that holds the hit: struct(similarity, start in the text, in the item, length)."""
@@ -91,7 +99,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks=MASKS, overlap: int = OVE
     best = F.transform("found", lambda item: F.struct(
         item["item_id"].alias("item_id"),
         F.array_max(F.transform(item["hits"], lambda hit: verify(item, hit))).alias("best")))
-    return (both.select("_row", "doc_id", F.explode(best).alias("b"))
+    return (both.select("_row", "doc_id", F.explode_outer(best).alias("b"))
             .where(F.col("b.best.similarity") >= similarity)
             .select("_row", "doc_id", "b.item_id", F.col("b.best.doc_word").cast("long").alias("doc_word"),
                     F.col("b.best.item_word").cast("long").alias("item_word"),

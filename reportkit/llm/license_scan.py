@@ -80,7 +80,8 @@ def tokenised(docs: DataFrame) -> DataFrame:
 def document_frequency(words: DataFrame, templates=TEMPLATES) -> dict[str, int]:
     """Files per licence word, over all files (as many rows as the templates have different words)."""
     vocabulary = F.array(*[F.lit(w) for w in sorted({w for t in templates for w in t.words})])
-    rows = (words.select(F.explode(F.array_intersect("words", vocabulary)).alias("w"))
+    # explode_outer: the filter that Spark infers for explode would cut every text into words twice
+    rows = (words.select(F.explode_outer(F.array_intersect("words", vocabulary)).alias("w")).where("w IS NOT NULL")
             .groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect())
     return {r.w: r.n for r in rows}
 
