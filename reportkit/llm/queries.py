@@ -9,6 +9,7 @@ from .common import read_table
 from .decontaminate import leaks
 from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
+from .mixing import mix
 from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -42,9 +43,14 @@ def op9_chat_formatting(spark, sf_dir):
     return digests(format_trees(conversation_nodes(told.unionByName(planted))))
 
 
+def op10_source_mixing(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return mix(docs).select("doc_id", "source", "lang", "mix_topic", "mix_words", "mix_weight", "mix_expected", "mix_copies")
+
+
 QUERIES = {f.__name__: f for f in (op2_license_scan, op4_substring_dedup, op5_benchmark_decontamination,
                                   op6_simhash_near_dedup, op7_suffix_array_dedup,
-                                  op9_chat_formatting)}
+                                  op9_chat_formatting, op10_source_mixing)}
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\0'), '[', '\1'), '<', '\2'), '>', '\3')"
 
