@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .chat import conversation_nodes, digests, format_trees
 from .common import read_table
 from .decontaminate import leaks
+from .langid import identify
 from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
 from .mixing import mix
@@ -19,6 +20,10 @@ def op2_license_scan(spark, sf_dir):
     return license_scan(read_table(spark, sf_dir, "documents")).drop("places")
 
 
+def op3_language_id(spark, sf_dir):
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark, sf_dir):
     return substring_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -48,7 +53,7 @@ def op10_source_mixing(spark, sf_dir):
     return mix(docs).select("doc_id", "source", "lang", "mix_topic", "mix_words", "mix_weight", "mix_expected", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op4_substring_dedup, op5_benchmark_decontamination,
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_language_id, op4_substring_dedup, op5_benchmark_decontamination,
                                   op6_simhash_near_dedup, op7_suffix_array_dedup,
                                   op9_chat_formatting, op10_source_mixing)}
 
