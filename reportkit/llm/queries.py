@@ -10,12 +10,17 @@ from .decontaminate import leaks
 from .langid import identify
 from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
+from .line_crf import quality
 from .mixing import mix
 from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
 
+def op1_quality_rules(spark, sf_dir):
+    return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("content")
+
+
 def op2_license_scan(spark, sf_dir):
     return license_scan(read_table(spark, sf_dir, "documents")).drop("places")
 
@@ -53,7 +58,7 @@ def op10_source_mixing(spark, sf_dir):
     return mix(docs).select("doc_id", "source", "lang", "mix_topic", "mix_words", "mix_weight", "mix_expected", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_language_id, op4_substring_dedup, op5_benchmark_decontamination,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_language_id, op4_substring_dedup, op5_benchmark_decontamination,
                                   op6_simhash_near_dedup, op7_suffix_array_dedup,
                                   op9_chat_formatting, op10_source_mixing)}
 
