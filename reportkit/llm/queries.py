@@ -15,6 +15,7 @@ from .mixing import mix
 from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
+from .wrappers import extract
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -45,6 +46,10 @@ def op7_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark, sf_dir):
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 def op9_chat_formatting(spark, sf_dir):
     told = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(
@@ -60,7 +65,7 @@ def op10_source_mixing(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_language_id, op4_substring_dedup, op5_benchmark_decontamination,
                                   op6_simhash_near_dedup, op7_suffix_array_dedup,
-                                  op9_chat_formatting, op10_source_mixing)}
+                                  op8_html_extraction, op9_chat_formatting, op10_source_mixing)}
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\0'), '[', '\1'), '<', '\2'), '>', '\3')"
 
