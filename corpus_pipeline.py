@@ -1,23 +1,57 @@
 """Corpus pipeline: stages over ``documents``, each calling one text operator.
 
-Every stage takes ``(spark, docs, sf_dir)``; ``run`` writes each stage's rows as Parquet below
-``spark.checkpoint.dir`` and rereads them as the next one's ``docs``.
+Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes each stage's rows as
+Parquet below ``spark.checkpoint.dir`` and rereads them as the next one's ``docs``. All stages but the last
+return the columns of documents.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from reportkit.llm.common import read_table, written
+from reportkit.llm.decontaminate import decontaminate
+from reportkit.llm.langid import keep_identified
+from reportkit.llm.mixing import mix
+from reportkit.llm.simhash import keep_one
 from reportkit.llm.suffix_dedup import remove_repeats
 
 
+def language_id(spark, docs, sf_dir):
+    """Documents without a language (no letters, or two languages equally near) go."""
+    return keep_identified(docs)
+
+
+def simhash_near_dedup(spark, docs, sf_dir):
+    """One document of each group of linked fingerprints stays: the one with the smallest doc_id."""
+    return keep_one(docs)
+
+
 def suffix_array_dedup(spark, docs, sf_dir):
-    """Second and later copies of any 100-byte string are cut out of the texts."""
-    return remove_repeats(docs)
+    """Later copies of 100-byte strings are cut out of the texts; n_chars follows the text."""
+    cut = remove_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
+def benchmark_decontamination(spark, docs, sf_dir):
+    """Documents that hold a benchmark item go."""
+    return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark, docs, sf_dir):
+    """Documents are drawn so that words per source, language and topic meet the target shares; undrawn ones go."""
+    return mix(docs).where("mix_copies > 0")
 
 
-STAGES = [("suffix_array_dedup", suffix_array_dedup)]
+STAGES = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
+]
 
-ORACLE_SQL = None  # the stages train, index and rake: tested against brute force instead
+ORACLE_SQL = None  # stages train a classifier and rake weights: tested against a brute-force version instead
 
 
 def run(spark, sf_dir):

@@ -48,3 +48,9 @@ def numbered(docs: DataFrame, *cols: str) -> DataFrame:
     ``written``), not be the result of a shuffle that could come out in another order.
     """
     return docs.select(F.monotonically_increasing_id().alias("_row"), *cols)
+
+
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """Columns renamed to c0, c1, ... so that no name of the input can clash; and old name -> new name."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, numbered
+from .common import lower_ascii, numbered, plain_names
 from .license_scan import WORD
 
 MASKS = ("10110111", "11101000011")
@@ -109,4 +109,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks=MASKS, overlap: int = OVE
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
     held = leaks(docs, benchmark, **how).select("_row").distinct()
-    return numbered(docs, *docs.columns).join(held, "_row", "left_anti").select(*docs.columns)
+    plain, names = plain_names(docs)
+    return numbered(plain, *names.values()).join(held, "_row", "left_anti").select(*names.values()).toDF(*names)

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import plain_names
+
 SAMPLE = 2400
 DIMS = 1 << 13
 EPOCHS = 40
@@ -223,7 +225,6 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 def keep_identified(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``docs`` without the rows that have no language: no letters, or two languages equally near."""
-    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    text = plain.columns[docs.columns.index("text")]
-    held = predict(plain.withColumn("text", F.col(text)), train(docs, sample), *plain.columns)
-    return held.where((F.col("lang_pred") != "und") & ~F.col("ambiguous")).select(*plain.columns).toDF(*docs.columns)
+    plain, names = plain_names(docs)
+    held = predict(plain.withColumn("text", F.col(names["text"])), train(docs, sample), *names.values())
+    return held.where((F.col("lang_pred") != "und") & ~F.col("ambiguous")).select(*names.values()).toDF(*names)

@@ -16,8 +16,7 @@ the mix, 0 makes all values equal). Shares are taken among values that have word
 Defined cases: null source, language or topic: a value of its own; null text: no words; documents without words get
 weight 1 and, as any other, expected copies = budget; a value without a target keeps no documents; a target
 without documents is left out; margins that no weights can meet together: the last round counts; repeated rows:
-drawn alike; empty table: no rows; clashing column names: the input's columns win in ``mix``'s own names with
-a ``mix_`` prefix.
+drawn alike; empty table: no rows; input columns named like the five that are added: replaced.
 """
 
 from __future__ import annotations
@@ -27,11 +26,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, drop_written, written
+from .common import SPACE_WORD, drop_written, plain_names, written
 
 TEMPERATURE = 0.7
 TOLERANCE = 1e-4
 ROUNDS = 100
+ADDED = ["mix_topic", "mix_words", "mix_weight", "mix_expected", "mix_copies"]
 BROADCAST_CELLS = 100_000
 
 
@@ -92,20 +92,22 @@ def mix(docs: DataFrame, targets: dict | None = None, budget: float = 1.0, topic
     share of all words.
     """
     targets = {"source": TEMPERATURE, "lang": TEMPERATURE, "topic": TEMPERATURE} | (targets or {})
+    docs = docs.drop(*ADDED)
     topic = topic_of(F.col("text")) if topic is None else topic
-    names = {"source": "_source", "lang": "_lang", "topic": "_topic"}
-    keyed = docs.withColumns({"mix_topic": topic, "mix_words": F.regexp_count(F.coalesce("text", F.lit("")), F.lit(SPACE_WORD)).cast("long")}) \
-        .withColumns({"_source": _key("source"), "_lang": _key("lang"), "_topic": _key("mix_topic")})
-    margins = list(names.values())
-    cells = written(keyed.groupBy(*margins).agg(F.sum("mix_words").alias("words")))
-    fitted = rake(cells, {names[m]: t for m, t in targets.items()}, tolerance, rounds)
+    docs = docs.withColumns({"mix_topic": topic, "mix_words": F.regexp_count(F.coalesce("text", F.lit("")), F.lit(SPACE_WORD)).cast("long")})
+    plain, names = plain_names(docs)
+    margin = {"source": "_source", "lang": "_lang", "topic": "_topic"}
+    keyed = plain.withColumns({"_source": _key(names["source"]), "_lang": _key(names["lang"]), "_topic": _key(names["mix_topic"])})
+    margins, words = list(margin.values()), names["mix_words"]
+    cells = written(keyed.groupBy(*margins).agg(F.sum(words).alias("words")))
+    fitted = rake(cells, {margin[m]: t for m, t in targets.items()}, tolerance, rounds)
     total = cells.agg(F.sum("words")).first()[0] or 0
     weights = fitted.select(*margins, F.when(F.col("words") > 0, F.col("fitted") * F.lit(float(total)) / F.col("words"))
                             .otherwise(F.lit(1.0)).alias("mix_weight"))
     if weights.count() <= BROADCAST_CELLS:
         weights = F.broadcast(weights)
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52))
+    u = F.pmod(F.xxhash64(F.lit(seed), names["doc_id"], names["text"]), F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52))
     expected = F.col("mix_weight") * F.lit(float(budget))
     return keyed.join(weights, margins).select(
-        *docs.columns, "mix_topic", "mix_words", "mix_weight", expected.alias("mix_expected"),
-        F.floor(expected + u).cast("long").alias("mix_copies"))
+        *names.values(), "mix_weight", expected.alias("mix_expected"), F.floor(expected + u).cast("long").alias("mix_copies")) \
+        .toDF(*names, *ADDED[2:])

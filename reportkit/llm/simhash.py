@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, numbered, written
+from .common import numbered, plain_names, written
 from .components import connected_components
 
 SHINGLE = 3
@@ -197,4 +197,5 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS, hot:
     """The row with the smallest doc_id of each group (null ids last, then file order), all columns."""
     _, tops = _groups(docs, shingle, bits, hot)
     stay = tops.select(F.col("top._row").alias("_row")).distinct()
-    return numbered(docs, *docs.columns).join(stay, "_row", "left_semi").select(*docs.columns)
+    plain, names = plain_names(docs)
+    return numbered(plain, *names.values()).join(stay, "_row", "left_semi").select(*names.values()).toDF(*names)

@@ -22,6 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from . import repeats
+from .common import plain_names
 
 LENGTH = 100
 GRAM = 24
@@ -134,6 +135,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
         kept = cut(text, lo, hi, missing)[4]
         return (None if kept is None else kept.decode("utf-8", "ignore"),)
 
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    return repeats.apply_spans(docs, _spans(docs, length, gram, hot_runs), finish, "text string", "text", *others) \
-        .select(*docs.columns)
+    plain, names = plain_names(docs)
+    back = {names["doc_id"]: "doc_id", names["text"]: "text"}
+    renamed = plain.withColumnsRenamed(back)
+    order = [back.get(c, c) for c in names.values()]
+    others = [c for c in order if c not in ("doc_id", "text")]
+    return repeats.apply_spans(renamed, _spans(docs, length, gram, hot_runs), finish, "text string", "text", *others) \
+        .select(*order).toDF(*names)
