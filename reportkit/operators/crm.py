@@ -129,12 +129,12 @@ def account_360(base: DataFrame, key: str, facts: dict) -> DataFrame:
 
 
 def bookings_by_source(bookings: DataFrame, id_col: str, next_col: str, is_new, booked_at: str,
-                       source: str, outcome, final_ts: str, max_hops: int = 50) -> DataFrame:
-    """Each new booking followed through its reschedule chain (R2, capped) to the
+                       source: str, outcome, final_ts: str) -> DataFrame:
+    """Each new booking followed through its reschedule chain (R2) to the
     final record; per booking month x source x final outcome: bookings, reschedules,
     lead time (hours, from the original booking to the final record)."""
     from .timegrid import follow_chain
-    ch = follow_chain(bookings.select(id_col, next_col), id_col, next_col, max_hops)
+    ch = follow_chain(bookings.select(id_col, next_col), id_col, next_col)
     start = bookings.where(is_new).select(F.col(id_col).alias("id"), F.col(booked_at).alias("_booked"),
                                           F.coalesce(F.col(source).cast("string"), F.lit("(not set)")).alias("source"))
     fin = bookings.select(F.col(id_col).alias("final_id"), outcome.alias("final_outcome"), F.col(final_ts).alias("_fts"))

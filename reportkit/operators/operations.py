@@ -134,7 +134,9 @@ def headcount(spans: DataFrame, person: str, org: str, start: str, end: str, as_
     s, e = F.to_date(F.col(start).cast("timestamp")), F.to_date(F.col(end).cast("timestamp"))
     cols = [person] + ([org] if history is None else [])
     p = spans.select(*cols, s.alias("_s"), e.alias("_e"))
-    months = F.sequence(F.trunc("_s", "month"), F.trunc(F.least(F.coalesce(F.add_months("_e", 1), a), a), "month"),
+    p = p.where(F.col("_s") <= F.last_day(a))  # a later start has no month on the report yet
+    months = F.sequence(F.trunc("_s", "month"),
+                        F.greatest(F.trunc("_s", "month"), F.trunc(F.least(F.coalesce(F.add_months("_e", 1), a), a), "month")),
                         F.expr("INTERVAL 1 MONTH"))
     ex = p.select(*cols, "_s", "_e", F.explode(months).alias("month"))
     if history is not None:

@@ -27,7 +27,8 @@ def densify(facts: DataFrame, entity, period: str, measures: list[str], end=None
     """Entity x period grid, each entity from its own first period to ``end``.
 
     ``facts`` hold at most one row per (entity, period). ``end``: literal / Column
-    (e.g. ``as_of``), or None = the data's global max period.
+    (e.g. ``as_of``), or None = the data's global max period. A fact after ``end`` extends
+    its entity's grid, so none is dropped.
 
     Single pass over ``facts``: fact rows inside the grid are kept, and the entity's first row
     (found with a window per entity, bounded by its periods) also emits the whole
@@ -47,13 +48,15 @@ def densify(facts: DataFrame, entity, period: str, measures: list[str], end=None
         f = f.crossJoin(F.broadcast(gmax))  # one-row relation
     else:
         f = f.withColumn("_e", end if isinstance(end, Column) else F.lit(end).cast("date"))
-    e = F.greatest(F.col("_e"), F.col("_s")) if end_floor_to_start else F.col("_e")
+    f = f.withColumn("_last", F.max(period).over(Window.partitionBy(*ent)))
+    e = F.greatest("_e", "_last")
+    e = F.greatest(e, F.col("_s")) if end_floor_to_start else e
     # the entity's first fact row carries the grid (one per entity, even with a start override)
     f = f.withColumn("_first", F.row_number().over(Window.partitionBy(*ent).orderBy(period)) == 1)
     first = F.col("_first")
     ptype = f.schema[period].dataType.simpleString()
     grid = F.when(first, F.sequence(F.col("_s"), e, _step(step))).otherwise(F.array().cast(f"array<{ptype}>"))
-    in_grid = (F.col(period) >= F.col("_s")) & (F.col(period) <= e)  # facts outside the grid are dropped
+    in_grid = F.col(period) >= F.col("_s")  # facts before an explicit start are not part of the grid
     items = F.concat(
         F.when(in_grid, F.array(F.struct(F.col(period).alias("p"), F.lit(True).alias("is_fact"))))
         .otherwise(F.array().cast(f"array<struct<p:{ptype},is_fact:boolean>>")),
@@ -82,97 +85,65 @@ def events_from_timestamps(df: DataFrame, ts_measures: dict, keys: list[str],
             .agg(*[F.count_if(F.col("_e.m") == m).alias(m) for m in ts_measures.values()]))
 
 
-def flatten_tree(df: DataFrame, id_col: str, parent_col: str, name_col: str,
-                 max_depth: int = 10, sep: str = " > ") -> DataFrame:
+def _double(table: DataFrame, combine) -> DataFrame:
+    """Pointer doubling to a fixed point.
+
+    ``table`` has ``s`` (node), ``a`` (the node its pointer reached, NULL once it has
+    settled) and payload columns. Each round joins the rows that still move with the
+    table itself, so a pointer covers twice the distance: log2(longest chain) rounds, each
+    checkpointed into the shared checkpoint dir so the plan stays linear. A pointer that
+    still moves after more steps than there are nodes is in a loop or leads into one;
+    such rows keep a non-NULL ``a``.
+    """
+    table = cut_lineage(table)
+    nodes, steps = table.count(), 1
+    while steps <= nodes and not table.where("a IS NOT NULL").isEmpty():
+        x = table.where("a IS NOT NULL").alias("x")
+        moved = x.join(table.alias("y"), F.col("x.a") == F.col("y.s"), "left")
+        table = cut_lineage(table.where("a IS NULL").unionByName(
+            moved.select(F.col("x.s").alias("s"), F.col("y.a").alias("a"), *combine)))
+        steps *= 2
+    return table
+
+
+def flatten_tree(df: DataFrame, id_col: str, parent_col: str, name_col: str, sep: str = " > ") -> DataFrame:
     """Walk parent pointers to the root; path root->node, depth, root id.
 
-    Pointer doubling, like ``follow_chain``: table k holds, for every node, the
-    first 2^k nodes of its ancestor chain (ids and names, at most ``max_depth``
-    long) and the node 2^k steps up; table k+1 joins table k with itself. The walk
-    then takes exactly ``max_depth`` nodes as a sum of powers of two, so a cycle
-    or a chain deeper than the cap yields a capped row (``depth_capped``), never an
-    error. O(log max_depth) joins; every table is checkpointed into the shared
-    checkpoint dir so the plan stays linear. A missing parent ends the chain.
+    Pointer doubling (``_double``) over the ancestor chains, of any depth. A missing
+    parent ends the chain. Nodes on or below a loop have no root: ``in_loop`` is true and
+    root, path and depth are NULL.
     """
     nodes = df.select(F.col(id_col).alias("s"), F.col(parent_col).alias("p"), F.col(name_col).alias("nm"))
     ids = nodes.select(F.col("s").alias("p"), F.lit(True).alias("_ok")).distinct()
-    t0 = (nodes.join(ids, "p", "left")
-          .select("s", F.when(F.col("_ok"), F.col("p")).alias("a"),
-                  F.array(F.col("s")).alias("ids"), F.array(F.col("nm")).alias("names")))
-    tables = [cut_lineage(t0)]
-    k = 1
-    while (1 << k) <= max_depth:
-        prev_t = tables[-1]
-        x, y = prev_t.alias("x"), prev_t.alias("y")
-        j = x.join(y, F.col("x.a") == F.col("y.s"), "left")
-        nxt = j.select(F.col("x.s").alias("s"),
-                       F.when(F.col("x.a").isNull(), F.lit(None)).otherwise(F.col("y.a")).alias("a"),
-                       F.when(F.col("x.a").isNull(), F.col("x.ids")).otherwise(F.concat("x.ids", "y.ids")).alias("ids"),
-                       F.when(F.col("x.a").isNull(), F.col("x.names"))
-                       .otherwise(F.concat("x.names", "y.names")).alias("names"))
-        tables.append(cut_lineage(nxt))
-        k += 1
-    cur = nodes.select(F.col("s").alias("node_id"), F.col("s").alias("a"),
-                       F.array().cast("array<string>").alias("ids"), F.array().cast("array<string>").alias("names"))
-    cur = cur.withColumns({"ids": F.col("ids").cast(t0.schema["ids"].dataType),
-                           "names": F.col("names").cast(t0.schema["names"].dataType)})
-    for k in reversed(range(len(tables))):
-        if not (max_depth >> k) & 1:
-            continue
-        tb = tables[k].alias("tb")
-        j = cur.join(tb, cur["a"] == F.col("tb.s"), "left")
-        cur = j.select("node_id",
-                       F.when(cur["a"].isNull(), F.lit(None)).otherwise(F.col("tb.a")).alias("a"),
-                       F.when(cur["a"].isNull(), cur["ids"]).otherwise(F.concat(cur["ids"], F.col("tb.ids"))).alias("ids"),
-                       F.when(cur["a"].isNull(), cur["names"])
-                       .otherwise(F.concat(cur["names"], F.col("tb.names"))).alias("names"))
+    t = (nodes.join(ids, "p", "left")
+         .select("s", F.when(F.col("_ok"), F.col("p")).alias("a"),
+                 F.array(F.col("s")).alias("ids"), F.array(F.col("nm")).alias("names")))
+    t = _double(t, [F.concat("x.ids", "y.ids").alias("ids"), F.concat("x.names", "y.names").alias("names")])
+    loop = F.col("a").isNotNull()
     path = F.reverse("names")
-    return cur.select("node_id", F.element_at("ids", -1).alias("root_id"), F.array_join(path, sep).alias("path"),
-                      F.size("names").alias("depth"), F.element_at(path, 1).alias("root_name"),
-                      F.col("a").isNotNull().alias("depth_capped"))
+
+    def rooted(c):
+        return F.when(~loop, c)
+
+    return t.select(F.col("s").alias("node_id"), rooted(F.element_at("ids", -1)).alias("root_id"),
+                    rooted(F.array_join(path, sep)).alias("path"), rooted(F.size("names")).alias("depth"),
+                    rooted(F.element_at(path, 1)).alias("root_name"), loop.alias("in_loop"))
 
 
-def follow_chain(df: DataFrame, id_col: str, next_col: str, max_hops: int = 50) -> DataFrame:
-    """R2: follow successor ids to the final record, at most ``max_hops`` hops.
+def follow_chain(df: DataFrame, id_col: str, next_col: str) -> DataFrame:
+    """R2: follow successor ids to the final record, however long the chain.
 
-    Pointer doubling: jump tables for 1, 2, 4, ... hops are built by joining the
-    previous table with itself (each level checkpointed, see below), then
-    ``max_hops`` is walked as a sum of powers of two -- O(log max_hops) joins
-    instead of one join per hop. A successor that
-    does not exist ends the chain; cycles end at the cap.
-    Returns (id, final_id, hops).
+    Returns (id, final_id, hops, in_loop). A successor that does not exist ends the chain;
+    a record in a loop, or leading into one, has no final record: ``in_loop`` is true and
+    final_id and hops are NULL.
     """
-    # the link table is read three times below (ids, first hop, walk start): materialise it once
-    base = cut_lineage(df.select(F.col(id_col).alias("s"), F.col(next_col).alias("n")))
-    ids = base.select(F.col("s").alias("n")).distinct()
-    # one-hop table: t = target after <= 1 hop, h = hops actually taken
-    one = (base.join(ids.withColumn("_ok", F.lit(True)), "n", "left")
-           .select("s", F.when(F.col("_ok"), F.col("n")).otherwise(F.col("s")).alias("t"),
-                   F.when(F.col("_ok"), 1).otherwise(0).alias("h")))
-    # every level is a self-join of the previous one: without materialising each level
-    # the plan would double per level, so levels are checkpointed into the shared
-    # spark.checkpoint.dir (reliable: survives executor loss, cuts the lineage)
-    tables = [cut_lineage(one)]
-    k = 1
-    while (1 << k) <= max_hops:
-        prev_t = tables[-1]
-        nxt = prev_t.alias("a").join(prev_t.alias("b"), F.col("a.t") == F.col("b.s"), "left").select(
-            F.col("a.s").alias("s"),
-            F.when(F.col("a.h") == (1 << (k - 1)), F.col("b.t")).otherwise(F.col("a.t")).alias("t"),
-            (F.col("a.h") + F.when(F.col("a.h") == (1 << (k - 1)), F.col("b.h")).otherwise(0)).alias("h"))
-        tables.append(cut_lineage(nxt))
-        k += 1
-    # walk max_hops as a sum of powers of two, largest first
-    cur = base.select(F.col("s").alias("id"), F.col("s").alias("t"), F.lit(0).alias("h"), F.lit(False).alias("_done"))
-    for k in reversed(range(len(tables))):
-        if not (max_hops >> k) & 1:
-            continue
-        tb = tables[k]
-        j = cur.join(tb.alias("tb"), cur["t"] == F.col("tb.s"), "left")
-        full = F.col("tb.h") == (1 << k)
-        cur = j.select(
-            "id",
-            F.when(F.col("_done"), cur["t"]).otherwise(F.coalesce(F.col("tb.t"), cur["t"])).alias("t"),
-            (cur["h"] + F.when(F.col("_done"), 0).otherwise(F.coalesce(F.col("tb.h"), F.lit(0)))).alias("h"),
-            (F.col("_done") | ~F.coalesce(full, F.lit(False))).alias("_done"))
-    return cur.select("id", F.col("t").alias("final_id"), F.col("h").alias("hops"))
+    links = cut_lineage(df.select(F.col(id_col).alias("s"), F.col(next_col).alias("n")))
+    ids = links.select(F.col("s").alias("n"), F.lit(True).alias("_ok")).distinct()
+    t = (links.join(ids, "n", "left")
+         .select("s", F.when(F.col("_ok"), F.col("n")).alias("a"),
+                 F.when(F.col("_ok"), F.col("n")).otherwise(F.col("s")).alias("t"),
+                 F.when(F.col("_ok"), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("h")))
+    t = _double(t, [F.col("y.t").alias("t"), (F.col("x.h") + F.col("y.h")).alias("h")])
+    loop = F.col("a").isNotNull()
+    return t.select(F.col("s").alias("id"), F.when(~loop, F.col("t")).alias("final_id"),
+                    F.when(~loop, F.col("h")).alias("hops"), loop.alias("in_loop"))

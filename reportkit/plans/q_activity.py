@@ -50,7 +50,7 @@ def bookings_by_source(spark, d):
     outcome = (F.when(F.col("event_type") == "error", "canceled").when(F.col("event_type") == "purchase", "completed")
                .otherwise("no_show"))
     return finalize(crm.bookings_by_source(b, "event_id", "next_event_id", F.col("event_type") == "signup", "ts",
-                                           "source", outcome, "ts", max_hops=50))
+                                           "source", outcome, "ts"))
 
 
 def meetings_daily(spark, d):
@@ -133,7 +133,7 @@ FROM customer c LEFT JOIN o ON o.o_custkey = c.c_custkey LEFT JOIN l ON l.o_cust
 WITH o AS (SELECT event_id, user_id, ts, event_type, json_extract_string(props, '$.k') AS source,
                   ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
                   COUNT(*) OVER (PARTITION BY user_id) AS n FROM events),
-s AS (SELECT o.*, LEAST(50, n - rn) AS hops FROM o WHERE event_type = 'signup'),
+s AS (SELECT o.*, n - rn AS hops FROM o WHERE event_type = 'signup'),
 f AS (SELECT s.ts AS booked, COALESCE(s.source, '(not set)') AS source, s.hops, e.ts AS fts,
              CASE WHEN e.event_type = 'error' THEN 'canceled' WHEN e.event_type = 'purchase' THEN 'completed'
                   ELSE 'no_show' END AS final_outcome

@@ -45,7 +45,7 @@ def area_tree(spark, d):
              .unionByName(c.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("id"),
                                    F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("parent_id"),
                                    F.col("c_name").alias("name"))))
-    return flatten_tree(nodes, "id", "parent_id", "name", max_depth=10)
+    return flatten_tree(nodes, "id", "parent_id", "name")
 
 
 def region_revenue_month(spark, d):
@@ -96,7 +96,7 @@ walk AS (
   SELECT id AS node_id, parent_id AS nxt, id AS root_id, [name] AS path, 1 AS depth FROM nodes
   UNION ALL
   SELECT w.node_id, n.parent_id, n.id, list_prepend(n.name, w.path), w.depth + 1
-  FROM walk w JOIN nodes n ON n.id = w.nxt WHERE w.depth < 10),
+  FROM walk w JOIN nodes n ON n.id = w.nxt),
 deepest AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY node_id ORDER BY depth DESC) AS rn FROM walk)
 """
 
@@ -151,7 +151,7 @@ SELECT l_linestatus, {sql_date('date')} AS date, COUNT(*) FILTER (WHERE m = 'o')
        COUNT(*) FILTER (WHERE m = 's') AS lines_shipped FROM ev GROUP BY l_linestatus, date
 """,
     "area_tree": _TREE + """
-SELECT node_id, root_id, array_to_string(path, ' > ') AS path, depth, path[1] AS root_name, nxt IS NOT NULL AS depth_capped
+SELECT node_id, root_id, array_to_string(path, ' > ') AS path, depth, path[1] AS root_name, false AS in_loop
 FROM deepest WHERE rn = 1
 """,
     "region_revenue_month": _TREE + f"""

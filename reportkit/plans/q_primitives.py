@@ -13,7 +13,6 @@ from ..operators.timegrid import follow_chain
 from ..operators.windows import rank_within, seq_neighbors, share_of
 from .common import load
 
-CHAIN_HOPS = 50
 LINK_PATTERN = 'href="([^"]+)"'
 
 
@@ -22,7 +21,7 @@ def event_chains(spark, d):
     # successor = the user's next event; found per user x day, then across days
     links = seq_neighbors(e, "user_id", ["ts", "event_id"], ["event_id"], F.date_trunc("hour", "ts"), prev_prefix=None)
     links = links.select("event_id", "next_event_id")
-    return follow_chain(links, "event_id", "next_event_id", max_hops=CHAIN_HOPS)
+    return follow_chain(links, "event_id", "next_event_id")
 
 
 def event_props(spark, d):
@@ -77,11 +76,11 @@ m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) A
 SELECT strftime(cal.month, '%Y-%m-%d') AS month, COALESCE(m.orders, 0) AS orders FROM cal LEFT JOIN m USING (month)
 """,
     # the chain along one user's events is linear, so the walk's end is a positional lookup
-    "event_chains": f"""
+    "event_chains": """
 WITH o AS (SELECT event_id, user_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
                   COUNT(*) OVER (PARTITION BY user_id) AS n FROM events),
-t AS (SELECT o.event_id AS id, CAST(LEAST({CHAIN_HOPS}, o.n - o.rn) AS INTEGER) AS hops, o.user_id, o.rn FROM o)
-SELECT t.id, o2.event_id AS final_id, t.hops FROM t JOIN o o2 ON o2.user_id IS NOT DISTINCT FROM t.user_id
+t AS (SELECT o.event_id AS id, o.n - o.rn AS hops, o.user_id, o.rn FROM o)
+SELECT t.id, o2.event_id AS final_id, t.hops, false AS in_loop FROM t JOIN o o2 ON o2.user_id IS NOT DISTINCT FROM t.user_id
   AND o2.rn = t.rn + t.hops
 """,
     "event_props": """

@@ -63,12 +63,14 @@ def test_classify_movement_order(spark):
     assert got == [("new", 10.0), ("expansion", 5.0), ("contraction", -10.0), ("churn", -5.0), ("reactivation", 7.0)]
 
 
-def test_follow_chain_caps_cycles_and_stops_at_missing(spark):
-    rows = [(1, 2), (2, 3), (3, None), (4, 5), (5, 4), (6, 99)]
+def test_follow_chain_has_no_cap_and_flags_loops(spark):
+    rows = [(1, 2), (2, 3), (3, None), (4, 5), (5, 4), (6, 99), (7, 4)] + [(i, i + 1) for i in range(100, 300)] + [(300, None)]
     df = spark.createDataFrame(rows, "id int, nxt int")
-    got = {r.id: (r.final_id, r.hops) for r in follow_chain(df, "id", "nxt", max_hops=5).collect()}
-    assert got[1] == (3, 2) and got[3] == (3, 0) and got[6] == (6, 0)
-    assert got[4] == (5, 5) and got[5] == (4, 5)  # a loop ends at the cap
+    got = {r.id: (r.final_id, r.hops, r.in_loop) for r in follow_chain(df, "id", "nxt").collect()}
+    assert got[1] == (3, 2, False) and got[3] == (3, 0, False) and got[6] == (6, 0, False)
+    assert got[100] == (300, 200, False) and got[299] == (300, 1, False)
+    assert got[4] == got[5] == got[7] == (None, None, True)
+    assert follow_chain(df.limit(0), "id", "nxt").count() == 0
 
 
 def test_flatten_tree_orphan_and_depth(spark):
@@ -188,11 +190,14 @@ def test_recommended_conf_sizes_partitions():
     assert int(recommended_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
 
 
-def test_flatten_tree_cycle_is_capped(spark):
-    rows = [("a", "b", "A"), ("b", "a", "B"), ("r", None, "R"), ("x", "r", "X")]
-    got = {r.node_id: (r.depth, r.depth_capped, r.path) for r in flatten_tree(
-        spark.createDataFrame(rows, "id string, p string, n string"), "id", "p", "n", max_depth=5).collect()}
-    assert got["a"] == (5, True, "A > B > A > B > A") and got["x"] == (2, False, "R > X")
+def test_flatten_tree_deep_and_loop(spark):
+    rows = [("a", "b", "A"), ("b", "a", "B"), ("c", "a", "C"), ("r", None, "R"), ("x", "r", "X")]
+    rows += [(f"d{i}", f"d{i - 1}" if i else None, str(i)) for i in range(30)]
+    got = {r.node_id: (r.root_id, r.depth, r.in_loop, r.path) for r in flatten_tree(
+        spark.createDataFrame(rows, "id string, p string, n string"), "id", "p", "n").collect()}
+    assert got["a"] == got["b"] == got["c"] == (None, None, True, None)
+    assert got["x"] == ("r", 2, False, "R > X")
+    assert got["d29"] == ("d0", 30, False, " > ".join(map(str, range(30))))
 
 
 def test_fused_prev_and_next_when_equals_separate(spark):

@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from reportkit.plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
+
 
 # queries that must read each raw table exactly once
 ONE_SCAN = ["sales_over_time", "sessions", "active_users_daily", "trial_balance", "mrr_by_customer_month",
