@@ -81,7 +81,8 @@ def pick_last(c, by) -> Column:
 def string_list(c, sep: str = ", ", by=None, distinct: bool = False) -> Column:
     """Ordered delimited list (``by`` defaults to the value itself)."""
     b = c_(by) if by is not None else c_(c)
-    items = F.collect_list(F.when(c_(c).isNotNull(), F.struct(b.alias("k"), c_(c).cast("string").alias("v"))))
+    item = F.when(c_(c).isNotNull(), F.struct(b.alias("k"), c_(c).cast("string").alias("v")))
+    items = F.collect_set(item) if distinct else F.collect_list(item)
     vals = F.transform(F.array_sort(items), lambda x: x["v"])
     if distinct:
         vals = F.array_distinct(vals)

@@ -158,12 +158,10 @@ def make_key(*cols, sep: str = ":") -> Column:
 
 # --- P16 parse clock text ----------------------------------------------------
 def parse_hhmm(c) -> Column:
-    """``h:mm`` / ``hh:mm`` text -> minutes; anything else -> NULL."""
-    v = F.trim(c_(c))
-    ok = v.rlike(r"^[0-9]{1,3}:[0-5][0-9]$")
-    parts = F.split(v, ":")
-    mins = parts.getItem(0).try_cast("int") * 60 + parts.getItem(1).try_cast("int")
-    return F.when(ok, mins)
+    """Digits, a colon and one or two digits -> minutes (``1:5``, ``1000:00`` and ``12:75``
+    count as written); anything else -> NULL."""
+    v, clock = c_(c), r"^\s*(\d+):(\d{1,2})\s*$"
+    return F.regexp_extract(v, clock, 1).try_cast("int") * 60 + F.regexp_extract(v, clock, 2).try_cast("int")
 
 
 # --- F2 / F3 / F6 predicates -------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import c_, classify, ratio, rnd
-from .joins import asof_join, merge_full, range_join
+from .joins import asof_join, join_ns, merge_full, range_join
 from .windows import pick_one
 
 
@@ -241,12 +241,13 @@ def order_fulfillment(orders: DataFrame, lines: DataFrame, order_key: str, order
 
 def order_book(lines: DataFrame, keys: list[str], ordered: str, shipped: str, invoiced: str,
                promised: str | None = None, as_of=None) -> DataFrame:
-    """Ordered vs shipped vs invoiced, open quantity (floored at 0), overdue flag."""
+    """Ordered vs shipped vs invoiced; open = ordered - shipped and uninvoiced = ordered -
+    invoiced (NULL counts as 0, never below 0); overdue flag."""
     g = lines.groupBy(*keys).agg(F.sum(ordered).alias("qty_ordered"), F.sum(shipped).alias("qty_shipped"),
                                  F.sum(invoiced).alias("qty_invoiced"),
                                  *([F.min(promised).alias("promised_date")] if promised else []))
-    g = g.withColumns({"qty_open": F.greatest(F.col("qty_ordered") - F.col("qty_shipped"), F.lit(0.0)),
-                       "qty_uninvoiced": F.greatest(F.col("qty_shipped") - F.col("qty_invoiced"), F.lit(0.0))})
+    short = lambda done: F.greatest(F.coalesce("qty_ordered", F.lit(0.0)) - F.coalesce(done, F.lit(0.0)), F.lit(0.0))
+    g = g.withColumns({"qty_open": short("qty_shipped"), "qty_uninvoiced": short("qty_invoiced")})
     if promised and as_of is not None:
         a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
         g = g.withColumn("is_overdue", (F.col("qty_open") > 0) & (F.to_date("promised_date") < a))
@@ -260,7 +261,7 @@ def return_rates(shipped: DataFrame, returned: DataFrame, sku: str, date_s: str,
     m = lambda c: F.to_date(F.date_trunc("month", F.col(c).cast("timestamp")))
     s = shipped.groupBy(sku, m(date_s).alias("month")).agg(F.sum(qty_s).alias("units_shipped"))
     r = returned.groupBy(sku, m(date_r).alias("month")).agg(F.sum(qty_r).alias("units_returned"))
-    facts = s.join(r, [sku, "month"], "full")
+    facts = join_ns(s, r, [sku, "month"], "full")
     g = densify(facts, sku, "month", ["units_shipped", "units_returned"], end=end, step="month", fill=0.0)
     return g.withColumn("return_rate", rnd(ratio("units_returned", "units_shipped"), 6))
 
@@ -298,7 +299,7 @@ def claims_by_month(claims: DataFrame, base: DataFrame, dims: list[str], date: s
         F.count(F.lit(1)).alias("claims"), F.count_if(grp == "resolved").alias("resolved_claims"),
         F.count_if(grp == "open").alias("open_claims"))
     b = base.groupBy(*dims, m(base_date).alias("month")).agg(F.count(F.lit(1)).alias("base_volume"))
-    g = densify(c.join(b, dims + ["month"], "full"), dims, "month",
+    g = densify(join_ns(c, b, dims + ["month"], "full"), dims, "month",
                 ["claims", "resolved_claims", "open_claims", "base_volume"], end=end, step="month")
     return g.withColumn("claim_rate", rnd(ratio("claims", "base_volume"), 6))
 

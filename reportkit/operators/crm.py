@@ -15,9 +15,10 @@ def _l(x):
 def stage_history(changes: DataFrame, key, value: str, ts: str, as_of, stage_order: dict | None = None,
                   tiebreak: str | None = None, pipeline: str | None = None, bucket=None) -> DataFrame:
     """Change log -> stage stays: entered, exited (= next entry; an open stay ends
-    at ``as_of``), hours in stage (minutes / 60), current flag, moved backwards
-    (only inside one pipeline, by ``stage_order``). NULL values dropped; repeats
-    compressed (W8).
+    at ``as_of``), next stage, hours in stage (minutes / 60), current flag, moved backwards
+    (the stay that is left for an earlier stage by ``stage_order``, only if both are in one
+    pipeline). NULL values dropped; repeats compressed (W8). One current stay per key,
+    also when its pipeline changes.
 
     Neighbours are found with the two-level ``seq_neighbors`` (per key x hour, then
     across the key's hours), so a key with a huge change log is never sorted in one
@@ -25,27 +26,29 @@ def stage_history(changes: DataFrame, key, value: str, ts: str, as_of, stage_ord
     """
     from .windows import seq_neighbors
     keys = _l(key)
-    part = keys + ([pipeline] if pipeline else [])
     order = [ts] + ([tiebreak] if tiebreak else [])
     bk = bucket if bucket is not None else F.date_trunc("hour", F.col(ts).cast("timestamp"))
-    c = seq_neighbors(changes.where(F.col(value).isNotNull()), part, order, [value], bk,
+    c = seq_neighbors(changes.where(F.col(value).isNotNull()), keys, order, [value], bk,
                       prev_prefix="_prev_", next_prefix=None)
     c = c.where(F.col(f"_prev_{value}").isNull() | (F.col(f"_prev_{value}") != F.col(value))).drop(f"_prev_{value}")
     a = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
-    carry = [ts]
+    carry = [ts, value] + ([pipeline] if pipeline else [])
     if stage_order:
         rank = F.element_at(F.create_map(*[x for k, v in stage_order.items() for x in (F.lit(k), F.lit(v))]), F.col(value))
         c = c.withColumn("_rank", rank)
         carry.append("_rank")
-    c = seq_neighbors(c, part, order, carry, bk, prev_prefix="_p2_", next_prefix="_n2_")
-    c = c.withColumns({"entered_at": F.col(ts), "exited_at": F.col(f"_n2_{ts}")})
+    c = seq_neighbors(c, keys, order, carry, bk, prev_prefix=None, next_prefix="_n2_")
+    c = c.withColumns({"entered_at": F.col(ts), "exited_at": F.col(f"_n2_{ts}"), "next_stage": F.col(f"_n2_{value}")})
     c = c.withColumns({
         "is_current": F.col("exited_at").isNull(),
         "hours_in_stage": rnd(F.timestamp_diff("MINUTE", F.col("entered_at"),
                                                 F.coalesce(F.col("exited_at"), a)) / F.lit(60.0), 4)})
     if stage_order:
-        c = c.withColumn("moved_backwards", F.coalesce(F.col("_rank") < F.col("_p2__rank"), F.lit(False)))
-    return c.drop(*[x for x in c.columns if x.startswith("_p2_") or x.startswith("_n2_") or x == "_rank"])
+        back = F.col("_n2__rank") < F.col("_rank")
+        if pipeline:
+            back = back & (F.col(f"_n2_{pipeline}") == F.col(pipeline))
+        c = c.withColumn("moved_backwards", F.coalesce(back, F.lit(False)))
+    return c.drop(*[x for x in c.columns if x.startswith("_n2_") or x == "_rank"])
 
 
 def flow_by_period(df: DataFrame, created: str, won: str, lost: str, dims: list[str], period: str = "month",

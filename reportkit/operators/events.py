@@ -187,7 +187,8 @@ def cohort_funnel(leads: DataFrame, created: str, converted: str, won: str, dims
         F.count_if(F.col(won).isNotNull()).alias("cohort_won"))
     from .timegrid import events_from_timestamps
     act = events_from_timestamps(leads, {converted: "converted_on_day", won: "won_on_day"}, dims)
-    facts = cohort.join(act, dims + ["date"], "full")
+    from .joins import join_ns
+    facts = join_ns(cohort, act, dims + ["date"], "full")
     out = densify(facts, dims, "date", ["created", "cohort_converted", "cohort_won", "converted_on_day", "won_on_day"],
                   end=end)
     return out.withColumns({"cohort_conversion_rate": rnd(ratio("cohort_converted", "created"), 6)})

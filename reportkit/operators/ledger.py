@@ -96,7 +96,7 @@ def profit_and_loss(ledger: DataFrame, keys: list[str], date: str, amount: str,
 
 # Aging bands (days past due) and their labels, in order.
 AGING_EDGES = [0, 30, 60, 90]
-AGING_LABELS = ["Current", "1-30", "31-60", "61-90", "91+"]
+AGING_LABELS = ["Current", "1-30", "31-60", "61-90", "91 and over"]
 
 
 def aging(docs: DataFrame, due: str | None, date: str, open_amount: str, as_of,

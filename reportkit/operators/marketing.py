@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio, rnd
+from .joins import join_ns
 
 # Delivery rates recomputed from summed parts -> (numerator, denominator, scale).
 AD_RATES = {"ctr": ("clicks", "impressions", 1), "cpc": ("spend", "clicks", 1),
@@ -30,7 +31,7 @@ def ad_performance(delivery: DataFrame, dims: list[str], actions: DataFrame | No
         conv = F.col(action_col).isin(conversion_actions or ["purchase"])
         a = actions.groupBy(*dims).agg(F.count_if(conv).alias("conversions"),
                                        rnd(F.sum(F.when(conv, F.col(action_value)).otherwise(0.0)), 2).alias("conversion_value"))
-        d = d.join(a, dims, "left").fillna({"conversions": 0, "conversion_value": 0.0})
+        d = join_ns(d, a, dims, "left").fillna({"conversions": 0, "conversion_value": 0.0})
     return _rates(d, AD_RATES)
 
 
@@ -49,35 +50,33 @@ def cross_channel(channels: dict, keys: list[str], spend: str = "spend") -> Data
     return share_of(u, keys, spend, out="share_of_spend", digits=6)
 
 
+def _email_rates(out: DataFrame, roles) -> DataFrame:
+    """Delivered mails and the rates over them; a rate appears when its role was given by name."""
+    delivered = F.col("sends_total") - (F.col("bounces_total") if "bounces" in roles else F.lit(0))
+    out = out.withColumn("delivered", delivered)
+    rates = {"delivery_rate": ("sends", "delivered", "sends_total"), "opens_rate": ("opens", "opens_unique", "delivered"),
+             "clicks_rate": ("clicks", "clicks_unique", "delivered"), "clicks_to_opens_rate": ("clicks", "clicks_unique", "opens_unique"),
+             "complaint_rate": ("complaints", "complaints_total", "delivered"),
+             "unsubscribe_rate": ("unsubscribes", "unsubscribes_unique", "delivered")}
+    return out.withColumns({name: rnd(ratio(a, b), 6) for name, (role, a, b) in rates.items()
+                            if role in roles and (name != "clicks_to_opens_rate" or "opens" in roles)})
+
+
 def email_campaign_performance(facts: dict, key, user: str) -> DataFrame:
     """Per campaign totals and unique users of each message event kind, each fact
-    rolled up before the join; delivery / open / click rates."""
+    rolled up before the join. ``facts`` are named by role: sends, bounces, opens, clicks,
+    complaints, unsubscribes; delivered = sends - bounces and the rates are over delivered."""
     from .aggs import rollup_facts
     parts = {k: (df, {f"{k}_total": F.count(F.lit(1)), f"{k}_unique": F.count_distinct(user)}) for k, df in facts.items()}
-    out = rollup_facts(None, parts, key, fill=0)
-    kinds = list(facts)
-    if len(kinds) >= 3:
-        s, o, c = kinds[:3]
-        out = out.withColumns({f"{o}_rate": rnd(ratio(f"{o}_unique", f"{s}_unique"), 6),
-                               f"{c}_rate": rnd(ratio(f"{c}_unique", f"{s}_unique"), 6),
-                               f"{c}_to_{o}_rate": rnd(ratio(f"{c}_unique", f"{o}_unique"), 6)})
-    return out
+    return _email_rates(rollup_facts(None, parts, key, fill=0), set(facts))
 
 
 def email_campaign_performance_by_kind(events: DataFrame, key, user: str, kind: str, kinds: dict) -> DataFrame:
-    """D59 when sends / opens / clicks are rows of one event table: ``kinds = {name:
-    event kind}``; one scan (``rollup_kinds``), same columns and rates as
-    ``email_campaign_performance``."""
+    """D59 when the message events are rows of one table: ``kinds = {role: event kind}``;
+    one scan (``rollup_kinds``), same columns and rates as ``email_campaign_performance``."""
     from .aggs import rollup_kinds
     specs = {k: {f"{n}_total": ("count", None), f"{n}_unique": ("count_distinct", user)} for n, k in kinds.items()}
-    out = rollup_kinds(events, key, kind, specs, fill=0)
-    names = list(kinds)
-    if len(names) >= 3:
-        s, o, c = names[:3]
-        out = out.withColumns({f"{o}_rate": rnd(ratio(f"{o}_unique", f"{s}_unique"), 6),
-                               f"{c}_rate": rnd(ratio(f"{c}_unique", f"{s}_unique"), 6),
-                               f"{c}_to_{o}_rate": rnd(ratio(f"{c}_unique", f"{o}_unique"), 6)})
-    return out
+    return _email_rates(rollup_kinds(events, key, kind, specs, fill=0), set(kinds))
 
 
 def messaging_daily(events: DataFrame, kind: str, ts: str, dims: list[str], stages: list[str],
@@ -107,7 +106,7 @@ def thread_messages(messages: DataFrame, thread: str, order: list[str], text: st
     """
     from pyspark.sql.window import Window
     from .windows import seq_number
-    rec = F.array_sort(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(EMAIL_PATTERN), 0)))
+    rec = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(EMAIL_PATTERN), 0)))
     base = messages.select(*[c for c in messages.columns if c != text],
                            F.array_join(rec, ",").alias("recipient_list"), F.size(rec).alias("recipient_count"))
     if bucket is not None:
@@ -125,13 +124,13 @@ def thread_messages(messages: DataFrame, thread: str, order: list[str], text: st
 def correspondents(messages: DataFrame, dims: list[str], text: str, direction: str | None = None) -> DataFrame:
     """Messages per correspondent address x dims (sent / received split when a
     direction column is given); addresses exploded from the parsed recipients."""
-    rec = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(EMAIL_PATTERN), 0))
+    rec = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(EMAIL_PATTERN), 0))
     ex = messages.select(*dims, *([direction] if direction else []), F.explode(rec).alias("address"))
     aggs = [F.count(F.lit(1)).alias("messages")]
     if direction:
         aggs += [F.count_if(F.col(direction) == "sent").alias("sent"),
                  F.count_if(F.col(direction) == "received").alias("received")]
-    return ex.groupBy(F.lower("address").alias("address"), *dims).agg(*aggs)
+    return ex.groupBy("address", *dims).agg(*aggs)
 
 
 def campaign_roi(facts: dict, keys: list[str], cost: str | None = None, value: str | None = None) -> DataFrame:

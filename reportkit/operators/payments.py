@@ -28,14 +28,19 @@ def lifecycle(events: DataFrame, key, category: str, ts: str, amount: str, steps
     return events.groupBy(*_l(key)).agg(*aggs)
 
 
-def decision_rate(lifecycle_df: DataFrame, date: str, dims: list[str], authorised: str, refused: str) -> DataFrame:
-    """Per day x dims: payments with a decision, authorised share of decided ones."""
+def decision_rate(lifecycle_df: DataFrame, date: str, dims: list[str], authorised: str, refused: str,
+                  amount: str | None = None) -> DataFrame:
+    """Per day x dims of the first decision: decided payments, those authorised at any
+    time (a refusal first does not matter), those only refused, the authorised amount and
+    the authorised share."""
     a, r = F.col(authorised), F.col(refused)
     first_decision = F.least(a, r)  # Spark LEAST skips NULLs: the first decision that happened
     g = (lifecycle_df.where(first_decision.isNotNull())
          .groupBy(F.to_date(first_decision.cast("timestamp")).alias(date), *dims)
          .agg(F.count(F.lit(1)).alias("decided"),
-              F.count_if(a.isNotNull() & (r.isNull() | (a <= r))).alias("authorised")))
+              F.count_if(a.isNotNull()).alias("authorised"), F.count_if(a.isNull()).alias("refused"),
+              *([rnd(F.sum(F.when(a.isNotNull(), F.col(amount)).otherwise(0.0)), 2).alias("authorised_amount")]
+                if amount else [])))
     return g.withColumn("authorisation_rate", rnd(ratio("authorised", "decided"), 6))
 
 

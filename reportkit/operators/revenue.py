@@ -110,17 +110,30 @@ def mrr_time_series(subs: DataFrame, key: str, month: str, amount: str) -> DataF
                           "months_from_latest": F.row_number().over(Window.partitionBy(key).orderBy(F.col(month).desc()))})
 
 
+# Expiry reasons per churn class; any other reason (or none) is 'other'.
+CHURN_CLASSES = {
+    "voluntary": ["canceled"],
+    "involuntary": ["nonpayment", "non_payment", "tax_location_invalid"],
+    "term_ended": ["fixed_billing_cycles", "non_renewing", "nonrenewing"],
+    "trial_not_converted": ["nonpayment_trial", "nonpayment_gift"],
+}
+
+
 def subscription_churn(subs: DataFrame, key: str, ended: str, reason: str, lines: DataFrame,
-                       line_key: str, start: str, end: str, monthly: str) -> DataFrame:
-    """Ended subscriptions, voluntary / involuntary, MRR in force the day before expiry."""
+                       line_key: str, start: str, end: str, monthly: str, classes: dict | None = None) -> DataFrame:
+    """Ended subscriptions, churn class by exact reason (``classes``), MRR in force the
+    day before expiry (0 when none)."""
     from .joins import range_join
     ends = subs.where(F.col(ended).isNotNull()).withColumn("_day_before", F.date_sub(_d(ended), 1))
     ln = lines.select(F.col(line_key).alias(key), _d(start).alias("_ls"), _d(end).alias("_le"), F.col(monthly).alias("_m"))
     # distinct (key, day) points: two subscriptions ending together must not double the MRR
     m = range_join(ends.select(key, "_day_before").distinct(), ln, [key], "_day_before", "_ls", "_le", "[)")
     mrr = m.groupBy(key, "_day_before").agg(F.sum("_m").alias("mrr_before_churn"))
-    cls = F.when(F.lower(F.col(reason)).rlike("nonpayment|failed|dunning|expired_card"), "involuntary").otherwise("voluntary")
-    return ends.join(mrr, [key, "_day_before"], "left").withColumn("churn_type", cls).drop("_day_before")
+    cls = F.lit("other")
+    for name, reasons in (classes or CHURN_CLASSES).items():
+        cls = F.when(F.col(reason).isin(reasons), name).otherwise(cls)
+    out = ends.join(mrr, [key, "_day_before"], "left").withColumn("churn_type", cls).drop("_day_before")
+    return out.withColumn("mrr_before_churn", F.greatest(F.coalesce("mrr_before_churn", F.lit(0.0)), F.lit(0.0)))
 
 
 def billing_by_month(parts: dict, keys: list[str]) -> DataFrame:

@@ -91,11 +91,13 @@ def nps(df: DataFrame, score: str, dims: list[str]) -> DataFrame:
 
 
 def scale_scores(answers: DataFrame, score: str, dims: list[str], scale_max: int) -> DataFrame:
-    """Average and top-two-box share (score >= max - 1) per dims."""
-    s = F.col(score)
-    g = answers.where(s.isNotNull()).groupBy(*dims).agg(
-        F.count(F.lit(1)).alias("answers"), rnd(F.avg(score), 4).alias("avg_score"),
-        F.count_if(s >= scale_max - 1).alias("top_two_box"))
+    """Average and top-two-box share (score >= max - 1) per dims; scores above the
+    scale's maximum are counted apart."""
+    on_scale = F.when(F.col(score) <= scale_max, F.col(score))
+    g = answers.where(F.col(score).isNotNull()).groupBy(*dims).agg(
+        F.count(on_scale).alias("answers"), rnd(F.avg(on_scale), 4).alias("avg_score"),
+        F.count_if(on_scale >= scale_max - 1).alias("top_two_box"),
+        F.count_if(F.col(score) > scale_max).alias("off_scale"))
     return g.withColumn("top_two_box_share", rnd(ratio("top_two_box", "answers"), 6))
 
 
@@ -103,7 +105,8 @@ def topic_share(tags: DataFrame, record: str, topic: str, dims: list[str]) -> Da
     """Share of commenting records per topic (distinct records)."""
     tot = tags.groupBy(*dims).agg(F.count_distinct(record).alias("commenting_records"))
     g = tags.groupBy(*dims, topic).agg(F.count_distinct(record).alias("records"))
-    j = g.join(tot, dims, "left") if dims else g.crossJoin(F.broadcast(tot))
+    from .joins import join_ns
+    j = join_ns(g, tot, dims, "left") if dims else g.crossJoin(F.broadcast(tot))  # without dims: one row
     return j.withColumn("topic_share", rnd(ratio("records", "commenting_records"), 6))
 
 

@@ -23,8 +23,8 @@ SNAPSHOT_AS_OF = "2001-09-01"
 def stage_history(spark, d):
     e = load(spark, d, "events").select("user_id", "event_id", "ts", F.col("event_type").alias("stage"))
     h = crm.stage_history(e, "user_id", "stage", "ts", STAGE_AS_OF, STAGE_ORDER, tiebreak="event_id")
-    return finalize(h.select("user_id", "stage", "entered_at", "exited_at", "hours_in_stage", "is_current",
-                             "moved_backwards"))
+    return finalize(h.select("user_id", "stage", "entered_at", "exited_at", "next_stage", "hours_in_stage",
+                             "is_current", "moved_backwards"))
 
 
 def _deals(spark, d):
@@ -94,10 +94,11 @@ WITH e AS (SELECT user_id, event_id, ts, event_type AS stage FROM events WHERE e
 c AS (SELECT *, LAG(stage) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM e),
 k AS (SELECT * FROM c WHERE p IS NULL OR p <> stage),
 s AS (SELECT *, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS exited_at,
-             LAG({_rank}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_rank, {_rank} AS rnk FROM k)
+             LEAD(stage) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_stage,
+             LEAD({_rank}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_rank, {_rank} AS rnk FROM k)
 SELECT user_id, stage, {sql_ts('ts')} AS entered_at, {sql_ts('exited_at')} AS exited_at,
        ROUND(((epoch_us(COALESCE(exited_at, TIMESTAMP '{STAGE_AS_OF}')) - epoch_us(ts)) // 60000000) / 60.0, 4) AS hours_in_stage,
-       exited_at IS NULL AS is_current, COALESCE(rnk < prev_rank, FALSE) AS moved_backwards
+       next_stage, exited_at IS NULL AS is_current, COALESCE(next_rank < rnk, FALSE) AS moved_backwards
 FROM s
 """,
     "deal_flow_by_month": f"""

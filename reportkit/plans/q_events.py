@@ -178,22 +178,19 @@ SELECT CAST(user_id AS VARCHAR) || ':' || CAST(d AS VARCHAR) || ':' || CAST(seq
        FIRST(event_type ORDER BY ts, event_id) AS first_event_name
 FROM numbered GROUP BY user_id, d, seq
 """,
+    # every user-day is counted on itself and on the 27 days after it; the smallest age decides the window
     "active_users_daily": f"""
-WITH ud AS (SELECT DISTINCT CAST(ts AS DATE) AS date, user_id FROM events WHERE user_id IS NOT NULL),
-u AS (SELECT date, user_id, date = MIN(date) OVER (PARTITION BY user_id) AS is_first FROM ud),
-days AS (SELECT DISTINCT date FROM u),
-f AS (SELECT MIN(date) AS fd FROM u)
-SELECT {sql_date('d.date')} AS date,
-       COUNT(DISTINCT CASE WHEN u.date = d.date THEN u.user_id END) AS dau,
-       COUNT(DISTINCT CASE WHEN u.date > d.date - INTERVAL 7 DAY THEN u.user_id END) AS wau,
-       COUNT(DISTINCT u.user_id) AS mau,
-       COUNT(DISTINCT CASE WHEN u.date = d.date AND u.is_first THEN u.user_id END) AS new_users,
-       COUNT(DISTINCT CASE WHEN u.date = d.date AND NOT u.is_first THEN u.user_id END) AS returning_users,
-       COUNT(DISTINCT CASE WHEN u.date = d.date THEN u.user_id END)::DOUBLE / NULLIF(COUNT(DISTINCT u.user_id), 0)
-         AS dau_mau_stickiness,
-       d.date >= ANY_VALUE(f.fd) + INTERVAL 27 DAY AS is_full_window
-FROM days d CROSS JOIN f JOIN u ON u.date > d.date - INTERVAL 28 DAY AND u.date <= d.date
-GROUP BY d.date
+WITH active AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE user_id IS NOT NULL GROUP BY ALL),
+spread AS (SELECT user_id, day + CAST(age AS INTEGER) AS report_day, age FROM active, range(28) AS ages(age)),
+recent AS (SELECT report_day, user_id, MIN(age) AS age FROM spread GROUP BY ALL),
+debut AS (SELECT user_id, MIN(day) AS day FROM active GROUP BY user_id),
+per_day AS (
+  SELECT report_day, COUNT(*) FILTER (age = 0) AS dau, COUNT(*) FILTER (age < 7) AS wau, COUNT(*) AS mau,
+         COUNT(*) FILTER (age = 0 AND debut.day = report_day) AS new_users
+  FROM recent JOIN debut USING (user_id) GROUP BY report_day)
+SELECT {sql_date('report_day')} AS date, dau, wau, mau, new_users, dau - new_users AS returning_users,
+       dau / mau AS dau_mau_stickiness, report_day - (SELECT MIN(day) FROM active) >= 27 AS is_full_window
+FROM per_day WHERE dau > 0
 """,
     "event_counts_daily": f"""
 SELECT {sql_date('CAST(ts AS DATE)')} AS date, event_type AS event_name, COUNT(*) AS events,
@@ -201,20 +198,20 @@ SELECT {sql_date('CAST(ts AS DATE)')} AS date, event_type AS event_name, COUNT(*
        ROUND(COUNT(*)::DOUBLE / NULLIF(COUNT(DISTINCT user_id), 0), 6) AS events_per_user
 FROM events GROUP BY CAST(ts AS DATE), event_type
 """,
+    # users per step as a list in step order; each step reads the first and the one before it
     "funnel_daily": f"""
-WITH s AS (
-  SELECT 'signup_to_purchase' AS funnel_id, CAST(ts AS DATE) AS date,
-         CAST(CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'purchase' THEN 4 END AS INTEGER)
-           AS step_number,
-         event_type AS step_event, COUNT(DISTINCT user_id) AS users
-  FROM events WHERE event_type IN ('signup', 'view', 'click', 'purchase') AND user_id IS NOT NULL
-  GROUP BY ALL)
-SELECT funnel_id, {sql_date('date')} AS date, step_number, step_event, users,
-       FIRST_VALUE(users) OVER w AS users_entered,
-       LAG(users) OVER w - users AS drop_off,
-       ROUND(users::DOUBLE / NULLIF(LAG(users) OVER w, 0), 6) AS step_conversion,
-       ROUND(users::DOUBLE / NULLIF(FIRST_VALUE(users) OVER w, 0), 6) AS overall_conversion
-FROM s WINDOW w AS (PARTITION BY funnel_id, date ORDER BY step_number)
+WITH steps(step_number, step_event) AS (VALUES (1, 'signup'), (2, 'view'), (3, 'click'), (4, 'purchase')),
+reached AS (SELECT CAST(ts AS DATE) AS day, step_number, step_event, COUNT(DISTINCT user_id) AS users
+            FROM events JOIN steps ON step_event = event_type WHERE user_id IS NOT NULL GROUP BY ALL),
+lists AS (SELECT day, list(users ORDER BY step_number) AS users, list(step_number ORDER BY step_number) AS numbers,
+                 list(step_event ORDER BY step_number) AS names FROM reached GROUP BY day),
+rows AS (SELECT *, unnest(range(1, len(users) + 1)) AS i FROM lists)
+SELECT 'signup_to_purchase' AS funnel_id, {sql_date('day')} AS date, CAST(numbers[i] AS INTEGER) AS step_number, names[i] AS step_event,
+       users[i] AS users, users[1] AS users_entered,
+       CASE WHEN i > 1 THEN users[i - 1] - users[i] END AS drop_off,
+       CASE WHEN i > 1 THEN ROUND(users[i] / users[i - 1], 6) END AS step_conversion,
+       ROUND(users[i] / users[1], 6) AS overall_conversion
+FROM rows
 """,
     "monthly_active_users": f"""
 WITH a AS (SELECT DISTINCT CAST(date_trunc('month', ts) AS DATE) AS month_start, user_id FROM events

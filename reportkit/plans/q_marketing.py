@@ -39,7 +39,8 @@ def ad_performance_by_day(spark, d):
 
 def email_campaign_performance(spark, d):
     return mk.email_campaign_performance_by_kind(_events(spark, d), "campaign_id", "user_id", "event_type",
-                                                 {"sends": "view", "opens": "click", "clicks": "purchase"})
+                                                 {"sends": "view", "bounces": "error", "opens": "click", "clicks": "purchase",
+                                                  "unsubscribes": "signup"})
 
 
 def messaging_daily(spark, d):
@@ -104,19 +105,24 @@ FROM ad
 SELECT {sql_date('date')} AS date, impressions, clicks, spend, conversions, conversion_value, {_rates()} FROM g
 """,
     "email_campaign_performance": """
-WITH e AS (SELECT user_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS campaign_id FROM events),
-s AS (SELECT campaign_id, COUNT(*) AS sends_total, COUNT(DISTINCT user_id) AS sends_unique FROM e WHERE event_type = 'view' GROUP BY 1),
-o AS (SELECT campaign_id, COUNT(*) AS opens_total, COUNT(DISTINCT user_id) AS opens_unique FROM e WHERE event_type = 'click' GROUP BY 1),
-c AS (SELECT campaign_id, COUNT(*) AS clicks_total, COUNT(DISTINCT user_id) AS clicks_unique FROM e WHERE event_type = 'purchase' GROUP BY 1),
-k AS (SELECT campaign_id FROM s UNION SELECT campaign_id FROM o UNION SELECT campaign_id FROM c),
-j AS (SELECT k.campaign_id, COALESCE(sends_total, 0) AS sends_total, COALESCE(sends_unique, 0) AS sends_unique,
-             COALESCE(opens_total, 0) AS opens_total, COALESCE(opens_unique, 0) AS opens_unique,
-             COALESCE(clicks_total, 0) AS clicks_total, COALESCE(clicks_unique, 0) AS clicks_unique
-      FROM k LEFT JOIN s ON s.campaign_id IS NOT DISTINCT FROM k.campaign_id
-      LEFT JOIN o ON o.campaign_id IS NOT DISTINCT FROM k.campaign_id LEFT JOIN c ON c.campaign_id IS NOT DISTINCT FROM k.campaign_id)
-SELECT *, ROUND(opens_unique::DOUBLE / NULLIF(sends_unique, 0), 6) AS opens_rate,
-       ROUND(clicks_unique::DOUBLE / NULLIF(sends_unique, 0), 6) AS clicks_rate,
-       ROUND(clicks_unique::DOUBLE / NULLIF(opens_unique, 0), 6) AS clicks_to_opens_rate FROM j
+WITH e AS (SELECT user_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS campaign_id FROM events
+           WHERE event_type IN ('view', 'error', 'click', 'purchase', 'signup')),
+g AS (SELECT campaign_id,
+             COUNT(*) FILTER (event_type = 'view') AS sends_total, COUNT(DISTINCT user_id) FILTER (event_type = 'view') AS sends_unique,
+             COUNT(*) FILTER (event_type = 'error') AS bounces_total, COUNT(DISTINCT user_id) FILTER (event_type = 'error') AS bounces_unique,
+             COUNT(*) FILTER (event_type = 'click') AS opens_total, COUNT(DISTINCT user_id) FILTER (event_type = 'click') AS opens_unique,
+             COUNT(*) FILTER (event_type = 'purchase') AS clicks_total,
+             COUNT(DISTINCT user_id) FILTER (event_type = 'purchase') AS clicks_unique,
+             COUNT(*) FILTER (event_type = 'signup') AS unsubscribes_total,
+             COUNT(DISTINCT user_id) FILTER (event_type = 'signup') AS unsubscribes_unique
+      FROM e GROUP BY campaign_id)
+SELECT *, sends_total - bounces_total AS delivered,
+       ROUND((sends_total - bounces_total) / NULLIF(sends_total, 0), 6) AS delivery_rate,
+       ROUND(opens_unique / NULLIF(sends_total - bounces_total, 0), 6) AS opens_rate,
+       ROUND(clicks_unique / NULLIF(sends_total - bounces_total, 0), 6) AS clicks_rate,
+       ROUND(clicks_unique / NULLIF(opens_unique, 0), 6) AS clicks_to_opens_rate,
+       ROUND(unsubscribes_unique / NULLIF(sends_total - bounces_total, 0), 6) AS unsubscribe_rate
+FROM g
 """,
     "messaging_daily": f"""
 SELECT {sql_date('CAST(ts AS DATE)')} AS date, COUNT(*) FILTER (WHERE event_type = 'view') AS view,

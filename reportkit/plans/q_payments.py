@@ -61,7 +61,7 @@ def balance_reconciliation(spark, d):
 def authorisation_rate(spark, d):
     e = load(spark, d, "events")
     lc = pm.lifecycle(e, "user_id", "event_type", "ts", "value", ["purchase", "error"], tiebreak="event_id")
-    return finalize(pm.decision_rate(lc, "date", [], "first_purchase_at", "first_error_at"))
+    return finalize(pm.decision_rate(lc, "date", [], "first_purchase_at", "first_error_at", "purchase_amount"))
 
 
 QUERIES = {
@@ -81,14 +81,16 @@ _steps_sql = ",\n".join(
 
 ORACLE = {
     "authorisation_rate": f"""
-WITH l AS (SELECT user_id, MIN(CASE WHEN event_type = 'purchase' THEN ts END) AS a,
-                  MIN(CASE WHEN event_type = 'error' THEN ts END) AS r FROM events GROUP BY 1),
-d AS (SELECT *, CASE WHEN a IS NULL THEN r WHEN r IS NULL THEN a ELSE LEAST(a, r) END AS fd FROM l),
-g AS (SELECT CAST(fd AS DATE) AS date, COUNT(*) AS decided,
-             COUNT(*) FILTER (WHERE a IS NOT NULL AND (r IS NULL OR a <= r)) AS authorised
-      FROM d WHERE fd IS NOT NULL GROUP BY 1)
-SELECT {sql_date('date')} AS date, decided, authorised, ROUND(authorised::DOUBLE / NULLIF(decided, 0), 6) AS authorisation_rate
-FROM g
+WITH decisions AS (SELECT user_id, MIN(ts) AS first_decision, BOOL_OR(event_type = 'purchase') AS ever_authorised,
+                          ROUND(SUM(value) FILTER (event_type = 'purchase'), 2) AS amount
+                   FROM events WHERE event_type IN ('purchase', 'error') AND ts IS NOT NULL GROUP BY user_id),
+per_day AS (SELECT CAST(first_decision AS DATE) AS day, COUNT(*) AS decided, COUNT(*) FILTER (ever_authorised) AS authorised,
+                   COUNT(*) FILTER (NOT ever_authorised) AS refused,
+                   ROUND(COALESCE(SUM(amount) FILTER (ever_authorised), 0.0), 2) AS authorised_amount
+            FROM decisions GROUP BY day)
+SELECT {sql_date('day')} AS date, decided, authorised, refused, authorised_amount,
+       ROUND(authorised::DOUBLE / NULLIF(decided, 0), 6) AS authorisation_rate
+FROM per_day
 """,
     "payment_lifecycle": f"""
 SELECT user_id, {_steps_sql},

@@ -73,8 +73,7 @@ def event_nps(spark, d):
 
 
 def event_scale_scores(spark, d):
-    s = _scores(spark, d).where(F.col("score") <= 10)
-    return sp.scale_scores(s, "score", ["event_type"], scale_max=10)
+    return sp.scale_scores(_scores(spark, d), "score", ["event_type"], scale_max=10)
 
 
 def source_topic_share(spark, d):
@@ -174,8 +173,9 @@ SELECT {sql_date('month')} AS month, event_type, promoters, passives, detractors
 """,
     "event_scale_scores": """
 WITH s AS (SELECT event_type, CAST(FLOOR(value / 10) AS DOUBLE) AS score FROM events),
-g AS (SELECT event_type, COUNT(*) AS answers, ROUND(AVG(score), 4) AS avg_score, COUNT(*) FILTER (WHERE score >= 9) AS top_two_box
-      FROM s WHERE score <= 10 AND score IS NOT NULL GROUP BY 1)
+g AS (SELECT event_type, COUNT(*) FILTER (score <= 10) AS answers, ROUND(AVG(score) FILTER (score <= 10), 4) AS avg_score,
+             COUNT(*) FILTER (score BETWEEN 9 AND 10) AS top_two_box, COUNT(*) FILTER (score > 10) AS off_scale
+      FROM s WHERE score IS NOT NULL GROUP BY 1)
 SELECT *, ROUND(top_two_box::DOUBLE / NULLIF(answers, 0), 6) AS top_two_box_share FROM g
 """,
     "source_topic_share": """

@@ -44,7 +44,7 @@ def test_aging_buckets(spark):
     rows += [(100, None, 1.0), (101, asof, 0.0)]
     docs = spark.createDataFrame(rows, "id int, due date, amt double")
     got = {r.id: r.aging_bucket for r in lg.aging(docs, None, "due", "amt", "2024-03-31").collect()}
-    assert got == {0: "Current", 1: "1-30", 2: "1-30", 3: "31-60", 4: "31-60", 5: "61-90", 6: "61-90", 7: "91+",
+    assert got == {0: "Current", 1: "1-30", 2: "1-30", 3: "31-60", 4: "31-60", 5: "61-90", 6: "61-90", 7: "91 and over",
                    100: "Unknown"}
 
 

@@ -44,8 +44,8 @@ def test_stage_history_edges(spark):
     df = spark.createDataFrame(rows, "deal string, stage string, ts timestamp")
     out = crm.stage_history(df, "deal", "stage", "ts", "2024-01-06 00:00:00", {"a": 1, "b": 2}).orderBy("entered_at")
     got = [(r.stage, str(r.exited_at), r.hours_in_stage, r.is_current, r.moved_backwards) for r in out.collect()]
-    assert got == [("a", "2024-01-03 00:00:00", 48.0, False, False), ("b", "2024-01-05 00:00:00", 48.0, False, False),
-                   ("a", "None", 24.0, True, True)]
+    assert got == [("a", "2024-01-03 00:00:00", 48.0, False, False), ("b", "2024-01-05 00:00:00", 48.0, False, True),
+                   ("a", "None", 24.0, True, False)]
 
 
 def test_fx_fill_and_cross(spark):
@@ -117,3 +117,42 @@ def test_rep_activity_multi_source_equals_single_scan(spark):
     cols = ["rep", "date", "call", "mail", "total_activities"]
     assert sorted(tuple(r) for r in a.select(*cols).collect()) == sorted(tuple(r) for r in b.select(*cols).collect())
     assert a.count() == 4 + 3  # r1: Jan 1-4, r2: Jan 2-4
+
+
+def test_stage_history_pipeline_change_keeps_one_current_stage(spark):
+    rows = [("d", "p", "b", T(2024, 1, 1)), ("d", "q", "a", T(2024, 1, 2)), ("e", "p", "b", T(2024, 1, 1)), ("e", "p", "a", T(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "deal string, pipe string, stage string, ts timestamp")
+    out = crm.stage_history(df, "deal", "stage", "ts", "2024-01-06 00:00:00", {"a": 1, "b": 2}, pipeline="pipe").collect()
+    assert sorted((r.deal, r.stage, r.next_stage or "", r.is_current, r.moved_backwards) for r in out) == [
+        ("d", "a", "", True, False), ("d", "b", "a", False, False), ("e", "a", "", True, False), ("e", "b", "a", False, True)]
+
+
+def test_refused_then_authorised_counts_as_authorised(spark):
+    from reportkit.operators import payments as pm
+    df = spark.createDataFrame([(T(2024, 1, 2), T(2024, 1, 1), 5.0), (None, T(2024, 1, 1), None)], "a timestamp, r timestamp, amt double")
+    r = pm.decision_rate(df, "date", [], "a", "r", "amt").collect()
+    assert [(x.decided, x.authorised, x.refused, x.authorised_amount, x.authorisation_rate) for x in r] == [(2, 1, 1, 5.0, 0.5)]
+
+
+def test_null_dims_and_upper_case_addresses(spark):
+    from reportkit.operators import marketing as mk
+    from reportkit.operators import support as sp
+    tags = spark.createDataFrame([(1, "x", None), (2, "x", None), (2, "y", None)], "id int, topic string, dim string")
+    assert {(r.topic, r.topic_share) for r in sp.topic_share(tags, "id", "topic", ["dim"]).collect()} == {("x", 1.0), ("y", 0.5)}
+    mails = spark.createDataFrame([("m", "To A@X.COM and a@x.com")], "m string, text string")
+    assert [(r.address, r.messages) for r in mk.correspondents(mails, ["m"], "text").collect()] == [("a@x.com", 1)]
+
+
+def test_clock_text_headcount_and_facts_after_the_grid(spark):
+    import datetime as dt
+    from reportkit.functions.columns import parse_hhmm
+    from reportkit.operators import operations as op
+    from reportkit.operators.timegrid import densify
+    c = spark.createDataFrame([("1:5",), ("1000:00",), ("12:75",), (" 7:05 ",), ("7:5x",), ("",), (None,)], "t string")
+    assert [r.m for r in c.select(parse_hhmm("t").alias("m")).collect()] == [65, 60000, 795, 425, None, None, None]
+    p = spark.createDataFrame([("a", dt.date(2024, 1, 3), None, "o"), ("b", dt.date(2025, 1, 3), None, "o")],
+                              "p string, s date, e date, org string")
+    assert {(str(r.month), r.headcount_end) for r in op.headcount(p, "p", "org", "s", "e", "2024-02-10").collect()} == {
+        ("2024-01-01", 1), ("2024-02-01", 1)}
+    f = spark.createDataFrame([("k", dt.date(2024, 1, 1), 1), ("k", dt.date(2024, 1, 4), 2)], "k string, d date, v int")
+    assert sorted(r.v for r in densify(f, "k", "d", ["v"], end="2024-01-02").collect()) == [0, 0, 1, 2]
