@@ -42,13 +42,23 @@ def unique_on(dim: DataFrame, on, order=None) -> DataFrame:
             .select(*keys, "_row.*"))
 
 
+# Rows of a dimension up to which it is broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``dim`` with a broadcast hint if it really is small; unhinted (an ordinary shuffled join)
+    otherwise. At most ``max_rows + 1`` rows are counted."""
+    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
+
+
 def enrich(df: DataFrame, dim: DataFrame, on, cols: list[str] | None = None,
            prefix: str | None = None, dedupe: bool = True, small: bool = False,
            how: str = "left") -> DataFrame:
     """Left join to a dimension made unique on its key (no fan-out).
 
     ``prefix`` renames the dimension's columns (role-playing dimension joined twice).
-    ``small=True`` only for fixed-size seeds.
+    ``small=True``: broadcast if its rows are few (checked).
     """
     keys = _keys(on)
     d = dim.select(*keys, *(cols or [c for c in dim.columns if c not in keys]))
@@ -57,7 +67,7 @@ def enrich(df: DataFrame, dim: DataFrame, on, cols: list[str] | None = None,
     if prefix:
         d = d.select(*keys, *[F.col(c).alias(prefix + c) for c in d.columns if c not in keys])
     if small:
-        d = F.broadcast(d)
+        d = bounded_broadcast(d)
     return df.join(d, keys, how)
 
 
@@ -76,8 +86,9 @@ def merge_full(dfs: list[DataFrame], on, fill: dict | float | None = 0) -> DataF
 
 
 def cross_join(a: DataFrame, b: DataFrame, small: bool = False) -> DataFrame:
-    """Period x entity grid or settings row. Prefer per-entity ``densify`` for grids."""
-    return a.crossJoin(F.broadcast(b) if small else b)
+    """Period x entity grid or settings row. Prefer per-entity ``densify`` for grids.
+    ``small=True``: ``b`` is broadcast if its rows are few (checked)."""
+    return a.crossJoin(bounded_broadcast(b) if small else b)
 
 
 def range_join(a: DataFrame, b: DataFrame, on, point: str, lo: str, hi: str,

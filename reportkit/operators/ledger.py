@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import band, rnd
-from .joins import anti_join, range_join
+from .joins import anti_join, bounded_broadcast, range_join
 
 
 def _l(x):
@@ -31,7 +31,9 @@ def general_ledger(lines: DataFrame, accounts: DataFrame, account: str, debit: s
         g = range_join(accounts.select(account).withColumn("_acct_no", F.col(account).try_cast("int")),
                        groups, None, "_acct_no", "range_from", "range_to", "[]")
         acc = acc.join(g.drop("_acct_no", "range_from", "range_to"), account, "left")
-    gl = gl.join(acc, account, "left")
+    # the enriched chart of accounts is a small dimension (checked): the lines are not shuffled on
+    # their few, heavy accounts
+    gl = gl.join(bounded_broadcast(acc), account, "left")
     amount = F.col(debit) - F.col(credit)
     return gl.withColumns({"net_amount": rnd(amount, 2),
                            "natural_amount": rnd(F.when(F.col(natural_side) == "credit", -amount).otherwise(amount), 2)})

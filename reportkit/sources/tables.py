@@ -48,9 +48,13 @@ def publish(df: DataFrame, name: str, where=None, mode: str = "view",
     return out
 
 
+SEED_ROWS = 10_000
+
+
 def seed(spark: SparkSession, rows: list, schema) -> DataFrame:
-    """Small constant lookup (fixed size, safe to broadcast)."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """Small constant lookup; broadcast up to ``SEED_ROWS`` rows."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= SEED_ROWS else df
 
 
 def with_settings(df: DataFrame, **consts) -> DataFrame:
@@ -60,6 +64,8 @@ def with_settings(df: DataFrame, **consts) -> DataFrame:
 
 def cross_settings(df: DataFrame, settings: DataFrame) -> DataFrame:
     """Attach a data-derived one-row relation (e.g. spine bounds) without collect()."""
+    if settings.limit(2).count() != 1:
+        raise ValueError("settings must be exactly one row")
     return df.crossJoin(F.broadcast(settings))
 
 
