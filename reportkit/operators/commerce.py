@@ -334,3 +334,50 @@ def cap_cancelled(lines: DataFrame, cancelled: str, ordered: str) -> DataFrame:
 def sign_credit_notes(lines: DataFrame, cols: list[str], is_credit) -> DataFrame:
     """D11 variant (P12): credit notes are negative orders."""
     return lines.withColumns({c: F.when(is_credit, -F.abs(F.col(c))).otherwise(F.col(c)) for c in cols})
+
+
+def fulfillment_by_day(shipments: DataFrame, dims: list[str], shipped: str, shipment, order: str, units: str,
+                       label_cost: str, refunded, end=None) -> DataFrame:
+    """Per day x dims on a grid: shipments, orders shipped, units, labels bought and refunded, label cost
+    (refunded labels cost nothing). ``shipments`` has one row per shipped line with its label."""
+    from .timegrid import densify
+    day = F.to_date(F.col(shipped).cast("timestamp"))
+    names = ["shipments", "orders_shipped", "units_shipped", "labels", "refunded_labels", "label_cost"]
+    g = shipments.where(F.col(shipped).isNotNull()).groupBy(*dims, day.alias("date")).agg(
+        F.count_distinct(shipment).alias("shipments"), F.count_distinct(order).alias("orders_shipped"),
+        F.sum(units).alias("units_shipped"), F.count_if(~refunded).alias("labels"), F.count_if(refunded).alias("refunded_labels"),
+        rnd(F.sum(F.when(~refunded, F.col(label_cost)).otherwise(0.0)), 2).alias("label_cost"))
+    return densify(g, dims, "date", names, end=end)
+
+
+def lane_costs(shipments: DataFrame, lane: list[str], carrier: str, date: str, cost: str, weight: str, delivered: str,
+               promised: str, as_of, unknown: str = "(unknown carrier)") -> DataFrame:
+    """Per lane x carrier: first and last shipment, shipments (all, last 90 days), cost, weight, cost per shipment
+    with a cost and per kg with a weight, mean transit days, on-time rate among shipments with both dates."""
+    a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
+    day = lambda c: F.to_date(F.col(c).cast("timestamp"))
+    priced = F.col(cost).isNotNull() & (F.col(weight) > 0)
+    on_time = day(delivered) <= day(promised)
+    g = shipments.groupBy(*lane, F.coalesce(F.col(carrier), F.lit(unknown)).alias(carrier)).agg(
+        F.min(day(date)).alias("first_shipment_date"), F.max(day(date)).alias("last_shipment_date"),
+        F.count(F.lit(1)).alias("shipments"), F.count_if(day(date) >= F.date_sub(a, 90)).alias("shipments_last_90_days"),
+        F.sum(cost).alias("_cost"), F.count(cost).alias("_with_cost"), F.sum(weight).alias("weight"),
+        F.sum(F.when(priced, F.col(cost))).alias("_pc"), F.sum(F.when(priced, F.col(weight))).alias("_pw"),
+        rnd(F.avg(F.datediff(day(delivered), day(date))), 4).alias("avg_transit_days"),
+        F.count_if(on_time).alias("_on"), F.count(on_time).alias("_judged"))
+    return g.withColumns({"cost": rnd("_cost", 2), "cost_per_shipment": rnd(ratio("_cost", "_with_cost"), 4),
+                          "cost_per_kg": rnd(ratio("_pc", "_pw"), 4), "on_time_rate": rnd(ratio("_on", "_judged"), 6)}) \
+        .drop("_cost", "_with_cost", "_pc", "_pw", "_on", "_judged")
+
+
+def carrier_costs(shipments: DataFrame, dims: list[str], date: str, cost: str, weight: str, cancelled, as_of) -> DataFrame:
+    """Per dims x month on a grid to ``as_of`` or the last shipment: shipments, cancelled ones, cost, weight
+    of those not cancelled, cost per kg."""
+    from .timegrid import densify
+    a = F.trunc(F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of, "month")
+    month = F.to_date(F.date_trunc("month", F.col(date).cast("timestamp")))
+    g = shipments.where(F.col(date).isNotNull()).groupBy(*dims, month.alias("month")).agg(
+        F.count_if(~cancelled).alias("shipments"), F.count_if(cancelled).alias("cancelled_shipments"),
+        rnd(F.sum(cost), 2).alias("freight_cost"), F.sum(F.when(~cancelled, F.col(weight))).alias("weight"))
+    out = densify(g, dims, "month", ["shipments", "cancelled_shipments", "freight_cost", "weight"], end=a, step="month")
+    return out.withColumn("cost_per_kg", rnd(ratio("freight_cost", "weight"), 4))

@@ -163,3 +163,18 @@ def call_analytics(turns: DataFrame, call: str, speaker: str, text: str, speaker
         *[F.sum(F.when(F.col(speaker) == s, n).otherwise(0)).alias(f"{s}_chars") for s in speakers],
         F.count_if(F.col(text).contains("?")).alias("questions"), F.max(n).alias("longest_turn_chars"))
     return g.withColumns({f"{s}_talk_share": rnd(ratio(f"{s}_chars", "total_chars"), 6) for s in speakers})
+
+
+def outcomes_by_cohort(deals: DataFrame, created: str, dims: list[str], status: str, value: str, changed: str,
+                       won: str = "won", lost: str = "lost", open_: str = "open") -> DataFrame:
+    """Deals by month of creation x dims with their outcome so far: counts and value by status, win rate among
+    decided deals, mean days to win."""
+    s = F.col(status)
+    days = F.timestamp_diff("HOUR", F.col(created), F.col(changed)) / 24.0
+    g = deals.where(F.col(created).isNotNull()).groupBy(
+        F.to_date(F.date_trunc("month", F.col(created).cast("timestamp"))).alias("created_month"), *dims).agg(
+        F.count(F.lit(1)).alias("deals"), *[F.count_if(s == k).alias(f"{n}_deals") for n, k in (("open", open_), ("won", won), ("lost", lost))],
+        rnd(F.sum(value), 2).alias("total_value"), rnd(F.sum(F.when(s == won, F.col(value)).otherwise(0.0)), 2).alias("won_value"),
+        rnd(F.sum(F.when(s == open_, F.col(value)).otherwise(0.0)), 2).alias("open_value"),
+        rnd(F.avg(F.when(s == won, days)), 4).alias("avg_days_to_win"))
+    return g.withColumn("win_rate", rnd(ratio("won_deals", F.col("won_deals") + F.col("lost_deals")), 6))

@@ -141,3 +141,12 @@ def campaign_roi(facts: dict, keys: list[str], cost: str | None = None, value: s
     if cost and value:
         out = out.withColumn("roi", rnd(ratio(value, cost), 6))
     return out
+
+
+def message_errors(messages: DataFrame, ts: str, code: str, dims: list[str], status: str, recipient: str) -> DataFrame:
+    """Per day x dims x error code: messages with an error, failed, undelivered, distinct recipients."""
+    return (messages.where(F.col(code).isNotNull() & (F.col(code) != 0))
+            .groupBy(F.to_date(F.col(ts).cast("timestamp")).alias("date"), *dims, F.col(code).alias("error_code"))
+            .agg(F.count(F.lit(1)).alias("messages"), F.count_if(F.col(status) == "failed").alias("failed"),
+                 F.count_if(F.col(status) == "undelivered").alias("undelivered"),
+                 F.count_distinct(recipient).alias("distinct_recipients")))

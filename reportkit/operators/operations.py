@@ -257,3 +257,24 @@ def profile_activity(parts: list[DataFrame], on, share_part: list[str], share_co
     from .joins import merge_full
     from .windows import share_of
     return share_of(merge_full(parts, on, fill=0), share_part, share_col, out=f"share_of_{share_col}", digits=6)
+
+
+def cycle_times(issues: DataFrame, created: str, started: str, completed: str, due: str) -> DataFrame:
+    """Completed issues with lead time (from creation) and cycle time (from the start) in days and whether they
+    were completed after the due date."""
+    days = lambda a, b: rnd(F.timestamp_diff("SECOND", F.col(a), F.col(b)) / 86400.0, 2)
+    return issues.where(F.col(completed).isNotNull()).withColumns({
+        "completed_date": _d(completed), "lead_time_days": days(created, completed), "cycle_time_days": days(started, completed),
+        "completed_after_due_date": F.coalesce(_d(completed) > _d(due), F.lit(False))})
+
+
+def responder_load(involvement: DataFrame, incidents: DataFrame, incident: str, user: str, role: str, created: str,
+                   roles: dict, high=None) -> DataFrame:
+    """Per day of the incident x responder: distinct incidents by role (``roles = {name: role value}``) and those
+    assigned with high urgency."""
+    j = involvement.join(incidents, incident)
+    aggs = [F.count_distinct(F.when(F.col(role) == v, F.col(incident))).alias(f"incidents_{n}") for n, v in roles.items()]
+    if high is not None:
+        first = next(iter(roles.values()))
+        aggs.append(F.count_distinct(F.when((F.col(role) == first) & high, F.col(incident))).alias("high_urgency_incidents"))
+    return j.groupBy(F.to_date(F.col(created).cast("timestamp")).alias("date"), user).agg(*aggs)

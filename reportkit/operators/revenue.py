@@ -90,7 +90,8 @@ def mrr_bridge(movements: DataFrame, keys, period: str = "month", value: str = "
         amt("expansion").alias("expansion_mrr"), amt("contraction").alias("contraction_mrr"),
         amt("churn").alias("churned_mrr"), rnd(F.sum(value), 2).alias("closing_mrr"),
         F.count_if(F.col(value) > 0).alias("customers"),
-        F.count_if(t == "new").alias("new_customers"), F.count_if(t == "churn").alias("churned_customers"))
+        F.count_if(t == "new").alias("new_customers"), F.count_if(t == "churn").alias("churned_customers"),
+        F.count_if(t == "reactivation").alias("reactivated_customers"))
     return g.withColumns({
         "gross_mrr_churn_rate": rnd(ratio(-(F.col("churned_mrr") + F.col("contraction_mrr")), "opening_mrr"), 6),
         "net_mrr_retention": rnd(ratio(F.col("opening_mrr") + F.col("expansion_mrr") + F.col("contraction_mrr")
@@ -148,3 +149,26 @@ def month_end_flag(df: DataFrame, entity, date: str) -> DataFrame:
     """Last available day of each month per entity."""
     w = Window.partitionBy(*_l(entity), F.trunc(F.col(date), "month"))
     return df.withColumn("is_month_end", F.col(date) == F.max(date).over(w))
+
+
+def mrr_summary(series: DataFrame, month: str, canceled) -> DataFrame:
+    """The MRR series summed per month: new (the customer's first month), expansion, contraction, churn (the last
+    month of a canceled customer), net new MRR and its running total (one row per month)."""
+    # the first month's whole MRR is new; later months carry their change
+    change = F.when(F.col("month_number") == 1, F.col("mrr")).otherwise(F.col("mrr_change"))
+    pick = lambda when, what: rnd(F.sum(F.when(when, what).otherwise(0.0)), 2)
+    first = F.col("month_number") == 1
+    g = series.groupBy(month).agg(
+        pick(first, change).alias("new_mrr"), pick(~first & (change < 0), change).alias("contraction_mrr"),
+        pick((F.col("months_from_latest") == 1) & canceled, -F.col("mrr")).alias("churn_mrr"),
+        pick(~first & (change > 0), change).alias("expansion_mrr"))
+    g = g.withColumn("net_new_mrr", rnd(F.col("new_mrr") + F.col("contraction_mrr") + F.col("churn_mrr") + F.col("expansion_mrr"), 2))
+    w = Window.orderBy(month).rowsBetween(Window.unboundedPreceding, 0)   # calendar months only
+    return g.withColumn("mrr_total", rnd(F.sum("net_new_mrr").over(w), 2))
+
+
+def customer_churn(bridge: DataFrame, period: str = "month") -> DataFrame:
+    """Customers at the start of the period (those active or churned, less the new and returned) and the share lost."""
+    opening = F.col("customers") + F.col("churned_customers") - F.col("new_customers") - F.col("reactivated_customers")
+    return bridge.withColumn("opening_customers", opening).withColumn(
+        "customer_churn_rate", rnd(ratio("churned_customers", "opening_customers"), 6))

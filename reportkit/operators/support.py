@@ -173,3 +173,25 @@ def reviews_running(reviews: DataFrame, entity: list[str], ts: str, rating: str,
     return g.withColumns({"running_reviews": F.sum("new_reviews").over(w),
                           "running_avg_rating": rnd(ratio(F.sum("_rs").over(w), F.sum("new_reviews").over(w)), 4)}
                          ).drop("_rs")
+
+
+def ticket_times(tickets: DataFrame, messages: DataFrame, key: str, created: str, ts: str, is_reply,
+                 resolved: str, rating: str | None = None) -> DataFrame:
+    """D75 with durations: minutes from creation to the first reply and to the resolution (never
+    negative), and the latest rating given in a message."""
+    out = ticket_lifecycle(tickets, messages, key, created, ts, is_reply, resolved)
+    minutes = lambda c: F.when(F.col(c).isNotNull(),
+                               F.greatest(F.timestamp_diff("MINUTE", F.col(created), F.col(c)), F.lit(0)))
+    out = out.withColumns({"first_response_minutes": minutes("first_reply_at"), "resolution_minutes": minutes(resolved)})
+    if rating:
+        last = messages.where(F.col(rating).isNotNull()).groupBy(key).agg(F.max_by(rating, ts).alias("latest_rating"))
+        out = out.join(last, key, "left")
+    return out
+
+
+def one_touch(tickets: DataFrame, dims: list[str], replies: str, resolved: str, period: str = "month") -> DataFrame:
+    """Per period of resolution x dims: solved tickets and the share solved with at most one reply."""
+    when = F.to_date(F.date_trunc(period, F.col(resolved).cast("timestamp"))).alias(period)
+    g = tickets.where(F.col(resolved).isNotNull()).groupBy(when, *dims).agg(
+        F.count(F.lit(1)).alias("solved"), F.count_if(F.coalesce(replies, F.lit(0)) <= 1).alias("one_touch"))
+    return g.withColumn("one_touch_rate", rnd(ratio("one_touch", "solved"), 6))

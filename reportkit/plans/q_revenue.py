@@ -56,7 +56,7 @@ def mrr_movements(spark, d):
 
 def mrr_bridge(spark, d):
     m = rv.classify_movement(_mrr(spark, d).withColumn("currency", F.lit("USD")), ["o_custkey", "currency"])
-    return finalize(rv.mrr_bridge(m, ["currency"]))
+    return finalize(rv.customer_churn(rv.mrr_bridge(m, ["currency"])))
 
 
 def billing_by_month(spark, d):
@@ -206,10 +206,13 @@ FROM mov
           ROUND(SUM(CASE WHEN movement_type = 'churn' THEN movement_amount ELSE 0.0 END), 2) AS churned_mrr,
           ROUND(SUM(mrr), 2) AS closing_mrr, COUNT(*) FILTER (WHERE mrr > 0) AS customers,
           COUNT(*) FILTER (WHERE movement_type = 'new') AS new_customers,
-          COUNT(*) FILTER (WHERE movement_type = 'churn') AS churned_customers
+          COUNT(*) FILTER (WHERE movement_type = 'churn') AS churned_customers,
+          COUNT(*) FILTER (WHERE movement_type = 'reactivation') AS reactivated_customers,
+          COUNT(*) FILTER (WHERE opening_mrr > 0) AS opening_customers
         FROM mov GROUP BY month)
 SELECT {sql_date('month')} AS month, currency, opening_mrr, new_mrr, reactivation_mrr, expansion_mrr, contraction_mrr,
-       churned_mrr, closing_mrr, customers, new_customers, churned_customers,
+       churned_mrr, closing_mrr, customers, new_customers, churned_customers, reactivated_customers, opening_customers,
+       ROUND(churned_customers / NULLIF(opening_customers, 0), 6) AS customer_churn_rate,
        ROUND(-(churned_mrr + contraction_mrr) / NULLIF(opening_mrr, 0), 6) AS gross_mrr_churn_rate,
        ROUND((opening_mrr + expansion_mrr + contraction_mrr + churned_mrr) / NULLIF(opening_mrr, 0), 6) AS net_mrr_retention
 FROM g
