@@ -122,7 +122,7 @@ def contribution_margin(parts: list[DataFrame], keys: list[str], cost: DataFrame
     the day (``[from, to)``); margin NULL when no cost is known.
 
     ``subset_parts = [(df, subset_keys)]`` are full-outer joined afterwards on fewer
-    keys (reimbursements carry no marketplace): like the reference, such a row meets
+    keys (reimbursements carry no marketplace): such a row meets
     every merged row sharing its subset key, and stands alone (other keys NULL) when
     none does.
     """

@@ -89,7 +89,7 @@ def period_change(df: DataFrame, part, order: str, cols: list[str], calendar: st
 
     ``calendar='month'``: the previous value counts only when the previous row is
     exactly the previous calendar month (a gap month gives NULL rather than the
-    older row) -- the calendar self-join of the reference, done as one gap-guarded
+    older row) -- a calendar self-join, done as one gap-guarded
     LAG so the input is read once.
     """
     part = _l(part)

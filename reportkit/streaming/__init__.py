@@ -1,5 +1,4 @@
-"""The reference has no streaming constructs; late data is handled by re-running the
-batch report and keeping the newest generation. ``incremental`` offers exactly that
-on Structured Streaming."""
+"""Late data is handled by re-running the batch report and keeping the newest generation;
+``incremental`` does that on Structured Streaming."""
 
 from .incremental import append_generations, latest_generation  # noqa: F401

@@ -50,7 +50,7 @@ def main():
                            if re.search(r"(?<![A-Za-z0-9_])" + re.escape(c) + r"\(", src)})
         return mods
     readme = open(os.path.join(ROOT, "README.md")).read()
-    table = readme[readme.index("## Registered queries"):readme.index("## Design for scale")]
+    table = readme[readme.index("## Registered report queries"):readme.index("## Design for scale")]
     queries: dict[str, list[str]] = {}
     for line in table.splitlines():
         for q, ids in re.findall(r"([a-z0-9_]+(?: \+ [a-z0-9_]+)?) \(([^)]*)\)", line):
