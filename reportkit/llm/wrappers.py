@@ -51,14 +51,16 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 WORDS_OUTSIDE = frozenset(
     "nav navbar navigation menu sidebar footer masthead ad ads advert advertisement advertising adverts sponsor sponsored promo cookie cookies "
     "consent notice notices alert popup modal newsletter subscribe signup login search share social comment comments reply replies respond "
-    "disqus related recommended breadcrumb breadcrumbs pagination pager widget toolbar skip copyright banner".split())
+    "disqus related recommended breadcrumb breadcrumbs pagination pager widget toolbar skip copyright banner adbox adslot adsense "
+    "disclaimer gdpr overlay topbar".split())
+STARTS_OUTSIDE = ("comment", "advert", "sponsor", "cookie", "newsletter", "breadcrumb", "sidebar", "navigat", "footer")
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p "
     "pre section table ul".split())
 
 
 def _kind(name: str, attrs: str, inside: bool) -> str:
-    """'out' for a region that is not article, 'main' for the article region, else ''."""
+    """'out' for a region that is not article, 'article' or 'main' for the article region, else ''."""
     if name in OUTSIDE or (name == "header" and not inside):
         return "out"
     found = ATTRIBUTE.findall(attrs) if "=" in attrs else ()
@@ -73,10 +75,12 @@ def _kind(name: str, attrs: str, inside: bool) -> str:
             style = value.replace(" ", "")
         elif key == "aria-hidden" and value == "true":
             return "out"
-    if role in ROLES or words & WORDS_OUTSIDE or (not inside and "header" in words) or "display:none" in style \
+    if role in ROLES or words & WORDS_OUTSIDE or any(w.startswith(STARTS_OUTSIDE) for w in words) or (not inside and "header" in words) or "display:none" in style \
             or re.search(r"(?:^|\s)hidden(?:\s|$)", attrs):
         return "out"
-    if name in ("article", "main") or role == "main":
+    if name == "article":
+        return "article"
+    if name == "main" or role == "main":
         return "main"
     return ""
 
@@ -85,10 +89,11 @@ def read(page: str):
     """(tokens, blocks) of a page.
 
     tokens: block tags and ``#`` in page order. blocks: (place in tokens, text, text under links, kind, container), where kind is
-    'main', 'out' or '' and container the place of the innermost open tag that is not a paragraph.
+    as in ``_kind`` and container the place of the innermost open tag that is not a paragraph.
     """
     tokens, blocks, stack = [], [], []       # stack: (name, kind for what is inside, place)
     buf, linked, in_link = [], 0, False
+    hidden, depth = None, 0                   # inside an inline element that is not article (an advert, say)
     pos, end = 0, len(page)
 
     def kind():
@@ -111,19 +116,27 @@ def read(page: str):
         name = m.group(2)
         if name is None:
             part = m.group(0)
-            if part[0] != "<" or part == "<":
+            if (part[0] != "<" or part == "<") and hidden is None:
                 buf.append(part)
                 if in_link:
                     linked += len(part)
             continue
         name, closing = name.lower(), bool(m.group(1))
         if name in INLINE:
+            if hidden is not None:
+                depth += (name == hidden) * (-1 if closing else 1)
+                hidden = hidden if depth else None
+                continue
+            if not closing and name not in VOID and m.group(3) and _kind(name, m.group(3), kind() in ("main", "article")) == "out":
+                hidden, depth = name, 1
+                continue
             if name == "a":
                 in_link = not closing
             elif name == "br":
                 buf.append(" ")
             continue
         close_block()
+        hidden = None
         if name in RAW:
             if not closing and name != "head" and not m.group(3).endswith("/"):
                 stop = re.compile(rf"</{name}(?=[\s>/])", re.I).search(page, pos)
@@ -143,9 +156,9 @@ def read(page: str):
             stack.pop()
             tokens.append("/" + name)
         outer = kind()
-        own = _kind(name, m.group(3), outer == "main")
-        inner = "out" if "out" in (outer, own) else own or outer
-        tokens.append(name + {"out": "!", "main": "*"}.get(own, ""))
+        own = _kind(name, m.group(3), outer in ("main", "article"))
+        inner = next((k for k in ("out", "article", "main") if k in (outer, own)), "")
+        tokens.append(name + {"out": "!", "main": "*", "article": "*"}.get(own, ""))
         if name not in VOID and not m.group(3).endswith("/"):
             stack.append((name, inner, len(tokens) - 1))
     close_block()
@@ -232,7 +245,7 @@ def layouts(pages: DataFrame) -> DataFrame:
             count: Counter = Counter()
             for url, page in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
                 folded, _, blocks = _stream(page)
-                count[host_of(url), json.dumps(folded), not any(k[3] == "main" for k in blocks)] += 1
+                count[host_of(url), json.dumps(folded), not any(k[3] in ("main", "article") for k in blocks)] += 1
             if count:
                 hosts, streams, bare = zip(*count)
                 yield pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(streams), pa.array(bare), pa.array(list(count.values()), pa.int64())],
@@ -347,8 +360,8 @@ def _main_text(page: str | None, wrapper: str, inner, drop) -> str:
         return ""
     blocks = slotted(page, wrapper)
     slots = _article_slots(wrapper)
-    nested = any(b[3] == "main" for b in blocks)
-    main = [t for s, t, _, kind, _ in blocks if kind == "main" or (not nested and kind != "out" and s in slots)]
+    region = next((k for k in ("article", "main") if any(b[3] == k for b in blocks)), None)
+    main = [t for s, t, _, kind, _ in blocks if (kind == region if region else kind != "out" and s in slots)]
     if not main:
         left = [(s, t, c) for s, t, _, kind, c in blocks if kind != "out"]
         if inner is not None:

@@ -106,8 +106,8 @@ def test_pages_match_their_articles(spark):
 
 PAGE = """<!DOCTYPE html><html><head><title>x</title><style>p{}</style></head><body><header><h1>Site</h1></header>
 <div class="cookie-notice">We use</div><div id="side-bar"><p>side</p></div><article class="post"><header><h1>T &amp; itle&nbsp;x</h1></header>
-<p>One <b>bo</b>ld<br>x &lt;y&gt; a < b</p><script>var t="</p>";</script><aside>skip</aside><div class="ad">buy</div><ul><li>l1<li>l2</ul>
-<section id="comments"><p>c</p></section><form>f</form><footer>ff</footer></article><footer>z</footer>"""
+<p>One <b>bo</b>ld<br>x &lt;y&gt; a < b</p><script>var t="</p>";</script><aside>skip</aside><div class="ad">buy</div><ul><li>l1<li>l2 <span class="ad">buy <span>now</span></span></ul>
+<section id="reader-comments"><p>c</p></section><form>f</form><footer>ff</footer></article><footer>z</footer>"""
 
 
 def test_regions_and_edge_cases(docs_of):
@@ -125,6 +125,13 @@ def test_regions_and_edge_cases(docs_of):
     assert W.extract(df.limit(0)).count() == 0
 
 
+def test_an_article_wins_over_its_main():
+    page = "<main><h2>More</h2><article><p>a<em class=x>b</em></p><ol class=commentlist><li>c</ol></article><p>d</p></main>"
+    assert [(t, k) for _, t, _, k, _ in W.read(page)[1]] == [("More", "main"), ("ab", "article"), ("c", "out"), ("d", "main")]
+    assert W._main_text(page, "[]", None, None) == "ab"
+    assert W._main_text("<main><p>a</p></main>", "[]", None, None) == "a"
+
+
 def test_hosts_without_an_article_region(docs_of):
     rows = [(i, f"http://h.com/{i}", f"<body><div><a href=1>Home</a> <a href=2>About us</a></div><div><h1>Title {i}</h1><p>Body {i} is long enough.</p>"
              + f"<p>More of it {i}</p>" * (i % 3) + "</div><div>All rights reserved here</div></body>") for i in range(8)]
