@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain_names
+from .common import importable, plain_names
 
 SAMPLE = 2400
 DIMS = 1 << 13
@@ -157,6 +157,7 @@ def _held_out() -> Column:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
+    importable(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~_held_out() & (F.length("text") > 0))
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}   # one row a language
     languages = sorted(counts)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import runs as R
+from .common import importable
 
 SAMPLE = 1500
 CONTENT_SHARE = 0.5
@@ -204,6 +205,7 @@ def _pieces(texts: list) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Crf:
+    importable(docs.sparkSession)
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     counts = {r.quality: r.n for r in marks.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).where("quality IN (0, 1)").collect()}
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))

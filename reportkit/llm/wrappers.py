@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import importable, written
 
 SALTS = 16
 BROADCAST_BYTES = 32 << 20
@@ -284,6 +284,7 @@ def _merge(streams: DataFrame, *keys: str) -> DataFrame:
 
 def infer(pages: DataFrame) -> DataFrame:
     """host, wrapper (JSON list of (token, optional)), bare (some page has no article region), pages."""
+    importable(pages.sparkSession)
     parts = _merge(layouts(pages).withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(SALTS))), "host", "salt")
     return _merge(parts.withColumnRenamed("wrapper", "stream"), "host")
 
@@ -373,6 +374,7 @@ def _main_text(page: str | None, wrapper: str, inner, drop) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages``."""
+    importable(pages.sparkSession)
     hosts = written(infer(pages))
     keyed = pages.select("page_id", "url", "html", _host_column().alias("host"))
 
