@@ -34,7 +34,8 @@ PIECE = 1 << 20     # bytes of text looked at together (one longer text is looke
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _KINDS = {"symbol": b"#*$%&<>", "bar": b"|", "bang": b"!?", "digit": b"0123456789", "upper": bytes(range(65, 91)), "stop": b".,;:"}
-FEATURES = ["bias", *_KINDS, "short", "long_words", "same_word", "seen_line", "first"]
+_MARKED = {"symbol": 0.02, "bar": 0.02, "bang": 0.05, "upper": 0.5}     # shares from which a line is marked by the kind
+FEATURES = ["bias", *_KINDS, "short", "long_words", "same_word", "seen_line", "first", *[f"much_{k}" for k in _MARKED]]
 
 
 def _classes() -> np.ndarray:
@@ -116,6 +117,8 @@ def describe(texts: list[bytes]) -> Described:
     x[:, k + 2] = _sums(again, np.minimum(fw + 1, lw), lw) / np.maximum(words - 1, 1)
     x[:, k + 3] = seen
     x[:, k + 4] = np.concatenate(([True], line_text[1:] != line_text[:-1])) if len(ls) else 0
+    for i, (kind, share) in enumerate(_MARKED.items()):
+        x[:, k + 5 + i] = x[:, FEATURES.index(kind)] > share
     return Described(n_words, _sums(in_word, lo, ends), _sums(_SYMBOL[raw], lo, ends),
                      np.bincount(line_text, seen, minlength=len(texts)).astype(np.int64),
                      np.bincount(text_of_word, repeated, minlength=len(texts)).astype(np.int64), line_text, words, x)

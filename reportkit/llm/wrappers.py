@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import importable, written
 
 SALTS = 16
+ALIGN_CELLS = 1 << 20
 BROADCAST_BYTES = 32 << 20
 CONSTANT_PAGES = 3          # pages a host needs before equal text counts as template
 
@@ -167,8 +168,7 @@ def read(page: str):
 
 def fold(tokens: list[str]) -> tuple[list[str], list[int]]:
     """Fold neighbouring equal pieces into ``( ... )+``; also the folded place of every token."""
-    items = [([t], [i]) for i, t in enumerate(tokens)]      # (folded tokens, per folded token the places it came from)
-    items = [(list(t), [[i]]) for (t, (i,)) in items]
+    items = [([t], [[i]]) for i, t in enumerate(tokens)]      # (folded tokens, per folded token the places it came from)
     size = 1
     while size <= min(24, len(items) // 2):
         out, at, changed = [], 0, False
@@ -203,11 +203,29 @@ def fold(tokens: list[str]) -> tuple[list[str], list[int]]:
     return folded, place
 
 
+def _steps(a: list[str], b: list[str]):
+    """Equal and differing stretches of two streams: equal ends first, the middle by longest matches.
+
+    A middle whose comparison would take over ``ALIGN_CELLS`` steps is one mismatch (both sides become optional).
+    """
+    lo, end = 0, min(len(a), len(b))
+    while lo < end and a[lo] == b[lo]:
+        lo += 1
+    tail = 0
+    while tail < end - lo and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    am, bm = a[lo:len(a) - tail], b[lo:len(b) - tail]
+    middle = [("replace", 0, len(am), 0, len(bm))] if len(am) * len(bm) > ALIGN_CELLS else \
+        SequenceMatcher(None, am, bm, autojunk=False).get_opcodes()
+    return [("equal", 0, lo, 0, lo), *[(op, i + lo, j + lo, k + lo, m + lo) for op, i, j, k, m in middle],
+            ("equal", len(a) - tail, len(a), len(b) - tail, len(b))]
+
+
 def align(wrapper: list, stream: list) -> tuple[list, list[int]]:
     """Merge a stream of (token, optional) into a wrapper; also the wrapper place of every token of the stream."""
     out, place = [], [0] * len(stream)
-    match = SequenceMatcher(None, [t for t, _ in wrapper], [t for t, _ in stream], autojunk=False)
-    for op, a0, a1, b0, b1 in match.get_opcodes():
+    a, b = [t for t, _ in wrapper], [t for t, _ in stream]
+    for op, a0, a1, b0, b1 in _steps(a, b):
         if op == "equal":
             for i, j in zip(range(a0, a1), range(b0, b1)):
                 place[j] = len(out)

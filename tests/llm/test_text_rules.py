@@ -12,7 +12,7 @@ from reportkit.llm.langid import codewords, fit, identify, keep_identified
 from reportkit.llm.license_scan import WORD, license_scan
 from reportkit.llm.line_crf import _lanes, describe, learn, quality, viterbi
 
-DATA = "/root/testdata/sf0.001"
+DATA = "/root/testdata/sf0.01"     # its 399 labels; the smallest table has 11 rows of low quality
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
