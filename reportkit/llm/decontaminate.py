@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, numbered, plain_names
+from .common import lower_ascii, numbered, plain_names, written
 from .license_scan import WORD
 
 MASKS = ("10110111", "11101000011")
@@ -81,7 +81,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks=MASKS, overlap: int = OVE
             .groupBy("_row", "item").agg(F.collect_set(F.struct("pos", "item_pos")).alias("hits"))
             .join(items.select("item", "item_id", "item_words"), "item")
             .groupBy("_row").agg(F.collect_list(F.struct("item_id", "item_words", "hits")).alias("found")))
-    both = texts.select("_row", "doc_id", _words("text").alias("words")).join(hits, "_row")
+    hits = written(hits)
+    if hits.count() <= BROADCAST_ROWS:
+        texts = texts.join(F.broadcast(hits.select("_row")), "_row", "left_semi")     # the other texts stay where they are
+    both = texts.join(hits, "_row").select("_row", "doc_id", "found", _words("text").alias("words"))
 
     def verify(item: Column, hit: Column) -> Column:
         """The best stretch of the item that holds the hit: struct(similarity, start in the text, in the item, length)."""
@@ -108,6 +111,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks=MASKS, overlap: int = OVE
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    held = leaks(docs, benchmark, **how).select("_row").distinct()
+    held = written(leaks(docs, benchmark, **how).select("_row").distinct())
+    if held.count() <= BROADCAST_ROWS:
+        held = F.broadcast(held)
     plain, names = plain_names(docs)
     return numbered(plain, *names.values()).join(held, "_row", "left_anti").select(*names.values()).toDF(*names)
