@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import runs as R
-from .common import numbered, written
+from .common import importable, numbered, written
 
 PIECE = 1 << 20          # tokens looked at together when runs are searched
-HOT_RUNS = 50_000        # different runs of one key beyond which they are re-cut
+HOT_RUNS = 2_000         # different runs of one key beyond which they are re-cut
 _RUN = "key long, content long, doc_id long, _row long, pos long, n int, own boolean"
 
 
@@ -230,6 +230,7 @@ def repeat_spans(docs: DataFrame, unit: str, width: int, gram: int, decide: Call
     ``keep_first``: the first of equal windows stays (by doc_id, row, position; a null
     doc_id sorts first); otherwise all of them are reported.
     """
+    importable(docs.sparkSession)
     rows = numbered(docs, "doc_id", "text")
     runs = written(repeated_runs(find_runs(rows, unit, width, gram)))
     hot = runs.where(F.col("kinds") > hot_runs)
