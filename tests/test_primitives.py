@@ -130,7 +130,7 @@ def test_scalar_builders(spark):
         C.clean_text(F.lit("  ")).alias("blank"), C.in_array(F.lit("x"), F.lit(None).cast("array<string>")).alias("ina"),
         C.ratio(F.lit(1), F.lit(0)).alias("r0"), C.ratio(F.lit(1), F.lit(3), scale=100, digits=2).alias("pct")).first()
     assert str(r.cph) == "2024-01-02" and str(r.off) == "2023-12-31" and r.major == 12.34 and r.neg == -5.0
-    assert r.open_h == 3 and r.key == "a:1" and r.ok == 425 and r.bad is None and r.blank is None
+    assert r.open_h == 3 and r.key == "a:1" and r.ok == 425 and r.bad == 7 * 60 + 65 and r.blank is None
     assert r.ina is False and r.r0 is None and r.pct == 33.33
 
 
