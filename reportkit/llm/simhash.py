@@ -23,13 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, plain_names, written
+from .common import importable, numbered, plain_names, written
 from .components import connected_components
 
 SHINGLE = 3
 MAX_BITS = 3     # 2 segments: complete up to 3 bits
 SEED = 42
 HOT = 2048
+BROADCAST_ROWS = 1_000_000   # row numbers, 8 bytes each
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -163,6 +164,7 @@ def near_links(fps: DataFrame, bits: int = MAX_BITS, hot: int = HOT) -> DataFram
     """Different fingerprints (fp) -> links (u, v), enough of them to connect what is linked."""
     if not 0 <= bits <= 3:
         raise ValueError("two segments with one wiped bit cover at most 3 differing bits")
+    importable(fps.sparkSession)
     keyed = fps.select("fp", F.explode(_variants(F.col("fp"), 32, 0)).alias("k1"))
     first = written(link_groups(keyed.select("k1", F.lit(0).cast("long").alias("k2"), "fp"), bits, hot))
     links = first.where("k1 IS NULL").select("u", "v")
@@ -178,6 +180,7 @@ def near_links(fps: DataFrame, bits: int = MAX_BITS, hot: int = HOT) -> DataFram
 
 def _groups(docs: DataFrame, shingle: int, bits: int, hot: int) -> tuple[DataFrame, DataFrame]:
     """(rows, component of each fingerprint with its least member)."""
+    importable(docs.sparkSession)
     prints = written(fingerprints(docs, shingle))
     least = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "_row")).alias("least"))
     roots = connected_components(near_links(least.select("fp"), bits, hot)).withColumnRenamed("u", "fp")
@@ -195,7 +198,9 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS, hot: int = HOT) -> DataFrame:
     """The row with the smallest doc_id of each group (null ids last, then file order), all columns."""
-    _, tops = _groups(docs, shingle, bits, hot)
-    stay = tops.select(F.col("top._row").alias("_row")).distinct()
+    prints, tops = _groups(docs, shingle, bits, hot)
+    gone = written(prints.join(tops, "fp").where(F.col("_row") != F.col("top._row")).select("_row"))
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)        # the texts stay where they are
     plain, names = plain_names(docs)
-    return numbered(plain, *names.values()).join(stay, "_row", "left_semi").select(*names.values()).toDF(*names)
+    return numbered(plain, *names.values()).join(gone, "_row", "left_anti").select(*names.values()).toDF(*names)
