@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from . import runs as R
 from .common import importable, numbered, written
 
-PIECE = 1 << 20          # tokens looked at together when runs are searched
-HOT_RUNS = 2_000         # different runs of one key beyond which they are re-cut
+PIECE = 1 << 19          # tokens looked at together when runs are searched
+HOT_RUNS = 50_000        # different runs of one key beyond which they are re-cut
 _RUN = "key long, content long, doc_id long, _row long, pos long, n int, own boolean"
 
 

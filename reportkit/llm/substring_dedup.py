@@ -23,7 +23,7 @@ from .fm_index import FMIndex, matching_intervals
 
 WINDOW = 35
 GRAM = 12
-SHARD = 1 << 21   # bytes of text indexed together
+SHARD = 1 << 20   # bytes of text indexed together
 
 
 def index_segments(segments: list, window: int):

@@ -26,7 +26,7 @@ from .common import plain_names
 
 LENGTH = 100
 GRAM = 24
-SHARD = 1 << 21   # bytes indexed together
+SHARD = 1 << 20   # bytes indexed together
 
 
 def bucket_pointers(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
