@@ -1,7 +1,7 @@
 """HTML extraction by union-free regular-expression inference (wrappers per host).
 
 Method: a page becomes a stream of block tags and text slots (``#``); neighbouring equal pieces are folded into
-repeated groups ``( ... )+``. The different streams of a host are aligned one after the other: tokens on both sides stay,
+repeated groups ``( ... )+``. The different streams of a host are aligned (longest common subsequence, exact at any length): tokens on both sides stay,
 a mismatch becomes an optional piece ``?``, and a group that is single on one side stays a group. The result, one union-free
 expression per host, is its wrapper; aligning a page with it gives every text of the page its slot.
 
@@ -11,7 +11,7 @@ such region, the host's slots decide: text that is the same on half of the host'
 container with the most other text is the article.
 
 Streams are collapsed to different ones per host before any shuffle, so a host with a third of all pages costs as many rows as it has
-page layouts; they are aligned in ``SALTS`` parts per host, one at a time, and the parts are aligned last. Pages are never shuffled
+page layouts; they are aligned as a tree, about ``FAN`` at a time in each task, until one wrapper is left. Pages are never shuffled
 unless the wrappers are larger than ``BROADCAST_BYTES``.
 
 Defined cases: null or empty html: empty text; null url: the host is empty; markup that is never closed or cut off: read
@@ -24,9 +24,9 @@ import html as htmllib
 import json
 import re
 from collections import Counter, defaultdict
-from difflib import SequenceMatcher
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from .common import importable, written
 
-SALTS = 16
-ALIGN_CELLS = 1 << 20
+FAN = 16                    # streams that one task aligns to one
+TABLE_BITS = 1 << 28        # of an alignment kept in memory (32 MB); longer streams are halved, with the same result
 BROADCAST_BYTES = 32 << 20
 CONSTANT_PAGES = 3          # pages a host needs before equal text counts as template
 
@@ -203,26 +203,76 @@ def fold(tokens: list[str]) -> tuple[list[str], list[int]]:
     return folded, place
 
 
-def _steps(a: list[str], b: list[str]):
-    """Equal and differing stretches of two streams: equal ends first, the middle by longest matches.
+def _rows(a: list[str], b: list[str]):
+    """Bit rows of the common-subsequence table: after j tokens of b, bit i is 0 where a[:i + 1] shares one more than a[:i]."""
+    at: dict = defaultdict(int)
+    for i, t in enumerate(a):
+        at[t] |= 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for t in b:
+        both = row & at.get(t, 0)
+        row = ((row + both) | (row - both)) & full
+        yield row
+
+
+def _shared(a: list[str], b: list[str]) -> np.ndarray:
+    """Length of the longest common subsequence of b and a[:i], for every i."""
+    row = (1 << len(a)) - 1
+    for row in _rows(a, b):
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(a) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(a)]
+    return np.concatenate(([0], np.cumsum(1 - bits.astype(np.int64))))
+
+
+def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence in a and b; time len(a) * len(b) / 64, memory bounded by halving b."""
+    pairs, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        a0, a1, b0, b1 = todo.pop()
+        x, y = a[a0:a1], b[b0:b1]
+        if not x or not y:
+            continue
+        if len(x) * len(y) > TABLE_BITS and len(y) > 1:
+            mid = len(y) // 2
+            cut = int(np.argmax(_shared(x, y[:mid]) + _shared(x[::-1], y[mid:][::-1])[::-1]))
+            todo += [(a0, a0 + cut, b0, b0 + mid), (a0 + cut, a1, b0 + mid, b1)]
+            continue
+        table, i, j = list(_rows(x, y)), len(x), len(y)
+        while i and j:
+            if table[j - 1] >> (i - 1) & 1:
+                i -= 1
+                continue
+            j -= 1
+            if not j or table[j - 1] >> (i - 1) & 1:
+                i -= 1
+                pairs.append((a0 + i, b0 + j))
+    return sorted(pairs)
 
-    A middle whose comparison would take over ``ALIGN_CELLS`` steps is one mismatch (both sides become optional).
-    """
+
+def _steps(a: list[str], b: list[str]):
+    """Equal and differing stretches of two streams: equal ends first, the middle by a longest common subsequence."""
     lo, end = 0, min(len(a), len(b))
     while lo < end and a[lo] == b[lo]:
         lo += 1
     tail = 0
     while tail < end - lo and a[-1 - tail] == b[-1 - tail]:
         tail += 1
-    am, bm = a[lo:len(a) - tail], b[lo:len(b) - tail]
-    middle = [("replace", 0, len(am), 0, len(bm))] if len(am) * len(bm) > ALIGN_CELLS else \
-        SequenceMatcher(None, am, bm, autojunk=False).get_opcodes()
-    return [("equal", 0, lo, 0, lo), *[(op, i + lo, j + lo, k + lo, m + lo) for op, i, j, k, m in middle],
-            ("equal", len(a) - tail, len(a), len(b) - tail, len(b))]
+    steps, i, j = [("equal", 0, lo, 0, lo)], lo, lo
+    for m, n in _common(a[lo:len(a) - tail], b[lo:len(b) - tail]):
+        m, n = m + lo, n + lo
+        if m > i or n > j:
+            steps.append(("replace", i, m, j, n))
+        steps.append(("equal", m, m + 1, n, n + 1))
+        i, j = m + 1, n + 1
+    return [*steps, ("replace", i, len(a) - tail, j, len(b) - tail), ("equal", len(a) - tail, len(a), len(b) - tail, len(b))]
 
 
 def align(wrapper: list, stream: list) -> tuple[list, list[int]]:
-    """Merge a stream of (token, optional) into a wrapper; also the wrapper place of every token of the stream."""
+    """Merge a stream of (token, optional) into a wrapper; also the place of every token of the stream in the merged wrapper.
+
+    The merged wrapper holds both sides in order, so every stream of a host can be read back without a gap.
+    """
     out, place = [], [0] * len(stream)
     a, b = [t for t, _ in wrapper], [t for t, _ in stream]
     for op, a0, a1, b0, b1 in _steps(a, b):
@@ -239,6 +289,15 @@ def align(wrapper: list, stream: list) -> tuple[list, list[int]]:
     return out, place
 
 
+def places(wrapper: list[str], stream: list[str]) -> list[int]:
+    """Place in the wrapper of every token of a stream, -1 for a token without one."""
+    place = [-1] * len(stream)
+    for op, a0, _, b0, b1 in _steps(wrapper, stream):
+        if op == "equal":
+            place[b0:b1] = range(a0, a0 + b1 - b0)
+    return place
+
+
 def expression(wrapper: list) -> str:
     """The wrapper as a readable union-free expression."""
     return " ".join(t + ("?" if optional else "") for t, optional in wrapper)
@@ -273,20 +332,20 @@ def layouts(pages: DataFrame) -> DataFrame:
             .groupBy("host", "stream").agg(F.max("bare").alias("bare"), F.sum("pages").alias("pages")))
 
 
-def _merge(streams: DataFrame, *keys: str) -> DataFrame:
-    """Align the streams of each key, one after the other; memory holds one wrapper at a time."""
-    kinds = "host string, wrapper string, bare boolean, pages long"
+def _merge(streams: DataFrame) -> DataFrame:
+    """Align the streams of each host and salt, one after the other; memory holds one wrapper at a time."""
+    kinds = "host string, salt long, stream string, bare boolean, pages long"
 
     def work(batches):
         key, wrapper, bare, pages = None, [], False, 0
 
         def row():
-            return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([json.dumps(wrapper)]), pa.array([bare]), pa.array([pages], pa.int64())],
-                                              names=["host", "wrapper", "bare", "pages"])
+            return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([json.dumps(wrapper)]), pa.array([bare]),
+                                               pa.array([pages], pa.int64())], names=["host", "salt", "stream", "bare", "pages"])
 
         for b in batches:
             for r in b.to_pylist():
-                now = tuple(r[k] for k in keys)
+                now = r["host"], r["salt"]
                 if now != key:
                     if key is not None:
                         yield row()
@@ -297,23 +356,30 @@ def _merge(streams: DataFrame, *keys: str) -> DataFrame:
         if key is not None:
             yield row()
 
-    return (streams.repartition(*keys).sortWithinPartitions(*keys, F.desc("pages"), "stream").mapInArrow(work, kinds))
+    return (streams.select("host", "salt", "stream", "bare", "pages").repartition("host", "salt")
+            .sortWithinPartitions("host", "salt", F.desc("pages"), "stream").mapInArrow(work, kinds))
 
 
-def infer(pages: DataFrame) -> DataFrame:
+def infer(pages: DataFrame, fan: int = FAN) -> DataFrame:
     """host, wrapper (JSON list of (token, optional)), bare (some page has no article region), pages."""
     importable(pages.sparkSession)
-    parts = _merge(layouts(pages).withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(SALTS))), "host", "salt")
-    return _merge(parts.withColumnRenamed("wrapper", "stream"), "host")
+    parts = written(layouts(pages).withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(1 << 40))))
+    salts = parts.groupBy("host").count().agg(F.max("count")).first()[0] or 1
+    while True:
+        salts = -(-salts // fan)
+        parts = _merge(parts.withColumn("salt", F.pmod("salt", F.lit(salts))))
+        if salts == 1:
+            return parts.select("host", F.col("stream").alias("wrapper"), "bare", "pages")
+        parts = written(parts)
 
 
 @lru_cache(maxsize=4096)
 def _slots(wrapper: str, folded: str) -> list[int]:
-    return align([tuple(x) for x in json.loads(wrapper)], [(t, False) for t in json.loads(folded)])[1]
+    return places([t for t, _ in json.loads(wrapper)], json.loads(folded))
 
 
 def slotted(page: str | None, wrapper: str):
-    """Blocks of a page with their slot and their container's slot in the wrapper."""
+    """Blocks of a page with their slot and their container's slot in the wrapper (-1: none)."""
     folded, place, blocks = _stream(page)
     to = _slots(wrapper, json.dumps(folded))
     return [(to[place[at]], text, linked, kind, to[place[inner]] if inner >= 0 else -1) for at, text, linked, kind, inner in blocks]
