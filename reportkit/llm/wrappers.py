@@ -42,48 +42,72 @@ CONSTANT_PAGES = 3          # pages a host needs before equal text counts as tem
 # fixed values: how markup is read
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-RAW = frozenset("script style textarea title xmp iframe noscript noembed noframes template svg math select button head".split())
+RAW = frozenset("script style textarea title xmp iframe noscript noembed noframes template svg select button head annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr br".split())
+    "strong sub sup time tt u var wbr br "
+    "math semantics mrow mi mn mo ms mtext mspace mstyle mpadded mphantom menclose merror mfrac msqrt mroot msub msup msubsup munder mover "
+    "munderover mmultiscripts mprescripts mtable mtr mtd".split())
+NAMED = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p li dt dd".split())      # their ids are slugs of their own text
 VOID = frozenset("br img input hr meta link base area col embed param source track wbr".split())
 OUTSIDE = frozenset("nav footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
-WORDS_OUTSIDE = frozenset(
-    "nav navbar navigation menu sidebar footer masthead ad ads advert advertisement advertising adverts sponsor sponsored promo cookie cookies "
-    "consent notice notices alert popup modal newsletter subscribe signup login search share social comment comments reply replies respond "
-    "disqus related recommended breadcrumb breadcrumbs pagination pager widget toolbar skip copyright banner adbox adslot adsense "
+# by their nature these differ from page to page; the other words can be checked against the host (see ``decisions``)
+WORDS_VARYING = frozenset(
+    "ad ads advert advertisement advertising adverts sponsor sponsored search comment comments reply replies respond disqus related recommended "
+    "adbox adslot adsense".split())
+WORDS_OUTSIDE = WORDS_VARYING | frozenset(
+    "nav navbar navigation menu sidebar footer masthead promo cookie cookies "
+    "consent notice notices alert popup modal newsletter subscribe signup login share social "
+    "breadcrumb breadcrumbs pagination pager widget toolbar skip copyright banner "
     "disclaimer gdpr overlay topbar".split())
-STARTS_OUTSIDE = ("comment", "advert", "sponsor", "cookie", "newsletter", "breadcrumb", "sidebar", "navigat", "footer")
+STARTS_VARYING = ("comment", "advert", "sponsor")
+STARTS_OUTSIDE = (*STARTS_VARYING, "cookie", "newsletter", "breadcrumb", "sidebar", "navigat", "footer")
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p "
     "pre section table ul".split())
 
 
-def _kind(name: str, attrs: str, inside: bool) -> str:
-    """'out' for a region that is not article, 'article' or 'main' for the article region, else ''."""
-    if name in OUTSIDE or (name == "header" and not inside):
-        return "out"
+def _kind(name: str, attrs: str, inside: bool) -> tuple[str, str]:
+    """(mark, region) of an element. mark: 'out' for a region that is not article by its tag, role or style, 'words' and 'doubt'
+    for one by the words of its class or id ('doubt': words that do not vary by nature), else ''. region: 'article', 'main' or ''."""
+    if name in ("html", "body"):
+        return "", ""
     found = ATTRIBUTE.findall(attrs) if "=" in attrs else ()
-    words, role, style = set(), "", ""
+    words, role, style, hidden = set(), "", "", False
     for key, *values in found:
         key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id"):
+        if key == "class" or (key == "id" and name not in NAMED):
             words.update(re.split(r"[^a-z]+", re.sub(r"side[-_]bar", "sidebar", value)))
         elif key == "role":
             role = value
         elif key == "style":
             style = value.replace(" ", "")
         elif key == "aria-hidden" and value == "true":
-            return "out"
-    if role in ROLES or words & WORDS_OUTSIDE or any(w.startswith(STARTS_OUTSIDE) for w in words) or (not inside and "header" in words) or "display:none" in style \
+            hidden = True
+    region = "article" if name == "article" else "main" if name == "main" or role == "main" else ""
+    if name in OUTSIDE or (name == "header" and not inside) or role in ROLES or hidden or "display:none" in style \
             or re.search(r"(?:^|\s)hidden(?:\s|$)", attrs):
-        return "out"
-    if name == "article":
-        return "article"
-    if name == "main" or role == "main":
-        return "main"
-    return ""
+        return "out", region
+    if words & WORDS_VARYING or any(w.startswith(STARTS_VARYING) for w in words):
+        return "words", region
+    if words & WORDS_OUTSIDE or any(w.startswith(STARTS_OUTSIDE) for w in words) or (not inside and "header" in words):
+        return "doubt", region
+    return "", region
+
+
+MARKS, REGIONS = ("", "doubt", "words", "out"), ("", "main", "article")
+
+
+def _inner(outer: tuple[str, str], own: tuple[str, str]) -> tuple[str, str]:
+    return max(outer[0], own[0], key=MARKS.index), max(outer[1], own[1], key=REGIONS.index)
+
+
+def _reopened(outer: tuple[str, str], own: tuple[str, str]) -> tuple[str, str]:
+    """As ``_inner``, but the first article region inside elements named like something else is one."""
+    if own[1] and "out" not in (outer[0], own[0]) and (not outer[1] or (own[1] == "article" != outer[1] and outer[0] in ("", "doubt"))):
+        return "", own[1]
+    return _inner(outer, own)
 
 
 def read(page: str):
@@ -92,13 +116,14 @@ def read(page: str):
     tokens: block tags and ``#`` in page order. blocks: (place in tokens, text, text under links, kind, container), where kind is
     as in ``_kind`` and container the place of the innermost open tag that is not a paragraph.
     """
-    tokens, blocks, stack = [], [], []       # stack: (name, kind for what is inside, place)
+    tokens, blocks, stack = [], [], []       # stack: (name, (mark, region) for what is inside, place, the same reopened)
+    marks = []                                # per block: (mark, region), the same reopened
     buf, linked, in_link = [], 0, False
     hidden, depth = None, 0                   # inside an inline element that is not article (an advert, say)
     pos, end = 0, len(page)
 
-    def kind():
-        return stack[-1][1] if stack else ""
+    def state():
+        return (stack[-1][1], stack[-1][3]) if stack else (("", ""), ("", ""))
 
     def close_block():
         nonlocal buf, linked
@@ -108,7 +133,8 @@ def read(page: str):
                 inner = next((s[2] for s in reversed(stack) if s[0] not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "blockquote")), -1)
                 if not tokens or tokens[-1] != "#":
                     tokens.append("#")
-                blocks.append((len(tokens) - 1, text, min(linked, len(text)), kind(), inner))
+                blocks.append((len(tokens) - 1, text, min(linked, len(text)), inner))
+                marks.append(state())
             buf, linked = [], 0
 
     while pos < end:
@@ -128,7 +154,7 @@ def read(page: str):
                 depth += (name == hidden) * (-1 if closing else 1)
                 hidden = hidden if depth else None
                 continue
-            if not closing and name not in VOID and m.group(3) and _kind(name, m.group(3), kind() in ("main", "article")) == "out":
+            if not closing and name not in VOID and m.group(3) and _kind(name, m.group(3), bool(state()[0][1]))[0]:
                 hidden, depth = name, 1
                 continue
             if name == "a":
@@ -136,8 +162,9 @@ def read(page: str):
             elif name == "br":
                 buf.append(" ")
             continue
-        close_block()
-        hidden = None
+        if not name.startswith("annotation"):       # of a formula, inside its text
+            close_block()
+            hidden = None
         if name in RAW:
             if not closing and name != "head" and not m.group(3).endswith("/"):
                 stop = re.compile(rf"</{name}(?=[\s>/])", re.I).search(page, pos)
@@ -156,14 +183,15 @@ def read(page: str):
         if name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == name:
             stack.pop()
             tokens.append("/" + name)
-        outer = kind()
-        own = _kind(name, m.group(3), outer in ("main", "article"))
-        inner = next((k for k in ("out", "article", "main") if k in (outer, own)), "")
-        tokens.append(name + {"out": "!", "main": "*", "article": "*"}.get(own, ""))
+        outer, reopened = state()
+        own = _kind(name, m.group(3), bool(outer[1]))
+        tokens.append(name + ("!" if own[0] else "*" if own[1] else ""))
         if name not in VOID and not m.group(3).endswith("/"):
-            stack.append((name, inner, len(tokens) - 1))
+            stack.append((name, _inner(outer, own), len(tokens) - 1, _reopened(reopened, own)))
     close_block()
-    return tokens, blocks
+    if not any(region and not mark for (mark, region), _ in marks):
+        marks = [(again, again) for _, again in marks]      # no article region but in elements named like something else
+    return tokens, [(at, text, linked, "out" if mark else region, inner) for (at, text, linked, inner), ((mark, region), _) in zip(blocks, marks)]
 
 
 def fold(tokens: list[str]) -> tuple[list[str], list[int]]:
