@@ -5,10 +5,13 @@ repeated groups ``( ... )+``. The different streams of a host are aligned (longe
 a mismatch becomes an optional piece ``?``, and a group that is single on one side stays a group. The result, one union-free
 expression per host, is its wrapper; aligning a page with it gives every text of the page its slot.
 
-The main text is what stands in the slots of the article region (article, main), less the regions that are not
-article: menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles. Where a page has no
-such region, the host's slots decide: text that is the same on half of the host's pages or is mostly links is template, and the
-container with the most other text is the article.
+A text token carries what its page says about it (``CODES``): article or main region, a region that is not article (menus, page
+headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles) by its tag, or in doubt, by a class name only. So a
+slot never mixes texts that the tags tell apart, and the main text of a page is chosen by slots: article slots are kept
+and slots outside are not, whatever they hold, since nothing else is to be dropped. The rest is decided by counts over the host's pages (``slot_facts``): a slot in doubt, or
+in main beside an article, is template if its texts repeat over the pages or are mostly links, and else (on
+``CONSTANT_PAGES`` pages at least) belongs to the region around it. Where a page has no such region, text that is the same on half of the host's pages or is
+mostly links is template, and the container with the most other text is the article.
 
 Streams are collapsed to different ones per host before any shuffle, so a host with a third of all pages costs as many rows as it has
 page layouts; they are aligned as a tree, about ``FAN`` at a time in each task, until one wrapper is left. Pages are never shuffled
@@ -52,7 +55,7 @@ NAMED = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p li dt dd".split())      # their
 VOID = frozenset("br img input hr meta link base area col embed param source track wbr".split())
 OUTSIDE = frozenset("nav footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
-# by their nature these differ from page to page; the other words can be checked against the host (see ``decisions``)
+# by their nature these differ from page to page; the other words can be checked against the host (see ``slot_facts``)
 WORDS_VARYING = frozenset(
     "ad ads advert advertisement advertising adverts sponsor sponsored search comment comments reply replies respond disqus related recommended "
     "adbox adslot adsense".split())
@@ -68,11 +71,11 @@ CLOSES_P = frozenset(
     "pre section table ul".split())
 
 
-def _kind(name: str, attrs: str, inside: bool) -> tuple[str, str]:
-    """(mark, region) of an element. mark: 'out' for a region that is not article by its tag, role or style, 'words' and 'doubt'
+def _kind(name: str, attrs: str, inside: bool) -> tuple[str, str, str]:
+    """(mark, region, the listed words in doubt) of an element. mark: 'out' for a region that is not article by its tag, role or style, 'words' and 'doubt'
     for one by the words of its class or id ('doubt': words that do not vary by nature), else ''. region: 'article', 'main' or ''."""
     if name in ("html", "body"):
-        return "", ""
+        return "", "", ""
     found = ATTRIBUTE.findall(attrs) if "=" in attrs else ()
     words, role, style, hidden = set(), "", "", False
     for key, *values in found:
@@ -88,14 +91,15 @@ def _kind(name: str, attrs: str, inside: bool) -> tuple[str, str]:
     region = "article" if name == "article" else "main" if name == "main" or role == "main" else ""
     if name in OUTSIDE or (name == "header" and not inside) or role in ROLES or hidden or "display:none" in style \
             or re.search(r"(?:^|\s)hidden(?:\s|$)", attrs):
-        return "out", region
+        return "out", region, ""
     if words & WORDS_VARYING or any(w.startswith(STARTS_VARYING) for w in words):
-        return "words", region
-    if words & WORDS_OUTSIDE or any(w.startswith(STARTS_OUTSIDE) for w in words) or (not inside and "header" in words):
-        return "doubt", region
-    return "", region
+        return "words", region, ""
+    listed = words & WORDS_OUTSIDE | {start for start in STARTS_OUTSIDE for w in words if w.startswith(start)} | (words & {"header"} if not inside else set())
+    return "doubt" if listed else "", region, " ".join(sorted(listed))
 
 
+# how a text token ends; a text in doubt keeps the code of the region around it behind the mark
+CODES = {"article": "a", "main": "m", "": "", "out": "!", "words": "!", "doubt": "~"}
 MARKS, REGIONS = ("", "doubt", "words", "out"), ("", "main", "article")
 
 
@@ -113,8 +117,9 @@ def _reopened(outer: tuple[str, str], own: tuple[str, str]) -> tuple[str, str]:
 def read(page: str):
     """(tokens, blocks) of a page.
 
-    tokens: block tags and ``#`` in page order. blocks: (place in tokens, text, text under links, kind, container), where kind is
-    as in ``_kind`` and container the place of the innermost open tag that is not a paragraph.
+    tokens: block tags and texts (``#`` and a code, see ``CODES``) in page order. blocks: (place in tokens, text, text under links,
+    kind, container), where kind is 'out', 'article', 'main' or '' and container the place of the innermost open tag that is not
+    a paragraph.
     """
     tokens, blocks, stack = [], [], []       # stack: (name, (mark, region) for what is inside, place, the same reopened)
     marks = []                                # per block: (mark, region), the same reopened
@@ -184,13 +189,15 @@ def read(page: str):
             stack.pop()
             tokens.append("/" + name)
         outer, reopened = state()
-        own = _kind(name, m.group(3), bool(outer[1]))
-        tokens.append(name + ("!" if own[0] else "*" if own[1] else ""))
+        *own, listed = _kind(name, m.group(3), bool(outer[1]))
+        tokens.append(name + ("!" + listed if own[0] else "*" if own[1] else ""))
         if name not in VOID and not m.group(3).endswith("/"):
             stack.append((name, _inner(outer, own), len(tokens) - 1, _reopened(reopened, own)))
     close_block()
     if not any(region and not mark for (mark, region), _ in marks):
         marks = [(again, again) for _, again in marks]      # no article region but in elements named like something else
+    for (at, *_), ((mark, region), _) in zip(blocks, marks):
+        tokens[at] = "#" + CODES[mark] + (CODES[region] if mark in ("", "doubt") else "")
     return tokens, [(at, text, linked, "out" if mark else region, inner) for (at, text, linked, inner), ((mark, region), _) in zip(blocks, marks)]
 
 
@@ -342,15 +349,24 @@ def _stream(page: str | None):
     return folded, place, blocks
 
 
+def _asked(tokens) -> set[str]:
+    """The text tokens of a page that the host's counts decide: those in doubt, main beside an article, all without a region."""
+    texts = {t for t in tokens if t[0] == "#"}
+    doubt = {t for t in texts if "~" in t}
+    if "#a" in texts:
+        return doubt | (texts & {"#m"})
+    return doubt if "#m" in texts else doubt | {"#"}
+
+
 def layouts(pages: DataFrame) -> DataFrame:
-    """Different streams per host: host, stream (JSON), whether a page of it lacks an article region, pages."""
+    """Different streams per host: host, stream (JSON), whether its pages need the host's counts, pages."""
 
     def work(batches):
         for b in batches:
             count: Counter = Counter()
             for url, page in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
-                folded, _, blocks = _stream(page)
-                count[host_of(url), json.dumps(folded), not any(k[3] in ("main", "article") for k in blocks)] += 1
+                folded, _, _ = _stream(page)
+                count[host_of(url), json.dumps(folded), bool(_asked(folded))] += 1
             if count:
                 hosts, streams, bare = zip(*count)
                 yield pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(streams), pa.array(bare), pa.array(list(count.values()), pa.int64())],
@@ -389,7 +405,7 @@ def _merge(streams: DataFrame) -> DataFrame:
 
 
 def infer(pages: DataFrame, fan: int = FAN) -> DataFrame:
-    """host, wrapper (JSON list of (token, optional)), bare (some page has no article region), pages."""
+    """host, wrapper (JSON list of (token, optional)), bare (some page needs the host's counts), pages."""
     importable(pages.sparkSession)
     parts = written(layouts(pages).withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(1 << 40))))
     salts = parts.groupBy("host").count().agg(F.max("count")).first()[0] or 1
@@ -407,81 +423,77 @@ def _slots(wrapper: str, folded: str) -> list[int]:
 
 
 def slotted(page: str | None, wrapper: str):
-    """Blocks of a page with their slot and their container's slot in the wrapper (-1: none)."""
+    """Blocks of a page: slot in the wrapper (-1: none), text, characters under links, text token, container's slot."""
     folded, place, blocks = _stream(page)
     to = _slots(wrapper, json.dumps(folded))
-    return [(to[place[at]], text, linked, kind, to[place[inner]] if inner >= 0 else -1) for at, text, linked, kind, inner in blocks]
+    return [(to[place[at]], text, linked, folded[place[at]], to[place[inner]] if inner >= 0 else -1) for at, text, linked, _, inner in blocks]
 
 
 def slot_facts(pages: DataFrame) -> DataFrame:
-    """(host, url, html, wrapper) -> per host a JSON map: slots that are template, and the container with the most other text.
+    """(host, url, html, wrapper) -> per host the container with the most text that is not template (``inner``), the template
+    slots of pages without an article region (``drop``) and the slots in doubt or beside the article that vary over the pages (``free``).
 
     Summed up per host, slot and text before every shuffle; texts travel as hashes.
     """
 
     def work(batches):
         for b in batches:
-            rows: dict = defaultdict(lambda: [0, 0, 0])
+            rows: dict = defaultdict(lambda: [0, 0, 0, 0])
             for host, page, wrapper in zip(*(b.column(c).to_pylist() for c in ("host", "html", "wrapper"))):
-                for slot, text, linked, kind, inner in slotted(page, wrapper):
-                    if kind != "out":
-                        r = rows[host, slot, inner, xxhash.xxh64_intdigest(text.encode()) >> 1]
+                blocks, seen = slotted(page, wrapper), set()
+                asked = _asked(x[3] for x in blocks)
+                for slot, text, linked, token, inner in blocks:
+                    if token in asked and slot >= 0:
+                        doubt = token != "#"
+                        r = rows[host, slot, -1 if doubt else inner, doubt, xxhash.xxh64_intdigest(text.encode()) >> 1]
                         r[0] += 1
                         r[1] += len(text)
                         r[2] += linked
+                        r[3] += slot not in seen
+                        seen.add(slot)
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [*[pa.array(c) for c in zip(*rows)], *[pa.array(c, pa.int64()) for c in zip(*rows.values())]],
-                    names=["host", "slot", "inner", "h", "n", "chars", "linked"])
-
-    rows = pages.mapInArrow(work, "host string, slot long, inner long, h long, n long, chars long, linked long")
-    texts = rows.groupBy("host", "slot", "inner", "h").agg(*[F.sum(c).alias(c) for c in ("n", "chars", "linked")])
-    slots = texts.groupBy("host", "slot", "inner").agg(F.sum("n").alias("all"), F.max("n").alias("most"),
-                                                       F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
-    template = ((F.col("all") >= CONSTANT_PAGES) & (F.col("most") * 2 > F.col("all"))) | (F.col("linked") * 2 > F.col("chars"))
-    return (slots.withColumn("template", template).groupBy("host", "inner")
+                    names=["host", "slot", "inner", "doubt", "h", "n", "chars", "linked", "pages"])
+
+    rows = pages.mapInArrow(work, "host string, slot long, inner long, doubt boolean, h long, n long, chars long, linked long, pages long")
+    sums = ("n", "chars", "linked", "pages")
+    texts = rows.groupBy("host", "slot", "inner", "doubt", "h").agg(*[F.sum(c).alias(c) for c in sums])
+    slots = texts.groupBy("host", "slot", "inner", "doubt").agg(
+        F.sum("n").alias("all"), F.max("n").alias("most"), F.count(F.lit(1)).alias("kinds"),
+        *[F.sum(c).alias(c) for c in sums[1:]])
+    links = F.col("linked") * 2 > F.col("chars")
+    template = ((F.col("all") >= CONSTANT_PAGES) & (F.col("most") * 2 > F.col("all"))) | links
+    free = F.col("doubt") & (F.col("pages") >= CONSTANT_PAGES) & (F.col("kinds") * 2 > F.col("all")) & ~links
+    return (slots.withColumn("template", template).withColumn("free", free).groupBy("host", "inner", "doubt")
             .agg(F.sum(F.when(F.col("template"), 0).otherwise(F.col("chars"))).alias("chars"),
-                 F.collect_set(F.when(F.col("template"), F.col("slot"))).alias("drop"))
-            .groupBy("host").agg(F.max(F.struct("chars", (-F.col("inner")).alias("inner"))).alias("best"),
-                                 F.flatten(F.collect_list("drop")).alias("drop"))
-            .select("host", (-F.col("best.inner")).alias("inner"), "drop"))
-
-
-@lru_cache(maxsize=4096)
-def _article_slots(wrapper: str) -> frozenset:
-    """Text slots of the wrapper that stand in its article region."""
-    stack, out = [], set()
-    for i, (t, _) in enumerate(json.loads(wrapper)):
-        if t in ("(", ")+"):
-            continue
-        if t == "#":
-            if any(x[-1] == "*" for x in stack) and not any(x[-1] == "!" for x in stack):
-                out.add(i)
-        elif t[0] == "/":
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].rstrip("*!") == t[1:]), None)
-            if at is not None:
-                del stack[at:]
-        elif t.rstrip("*!") not in VOID:
-            stack.append(t)
-    return frozenset(out)
+                 F.collect_set(F.when(F.col("template") & ~F.col("doubt"), F.col("slot"))).alias("drop"),
+                 F.collect_set(F.when(F.col("free"), F.col("slot"))).alias("free"))
+            .groupBy("host").agg(F.max(F.when(~F.col("doubt"), F.struct("chars", (-F.col("inner")).alias("inner")))).alias("best"),
+                                 F.flatten(F.collect_list("drop")).alias("drop"), F.flatten(F.collect_list("free")).alias("free"))
+            .select("host", (-F.col("best.inner")).alias("inner"), "drop", "free"))
 
 
-def _main_text(page: str | None, wrapper: str, inner, drop) -> str:
-    """The texts in the wrapper's article slots, checked against the page's own nesting; without an article region, the
-    texts of the host's main container that are not template."""
+def _main_text(page: str | None, wrapper: str, inner, drop, free=None) -> str:
+    """The texts in the slots that are article for this host; without an article region, the texts of the host's main
+    container that are not template."""
     if not page:
         return ""
-    blocks = slotted(page, wrapper)
-    slots = _article_slots(wrapper)
-    region = next((k for k in ("article", "main") if any(b[3] == k for b in blocks)), None)
-    main = [t for s, t, _, kind, _ in blocks if (kind == region if region else kind != "out" and s in slots)]
-    if not main:
-        left = [(s, t, c) for s, t, _, kind, c in blocks if kind != "out"]
-        if inner is not None:
-            dropped = set(drop or ())
-            main = [t for s, t, c in left if c == inner and s not in dropped] or [t for s, t, _ in left if s not in dropped]
-        main = main or [t for _, t, _ in left]
-    return "\n".join(main)
+    dropped, varied, blocks = set(drop or ()), set(free or ()), []
+    for slot, text, _, token, container in slotted(page, wrapper):
+        if "~" in token:
+            token = "#" + token[2:] if slot in varied else "#!"
+        if token != "#!":
+            blocks.append((slot, text, token, container))
+    regions = {t for _, _, t, _ in blocks}
+    if "#a" in regions:
+        return "\n".join(t for s, t, k, _ in blocks if k == "#a" or (k == "#m" and s in varied))
+    if "#m" in regions:
+        return "\n".join(t for _, t, k, _ in blocks if k == "#m")
+    main = []
+    if inner is not None:
+        main = [t for s, t, _, c in blocks if c == inner and s not in dropped] or [t for s, t, _, _ in blocks if s not in dropped]
+    return "\n".join(main or [t for _, t, _, _ in blocks])
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -496,15 +508,15 @@ def extract(pages: DataFrame) -> DataFrame:
 
     bare = hosts.where("bare").select("host", "wrapper")
     if bare.isEmpty():
-        facts = hosts.select("host", F.lit(None).cast("long").alias("inner"), F.lit(None).cast("array<bigint>").alias("drop")).limit(0)
+        facts = hosts.select("host", F.lit(None).cast("long").alias("inner"), *[F.lit(None).cast("array<bigint>").alias(c) for c in ("drop", "free")]).limit(0)
     else:
         facts = written(slot_facts(keyed.join(small(bare), "host").select("host", "html", "wrapper")))
     known = hosts.select("host", "wrapper").join(facts, "host", "left")
-    joined = keyed.join(small(known), "host").select("page_id", "url", "html", "wrapper", "inner", "drop")
+    joined = keyed.join(small(known), "host").select("page_id", "url", "html", "wrapper", "inner", "drop", "free")
 
     def work(batches):
         for b in batches:
-            texts = [_main_text(*r) for r in zip(*(b.column(c).to_pylist() for c in ("html", "wrapper", "inner", "drop")))]
+            texts = [_main_text(*r) for r in zip(*(b.column(c).to_pylist() for c in ("html", "wrapper", "inner", "drop", "free")))]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
