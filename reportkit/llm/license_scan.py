@@ -7,6 +7,11 @@ the phrase, is where the phrase would start (the postings of all its words must
 position). Places where the whole key phrase stands are verified and counted; the statement around it
 gives the score, the share of its words that stand in their place.
 
+Whole licence texts (``TEXTS``) have several mandatory phrases, each found the same way by its rare token. The first phrase's
+place less its offset is where the text would start; the other phrases must vote for the same start, give or take ``DRIFT``
+words (names, numbers of clauses). The score compares every word of the text, from each phrase on at that phrase's start.
+The oracle SQL covers the notices; whole texts are tested on files made for it.
+
 Only the document frequencies of the fixed licence words reach the driver (one row per word).
 Everything is DataFrame code, one narrow pass over the texts after the counting pass.
 
@@ -72,6 +77,67 @@ TEMPLATES = (
 )
 
 
+@dataclass(frozen=True)
+class Text:
+    """A whole licence: ``phrases`` must stand in it, in this order; ``absent`` must not."""
+    label: str
+    text: str
+    phrases: tuple[str, ...]
+    absent: str = ""
+
+    @property
+    def words(self):
+        return self.text.split()
+
+    def at(self, phrase: str) -> int:
+        key = phrase.split()
+        return next(i for i in range(len(self.words)) if self.words[i:i + len(key)] == key)
+
+
+DRIFT = 40
+_BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions "
+    "are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the "
+    "documentation and or other materials provided with the distribution {}this software is provided by the copyright holders and "
+    "contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and "
+    "fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct "
+    "indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or "
+    "services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract "
+    "strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the "
+    "possibility of such damage")
+_BSD_PHRASES = ("redistribution and use in source and binary forms", "redistributions of source code must retain the above",
+                "redistributions in binary form must reproduce the above")
+_ENDORSE = "be used to endorse or promote products derived from this software"
+TEXTS = (
+    Text("mit",
+         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the "
+         "software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+         "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject "
+         "to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial "
+         "portions of the software the software is provided as is without warranty of any kind express or implied including but not limited "
+         "to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or "
+         "copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising "
+         "from out of or in connection with the software or the use or other dealings in the software",
+         ("permission is hereby granted free of charge to any person obtaining a copy",
+          "the rights to use copy modify merge publish distribute sublicense",
+          "permission notice shall be included in all copies or substantial portions")),
+    Text("bsd-3-clause", _BSD.format(
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission "), (*_BSD_PHRASES, _ENDORSE)),
+    Text("bsd-2-clause", _BSD.format(""), _BSD_PHRASES, absent=_ENDORSE),
+    Text("isc",
+         "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that "
+         "the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims "
+         "all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the "
+         "author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data "
+         "or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or "
+         "performance of this software",
+         ("permission to use copy modify", "for any purpose with or without fee is hereby granted", "disclaims all warranties with regard to this software")),
+)
+PHRASES = tuple(dict.fromkeys(p for t in TEXTS for p in (*t.phrases, *([t.absent] if t.absent else ()))))
+
+
 def tokenised(docs: DataFrame) -> DataFrame:
     words = F.regexp_extract_all(lower_ascii(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0))
     return docs.select("doc_id", words.alias("words"))
@@ -79,18 +145,20 @@ def tokenised(docs: DataFrame) -> DataFrame:
 
 def document_frequency(words: DataFrame, templates=TEMPLATES) -> dict[str, int]:
     """Files per licence word, over all files (as many rows as the templates have different words)."""
-    vocabulary = F.array(*[F.lit(w) for w in sorted({w for t in templates for w in t.words})])
+    vocabulary = F.array(*[F.lit(w) for w in sorted({w for t in templates for w in t.words} | {w for p in PHRASES for w in p.split()})])
     # explode_outer: the filter that Spark infers for explode would cut every text into words twice
     rows = (words.select(F.explode_outer(F.array_intersect("words", vocabulary)).alias("w")).where("w IS NOT NULL")
             .groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect())
     return {r.w: r.n for r in rows}
 
 
+def _rarest(frequency: dict[str, int], phrase: list[str]) -> int:
+    return max(range(len(phrase)), key=lambda i: -math.log1p(frequency.get(phrase[i], 0)))
+
+
 def rare_tokens(frequency: dict[str, int], templates=TEMPLATES) -> list[int]:
     """Offset of each key phrase's highest-IDF word."""
-    def idf(w):
-        return -math.log1p(frequency.get(w, 0))
-    return [max(range(len(t.key_words)), key=lambda i: idf(t.key_words[i])) for t in templates]
+    return [_rarest(frequency, t.key_words) for t in templates]
 
 
 def _agrees(at: Column, phrase: list[str]) -> list[Column]:
@@ -101,21 +169,52 @@ def license_scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, and ``places``
     (label, start, score of every verified place, by start) of every row of ``docs``."""
     words = tokenised(docs)
-    rare_at = rare_tokens(document_frequency(words, templates), templates)
-    rare = sorted({t.key_words[o] for t, o in zip(templates, rare_at)})
+    frequency = document_frequency(words, templates)
+    rare_at = rare_tokens(frequency, templates)
+    phrase_at = {p: _rarest(frequency, p.split()) for p in PHRASES}
+    rare = sorted({t.key_words[o] for t, o in zip(templates, rare_at)} | {p.split()[o] for p, o in phrase_at.items()})
     spots = F.filter(F.sequence(F.lit(0), F.size("words") - 1, F.lit(1)), lambda i: F.get("words", i).isin(rare))
     looked = words.withColumn("spots", F.when(F.size("words") > 0, spots).otherwise(F.array().cast("array<int>")))
 
-    def places(t: Template, o: int) -> Column:
-        starts = F.transform(F.filter("spots", lambda i: F.get("words", i) == t.key_words[o]), lambda i: i - o)
-        found = F.filter(starts, lambda s: reduce(Column.__and__, _agrees(s, t.key_words)))
+    def stands(phrase: list[str], o: int) -> Column:
+        """Where the whole phrase stands, looked up by its rare token."""
+        starts = F.transform(F.filter("spots", lambda i: F.get("words", i) == phrase[o]), lambda i: i - o)
+        return F.filter(starts, lambda s: reduce(Column.__and__, _agrees(s, phrase)))
+
+    def texts(t: Text) -> Column:
+        """Places of a whole text: every phrase votes for about the same start."""
+        offsets = [t.at(p) for p in t.phrases]
+
+        def votes(phrase: str, offset: int, s: Column) -> Column:
+            return F.filter(F.transform(stands(phrase.split(), phrase_at[phrase]), lambda i: i - offset), lambda v: F.abs(v - s) <= DRIFT)
+
+        def same(s: Column) -> Column:
+            ends = [*offsets[1:], len(t.words)]
+            parts = []
+            for k, (p, o, end) in enumerate(zip(t.phrases, offsets, ends)):
+                at = s if k == 0 else F.get(votes(p, o, s), F.lit(0))
+                first = 0 if k == 0 else o
+                piece = F.array(*[F.lit(w) for w in t.words[first:end]])
+                parts.append(F.transform(F.array(at), lambda v: F.size(F.filter(
+                    F.transform(piece, lambda w, i: F.coalesce(F.get("words", v + i + first) == w, F.lit(False))), lambda x: x)))[0])
+            return reduce(Column.__add__, parts)
+
+        starts = F.transform(stands(t.phrases[0].split(), phrase_at[t.phrases[0]]), lambda i: i - offsets[0])
+        found = F.filter(starts, lambda s: reduce(Column.__and__, [F.size(votes(p, o, s)) > 0 for p, o in zip(t.phrases[1:], offsets[1:])]))
+        if t.absent:
+            found = F.filter(found, lambda s: ~F.exists(stands(t.absent.split(), phrase_at[t.absent]),
+                                                        lambda i: (i >= s) & (i <= s + len(t.words) + DRIFT)))
         return F.transform(found, lambda s: F.struct(
+            s.cast("long").alias("start"), F.lit(t.label).alias("label"), F.lit(False).alias("base"), (same(s) / len(t.words)).alias("score")))
+
+    def places(t: Template, o: int) -> Column:
+        return F.transform(stands(t.key_words, o), lambda s: F.struct(
             s.cast("long").alias("start"), F.lit(t.label).alias("label"), F.lit(t.base).alias("base"),
             (reduce(Column.__add__, [c.cast("int") for c in _agrees(s - t.key_at, t.words)]) / len(t.words)).alias("score")))
 
     # most files have no rare token at all: the templates are looked at only where there is one
     nothing = F.array().cast("array<struct<start:bigint,label:string,base:boolean,score:double>>")
-    all_places = F.when(F.size("spots") > 0, F.array_sort(F.concat(*[places(t, o) for t, o in zip(templates, rare_at)]))) \
+    all_places = F.when(F.size("spots") > 0, F.array_sort(F.concat(*[places(t, o) for t, o in zip(templates, rare_at)], *[texts(t) for t in TEXTS]))) \
         .otherwise(nothing)
     found = looked.select("doc_id", F.size("words").cast("long").alias("n_words"), all_places.alias("places"))
     base = F.filter("places", lambda p: p["base"])
