@@ -12,6 +12,8 @@ from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
 from .line_crf import quality
 from .mixing import mix
+from .resample import oracle_sql as resample_sql
+from .resample import resample
 from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -63,14 +65,20 @@ def op10_source_mixing(spark, sf_dir):
     return mix(docs).select("doc_id", "source", "lang", "mix_topic", "mix_words", "mix_weight", "mix_expected", "mix_copies")
 
 
+def op12_importance_resampling(spark, sf_dir):
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_language_id, op4_substring_dedup, op5_benchmark_decontamination,
                                   op6_simhash_near_dedup, op7_suffix_array_dedup,
-                                  op8_html_extraction, op9_chat_formatting, op10_source_mixing)}
+                                  op8_html_extraction, op9_chat_formatting, op10_source_mixing,
+                                  op12_importance_resampling)}
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\0'), '[', '\1'), '<', '\2'), '>', '\3')"
 
 ORACLE: dict[str, str] = {
     "op2_license_scan": license_sql(),
+    "op12_importance_resampling": resample_sql(),
     "op9_chat_formatting": f"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
