@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .chat import conversation_nodes, digests, format_trees
 from .common import read_table
 from .decontaminate import leaks
+from .factor_machine import classify
 from .langid import identify
 from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
@@ -65,6 +66,10 @@ def op10_source_mixing(spark, sf_dir):
     return mix(docs).select("doc_id", "source", "lang", "mix_topic", "mix_words", "mix_weight", "mix_expected", "mix_copies")
 
 
+def op11_quality_classifier(spark, sf_dir):
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op12_importance_resampling(spark, sf_dir):
     return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("n_words")
 
@@ -72,7 +77,7 @@ def op12_importance_resampling(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_language_id, op4_substring_dedup, op5_benchmark_decontamination,
                                   op6_simhash_near_dedup, op7_suffix_array_dedup,
                                   op8_html_extraction, op9_chat_formatting, op10_source_mixing,
-                                  op12_importance_resampling)}
+                                  op11_quality_classifier, op12_importance_resampling)}
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\0'), '[', '\1'), '<', '\2'), '>', '\3')"
 
