@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .chat import conversation_nodes, digests, format_trees
-from .common import read_table
+from .common import read_table, written
 from .decontaminate import leaks
 from .factor_machine import classify
 from .langid import identify
@@ -13,6 +13,8 @@ from .license_scan import license_scan
 from .license_scan import oracle_sql as license_sql
 from .line_crf import quality
 from .mixing import mix
+from .prefix_trie import numbered_turns, rebuilt, trie
+from .prefix_trie import oracle_sql as trie_sql
 from .resample import oracle_sql as resample_sql
 from .resample import resample
 from .simhash import simhash_groups
@@ -74,16 +76,21 @@ def op12_importance_resampling(spark, sf_dir):
     return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("n_words")
 
 
+def op13_prefix_trie(spark, sf_dir):
+    return trie(rebuilt(written(numbered_turns(read_table(spark, sf_dir, "conversations")))))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_language_id, op4_substring_dedup, op5_benchmark_decontamination,
                                   op6_simhash_near_dedup, op7_suffix_array_dedup,
                                   op8_html_extraction, op9_chat_formatting, op10_source_mixing,
-                                  op11_quality_classifier, op12_importance_resampling)}
+                                  op11_quality_classifier, op12_importance_resampling, op13_prefix_trie)}
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\0'), '[', '\1'), '<', '\2'), '>', '\3')"
 
 ORACLE: dict[str, str] = {
     "op2_license_scan": license_sql(),
     "op12_importance_resampling": resample_sql(),
+    "op13_prefix_trie": trie_sql(),
     "op9_chat_formatting": f"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
