@@ -176,15 +176,16 @@ def reviews_running(reviews: DataFrame, entity: list[str], ts: str, rating: str,
 
 
 def ticket_times(tickets: DataFrame, messages: DataFrame, key: str, created: str, ts: str, is_reply,
-                 resolved: str, rating: str | None = None) -> DataFrame:
+                 resolved: str, rating: str | None = None, tiebreak: list[str] | None = None) -> DataFrame:
     """D75 with durations: minutes from creation to the first reply and to the resolution (never
-    negative), and the latest rating given in a message."""
+    negative), and the latest rating given in a message. Ratings of one moment are ordered by
+    ``tiebreak``, then by the rating itself (the largest counts), so the result never depends on row order."""
     out = ticket_lifecycle(tickets, messages, key, created, ts, is_reply, resolved)
     minutes = lambda c: F.when(F.col(c).isNotNull(),
                                F.greatest(F.timestamp_diff("MINUTE", F.col(created), F.col(c)), F.lit(0)))
     out = out.withColumns({"first_response_minutes": minutes("first_reply_at"), "resolution_minutes": minutes(resolved)})
     if rating:
-        last = messages.where(F.col(rating).isNotNull()).groupBy(key).agg(F.max_by(rating, ts).alias("latest_rating"))
+        last = messages.where(F.col(rating).isNotNull()).groupBy(key).agg(F.max_by(rating, F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate([ts, *(tiebreak or []), rating])])).alias("latest_rating"))
         out = out.join(last, key, "left")
     return out
 

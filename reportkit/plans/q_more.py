@@ -34,7 +34,7 @@ def _tickets(spark, d):
 
 def order_ticket_times(spark, d):
     o, li = _tickets(spark, d)
-    # several lines may ship at one moment: the line number decides which rating is the latest
+    # lines of one number may ship at one moment: the larger rating is then the latest
     li = li.withColumn("at", F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(secs=F.col("l_linenumber")))
     o = o.withColumns({"o_orderdate": F.col("o_orderdate").cast("timestamp"), "solved_at": F.col("solved_at").cast("timestamp")})
     return finalize(sp.ticket_times(o, li, "o_orderkey", "o_orderdate", "at", F.col("l_returnflag") == "R", "solved_at", rating="l_tax"))
@@ -136,7 +136,7 @@ FROM e WHERE code <> 0 GROUP BY day, event_type, code
     "order_ticket_times": f"""
 WITH m AS (SELECT l_orderkey, CAST(l_shipdate AS TIMESTAMP) + l_linenumber * INTERVAL 1 SECOND AS sent_at, l_returnflag, l_tax FROM lineitem),
 g AS (SELECT l_orderkey, MIN(sent_at) FILTER (l_returnflag = 'R') AS first_reply_at, COUNT(*) FILTER (l_returnflag = 'R') AS reply_count,
-             COUNT(*) AS message_count, MAX(sent_at) AS last_message_at, arg_max(l_tax, sent_at) FILTER (l_tax IS NOT NULL) AS latest_rating
+             COUNT(*) AS message_count, MAX(sent_at) AS last_message_at, (MAX({{'at': sent_at, 'rating': l_tax}}) FILTER (l_tax IS NOT NULL)).rating AS latest_rating
       FROM m GROUP BY l_orderkey),
 x AS (SELECT o.o_orderkey, CAST(o.o_orderdate AS TIMESTAMP) AS o_orderdate, o.o_orderstatus, o.o_orderpriority, g.*,
              IF(o.o_orderstatus = 'F', (SELECT MAX(CAST(l_shipdate AS TIMESTAMP)) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey), NULL) AS solved_at
