@@ -72,14 +72,17 @@ def budget_vs_actual(budget: DataFrame, actuals: DataFrame, on, lo: str, hi: str
 
 
 def assignments(items: DataFrame, item: str, people_col: str, pattern: str | None = None,
-                json_schema: str | None = None) -> DataFrame:
-    """One row per item x person from a list held in a column (JSON array via
-    ``json_schema`` or every regex match via ``pattern``), de-duplicated."""
-    if json_schema:
-        arr = F.from_json(F.col(people_col), f"array<{json_schema}>")
-    else:
-        arr = F.regexp_extract_all(F.col(people_col), F.lit(pattern), 0)
-    return items.select(item, F.explode(F.array_distinct(arr)).alias("person")).distinct()
+                path: str | None = None, kind: str | None = None, person: str = "$", kinds: list[str] | None = None) -> DataFrame:
+    """One row per item x person from a list held in a column (every regex match via ``pattern``, or
+    JSON text exploded at ``path``: ``person`` is the path of the name in an entry, ``kind`` that of its type,
+    and only entries of ``kinds`` count), de-duplicated."""
+    if pattern:
+        return items.select(item, F.explode(F.array_distinct(F.regexp_extract_all(F.col(people_col), F.lit(pattern), 0))).alias("person")).distinct()
+    from .arrays import explode_json
+    ex = explode_json(items.select(item, people_col), people_col, path=path, pos=False, out="_entry")
+    if kind:
+        ex = ex.where(F.try_variant_get("_entry", kind, "string").isin(list(kinds or [])))
+    return ex.select(item, F.try_variant_get("_entry", person, "string").alias("person")).where("person IS NOT NULL").distinct()
 
 
 def dependency_counts(tasks: DataFrame, deps: DataFrame, key: str, dep_status: str, open_values: list[str]) -> DataFrame:

@@ -117,10 +117,15 @@ def agent_performance(facts: dict, agent: str, period: str) -> DataFrame:
 
 
 def answer_detail(responses: DataFrame, key: str, answers: str, labels: DataFrame | None = None,
-                  label_key: str | None = None) -> DataFrame:
-    """Long answers: array answers exploded with their position, choice labels resolved."""
-    ex = responses.select(key, *[c for c in responses.columns if c not in (key, answers)],
-                          F.posexplode(F.col(answers)).alias("position", "answer"))
+                  label_key: str | None = None, path: str | None = None, schema: str = "string") -> DataFrame:
+    """Long answers: array answers exploded with their position, choice labels resolved. ``answers`` is an
+    array column, or JSON text whose list stands at ``path`` (entries read as ``schema``)."""
+    if path is not None:
+        from .arrays import explode_json
+        ex = explode_json(responses, answers, schema, path, out="answer").withColumnRenamed("pos", "position").drop(answers)
+    else:
+        ex = responses.select(key, *[c for c in responses.columns if c not in (key, answers)],
+                              F.posexplode(F.col(answers)).alias("position", "answer"))
     if labels is not None:
         ex = ex.join(labels, label_key, "left")
     return ex

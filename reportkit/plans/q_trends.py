@@ -13,6 +13,7 @@ from ..functions.columns import rnd
 from ..operators import operations as op
 from ..operators.marketing import EMAIL_PATTERN
 from .common import finalize, load, sql_date, sx
+from .q_primitives import LINK_PATTERN
 
 NET = "ROUND(l_extendedprice * (1 - l_discount), 2)"
 GROSS = f"{NET} + ROUND({NET} * l_tax, 2)"
@@ -21,8 +22,12 @@ LOCAL_ZONE = "America/New_York"
 
 
 def page_assignments(spark, d):
-    p = load(spark, d, "pages").select("page_id", "html")
-    return op.assignments(p, "page_id", "html", pattern=EMAIL_PATTERN)
+    # a page's people and links as one JSON list of unlike entries; only the people are assigned
+    entry = lambda kind: lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("value"))
+    p = load(spark, d, "pages").select("page_id", F.to_json(F.concat(
+        F.transform(F.regexp_extract_all("html", F.lit(LINK_PATTERN), 1), entry("link")),
+        F.transform(F.regexp_extract_all("html", F.lit(EMAIL_PATTERN), 0), entry("person")))).alias("entries"))
+    return op.assignments(p, "page_id", "entries", path="$", kind="$.kind", kinds=["person"], person="$.value")
 
 
 def order_growth(spark, d):
