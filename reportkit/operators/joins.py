@@ -92,7 +92,7 @@ def cross_join(a: DataFrame, b: DataFrame, small: bool = False) -> DataFrame:
 
 
 def range_join(a: DataFrame, b: DataFrame, on, point: str, lo: str, hi: str,
-               closed: str = "[)", bucket_days: int | None = None, how: str = "inner") -> DataFrame:
+               closed: str = "[)", bucket_days: int | None = None, how: str = "inner", seed: bool = False) -> DataFrame:
     """Equality keys plus ``point`` inside ``[lo, hi)`` (or ``[lo, hi]``).
 
     With equality keys the range is a residual predicate of a hash/sort-merge
@@ -100,9 +100,14 @@ def range_join(a: DataFrame, b: DataFrame, on, point: str, lo: str, hi: str,
     overlaps and the match becomes an equi-join on (keys, bucket) plus the
     residual, so no nested-loop join is ever planned. ``hi`` NULL = open-ended.
     ``how='left'`` keeps points without a covering range (each point has one bucket,
-    so a range still matches a point at most once).
+    so a range still matches a point at most once). Without keys and buckets the points and ranges are
+    swept in sorted order (``sorting.range_sweep_join``); ``seed=True`` says that ``b`` is a seed of a few
+    fixed rows, which is cheaper to compare in place.
     """
     keys = _keys(on) if on else []
+    if not keys and not bucket_days and not seed:
+        from .sorting import range_sweep_join
+        return range_sweep_join(a, b, point, lo, hi, closed, how)
     lo_c, hi_c, p_c = F.col(lo), F.col(hi), F.col(point)
     if bucket_days:
         # ranges explode onto buckets, but never past the last bucket any point can

@@ -29,7 +29,7 @@ def general_ledger(lines: DataFrame, accounts: DataFrame, account: str, debit: s
     if groups is not None:
         # the range join runs on the chart of accounts (a dimension), never on the lines
         g = range_join(accounts.select(account).withColumn("_acct_no", F.col(account).try_cast("int")),
-                       groups, None, "_acct_no", "range_from", "range_to", "[]")
+                       groups, None, "_acct_no", "range_from", "range_to", "[]", seed=True)
         acc = acc.join(g.drop("_acct_no", "range_from", "range_to"), account, "left")
     # the enriched chart of accounts is a small dimension (checked): the lines are not shuffled on
     # their few, heavy accounts

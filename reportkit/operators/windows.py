@@ -166,6 +166,45 @@ def trailing_agg(df: DataFrame, part, date: str, c: str, days: int, fn: str = "s
     return df.withColumn(out or f"{fn}_{c}_{days}d", getattr(F, fn)(c).over(w))
 
 
+_MERGE = {"sum": ("sum", "sum"), "count": ("count", "sum"), "min": ("min", "min"), "max": ("max", "max")}
+
+
+def trailing_over_days(df: DataFrame, part, date: str, c: str, days: int, fn: str = "sum", include_current: bool = True,
+                       out: str | None = None) -> DataFrame:
+    """W12 in two levels, for keys of any size: a key's rows are summed per day first (a hash aggregate), the RANGE frame
+    runs over its days, and rows get their day's figure back by equality. ``fn``: sum, count, min, max or avg. Equal to
+    ``trailing_agg``; rows without a date form a frame of their own."""
+    if fn == "avg":
+        d = trailing_over_days(df, part, date, c, days, "sum", include_current, "_sum")
+        d = trailing_over_days(d, part, date, c, days, "count", include_current, "_cnt")
+        return d.withColumn(out or f"avg_{c}_{days}d", F.try_divide(F.col("_sum").cast("double"), F.col("_cnt"))).drop("_sum", "_cnt")
+    first, then = _MERGE[fn]
+    keys = _l(part)
+    d = df.withColumn("_day", F.unix_date(F.col(date).cast("date")))
+    g = d.groupBy(*keys, "_day").agg(getattr(F, first)(c).alias("_x"))
+    lo, hi = (-(days - 1), 0) if include_current else (-days, -1)
+    x = getattr(F, then)("_x").over(Window.partitionBy(*keys).orderBy("_day").rangeBetween(lo, hi))
+    name = out or f"{fn}_{c}_{days}d"
+    g = g.select(*keys, "_day", (F.coalesce(x, F.lit(0)) if fn == "count" else x).alias(name))
+    return _ns_join(d, g, keys + ["_day"]).drop("_day")
+
+
+def trailing_window(df: DataFrame, part, ts: str, c: str, seconds: int, fn: str = "sum", out: str | None = None) -> DataFrame:
+    """W12 over timestamps: ``fn`` of ``c`` over the rows of the last ``seconds`` up to and with the row's own moment.
+
+    Time is cut into buckets as long as the frame, so a frame reaches its own bucket and the one before; every row stands
+    in its bucket and once more, as history, in the next. Windows run per key x bucket: a hot key is spread over its time,
+    no partition holds more than two frames' rows, and any aggregate is exact."""
+    keys = _l(part)
+    width = seconds * 1_000_000
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    d = df.withColumns({"_t": t, "_own": F.floor(t / width)})
+    d = d.withColumn("_bucket", F.explode(F.when(F.col("_own").isNull(), F.array("_own")).otherwise(F.array(F.col("_own"), F.col("_own") + 1))))
+    w = Window.partitionBy(*keys, "_bucket").orderBy("_t").rangeBetween(-width, 0)
+    d = d.withColumn(out or f"{fn}_{c}_{seconds}s", getattr(F, fn)(c).over(w))
+    return d.where(F.col("_bucket").eqNullSafe(F.col("_own"))).drop("_t", "_own", "_bucket")
+
+
 def carry_forward(df: DataFrame, part, order, cols: list[str], suffix: str = "") -> DataFrame:
     """Last non-NULL value at or before the row."""
     w = Window.partitionBy(*_l(part)).orderBy(*_ord(order)).rowsBetween(Window.unboundedPreceding, 0)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggregates import quantile
 from ..operators import support as sp
+from ..operators.sketches import rank_bounds
 from .common import finalize, load, sql_date
 
 BACKLOG_AS_OF = "2002-01-01"
@@ -81,18 +82,28 @@ def source_topic_share(spark, d):
     return sp.topic_share(docs, "doc_id", "source", ["lang"])
 
 
-def delivery_time_quantiles(spark, d):
-    """A6 on the scalable path: mergeable approximate percentiles (no exact oracle;
-    tested against nearest-rank brute force on a small table)."""
+def delivery_times(spark, d):
     li = load(spark, d, "lineitem").select("l_orderkey", "l_shipdate")
     o = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
-    j = li.join(o, "l_orderkey").select(
+    return li.join(o, "l_orderkey").select(
         "o_orderpriority", F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")).alias("days_to_ship"))
+
+
+def delivery_quantiles(j):
+    """A6 on the scalable path: mergeable approximate percentiles."""
     return j.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("lines"),
         quantile("days_to_ship", 0.5).alias("p50_days"), quantile("days_to_ship", 0.9).alias("p90_days"))
 
 
+def delivery_time_quantiles(spark, d):
+    """The approximate percentiles' exact ranks are counted and must lie within a thousandth of the asked ones."""
+    j = delivery_times(spark, d)
+    ps = {"p50_days": 0.5, "p90_days": 0.9}
+    checked = rank_bounds(j, delivery_quantiles(j), ["o_orderpriority"], "days_to_ship", ps, 0.001)
+    return checked.select("o_orderpriority", "lines", "p50_days_in_bound", "p90_days_in_bound")
+
+
 QUERIES = {
     "delivery_time_quantiles": delivery_time_quantiles,
     "reply_waits": reply_waits,
@@ -117,6 +128,11 @@ t AS (SELECT o.*, CASE WHEN o.o_orderstatus = 'F' THEN s.last_ship END AS closed
 """
 
 ORACLE = {
+    # any value whose exact rank lies in the bound is right: the check itself is the expected value
+    "delivery_time_quantiles": """
+SELECT o_orderpriority, COUNT(*) AS lines, true AS p50_days_in_bound, true AS p90_days_in_bound
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY o_orderpriority
+""",
     "reply_waits": _MSG + """
 , w AS (SELECT conv_id, turn, direction, LAG(direction) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_dir,
                MIN(CASE WHEN direction = 'sent' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn

@@ -47,16 +47,14 @@ def test_query_matches_oracle(spark, con, name):
     assert got == want
 
 
-def test_every_query_has_an_oracle_or_is_documented():
-    missing = set(QUERIES) - set(ORACLE)
-    # queries without SQL oracle are tested against brute force in their own module
-    assert missing <= {"delivery_time_quantiles"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_delivery_time_quantiles_match_nearest_rank(spark, con):
     import math as m
-    got = {r.o_orderpriority: (r.lines, r.p50_days, r.p90_days)
-           for r in QUERIES["delivery_time_quantiles"](spark, SF).collect()}
+    from reportkit.plans.q_support import delivery_quantiles, delivery_times
+    got = {r.o_orderpriority: (r.lines, r.p50_days, r.p90_days) for r in delivery_quantiles(delivery_times(spark, SF)).collect()}
     rows = con.execute("""SELECT o.o_orderpriority, date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE))
                           FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""").fetchall()
     by = {}
