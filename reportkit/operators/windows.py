@@ -311,6 +311,24 @@ def seq_running_sum(df: DataFrame, keys, order: list[str], c: str, out: str, buc
     return d.withColumn(out, F.col("_local") + F.col("_before")).drop("_bk", "_local", "_before")
 
 
+def seq_running_min(df: DataFrame, keys, order: list[str], c: str, out: str, bucket: Column, before_out: str | None = None) -> DataFrame:
+    """Running minimum per key in two levels, like ``seq_running_sum``; ``before_out`` also gives the minimum over the
+    rows strictly before."""
+    keys = _l(keys)
+    d = df.withColumn("_bk", bucket)
+    w = Window.partitionBy(*keys, "_bk").orderBy(*order)
+    d = d.withColumns({"_upto": F.min(c).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+                       "_under": F.min(c).over(w.rowsBetween(Window.unboundedPreceding, -1))})
+    agg = d.groupBy(*keys, "_bk").agg(F.min(c).alias("_bmin"))
+    wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    agg = agg.select(*keys, "_bk", F.min("_bmin").over(wb).alias("_before"))
+    d = _ns_join(d, agg, keys + ["_bk"])
+    d = d.withColumn(out, F.least("_upto", "_before"))
+    if before_out:
+        d = d.withColumn(before_out, F.least("_under", "_before"))
+    return d.drop("_bk", "_upto", "_under", "_before")
+
+
 def seq_number(df: DataFrame, keys, order: list[str], out: str, bucket: Column,
                desc_out: str | None = None) -> DataFrame:
     """W4 in two levels: ROW_NUMBER per key = position inside its (key, bucket) plus the
