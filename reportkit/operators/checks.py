@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -116,3 +116,37 @@ def check_bridge(df: DataFrame, keys, period: str, opening: str, closing: str, t
     w = Window.partitionBy(*_l(keys)).orderBy(period)
     return (df.withColumn("prev_closing", F.lag(closing).over(w))
             .where(F.col("prev_closing").isNotNull() & (F.abs(F.col(opening) - F.col("prev_closing")) > tol)))
+
+
+def _misses(ok: Column) -> Column:
+    return F.count_if(~F.coalesce(ok, F.lit(False)))
+
+
+def watched(df: DataFrame, rows: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """Row-level checks counted while the report itself is written: ``df`` to write, and the metrics to read afterwards
+    (``.get``: violations per name, and ``rows``). No scan of their own. The counts are accumulators: exact, unless a lost
+    executor makes Spark run finished tasks again (then too high); ``audit`` counts exactly in every case."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[_misses(ok).alias(name) for name, ok in rows.items()]), seen
+
+
+def audit(df: DataFrame, rows: dict[str, Column], keys: dict[str, list[str]] | None = None) -> DataFrame:
+    """Q1, Q3-Q6, Q8, Q10, Q13 in one pass over a report: ``(check, violations, rows)``, one row per check.
+
+    ``rows``: name -> condition every row must meet (not TRUE counts as a violation). ``keys``: name -> columns that must
+    tell rows apart (violations: key values that occur more than once; NULLs are values). All of them are counted from one
+    shared aggregate on the key columns taken together (without ``keys``: one row), so the report is read once and its
+    rows are combined before they are shuffled.
+    """
+    keys = keys or {}
+    every = list(dict.fromkeys(c for cols in keys.values() for c in cols))
+    names = list(rows)
+    shared = df.groupBy(*every).agg(F.count(F.lit(1)).alias("_n"), *[_misses(rows[n]).alias(f"_r{i}") for i, n in enumerate(names)])
+    # per key set one row and key value; the row-level counts travel with the first set only
+    parts = [F.struct(F.lit(name).alias("check"), F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("key"), F.col("_n").alias("n"),
+                      F.lit(0).cast("long").alias("miss"), F.lit(0).cast("long").alias("rows")) for name, cols in keys.items()]
+    parts += [F.struct(F.lit(name).alias("check"), F.lit(None).cast("string").alias("key"), F.lit(0).cast("long").alias("n"),
+                       F.col(f"_r{i}").alias("miss"), F.lit(0).cast("long").alias("rows")) for i, name in enumerate(names)]
+    ex = shared.select("_n", F.explode(F.array(*parts)).alias("k")).select("_n", "k.*")
+    g = ex.groupBy("check", "key").agg(F.sum("n").alias("n"), F.sum("miss").alias("miss"), F.sum("_n").alias("rows"))
+    return g.groupBy("check").agg((F.count_if(F.col("n") > 1) + F.sum("miss")).alias("violations"), F.sum("rows").alias("rows"))
