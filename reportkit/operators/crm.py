@@ -24,13 +24,11 @@ def stage_history(changes: DataFrame, key, value: str, ts: str, as_of, stage_ord
     across the key's hours), so a key with a huge change log is never sorted in one
     task. ``bucket`` overrides the day bucketing (must grow with ``ts``).
     """
-    from .windows import seq_neighbors
+    from .windows import change_points, seq_neighbors
     keys = _l(key)
     order = [ts] + ([tiebreak] if tiebreak else [])
     bk = bucket if bucket is not None else F.date_trunc("hour", F.col(ts).cast("timestamp"))
-    c = seq_neighbors(changes.where(F.col(value).isNotNull()), keys, order, [value], bk,
-                      prev_prefix="_prev_", next_prefix=None)
-    c = c.where(F.col(f"_prev_{value}").isNull() | (F.col(f"_prev_{value}") != F.col(value))).drop(f"_prev_{value}")
+    c = change_points(changes, keys, order, value, bucket=bk)
     a = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
     carry = [ts, value] + ([pipeline] if pipeline else [])
     if stage_order:

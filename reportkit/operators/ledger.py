@@ -73,6 +73,7 @@ def fiscal_trial_balance(tb: DataFrame, entity, account: str, is_pnl: str, fisca
     an equity row per month carries the P&L of earlier fiscal years, so each month sums
     to zero again."""
     from ..functions.columns import fiscal_year_start
+    from .sets import append_row
     ent = _l(entity)
     fy = fiscal_year_start(F.col("month"), fiscal_start_month)
     t = tb.withColumn("fiscal_year_start", fy)
@@ -83,7 +84,7 @@ def fiscal_trial_balance(tb: DataFrame, entity, account: str, is_pnl: str, fisca
           .agg(rnd(F.sum(F.col("closing_balance") - F.col("_ytd")), 2).alias("reported_balance"))
           .withColumns({account: F.lit(equity_account), is_pnl: F.lit(False)}))
     keep = [*ent, account, "month", "fiscal_year_start", is_pnl, "reported_balance"]
-    return t.select(*keep).unionByName(eq.select(*keep))
+    return append_row(t.select(*keep), eq.select(*keep))
 
 
 def profit_and_loss(ledger: DataFrame, keys: list[str], date: str, amount: str, classes: list[str],

@@ -133,11 +133,15 @@ def correspondents(messages: DataFrame, dims: list[str], text: str, direction: s
     return ex.groupBy("address", *dims).agg(*aggs)
 
 
-def campaign_roi(facts: dict, keys: list[str], cost: str | None = None, value: str | None = None) -> DataFrame:
+def campaign_roi(facts, keys: list[str], cost: str | None = None, value: str | None = None, kind: str | None = None,
+                 specs: dict | None = None, money: list[str] | None = None) -> DataFrame:
     """Per key union: each fact rolled up first (proposals, content, conversions,
-    payables, ...), then ROI = value / cost when both measures are given."""
-    from .aggs import rollup_facts
-    out = rollup_facts(None, facts, keys, fill=0)
+    payables, ...), then ROI = value / cost when both measures are given (``money`` columns are
+    rounded to cents before). ``facts`` is a dict of tables (``rollup_facts``), or one table whose
+    facts are told apart by ``kind`` (``specs`` as in ``rollup_kinds``), which is then read once."""
+    from .aggs import rollup_facts, rollup_kinds
+    out = rollup_facts(None, facts, keys, fill=0) if kind is None else rollup_kinds(facts, keys, kind, specs)
+    out = out.withColumns({m: rnd(m, 2) for m in money or []})
     if cost and value:
         out = out.withColumn("roi", rnd(ratio(value, cost), 6))
     return out

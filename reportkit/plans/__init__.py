@@ -9,7 +9,7 @@ from .common import expand_round
 
 MODULES = ["q_events", "q_commerce", "q_revenue", "q_ledger", "q_payments", "q_support",
            "q_crm", "q_marketing", "q_operations", "q_primitives", "q_checks", "q_logistics", "q_content",
-           "q_activity", "q_trends", "q_staging", "q_profile", "q_more", "q_json", "q_scale", "q_changes", "q_audit"]
+           "q_activity", "q_trends", "q_staging", "q_profile", "q_more", "q_json", "q_scale", "q_changes", "q_audit", "q_service"]
 
 
 def _collect():

@@ -23,11 +23,13 @@ def staged_events(spark, d):
     tagged = union_sources({"primary": e, "replica": e}, tag="source_account")
     latest = dedup_latest(tagged, ["event_id"], ["source_account"])
     band_label, band_order = C.band(F.col("value"), VALUE_EDGES, VALUE_LABELS)
+    # Typed projection; a value that can't be read as its type is NULL, not an error
+    latest = latest.withColumn("_k", F.get_json_object("props", "$.k"))
+    latest = C.typed(latest, {**{c: (c, t) for c, t in latest.drop("_k").dtypes}, "k": ("_k", "int")}, safe=True)
     typed = latest.select(
-        "event_id", "user_id", "ts", "source_account",
+        "event_id", "user_id", "ts", "source_account", "k",
         C.clean_text(F.col("event_type"), "upper").alias("event_name"),
         C.classify([(F.col("event_type") == k, v) for k, v in CLASS_RULES], "engagement").alias("event_class"),
-        F.get_json_object("props", "$.k").try_cast("int").alias("k"),
         C.from_epoch(F.unix_millis(F.col("ts").cast("timestamp")), "ms").alias("ts_ms"),
         C.parse_date_any(F.date_format("ts", "dd/MM/yyyy"), ["yyyy-MM-dd", "dd/MM/yyyy"]).alias("event_date"),
         band_label.alias("value_band"), band_order.alias("value_band_order"),
