@@ -33,7 +33,7 @@ def _manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def published(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
-    """The report as of its last refresh (and as temp view ``name``). Rows of replaced runs are left out by a join with the
+    """S3: the report as of its last refresh (and as temp view ``name``). Rows of replaced runs are left out by a join with the
     manifest's newest runs; their folders are pruned when the manifest is small enough to be broadcast."""
     path = path.rstrip("/")
     if not _exists(spark, f"{path}/schema"):
@@ -53,7 +53,7 @@ def published(spark: SparkSession, path: str, name: str | None = None) -> DataFr
 
 def refresh(spark: SparkSession, source: DataFrame, generation: str, period: Column, build: Callable[[DataFrame], DataFrame], path: str,
             report_period: str = "period", name: str | None = None) -> list[str]:
-    """Bring the report at ``path`` up to ``source``; returns the periods that were rebuilt, in order (empty: nothing was written).
+    """S3: bring the report at ``path`` up to ``source``; returns the periods that were rebuilt, in order (empty: nothing was written).
 
     ``generation``: an increasing number per load, kept on every row (rows without one are read, but are no news);
     ``period``: the part of the report a row belongs to (an expression; NULL is a period of its own); ``build``: rows of some
