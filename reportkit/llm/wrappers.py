@@ -7,18 +7,23 @@ expression per host, is its wrapper; aligning a page with it gives every text of
 
 A text token carries what its page says about it (``CODES``): article or main region, a region that is not article (menus, page
 headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles) by its tag, or in doubt, by a class name only. So a
-slot never mixes texts that the tags tell apart, and the main text of a page is chosen by slots: article slots are kept
-and slots outside are not, whatever they hold, since nothing else is to be dropped. The rest is decided by counts over the host's pages (``slot_facts``): a slot in doubt, or
-in main beside an article, is template if its texts repeat over the pages or are mostly links, and else (on
-``CONSTANT_PAGES`` pages at least) belongs to the region around it. Where a page has no such region, text that is the same on half of the host's pages or is
-mostly links is template, and the container with the most other text is the article.
+slot never mixes texts that the tags tell apart, and the main text of a page is chosen by slots: article slots are kept and slots
+outside are not, whatever they hold, since nothing else is to be dropped. The rest is decided by counts over the host's pages
+(``slot_facts``). A slot whose texts repeat (one text on more than half of its places, twice at least) or are mostly links is worn.
+A slot is named *strongly* if a class or id is, as a whole, the name of a region that is not article (``share``, ``cookie-notice``); then it goes
+unless its texts vary over the pages (``FREE_PAGES`` at least). It is named *weakly* if only a word of a class hints at one (``promo-box``,
+``has-sidebar``); then it stays unless it is worn, as does what lies in main beside an article: a page that is alone on its host keeps it. Outside any
+region, texts with either name go unless they vary. Where a page has no region at all, text that is the same on half of the
+host's pages (three at least) or is mostly links is template, and the container with the most other text is the article.
 
 Streams are collapsed to different ones per host before any shuffle, so a host with a third of all pages costs as many rows as it has
 page layouts; they are aligned as a tree, about ``FAN`` at a time in each task, until one wrapper is left. Pages are never shuffled
-unless the wrappers are larger than ``BROADCAST_BYTES``.
+unless the wrappers are larger than ``BROADCAST_BYTES``; else workers get each wrapper once.
 
 Defined cases: null or empty html: empty text; null url: the host is empty; markup that is never closed or cut off: read
-as far as it goes; ``br`` is white space; repeated rows: one result row each; empty table: no rows; other columns are ignored.
+as far as it goes; ``br`` is white space; repeated rows: one result row each; very long pages are read whole, and alignment
+takes time, not memory, in the product of two streams; containers with equally much text: the first in the wrapper; a text on
+exactly half of its places is no template; empty table: no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,11 +45,12 @@ from .common import importable, written
 FAN = 16                    # streams that one task aligns to one
 TABLE_BITS = 1 << 28        # of an alignment kept in memory (32 MB); longer streams are halved, with the same result
 BROADCAST_BYTES = 32 << 20
-CONSTANT_PAGES = 3          # pages a host needs before equal text counts as template
+CONSTANT_PAGES = 3          # places before equal text counts as template where a page has no region
+FREE_PAGES = 3              # pages whose texts must differ before a strong name is overruled
 
 # fixed values: how markup is read
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 RAW = frozenset("script style textarea title xmp iframe noscript noembed noframes template svg select button head annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike "
@@ -55,52 +61,57 @@ NAMED = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p li dt dd".split())      # their
 VOID = frozenset("br img input hr meta link base area col embed param source track wbr".split())
 OUTSIDE = frozenset("nav footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
-# by their nature these differ from page to page; the other words can be checked against the host (see ``slot_facts``)
-WORDS_VARYING = frozenset(
-    "ad ads advert advertisement advertising adverts sponsor sponsored search comment comments reply replies respond disqus related recommended "
-    "adbox adslot adsense".split())
-WORDS_OUTSIDE = WORDS_VARYING | frozenset(
-    "nav navbar navigation menu sidebar footer masthead promo cookie cookies "
-    "consent notice notices alert popup modal newsletter subscribe signup login share social "
-    "breadcrumb breadcrumbs pagination pager widget toolbar skip copyright banner "
-    "disclaimer gdpr overlay topbar".split())
-STARTS_VARYING = ("comment", "advert", "sponsor")
-STARTS_OUTSIDE = (*STARTS_VARYING, "cookie", "newsletter", "breadcrumb", "sidebar", "navigat", "footer")
+# names of regions that are not article, as whole class names or ids: a core with words around it that say nothing else
+_BEFORE = r"(?:(?:reader|user|post|article|page|site|main|top|side|bottom|left|right|in|inline|sticky|mobile|desktop|google|native|cookie|global|local|primary|secondary)[-_]?)*"
+_AFTER = (r"(?:[-_]?(?:list|lists|section|area|form|box|thread|threads|wrap|wrapper|container|block|inner|outer|content|posts?|articles?|links?|items?|"
+          r"stories|bar|field|button|buttons|icons|widget|unit|slot|banner|space|label|row|top|bottom|left|right|feed|count|panel|region|group|text|message|nav|menu|\d+))*")
+ADVERT = re.compile(_BEFORE + r"(?:ads?|advert(?:s|ising|isements?)?|adsense|adbox|adslot|sponsor(?:s|ed)?)" + _AFTER)
+# these differ from page to page by their nature; the strong names can be checked against the host
+VARYING = re.compile(_BEFORE + r"(?:search|comments?|repl(?:y|ies)|respond|disqus|related|recommended)" + _AFTER)
+STRONG = re.compile(_BEFORE + r"(?:nav|navbar|navigation|menu|sidebar|footer|masthead|cookies?|consent|notices?|alerts?|popup|modal|newsletter|subscribe|signup|login|"
+                    r"share|sharing|social|breadcrumbs?|pagination|pager|copyright|gdpr|topbar)" + _AFTER)
+WEAK = frozenset(
+    "ad ads nav navbar navigation menu sidebar footer masthead promo cookie cookies consent notice notices alert popup modal newsletter subscribe "
+    "signup login share social breadcrumb breadcrumbs pagination pager widget toolbar skip copyright banner disclaimer gdpr overlay topbar".split())
+WEAK_STARTS = ("cookie", "newsletter", "breadcrumb", "sidebar", "navigat", "footer")
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p "
     "pre section table ul".split())
 
 
 def _kind(name: str, attrs: str, inside: bool) -> tuple[str, str, str]:
-    """(mark, region, the listed words in doubt) of an element. mark: 'out' for a region that is not article by its tag, role or style, 'words' and 'doubt'
-    for one by the words of its class or id ('doubt': words that do not vary by nature), else ''. region: 'article', 'main' or ''."""
+    """(mark, region, the words of a weak name) of an element. mark: 'out' for a region that is not article by its tag, role or style, 'words' for
+    one by a name that varies by nature, 'strong' and 'weak' for names in doubt, else ''. region: 'article', 'main' or ''."""
     if name in ("html", "body"):
         return "", "", ""
-    found = ATTRIBUTE.findall(attrs) if "=" in attrs else ()
-    words, role, style, hidden = set(), "", "", False
-    for key, *values in found:
+    names, words, role, hidden = set(), set(), "", False
+    for key, *values in ATTRIBUTE.findall(attrs) if attrs.strip(" /") else ():
         key, value = key.lower(), "".join(values).lower()
-        if key == "class" or (key == "id" and name not in NAMED):
-            words.update(re.split(r"[^a-z]+", re.sub(r"side[-_]bar", "sidebar", value)))
+        if key == "class":
+            value = re.sub(r"side[-_]bar", "sidebar", value)
+            names.update(value.split())
+            words.update(re.split(r"[^a-z]+", value))
+        elif key == "id" and name not in NAMED:
+            names.add(re.sub(r"side[-_]bar", "sidebar", value.strip()))
         elif key == "role":
             role = value
-        elif key == "style":
-            style = value.replace(" ", "")
-        elif key == "aria-hidden" and value == "true":
+        elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
             hidden = True
+    if name in INLINE:                          # inside a sentence only what is certain
+        return ("out" if role in ROLES or hidden else "words" if any(ADVERT.fullmatch(n) for n in names) else ""), "", ""
     region = "article" if name == "article" else "main" if name == "main" or role == "main" else ""
-    if name in OUTSIDE or (name == "header" and not inside) or role in ROLES or hidden or "display:none" in style \
-            or re.search(r"(?:^|\s)hidden(?:\s|$)", attrs):
+    if name in OUTSIDE or (name == "header" and not inside) or role in ROLES or hidden:
         return "out", region, ""
-    if words & WORDS_VARYING or any(w.startswith(STARTS_VARYING) for w in words):
+    if any(ADVERT.fullmatch(n) or VARYING.fullmatch(n) for n in names):
         return "words", region, ""
-    listed = words & WORDS_OUTSIDE | {start for start in STARTS_OUTSIDE for w in words if w.startswith(start)} | (words & {"header"} if not inside else set())
-    return "doubt" if listed else "", region, " ".join(sorted(listed))
+    weak = words & WEAK | {start for start in WEAK_STARTS for w in words if w.startswith(start)} | (words & {"header"} if not inside else set())
+    return "strong" if any(STRONG.fullmatch(n) for n in names) else "weak" if weak else "", region, " ".join(sorted(weak))
 
 
 # how a text token ends; a text in doubt keeps the code of the region around it behind the mark
-CODES = {"article": "a", "main": "m", "": "", "out": "!", "words": "!", "doubt": "~"}
-MARKS, REGIONS = ("", "doubt", "words", "out"), ("", "main", "article")
+CODES = {"article": "a", "main": "m", "": "", "out": "!", "words": "!", "strong": "~", "weak": "?"}
+MARKS, REGIONS = ("", "weak", "strong", "words", "out"), ("", "main", "article")
+DOUBT = ("~", "?")
 
 
 def _inner(outer: tuple[str, str], own: tuple[str, str]) -> tuple[str, str]:
@@ -109,7 +120,7 @@ def _inner(outer: tuple[str, str], own: tuple[str, str]) -> tuple[str, str]:
 
 def _reopened(outer: tuple[str, str], own: tuple[str, str]) -> tuple[str, str]:
     """As ``_inner``, but the first article region inside elements named like something else is one."""
-    if own[1] and "out" not in (outer[0], own[0]) and (not outer[1] or (own[1] == "article" != outer[1] and outer[0] in ("", "doubt"))):
+    if own[1] and "out" not in (outer[0], own[0]) and (not outer[1] or (own[1] == "article" != outer[1] and outer[0] in ("", "weak", "strong"))):
         return "", own[1]
     return _inner(outer, own)
 
@@ -197,23 +208,33 @@ def read(page: str):
     if not any(region and not mark for (mark, region), _ in marks):
         marks = [(again, again) for _, again in marks]      # no article region but in elements named like something else
     for (at, *_), ((mark, region), _) in zip(blocks, marks):
-        tokens[at] = "#" + CODES[mark] + (CODES[region] if mark in ("", "doubt") else "")
+        tokens[at] = "#" + CODES[mark] + (CODES[region] if mark in ("", "weak", "strong") else "")
     return tokens, [(at, text, linked, "out" if mark else region, inner) for (at, text, linked, inner), ((mark, region), _) in zip(blocks, marks)]
 
 
+def _repeats(ids: np.ndarray, size: int) -> bool:
+    """Does a piece of ``size`` items stand twice in a row anywhere?"""
+    breaks = np.flatnonzero(ids[size:] != ids[:-size])
+    return int(np.diff(np.concatenate(([-1], breaks, [len(ids) - size]))).max()) > size
+
+
 def fold(tokens: list[str]) -> tuple[list[str], list[int]]:
-    """Fold neighbouring equal pieces into ``( ... )+``; also the folded place of every token."""
+    """Fold neighbouring equal pieces, short ones first, into ``( ... )+``; also the folded place of every token."""
     items = [([t], [[i]]) for i, t in enumerate(tokens)]      # (folded tokens, per folded token the places it came from)
+    number: dict = {}
+    ids = np.array([number.setdefault((t,), len(number)) for t in tokens], np.int64)
     size = 1
-    while size <= min(24, len(items) // 2):
-        out, at, changed = [], 0, False
+    while size <= len(items) // 2:
+        if not _repeats(ids, size):
+            size += 1
+            continue
+        out, at, same = [], 0, ids.tolist()
         while at < len(items):
-            piece = [x[0] for x in items[at:at + size]]
             n = 1
-            while at + (n + 1) * size <= len(items) and [x[0] for x in items[at + n * size:at + (n + 1) * size]] == piece:
+            while at + (n + 1) * size <= len(items) and same[at + n * size:at + (n + 1) * size] == same[at:at + size]:
                 n += 1
-            if n > 1 and len(piece) == size:
-                flat = [t for x in piece for t in x]
+            if n > 1:
+                flat = [t for x in items[at:at + size] for t in x[0]]
                 sources = [[] for _ in flat]
                 for k in range(n):
                     each = [s for x in items[at + k * size:at + (k + 1) * size] for s in x[1]]
@@ -223,12 +244,12 @@ def fold(tokens: list[str]) -> tuple[list[str], list[int]]:
                     flat, sources = ["(", *flat, ")+"], [[], *sources, []]
                 out.append((flat, sources))
                 at += n * size
-                changed = True
             else:
                 out.append(items[at])
                 at += 1
         items = out
-        size = 1 if changed and size > 1 else size + 1
+        ids = np.array([number.setdefault(tuple(x[0]), len(number)) for x in items], np.int64)
+        size = 1 if size > 1 else 2
     folded, place = [], [0] * len(tokens)
     for flat, sources in items:
         for t, s in zip(flat, sources):
@@ -352,7 +373,7 @@ def _stream(page: str | None):
 def _asked(tokens) -> set[str]:
     """The text tokens of a page that the host's counts decide: those in doubt, main beside an article, all without a region."""
     texts = {t for t in tokens if t[0] == "#"}
-    doubt = {t for t in texts if "~" in t}
+    doubt = {t for t in texts if t[1:2] in DOUBT}
     if "#a" in texts:
         return doubt | (texts & {"#m"})
     return doubt if "#m" in texts else doubt | {"#"}
@@ -417,9 +438,14 @@ def infer(pages: DataFrame, fan: int = FAN) -> DataFrame:
         parts = written(parts)
 
 
+@lru_cache(maxsize=64)
+def _wrapper(wrapper: str) -> list[str]:
+    return [t for t, _ in json.loads(wrapper)]
+
+
 @lru_cache(maxsize=4096)
 def _slots(wrapper: str, folded: str) -> list[int]:
-    return places([t for t, _ in json.loads(wrapper)], json.loads(folded))
+    return places(_wrapper(wrapper), json.loads(folded))
 
 
 def slotted(page: str | None, wrapper: str):
@@ -429,18 +455,32 @@ def slotted(page: str | None, wrapper: str):
     return [(to[place[at]], text, linked, folded[place[at]], to[place[inner]] if inner >= 0 else -1) for at, text, linked, _, inner in blocks]
 
 
-def slot_facts(pages: DataFrame) -> DataFrame:
-    """(host, url, html, wrapper) -> per host the container with the most text that is not template (``inner``), the template
-    slots of pages without an article region (``drop``) and the slots in doubt or beside the article that vary over the pages (``free``).
+FACTS = ("inner", "drop", "free", "worn")
+
+
+def _held(table: dict | None, batch, name: str):
+    """Per row of a batch what is known of its host: from the shared table, or from the row's own columns."""
+    if table is not None:
+        return [table.get(h) for h in batch.column("host").to_pylist()]
+    return list(zip(*(batch.column(c).to_pylist() for c in (("wrapper", *FACTS) if name == "text" else ("wrapper",)))))
+
+
+def slot_facts(pages: DataFrame, table=None) -> DataFrame:
+    """(host, html, and wrapper unless ``table`` holds it) -> per host the container with the most text that is not template (``inner``), the
+    template slots of pages without an article region (``drop``), and of the slots in doubt or beside the article those whose
+    texts vary over the pages (``free``) and those that are worn (``worn``).
 
     Summed up per host, slot and text before every shuffle; texts travel as hashes.
     """
 
     def work(batches):
+        known = table.value if table is not None else None
         for b in batches:
             rows: dict = defaultdict(lambda: [0, 0, 0, 0])
-            for host, page, wrapper in zip(*(b.column(c).to_pylist() for c in ("host", "html", "wrapper"))):
-                blocks, seen = slotted(page, wrapper), set()
+            for host, page, of in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), _held(known, b, "facts")):
+                if of is None:
+                    continue
+                blocks, seen = slotted(page, of[0]), set()
                 asked = _asked(x[3] for x in blocks)
                 for slot, text, linked, token, inner in blocks:
                     if token in asked and slot >= 0:
@@ -463,31 +503,33 @@ def slot_facts(pages: DataFrame) -> DataFrame:
         F.sum("n").alias("all"), F.max("n").alias("most"), F.count(F.lit(1)).alias("kinds"),
         *[F.sum(c).alias(c) for c in sums[1:]])
     links = F.col("linked") * 2 > F.col("chars")
-    template = ((F.col("all") >= CONSTANT_PAGES) & (F.col("most") * 2 > F.col("all"))) | links
-    free = F.col("doubt") & (F.col("pages") >= CONSTANT_PAGES) & (F.col("kinds") * 2 > F.col("all")) & ~links
-    return (slots.withColumn("template", template).withColumn("free", free).groupBy("host", "inner", "doubt")
+    repeats = (F.col("most") >= 2) & (F.col("most") * 2 > F.col("all"))
+    flags = {"template": ((F.col("all") >= CONSTANT_PAGES) & repeats) | links, "worn": F.col("doubt") & (repeats | links),
+             "free": F.col("doubt") & (F.col("pages") >= FREE_PAGES) & (F.col("kinds") * 2 > F.col("all")) & ~links}
+    return (slots.withColumns(flags).groupBy("host", "inner", "doubt")
             .agg(F.sum(F.when(F.col("template"), 0).otherwise(F.col("chars"))).alias("chars"),
                  F.collect_set(F.when(F.col("template") & ~F.col("doubt"), F.col("slot"))).alias("drop"),
-                 F.collect_set(F.when(F.col("free"), F.col("slot"))).alias("free"))
+                 *[F.collect_set(F.when(F.col(x), F.col("slot"))).alias(x) for x in ("free", "worn")])
             .groupBy("host").agg(F.max(F.when(~F.col("doubt"), F.struct("chars", (-F.col("inner")).alias("inner")))).alias("best"),
-                                 F.flatten(F.collect_list("drop")).alias("drop"), F.flatten(F.collect_list("free")).alias("free"))
-            .select("host", (-F.col("best.inner")).alias("inner"), "drop", "free"))
+                                 *[F.flatten(F.collect_list(x)).alias(x) for x in ("drop", "free", "worn")])
+            .select("host", (-F.col("best.inner")).alias("inner"), "drop", "free", "worn"))
 
 
-def _main_text(page: str | None, wrapper: str, inner, drop, free=None) -> str:
+def _main_text(page: str | None, wrapper: str, inner, drop, free=None, worn=None) -> str:
     """The texts in the slots that are article for this host; without an article region, the texts of the host's main
     container that are not template."""
     if not page:
         return ""
-    dropped, varied, blocks = set(drop or ()), set(free or ()), []
+    dropped, varied, used, blocks = set(drop or ()), set(free or ()), set(worn or ()), []
     for slot, text, _, token, container in slotted(page, wrapper):
-        if "~" in token:
-            token = "#" + token[2:] if slot in varied else "#!"
+        if token[1:2] in DOUBT:
+            strong, region = token[1] == "~", token[2:]
+            token = "#" + region if (slot in varied if strong or not region else slot not in used) else "#!"
         if token != "#!":
             blocks.append((slot, text, token, container))
     regions = {t for _, _, t, _ in blocks}
     if "#a" in regions:
-        return "\n".join(t for s, t, k, _ in blocks if k == "#a" or (k == "#m" and s in varied))
+        return "\n".join(t for s, t, k, _ in blocks if k == "#a" or (k == "#m" and s not in used))
     if "#m" in regions:
         return "\n".join(t for _, t, k, _ in blocks if k == "#m")
     main = []
@@ -499,24 +541,28 @@ def _main_text(page: str | None, wrapper: str, inner, drop, free=None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages``."""
     importable(pages.sparkSession)
+    context = pages.sparkSession.sparkContext
     hosts = written(infer(pages))
     keyed = pages.select("page_id", "url", "html", _host_column().alias("host"))
-
-    def small(df):
-        size = df.agg(F.sum(F.length("wrapper"))).first()[0] or 0
-        return F.broadcast(df) if size <= BROADCAST_BYTES else df
-
+    # few enough bytes: every worker gets the wrappers once; else rows meet their host's wrapper in a join
+    small = (hosts.agg(F.sum(F.length("wrapper") + F.length("host"))).first()[0] or 0) <= BROADCAST_BYTES
     bare = hosts.where("bare").select("host", "wrapper")
     if bare.isEmpty():
-        facts = hosts.select("host", F.lit(None).cast("long").alias("inner"), *[F.lit(None).cast("array<bigint>").alias(c) for c in ("drop", "free")]).limit(0)
+        facts = hosts.select("host", F.lit(None).cast("long").alias("inner"), *[F.lit(None).cast("array<bigint>").alias(c) for c in FACTS[1:]]).limit(0)
+    elif small:
+        facts = written(slot_facts(keyed.select("host", "html"), context.broadcast({r.host: (r.wrapper,) for r in bare.collect()})))
+    else:
+        facts = written(slot_facts(keyed.join(bare, "host").select("host", "html", "wrapper")))
+    known = hosts.select("host", "wrapper").join(facts, "host", "left").select("host", "wrapper", *FACTS)
+    if small:
+        table, joined = context.broadcast({r[0]: tuple(r[1:]) for r in known.collect()}), keyed
     else:
-        facts = written(slot_facts(keyed.join(small(bare), "host").select("host", "html", "wrapper")))
-    known = hosts.select("host", "wrapper").join(facts, "host", "left")
-    joined = keyed.join(small(known), "host").select("page_id", "url", "html", "wrapper", "inner", "drop", "free")
+        table, joined = None, keyed.join(known, "host")
 
     def work(batches):
+        held = table.value if table is not None else None
         for b in batches:
-            texts = [_main_text(*r) for r in zip(*(b.column(c).to_pylist() for c in ("html", "wrapper", "inner", "drop", "free")))]
+            texts = [_main_text(page, *of) for page, of in zip(b.column("html").to_pylist(), _held(held, b, "text"))]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

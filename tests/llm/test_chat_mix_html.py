@@ -128,7 +128,8 @@ def test_regions_and_edge_cases(docs_of):
 def test_an_article_wins_over_its_main():
     page = "<main><h2>More</h2><article><p>a<em class=x>b</em></p><ol class=commentlist><li>c</ol></article><p>d</p></main>"
     assert [(t, k) for _, t, _, k, _ in W.read(page)[1]] == [("More", "main"), ("ab", "article"), ("c", "out"), ("d", "main")]
-    assert W._main_text(page, "[]", None, None) == "ab"
+    assert W._main_text(page, "[]", None, None) == "More\nab\nd"         # beside the article, not known to repeat
+    assert W._main_text(page, "[]", None, None, None, {-1}) == "ab"
     assert W._main_text("<main><p>a</p></main>", "[]", None, None) == "a"
 
 
