@@ -5,12 +5,13 @@ lines and the steps between neighbouring labels; Viterbi decoding finds the best
 lines hold at least ``CONTENT_SHARE`` of its words is kept, unless the base rules fail it.
 
 The CRF is learned by gradient ascent (forward-backward) on the lines of at most about ``SAMPLE`` labelled rows, half of
-either quality, drawn by a hash of doc_id; a text's quality is the label of its lines. Only those lines' features reach
-the driver. Counting, features and decoding work on whole texts, many at a time, in one pass without a shuffle.
+either quality, drawn by a hash of doc_id. A text's quality is the first label of its lines; lines that clearly look like
+the other quality change theirs (``line_labels``). Only those lines' features reach the driver. Counting, features and decoding work on whole texts, many at a time, in one pass without a shuffle.
 
 Defined cases: null or empty text: no words, base_failed; no labelled rows: every line counts as content; null doc_id: kept
 as a row, not learned from; a doc_id labelled twice: its lower quality counts; repeated rows: one result row each; ties in
-decoding: content; empty table: no rows; other columns of the input are ignored.
+decoding: content; lines that look equally like either kind keep their text's label; very long texts: read and decoded whole;
+empty table: no rows; other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from .common import importable
 
 SAMPLE = 1500
 CONTENT_SHARE = 0.5
+SURE = 0.8
 MIN_WORDS, WINDOW, REPEAT_PERCENT = 20, 8, 30
 PIECE = 1 << 20     # bytes of text looked at together (one longer text is looked at alone)
 
@@ -195,6 +197,25 @@ def learn(x: np.ndarray, line_text: np.ndarray, y: np.ndarray, rounds: int = 150
     return Crf(emit, step)
 
 
+def line_labels(x: np.ndarray, line_text: np.ndarray, quality: np.ndarray, rounds: int = 3) -> np.ndarray:
+    """Labels of lines from those of their texts: where a text holds lines that look like its own kind to a model of single
+    lines and lines that look like the other kind (``SURE`` of either), the latter get the other label, and the model is fitted
+    again. So prose in a bad text, and junk in a good one, become steps between labels that the chain can learn; a text without
+    such a contrast, and at least one line of every text, keeps its label."""
+    y, alone = quality.astype(np.int64), np.arange(len(x))
+    both = np.bincount(y, minlength=2)
+    if not both.all():
+        return y
+    for _ in range(rounds):
+        m = learn(x, alone, y)
+        p = 1 / (1 + np.exp(-np.clip(x @ m.emit, -40, 40)))
+        own = np.where(quality == 1, p, 1 - p)
+        best = np.zeros(line_text[-1] + 1)
+        np.maximum.at(best, line_text, own)
+        y = np.where((own < 1 - SURE) & (best[line_text] > SURE), 1 - quality, quality)
+    return y
+
+
 def _pieces(texts: list) -> Iterator[tuple[int, list[bytes]]]:
     held, size, at = [], 0, 0
     for i, t in enumerate(texts):
@@ -215,11 +236,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Crf:
     chance = F.lit(0.0)
     for q, n in sorted(counts.items()):
         chance = F.when(F.col("quality") == q, F.lit(min(1.0, sample / 2 / n))).otherwise(chance)
-    some = F.broadcast(marks.where(u < chance))            # about ``sample`` rows
+    some = F.broadcast(marks.where(u < chance).withColumnRenamed("quality", "_quality"))            # about ``sample`` rows
 
     def lines(batches):
         for b in batches:
-            texts, quality = b.column("text").cast(pa.binary()).to_pylist(), b.column("quality").to_numpy()
+            texts, quality = b.column("text").cast(pa.binary()).to_pylist(), b.column("_quality").to_numpy()
             for at, part in _pieces(texts):
                 d = describe(part)
                 yield pa.RecordBatch.from_arrays(
@@ -227,7 +248,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Crf:
                      pa.array(np.split(d.x.ravel(), np.cumsum(np.bincount(d.line_text, minlength=len(part)))[:-1] * d.x.shape[1]),
                               pa.list_(pa.float64()))], names=["n", "quality", "x"])
 
-    rows = (docs.join(some, "doc_id").where("text IS NOT NULL").select("text", "quality")
+    rows = (docs.select("doc_id", "text").join(some, "doc_id").where("text IS NOT NULL").select("text", "_quality")
             .mapInArrow(lines, "n int, quality int, x array<double>").toPandas())
     rows = rows[rows.n > 0]
     if not len(rows):
@@ -235,8 +256,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Crf:
     rows["x"] = [np.asarray(x) for x in rows.x]
     rows = rows.assign(order=[x.tobytes() for x in rows.x]).sort_values(["quality", "n", "order"])   # whatever order the rows came in
     n = rows.n.to_numpy()
-    return learn(np.concatenate(rows.x.to_list()).reshape(-1, len(FEATURES)), np.repeat(np.arange(len(n)), n),
-                 np.repeat(rows.quality.to_numpy(), n))
+    x, line_text = np.concatenate(rows.x.to_list()).reshape(-1, len(FEATURES)), np.repeat(np.arange(len(n)), n)
+    return learn(x, line_text, line_labels(x, line_text, np.repeat(rows.quality.to_numpy(), n)))
 
 
 def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, content_share: float = CONTENT_SHARE) -> DataFrame:
