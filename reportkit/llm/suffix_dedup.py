@@ -1,10 +1,13 @@
 """Suffix-array dedup: bytes of a repeated 100-byte string go, its first occurrence stays.
 
-Method: bucket-pointer refinement. The positions of a shard are put into buckets by their
-first 8 bytes; a bucket's pointer is its place in the suffix array. Buckets with more than
-one position are then sorted by the pointer at a later offset (8, 16, 32, 36 bytes on), which
-doubles the compared length each time because the pointers of the previous round are used
-again. At 100 bytes, positions with one pointer start equal strings.
+Method: bucket-pointer refinement. The positions of a shard are put into buckets by their first
+7 bytes; a bucket's pointer is its place in the suffix array, and its depth the number of bytes its
+positions share. Buckets are taken up in order, some at a time (``WAVES``). A bucket's positions are
+sorted by the bucket pointers as many bytes on as its depth; the parts get their own pointers at
+once and are refined in turn, until a part has one position or a depth of 100 bytes. A pointer
+read may have been refined before, by an earlier bucket or by the same one: its whole depth is
+then added, so later buckets need few rounds. Neighbours in the order are compared byte by byte
+over 100 bytes, so equal strings are equal for certain.
 
 Shards are made by ``repeats``: windows that could be equal share a shard.
 
@@ -27,6 +30,40 @@ from .common import plain_names
 LENGTH = 100
 GRAM = 24
 SHARD = 1 << 20   # bytes indexed together
+WAVES = 8         # parts of the initial order that are refined one after the other
+_Q = 7            # bytes of an initial bucket: seven symbols of nine bits, 0 after the end of a segment
+
+
+def _grams(data: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The next ``_Q`` symbols at every place; ``rest`` bytes are left there in its segment."""
+    gram = np.zeros(len(data), np.uint64)
+    padded = np.concatenate((data.astype(np.uint64) + np.uint64(1), np.zeros(_Q, np.uint64)))
+    for k in range(_Q):
+        gram <<= np.uint64(9)
+        gram |= np.where(rest > k, padded[k:k + len(data)], np.uint64(0))
+    return gram
+
+
+def _heads(key: np.ndarray) -> np.ndarray:
+    """Per entry of a sorted array the place of the first entry equal to it."""
+    new = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
+    return np.flatnonzero(new)[np.cumsum(new) - 1] if len(key) else np.zeros(0, np.int64)
+
+
+def _refine(place: np.ndarray, pointer: np.ndarray, known: np.ndarray, depth: int) -> None:
+    """Refine whole buckets, whose positions are ``place``, to ``depth`` bytes; pointers and depths are written at once."""
+    while len(place):
+        own, d = pointer[place], known[place]
+        key = own * (len(pointer) + 1) + pointer[place + d]
+        more = known[place + d]
+        order = np.argsort(key)
+        place, own, key, d, more = place[order], own[order], key[order], d[order], more[order]
+        bucket, part = _heads(own), _heads(key)
+        pointer[place] = own + part - bucket
+        known[place] = d + more
+        size = np.diff(np.append(np.flatnonzero(part == np.arange(len(part))), len(part)))
+        again = np.repeat(size, size) > 1
+        place = place[again & (known[place] < depth)]
 
 
 def bucket_pointers(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -34,43 +71,35 @@ def bucket_pointers(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, dep
 
     Equal strings get equal pointers; pointers are ordered as the strings are.
     """
-    def inside(d):
-        n = np.maximum(sizes - d + 1, 0)
-        shift = starts - (np.cumsum(n) - n)
-        return np.repeat(shift, n) + np.arange(n.sum())
-
-    d = min(8, depth)
-    pos = inside(d)
-    gram = np.zeros(len(pos), np.uint64)
-    for k in range(d):
-        gram = (gram << np.uint64(8)) | data[pos + k]
+    n = np.maximum(sizes - depth + 1, 0)
+    windows = np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    if not len(windows):
+        return windows, windows
+    rest = np.repeat(starts + sizes, sizes) - np.arange(len(data))
+    gram = _grams(data, rest)
     order = np.argsort(gram)
-    gram = gram[order]
-    pos = pos[order]
-    head = np.concatenate(([True], gram[1:] != gram[:-1])) if len(pos) else np.zeros(0, bool)
-    pointer = np.zeros(len(data), np.int64)
-    pointer[pos] = np.flatnonzero(head)[np.cumsum(head) - 1] if len(pos) else 0
-    while d < depth:
-        to = min(2 * d, depth)
-        pos = inside(to)
-        own = pointer[pos]
-        shared = np.bincount(own, minlength=len(data) + 1)[own] > 1   # refine only buckets of two or more
-        pos, own = pos[shared], own[shared]
-        if not len(pos):
-            d = to
-            continue
-        pair = own * (len(data) + 1) + pointer[pos + to - d]
-        order = np.argsort(pair)
-        pair, pos, own = pair[order], pos[order], own[order]
-        at = np.arange(len(pos))
-        bucket = np.concatenate(([True], own[1:] != own[:-1]))
-        group = np.concatenate(([True], pair[1:] != pair[:-1]))
-        first_of_bucket = at[bucket][np.cumsum(bucket) - 1]
-        first_of_group = at[group][np.cumsum(group) - 1]
-        pointer[pos] = own + first_of_group - first_of_bucket
-        d = to
-    pos = inside(depth)
-    return pos, pointer[pos]
+    first = _heads(gram[order])
+    pointer = np.empty(len(data), np.int64)
+    pointer[order] = first
+    # a suffix that ends inside its bucket's bytes is known whole
+    known = np.where(rest <= _Q, 1 << 40, _Q)
+    size = np.bincount(first, minlength=len(data))
+    edges = sorted({int(first[i]) for i in np.linspace(0, len(data) - 1, WAVES + 1).astype(int)[:-1]}) + [len(data)]
+    for lo, hi in zip(edges, edges[1:]):                     # edges are bucket starts
+        place = order[lo:hi]
+        _refine(place[(size[first[lo:hi]] > 1) & (known[place] < depth)], pointer, known, depth)
+    by = windows[np.argsort(pointer[windows], kind="stable")]
+    a, b = by[:-1], by[1:]
+    same = np.ones(len(a), bool)
+    for o in [*range(0, depth - _Q, _Q), max(0, depth - _Q)]:
+        at = np.flatnonzero(same)
+        if depth >= _Q:
+            same[at] = gram[a[at] + o] == gram[b[at] + o]
+        else:
+            same[at] = (gram[a[at]] >> np.uint64(9 * (_Q - depth))) == (gram[b[at]] >> np.uint64(9 * (_Q - depth)))
+    group = np.empty(len(data), np.int64)
+    group[by] = _heads(np.concatenate(([0], np.cumsum(~same))))
+    return windows, group[windows]
 
 
 def later_copies(segments: list, n: np.ndarray, copies: np.ndarray, order: np.ndarray, length: int = LENGTH):
