@@ -88,7 +88,7 @@ def _forest(fp: np.ndarray, bits: int):
 
 
 def link_groups(keyed: DataFrame, bits: int, hot: int) -> DataFrame:
-    """(k1, k2, fp) -> rows (u, v, k1): a link, or - k1 not null - a member of a key beyond ``hot``."""
+    """(k1, k2, fp) -> rows (u, v, k1, k2): a link, or - k1 not null - a member of a key beyond ``hot``."""
 
     def work(batches):
         pend, pend_key, spilling = [], None, False
@@ -100,7 +100,7 @@ def link_groups(keyed: DataFrame, bits: int, hot: int) -> DataFrame:
             cut = np.flatnonzero((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])) + 1
             edges = np.concatenate(([0], cut, [len(fp)]))
             size = np.diff(edges)
-            us, vs, ks = [], [], []
+            us, vs, ks, ls = [], [], [], []
 
             def close():
                 g = np.unique(np.concatenate(pend))
@@ -109,6 +109,7 @@ def link_groups(keyed: DataFrame, bits: int, hot: int) -> DataFrame:
                     us.append(u)
                     vs.append(v)
                     ks.append(np.full(len(u), -1, np.int64))
+                    ls.append(ks[-1])
 
             head, tail = 0, len(size) - 1
             if pend_key is not None and (k1[0], k2[0]) != pend_key:
@@ -129,6 +130,7 @@ def link_groups(keyed: DataFrame, bits: int, hot: int) -> DataFrame:
                     us.append(m)
                     vs.append(m)
                     ks.append(np.full(len(m), key[0], np.int64))
+                    ls.append(np.full(len(m), key[1], np.int64))
                     pend = []
             inner = np.arange(1, tail)
             two = inner[size[inner] == 2]
@@ -137,27 +139,29 @@ def link_groups(keyed: DataFrame, bits: int, hot: int) -> DataFrame:
             us.append(a[ok])
             vs.append(c[ok])
             ks.append(np.full(int(ok.sum()), -1, np.int64))
+            ls.append(ks[-1])
             for g in inner[size[inner] > 2]:
                 part = np.unique(fp[edges[g]:edges[g + 1]])
                 if len(part) > hot:
-                    u, v, k = part, part, k1[edges[g]]
+                    u, v, k, k_2 = part, part, k1[edges[g]], k2[edges[g]]
                 else:
-                    (u, v), k = _forest(part, bits), -1
+                    (u, v), k, k_2 = _forest(part, bits), -1, -1
                 us.append(u)
                 vs.append(v)
                 ks.append(np.full(len(u), k, np.int64))
-            u, v, k = np.concatenate(us), np.concatenate(vs), np.concatenate(ks)
+                ls.append(np.full(len(u), k_2, np.int64))
+            u, v, k, k_2 = (np.concatenate(x) for x in (us, vs, ks, ls))
             if len(u):
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64)), pa.array(k, mask=k < 0)],
-                                                 names=["u", "v", "k1"])
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64)), pa.array(k, mask=k < 0), pa.array(k_2, mask=k < 0)],
+                                                 names=["u", "v", "k1", "k2"])
         if pend and not spilling:
             g = np.unique(np.concatenate(pend))
             u, v = _forest(g, bits) if len(g) > 1 else (g[:0], g[:0])
             if len(u):
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64)),
-                                                  pa.nulls(len(u), pa.int64())], names=["u", "v", "k1"])
+                                                  pa.nulls(len(u), pa.int64()), pa.nulls(len(u), pa.int64())], names=["u", "v", "k1", "k2"])
 
-    return keyed.repartition("k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(work, "u long, v long, k1 long")
+    return keyed.repartition("k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(work, "u long, v long, k1 long, k2 long")
 
 
 def near_links(fps: DataFrame, bits: int = MAX_BITS, hot: int = HOT) -> DataFrame:
@@ -171,10 +175,19 @@ def near_links(fps: DataFrame, bits: int = MAX_BITS, hot: int = HOT) -> DataFram
     over = first.where("k1 IS NOT NULL").select("k1", F.col("u").alias("fp"))
     if not over.isEmpty():
         # key 0..31 wipes the low segment, so the halves of the high one tell its members apart
-        other = F.when(F.col("k1") < F.lit(1 << 37), _variants(F.col("fp"), 16, 32)).otherwise(_variants(F.col("fp"), 16, 0))
-        split = over.select("k1", "fp", F.explode(other).alias("k2"))
-        rest = link_groups(split, bits, 1 << 62)
-        links = links.unionByName(rest.select("u", "v"))
+        low = F.col("k1") < F.lit(1 << 37)
+        other = F.when(low, _variants(F.col("fp"), 16, 32)).otherwise(_variants(F.col("fp"), 16, 0))
+        second = written(link_groups(over.select("k1", "fp", F.explode(other).alias("k2")), bits, hot))
+        links = links.unionByName(second.where("k1 IS NULL").select("u", "v"))
+        over = second.where("k1 IS NOT NULL").select("k1", "k2", F.col("u").alias("fp"))
+        if not over.isEmpty():
+            # what is left is the other half of that half: 16 bits, cut once more. Members of a key now agree in 31 + 15 + 7 bits, so
+            # at most 2,048 different fingerprints share one
+            low16 = F.col("k2") < F.lit(1 << 20)
+            at = [[_variants(F.col("fp"), 8, base + half) for half in (16, 0)] for base in (32, 0)]
+            rest = F.when(low, F.when(low16, at[0][0]).otherwise(at[0][1])).otherwise(F.when(low16, at[1][0]).otherwise(at[1][1]))
+            third = over.select((F.col("k1") * F.lit(1 << 21) + F.col("k2")).alias("k1"), F.explode(rest).alias("k2"), "fp")
+            links = links.unionByName(link_groups(third, bits, 1 << 62).select("u", "v"))
     return links
 
 

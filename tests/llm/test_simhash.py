@@ -88,3 +88,16 @@ def test_repeated_rows_nulls_and_clashing_columns(docs_of):
     assert kept.columns == df.columns
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "zz"), (3, "A b c D")]
     assert simhash_groups(df.limit(0)).count() == 0 and fingerprint(b"") == 0
+
+
+@pytest.mark.parametrize("first", [0, 48])
+@pytest.mark.parametrize("hot", [40, 4])
+def test_dense_groups_are_split_until_they_are_small(spark, first, hot):
+    """Fingerprints that differ in one 16-bit part only: the second split leaves them together, the third does not."""
+    rng = np.random.default_rng(first + hot)
+    base = int(rng.integers(0, 2**63))
+    fps = sorted({base ^ (int(x) << first) for x in rng.integers(0, 2**16, 500)})
+    signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
+    links = near_links(spark.createDataFrame([(f,) for f in signed], "fp long"), 3, hot)
+    roots = {r.u: r.root for r in connected_components(links).collect()}
+    assert [roots.get(f, f) for f in signed] == brute_groups(signed, fps)
