@@ -111,8 +111,10 @@ def read_back(formatted: DataFrame) -> DataFrame:
     turn = F.transform(F.arrays_zip(opened.alias("o"), roles.alias("r"), texts.alias("t")), lambda x: F.struct(
         F.when(x["o"] == USER, F.lit("user")).when(x["o"] == ASSISTANT, F.lit("assistant"))
         .otherwise(unescape(x["r"])).alias("role"), unescape(x["t"]).alias("text")))
-    under = F.transform("loss_spans", lambda s: unescape(F.substr(
-        f, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))))
+    # four bytes a code point: a span is cut out in its own length, wherever it stands
+    wide = F.encode(f, "UTF-32")
+    under = F.transform("loss_spans", lambda s: unescape(F.decode(F.substr(
+        wide, (s["start"] * 4 + 1).cast("int"), ((s["end"] - s["start"]) * 4).cast("int")), "UTF-32")))
     return formatted.withColumns({"turns": turn, "loss_text": F.array_join(under, "")})
 
 

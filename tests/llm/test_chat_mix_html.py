@@ -156,3 +156,17 @@ def test_hosts(spark, url, host):
     assert W.host_of(url) == host
     df = spark.createDataFrame([(url,)], "url string")
     assert df.select(W._host_column()).first()[0] == host
+
+
+def test_very_long_conversations_are_read_back_exactly(docs_of):
+    from reportkit.llm.chat import conversation_nodes, digests, format_trees
+    import hashlib
+    rows = [(1, t, "assistant" if t % 2 else "user", ("𝄞é<" if t % 3 else "x") * (t % 50) + str(t)) for t in range(1500)]
+    rows += [(2, 0, "assistant", "ß𝄞" * 200_000), (3, 0, "system", None)]
+    df = docs_of(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in digests(format_trees(conversation_nodes(df))).collect()}
+    for conv in (1, 2, 3):
+        told = [(r, t or "") for c, _, r, t in rows if c == conv]
+        loss = "".join(t for r, t in told if r == "assistant")
+        assert got[conv].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest() and got[conv].loss_chars == len(loss)
+        assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in told).encode()).hexdigest()
