@@ -29,38 +29,42 @@ from .common import plain_names
 
 LENGTH = 100
 GRAM = 24
-SHARD = 1 << 20   # bytes indexed together
+SHARD = 1 << 19   # bytes indexed together (a key's runs stay together)
 WAVES = 8         # parts of the initial order that are refined one after the other
+_WHOLE = 1 << 29  # depth of a suffix that is known to its end
 _Q = 7            # bytes of an initial bucket: seven symbols of nine bits, 0 after the end of a segment
 
 
 def _grams(data: np.ndarray, rest: np.ndarray) -> np.ndarray:
     """The next ``_Q`` symbols at every place; ``rest`` bytes are left there in its segment."""
     gram = np.zeros(len(data), np.uint64)
-    padded = np.concatenate((data.astype(np.uint64) + np.uint64(1), np.zeros(_Q, np.uint64)))
+    padded = np.concatenate((data.astype(np.uint16) + np.uint16(1), np.zeros(_Q, np.uint16)))
     for k in range(_Q):
+        symbol = padded[k:k + len(data)].copy()
+        symbol[rest <= k] = 0
         gram <<= np.uint64(9)
-        gram |= np.where(rest > k, padded[k:k + len(data)], np.uint64(0))
+        gram |= symbol
     return gram
 
 
 def _heads(key: np.ndarray) -> np.ndarray:
     """Per entry of a sorted array the place of the first entry equal to it."""
     new = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
-    return np.flatnonzero(new)[np.cumsum(new) - 1] if len(key) else np.zeros(0, np.int64)
+    at = np.flatnonzero(new).astype(np.int32)
+    return np.repeat(at, np.diff(np.append(at, len(key))))
 
 
 def _refine(place: np.ndarray, pointer: np.ndarray, known: np.ndarray, depth: int) -> None:
     """Refine whole buckets, whose positions are ``place``, to ``depth`` bytes; pointers and depths are written at once."""
     while len(place):
-        own, d = pointer[place], known[place]
+        own, d = pointer[place].astype(np.int64), known[place]
         key = own * (len(pointer) + 1) + pointer[place + d]
         more = known[place + d]
         order = np.argsort(key)
         place, own, key, d, more = place[order], own[order], key[order], d[order], more[order]
         bucket, part = _heads(own), _heads(key)
         pointer[place] = own + part - bucket
-        known[place] = d + more
+        known[place] = np.minimum(d + more, _WHOLE)
         size = np.diff(np.append(np.flatnonzero(part == np.arange(len(part))), len(part)))
         again = np.repeat(size, size) > 1
         place = place[again & (known[place] < depth)]
@@ -75,19 +79,24 @@ def bucket_pointers(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, dep
     windows = np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())
     if not len(windows):
         return windows, windows
-    rest = np.repeat(starts + sizes, sizes) - np.arange(len(data))
+    # four-byte places throughout: a shard is far smaller than 2 GB
+    rest = np.repeat((starts + sizes).astype(np.int32), sizes) - np.arange(len(data), dtype=np.int32)
     gram = _grams(data, rest)
-    order = np.argsort(gram)
+    order = np.argsort(gram).astype(np.int32)
     first = _heads(gram[order])
-    pointer = np.empty(len(data), np.int64)
+    pointer = np.empty(len(data), np.int32)
     pointer[order] = first
     # a suffix that ends inside its bucket's bytes is known whole
-    known = np.where(rest <= _Q, 1 << 40, _Q)
-    size = np.bincount(first, minlength=len(data))
+    known = np.where(rest <= _Q, np.int32(_WHOLE), np.int32(_Q))
+    del rest
+    shared = np.zeros(len(data), bool)
+    shared[1:] = first[1:] == first[:-1]
+    shared[:-1] |= shared[1:]
     edges = sorted({int(first[i]) for i in np.linspace(0, len(data) - 1, WAVES + 1).astype(int)[:-1]}) + [len(data)]
     for lo, hi in zip(edges, edges[1:]):                     # edges are bucket starts
         place = order[lo:hi]
-        _refine(place[(size[first[lo:hi]] > 1) & (known[place] < depth)], pointer, known, depth)
+        _refine(place[shared[lo:hi] & (known[place] < depth)], pointer, known, depth)
+    del order, first, known
     by = windows[np.argsort(pointer[windows], kind="stable")]
     a, b = by[:-1], by[1:]
     same = np.ones(len(a), bool)
