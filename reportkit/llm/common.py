@@ -15,8 +15,14 @@ SPACE_WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package also where only the driver's sys.path holds it."""
+    """Let Python workers import this package also where only the driver's sys.path holds it, and hand them texts in batches of
+    8 MB instead of the default 64 MB (a value set by the user stays): workers hold several copies of a batch."""
+    if spark.conf.get(_BATCH) == f"{64 << 20}b":
+        spark.conf.set(_BATCH, str(8 << 20))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
