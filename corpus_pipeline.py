@@ -3,6 +3,11 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes each stage's rows as
 Parquet below ``spark.checkpoint.dir`` and rereads them as the next one's ``docs``. All stages but the last
 return the columns of documents.
+
+Defined cases, in every stage: null or empty text: has no language, so the first stage drops it (given to a later stage, it is kept
+as it is); null doc_id: a row like any other; repeated rows: rows of their own, of which the near-dedup stage keeps one; very
+long texts: read whole; ties: see the operator each stage calls; empty table: no rows; extra columns are kept, whatever their
+names; null lang or source: a value of its own in the mix.
 """
 
 from __future__ import annotations
@@ -51,7 +56,7 @@ STAGES = [
     ("source_mixing", source_mixing),
 ]
 
-ORACLE_SQL = None  # stages train a classifier and rake weights: tested against a brute-force version instead
+ORACLE_SQL = None  # stages train a classifier and rake weights; tests/llm compare each stage's operator with brute force
 
 
 def run(spark, sf_dir):

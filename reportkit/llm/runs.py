@@ -4,8 +4,9 @@ Two equal windows of ``width`` tokens hold the same ``gram``-token pieces, so th
 smallest piece hash of a window (its *key*) is equal too. Consecutive windows with one
 key form a *run*; a run whose key occurs nowhere else holds no repeated window and needs
 no further work. That turns "compare every window with every window" into an equality
-join on about ``2 / (width - gram + 2)`` keys per token, and is exact: a hash collision
-can only add candidates, never lose one.
+join on about ``2 / (width - gram + 2)`` keys per token, and loses
+nothing: a collision of keys can only add candidates. ``content``, a run's own hash, is used to take
+whole runs as equal: two different runs would have to agree in it and in their key, 128 bits in all.
 
 Everything here is numpy over one batch of texts at a time (bounded by the caller).
 """

@@ -7,7 +7,7 @@ from reportkit.llm.queries import ORACLE, QUERIES
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
     assert [n for n, _ in C.STAGES] == ["language_id", "simhash_near_dedup", "suffix_array_dedup", "benchmark_decontamination", "source_mixing"]
 
