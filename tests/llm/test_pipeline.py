@@ -51,3 +51,32 @@ def test_empty_table(spark, docs_of, tmp_path):
     docs_of([(1, "x")]).limit(0).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
     docs_of([(1, "x")], "item_id long, text string").write.parquet(str(tmp_path / "sf" / "benchmark.parquet"))
     assert C.run(spark, str(tmp_path / "sf")).count() == 0
+
+
+def test_odd_rows_pass_through_all_stages(spark, docs_of):
+    import random
+    from corpus_pipeline import STAGES
+    from reportkit.llm.common import written
+    rng = random.Random(2)
+    words = {"en": "the of and to in is that for it was", "fr": "le la de et les des une pour dans est", "de": "der die und das den von ist mit ein zu"}
+
+    def text(lang, n):
+        return " ".join(rng.choice(words[lang].split()) + str(rng.randrange(1000)) for _ in range(n))
+
+    rows = [(i, text(k, 60), k, None if i % 7 == 0 else "s") for i, k in enumerate(list(words) * 30)]
+    rows += [(500, None, "en"), (501, "", None), (502, "123 456", "en"), (None, text("en", 70)), (600, text("fr", 30_000), "fr"), rows[3], rows[3]]
+    docs = docs_of(rows, _row=1, key="k", fp=2, found=True, lang_pred="x", spans="y", item_id=3)
+    names, sf = docs.columns, "/root/testdata/sf0.001"
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf))
+        if name != STAGES[-1][0]:
+            assert docs.columns == names, name
+        got = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        if name == "language_id":
+            assert not {500, 501, 502} & {d for d, _ in got} and len(got) == len(rows) - 3 and None in {d for d, _ in got}
+        if name == "simhash_near_dedup":
+            assert sorted(d for d, _ in got if d == rows[3][0]) == [rows[3][0]] and {600, None} <= {d for d, _ in got}
+    empty = docs_of([], mix_x=1)
+    for _, stage in STAGES:
+        empty = written(stage(spark, empty, sf))
+        assert empty.count() == 0
