@@ -26,7 +26,8 @@ def oracle(name: str) -> str | None:
 
 
 def publish_all(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[str]:
-    """Register every report as a temp view (lazy: nothing runs until queried)."""
+    """Register every report as a temp view. Views are lazy, but reports that checkpoint a step (chains, summaries, sorted
+    numbering, published tables) run that step here."""
     from .sources import publish
     out = []
     for n in names():
