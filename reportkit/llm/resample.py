@@ -50,7 +50,8 @@ def pieces(texts: pa.Array) -> Iterator[pa.Array]:
 
 def gram_buckets(texts: pa.Array, max_n: int = MAX_N, buckets: int = BUCKETS):
     """(words per text, [(text of each gram, bucket of each gram) for n = 1..max_n])."""
-    lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")), NOT_WORD)
+    whole = texts.cast(pa.large_string()).take(pa.array(np.arange(len(texts))))     # ascii_lower misreads a slice without nulls: copy it
+    lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(whole, "")), NOT_WORD)
     words = pc.list_flatten(lists)
     parent = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     real = pc.greater(pc.binary_length(words), 0)

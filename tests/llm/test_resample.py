@@ -90,3 +90,24 @@ def test_empty_tables(spark, docs_of):
     assert rs.resample(empty, target).collect() == []
     got = rs.resample(docs_of([(1, "beta")]), target.limit(0)).collect()
     assert [(r.doc_id, r.n_features, r["rank"]) for r in got] == [(1, 1, None)]
+
+
+@pytest.mark.parametrize("texts", [["Alpha b c d", "a X y", "b k L m"], ["é a b", "a é", "ü k l m n"], ["a b", None, "B c"]])
+def test_words_of_a_slice_are_those_of_a_copy(texts):
+    import pyarrow as pa
+    whole = pa.array(texts)
+    for at in range(3):
+        for n in range(1, 4 - at):
+            words, grams = rs.gram_buckets(whole.slice(at, n))
+            want, want_grams = rs.gram_buckets(pa.array(texts[at:at + n], pa.string()))
+            assert words.tolist() == want.tolist()
+            assert [[x.tolist() for x in g] for g in grams] == [[x.tolist() for x in g] for g in want_grams]
+
+
+def test_texts_without_nulls_in_several_pieces(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(rs, "PIECE", 200)
+    rows = [(i, f"Beta w{i % 7} " * (10 + i % 30)) for i in range(60)]
+    target = spark.createDataFrame([(1, "beta w3")], "item_id long, text string")
+    got = rs.resample(docs_of(rows), target).collect()
+    want, _ = plain(rows, ["beta w3"])
+    assert sorted((r.doc_id, r.n_words, r.n_features, r.weight, r.score) for r in got) == sorted(map(tuple, want))
