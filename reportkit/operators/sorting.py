@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-__all__ = ["sums_before", "rank_over_ranges", "range_sweep_join"]
+__all__ = ["sums_before", "rank_over_ranges", "range_sweep_join", "range_totals", "distinct_after"]
 
 SLICE = 1024        # neighbouring point values that are compared with the ranges of one slice
 
@@ -95,3 +95,86 @@ def range_sweep_join(a: DataFrame, b: DataFrame, point: str, lo: str, hi: str, c
     pairs = p.join(r, (F.col("_cut") == F.col("_slice")) & (F.col("_pos") >= F.col("_first")) & (F.col("_pos") < F.col("_last")))
     pairs = pairs.select(F.col("_x"), *b.columns)
     return a.join(pairs, a[point] == pairs["_x"], how).drop("_x")
+
+
+def range_totals(a: DataFrame, b: DataFrame, point: str, lo: str, hi: str, sums: dict[str, Column], closed: str = "[)",
+                 unmatched: bool = False) -> DataFrame:
+    """J5 summed per range, without the pairs: the columns of ``b`` with, per name in ``sums``, the sum of that expression over
+    the rows of ``a`` whose ``point`` lies in the range (whole numbers: a total is the difference of two running sums).
+
+    Rows of ``a`` are added up per different point, which are swept with the ranges' different ends in sorted order; every
+    end learns the sums of the points before it. So rows, ranges and result are moved once each, however many rows a range
+    holds. Bounds and NULLs are those of ``range_sweep_join``; a range that holds no row has no row. ``unmatched`` adds one row
+    (NULL in the columns of ``b``) with the sums over rows of ``a`` in no range, if there are any.
+    """
+    after = 0 if closed == "[)" else 2          # ends sort before (0) or after (2) the points (1) they equal
+    names = list(sums)
+    zero = [F.lit(0).cast("long").alias(n) for n in ["_rows", *names]]
+    flat = a.select(F.col(point).alias("_x"), *[v.cast("long").alias(n) for n, v in sums.items()])
+    pts = flat.groupBy("_x").agg(F.count(F.lit(1)).alias("_rows"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    # ranges that hold no value at all would open and close out of order
+    holds = b[lo].isNull() | b[hi].isNull() | ((b[lo] < b[hi]) if closed == "[)" else (b[lo] <= b[hi]))
+    r = b.where(holds)
+    ends = r.select(F.explode(F.array(F.struct(F.col(lo).alias("x"), F.lit(0).alias("kind"), F.lit(1).alias("open")),
+                                      F.struct(F.col(hi).alias("x"), F.lit(after).alias("kind"), F.lit(-1).alias("open")))).alias("e"))
+    ends = ends.where("e.x IS NOT NULL").groupBy(F.col("e.x").alias("_x"), F.col("e.kind").alias("_kind")).agg(
+        F.sum("e.open").cast("long").alias("_open"))
+    line = pts.where(F.col("_x").isNotNull()).select("_x", F.lit(1).alias("_kind"), "_rows", *names, F.lit(0).cast("long").alias("_open"))
+    line = line.unionByName(ends.select("_x", "_kind", *zero, "_open"))
+    swept = sums_before(line, ["_x", "_kind"], {f"_b_{n}": F.col(n) for n in ["_rows", *names, "_open"]})
+    total = swept.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(f"_t_{n}") for n in ["_rows", *names]])        # one row
+
+    def edge(kind, c, tag):
+        return swept.where(F.col("_kind") == kind).select(F.col("_x").alias(c), *[F.col(f"_b_{n}").alias(f"{tag}{n}") for n in ["_rows", *names]])
+
+    starts, stops = edge(0, "_lo", "_f_"), edge(after, "_hi", "_l_")
+    r = r.join(starts, r[lo] == starts["_lo"], "left").join(stops, r[hi] == stops["_hi"], "left").crossJoin(F.broadcast(total))
+    upto = {n: F.when(b[hi].isNull(), F.col(f"_t_{n}")).otherwise(F.col(f"_l_{n}")) - F.when(b[lo].isNull(), F.lit(0)).otherwise(F.col(f"_f_{n}"))
+            for n in ["_rows", *names]}
+    out = r.where(upto["_rows"] > 0).select(*[b[c] for c in b.columns], *[upto[n].alias(n) for n in names])
+    if not unmatched:
+        return out
+    # open ranges: those without a start are open before the first end
+    always = r.agg(F.count_if(b[lo].isNull()).alias("_always"))                                             # one row
+    free = swept.where(F.col("_kind") == 1).crossJoin(F.broadcast(always)).where(F.col("_b__open") + F.col("_always") == 0)
+    free = free.select("_rows", *names).unionByName(pts.where(F.col("_x").isNull()).select("_rows", *names))
+    free = free.agg(F.sum("_rows").alias("_rows"), *[F.sum(n).alias(n) for n in names]).where(F.col("_rows") > 0)
+    return out.unionByName(free.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in b.schema.fields], *names))
+
+
+def distinct_after(a: DataFrame, b: DataFrame, key: str, ts: str, owner: str, opened: str, closed: str, length: Column, out: str) -> DataFrame:
+    """Per ``owner``: the different non-NULL ``key`` s of the rows of ``a`` inside its windows ``[opened, closed)``, all of them
+    ``length`` long; without pairs where an owner has one window.
+
+    A key is seen by a window if its first row at or after ``opened`` is less than ``length`` away, so a row stands for the openings in
+    ``(previous row of the key, row]``, at most ``length`` back: one piece per key and moment, no two of a key sharing an opening.
+    The keys of a window are the pieces its opening lies in, a difference of running sums. Several windows of one owner are cut at
+    the next opening, so that a row lies in one of them at most, and joined with the rows. A window without ends holds every row
+    that has a moment.
+    """
+    from .windows import seq_neighbors
+    day = lambda c: F.to_date(F.col(c).cast("timestamp"))
+    seen = a.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(F.col(key).alias("_key"), F.col(ts).alias("_ts")).distinct()
+    w = b.select(F.col(owner).alias("_owner"), F.col(opened).alias("_open"), F.col(closed).alias("_close")).distinct()
+    kinds = w.groupBy("_owner").agg(F.count(F.lit(1)).alias("_n"), F.bool_or(F.col("_open").isNull()).alias("_all"), F.min("_open").alias("_open"))
+
+    pieces = seq_neighbors(seen, "_key", ["_ts"], ["_ts"], day("_ts"), "_prev", None)
+    start = F.greatest(F.col("_prev_ts"), F.col("_ts") - length)
+    steps = pieces.select(F.explode(F.array(F.struct(start.alias("x"), F.lit(1).alias("step")), F.struct(F.col("_ts").alias("x"), F.lit(-1).alias("step")))).alias("e"))
+    steps = steps.groupBy(F.col("e.x").alias("_x")).agg(F.sum("e.step").cast("long").alias("_step")).withColumn("_kind", F.lit(1))
+    one = kinds.where((F.col("_n") == 1) & ~F.col("_all")).select("_owner", "_open")
+    line = steps.unionByName(one.select(F.col("_open").alias("_x"), F.lit(0).cast("long").alias("_step"), F.lit(0).alias("_kind")).distinct())
+    swept = sums_before(line, ["_x", "_kind"], {out: F.col("_step")}).where(F.col("_kind") == 0)
+    counts = one.join(swept, one["_open"] == swept["_x"]).select("_owner", out)
+
+    every = seen.agg(F.count_distinct("_key").alias(out))                                                   # one row
+    counts = counts.unionByName(kinds.where("_all").crossJoin(F.broadcast(every)).select("_owner", out))
+    more = kinds.where((F.col("_n") > 1) & ~F.col("_all")).select(F.col("_owner").alias("_o"))
+    if not more.isEmpty():
+        cut = w.join(more, w["_owner"].eqNullSafe(more["_o"]), "left_semi")
+        cut = seq_neighbors(cut, "_owner", ["_open"], ["_open"], day("_open"), None, "_next")
+        cut = cut.select("_owner", "_open", F.least("_close", "_next_open").alias("_until"))
+        met = range_sweep_join(seen, cut, "_ts", "_open", "_until").groupBy("_owner").agg(F.count_distinct("_key").alias(out))
+        met = more.join(met, more["_o"].eqNullSafe(met["_owner"]), "left").select(F.col("_o").alias("_owner"), F.coalesce(out, F.lit(0)).alias(out))
+        counts = counts.unionByName(met)
+    return counts.withColumnRenamed("_owner", owner)

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sketches as sk
-from ..operators.joins import range_join
-from ..operators.sorting import rank_over_ranges
+from ..operators.joins import join_ns, range_join
+from ..operators.sorting import distinct_after, range_totals, rank_over_ranges
 from ..operators.windows import trailing_over_days, trailing_window
 from ..session import cut_lineage
 from .common import finalize, load, sql_date
@@ -52,13 +52,16 @@ def frequent_quantities_by_month(spark, d):
 
 
 def events_after_errors(spark, d):
-    """Events of the ten minutes after each error: ranges of timestamps without an equality key."""
+    """Events of the ten minutes after each error: ranges of timestamps without an equality key, summed without the pairs."""
+    length = F.expr("INTERVAL 10 MINUTES")
     e = load(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
-    errors = e.where(F.col("event_type") == "error").select(
-        F.col("event_id").alias("error_id"), F.col("ts").alias("opened"), (F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("closed"))
-    j = range_join(e, errors, None, "ts", "opened", "closed")
-    return j.groupBy("error_id").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users"),
-                                     F.count_if(F.col("event_type") == "purchase").alias("purchases"))
+    errors = e.where(F.col("event_type") == "error").groupBy(
+        F.col("event_id").alias("error_id"), F.col("ts").alias("opened"), (F.col("ts") + length).alias("closed")).agg(F.count(F.lit(1)).alias("times"))
+    sums = {"events": F.lit(1), "purchases": (F.col("event_type") == "purchase").cast("long")}
+    totals = range_totals(e, errors, "ts", "opened", "closed", sums)
+    totals = totals.groupBy("error_id").agg(*[F.sum(F.col("times") * F.col(c)).alias(c) for c in sums])
+    users = distinct_after(e, errors, "user_id", "ts", "error_id", "opened", "closed", length, "users")
+    return join_ns(totals, users, "error_id").select("error_id", "events", "users", "purchases")
 
 
 def orders_in_price_bands(spark, d):

@@ -156,6 +156,47 @@ def test_sweep_join_of_timestamps_plans_no_nested_loop(spark):
     assert range_join(a.limit(0), b, None, "t", "f", "u").count() == 0 and range_join(a, b.limit(0), None, "t", "f", "u").count() == 0
 
 
+@pytest.mark.parametrize("closed", ["[)", "[]"])
+def test_range_totals_equal_summed_pairs(spark, closed):
+    rng = random.Random(5)
+    points = [(i, 50.0 if i % 3 == 0 else rng.choice([None, rng.randrange(100) / 2])) for i in range(300)]
+    ranges = [(i, a, a + rng.choice([0, 0.5, 3, -1])) for i, a in enumerate(rng.randrange(-10, 20) * 1.0 for _ in range(30))]
+    tail = [(100, None, 10.0), (101, 40.0, None), (102, 50.0, 50.0), (103, 900.0, None), (None, 3.0, 4.0), (7, 3.0, 4.0)]
+    a = spark.createDataFrame(points, "id int, x double").repartition(4)
+    for rows in (ranges, ranges + tail, ranges + [(104, None, None)]):
+        b = spark.createDataFrame(rows, "r int, lo double, hi double")
+        got = so.range_totals(a, b, "x", "lo", "hi", {"n": F.lit(1), "ids": F.col("id")}, closed, unmatched=True)
+        inside = lambda x, r: x is not None and (r[1] is None or x >= r[1]) and (r[2] is None or x < r[2] or (closed == "[]" and x == r[2]))
+        want = [(*r, len(m), sum(m)) for r in rows for m in [[i for i, x in points if inside(x, r)]] if m]
+        none = [i for i, x in points if not any(inside(x, r) for r in rows)]
+        want.append((None, None, None, len(none), sum(none)))
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_range_totals_make_no_pairs(spark):
+    n = 3000                                            # nine million pairs
+    a = spark.range(n).select(F.lit(1.0).alias("x"))
+    b = spark.range(n).select(F.col("id").alias("r"), F.lit(0.0).alias("lo"), F.lit(2.0).alias("hi"))
+    t = so.range_totals(a, b, "x", "lo", "hi", {"n": F.lit(1)})
+    assert t.agg(F.sum("n")).head()[0] == n * n
+    assert "_slice" not in plan(t)
+
+
+def test_distinct_after_equals_plain_sets(spark):
+    rng = random.Random(6)
+    t0 = datetime(2024, 1, 1, 23, 30)
+    rows = [(rng.choice([None, *range(9)]), t0 + timedelta(minutes=rng.randrange(120)) if i % 40 else None) for i in range(250)]
+    wins = [(i if i < 30 else rng.choice([None, 50, 51]), t0 + timedelta(minutes=rng.randrange(-20, 140))) for i in range(45)] + [(5, None), (60, None)]
+    wins.append(wins[7])
+    length = F.expr("INTERVAL 10 MINUTES")
+    a = spark.createDataFrame(rows, "u int, t timestamp").repartition(4)
+    b = spark.createDataFrame(wins, "o int, f timestamp").withColumn("z", F.col("f") + length)
+    got = {r.o: r.n for r in so.distinct_after(a, b, "u", "t", "o", "f", "z", length, "n").collect()}
+    want = {o: len({u for u, t in rows if u is not None and t is not None
+                    and any(f is None or f <= t < f + timedelta(minutes=10) for p, f in wins if p == o)}) for o, _ in wins}
+    assert got == want
+
+
 # W12
 
 def test_trailing_over_days_equals_the_single_window(spark):
