@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sketches as sk
-from ..operators.joins import join_ns, range_join
+from ..operators.joins import join_ns
 from ..operators.sorting import distinct_after, range_totals, rank_over_ranges
 from ..operators.windows import trailing_over_days, trailing_window
 from ..session import cut_lineage
@@ -70,8 +70,10 @@ def orders_in_price_bands(spark, d):
     s = F.col("s_suppkey")
     bands = load(spark, d, "supplier").select(
         s.alias("band"), F.when(s % 7 != 0, (s * 4000).cast("double")).alias("low"), F.when(s % 10 != 0, (s * 4000 + 9000).cast("double")).alias("high"))
-    j = range_join(o, bands, None, "o_totalprice", "low", "high", "[]", how="left")
-    return j.groupBy("band").agg(F.count(F.lit(1)).alias("orders"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    t = range_totals(o, bands, "o_totalprice", "low", "high", {"orders": F.lit(1), "cents": cents, "priced": cents.isNotNull().cast("long")}, "[]", unmatched=True)
+    # the sum of no price is NULL
+    return t.groupBy("band").agg(F.sum("orders").alias("orders"), F.when(F.sum("priced") > 0, F.sum("cents")).alias("cents"))
 
 
 def event_trailing_values(spark, d):
