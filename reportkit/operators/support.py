@@ -64,11 +64,19 @@ def volume_backlog(tickets: DataFrame, created: str, closed: str, dims: list[str
 def response_stats(df: DataFrame, dims: list[str], period: str, measure: str, sla: float,
                    exact: bool = False) -> DataFrame:
     """Mean, median, p90 and SLA attainment of a response measure per period x dims."""
-    g = df.where(F.col(measure).isNotNull()).groupBy(period, *dims).agg(
-        F.count(F.lit(1)).alias("responses"), rnd(F.avg(measure), 4).alias("mean_value"),
-        rnd(quantile(measure, 0.5, exact), 4).alias("median_value"),
-        rnd(quantile(measure, 0.9, exact), 4).alias("p90_value"),
-        F.count_if(F.col(measure) <= sla).alias("within_sla"))
+    rows = df.where(F.col(measure).isNotNull())
+    if exact:
+        # equal values are counted first: percentiles of more than a few groups would sort every row
+        n, v = F.col("_n"), F.col(measure).cast("double")
+        g = rows.groupBy(period, *dims, measure).agg(F.count(F.lit(1)).alias("_n")).groupBy(period, *dims).agg(
+            F.sum(n).alias("responses"), rnd(F.sum(v * n) / F.sum(n), 4).alias("mean_value"),
+            rnd(F.percentile(v, F.lit(0.5), n), 4).alias("median_value"), rnd(F.percentile(v, F.lit(0.9), n), 4).alias("p90_value"),
+            F.sum(F.when(F.col(measure) <= sla, n).otherwise(0)).alias("within_sla"))
+    else:
+        g = rows.groupBy(period, *dims).agg(
+            F.count(F.lit(1)).alias("responses"), rnd(F.avg(measure), 4).alias("mean_value"),
+            rnd(quantile(measure, 0.5), 4).alias("median_value"), rnd(quantile(measure, 0.9), 4).alias("p90_value"),
+            F.count_if(F.col(measure) <= sla).alias("within_sla"))
     return g.withColumn("sla_attainment", rnd(ratio("within_sla", "responses"), 6))
 
 
