@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import c_, classify, ratio, rnd
+from ..session import tasks_for
 from .joins import asof_join, join_ns, merge_full, range_join
 from .windows import pick_one
 
@@ -189,9 +192,15 @@ def trailing_velocity(sales: DataFrame, keys: list[str], date: str, qty: str, da
     """Trailing-N-calendar-day units and rate at each date of a key union spine."""
     from .sets import key_union
     from .windows import trailing_agg
-    s = sales.groupBy(*keys, F.to_date(F.col(date).cast("timestamp")).alias("date")).agg(F.sum(qty).alias("units"))
-    spine = s.select(*keys, "date") if stock is None else key_union([s, stock], keys + ["date"])
-    j = spine.join(s, keys + ["date"], "left").withColumn("units", F.coalesce("units", F.lit(0.0)))
+    n = tasks_for(sales)
+    s = sales.select(*keys, F.to_date(F.col(date).cast("timestamp")).alias("date"), F.col(qty).alias("_q"))
+    s = s.repartition(n, *keys, "date").groupBy(*keys, "date").agg(F.sum("_q").alias("units"))
+    if stock is None:       # every row finds its own units, unless a key is NULL
+        found = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys + ["date"]])
+        j = s.withColumn("units", F.when(found, F.col("units")))
+    else:
+        j = key_union([s, stock], keys + ["date"]).join(s, keys + ["date"], "left")
+    j = j.repartition(n, *keys).withColumn("units", F.coalesce("units", F.lit(0.0)))
     j = trailing_agg(j, keys, "date", "units", days, "sum", True, out=f"units_{days}d")
     return j.withColumn(f"velocity_{days}d", rnd(F.col(f"units_{days}d") / F.lit(float(days)), 6))
 

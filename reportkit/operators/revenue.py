@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import ratio, rnd
+from ..session import tasks_for
 
 # Average month length in days and the snap tolerance (days).
 MONTH_DAYS = 30.4375
@@ -50,7 +51,9 @@ def mrr_by_customer_month(lines: DataFrame, keys, start: str, end: str, monthly:
     snap = F.least(F.last_day("month"), a)
     ex = ex.where((F.col("month") <= F.trunc(a, "month")) & (F.col("_s") <= snap) & (snap < F.col("_e")))
     from .timegrid import densify
-    per = ex.groupBy(*keys, "month").agg(F.sum("_m").alias("_mrr"))
+    n = tasks_for(lines)
+    per = ex.repartition(n, *keys, "month").groupBy(*keys, "month").agg(F.sum("_m").alias("_mrr"))
+    per = per.repartition(n, *keys)     # the grid and the windows of a key stay in this partitioning
     # grid from the first month with MRR > 0 (a window over the key's months) to as_of, one pass
     first_pos = F.min(F.when(rnd("_mrr", 2) > 0, F.col("month"))).over(Window.partitionBy(*keys))
     out = densify(per, keys, "month", [], step="month", fill=None, start=first_pos, end=F.trunc(a, "month"),

@@ -60,6 +60,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+ROWS_A_TASK = 50_000
+
+
+def tasks_for(rows: DataFrame, rows_a_task: int = ROWS_A_TASK) -> int:
+    """Partitions for a step whose rows grow with those of ``rows`` (counted): as many as the default parallelism, and so many that a
+    task's share stays the same on larger tables. An explicit ``repartition`` of that many is not merged by AQE, which looks at
+    shuffled bytes only and not at what a task makes of them."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // rows_a_task))
+
+
 def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle / scan sizing for a cluster run.
 

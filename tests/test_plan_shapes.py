@@ -30,3 +30,14 @@ def test_each_table_read_once(spark, name):
 def test_no_cartesian_products(spark):
     bad = [n for n in sorted(QUERIES) if "CartesianProduct" in _plan(spark, n)]
     assert not bad, bad
+
+
+def test_wide_steps_are_dealt_by_the_rows_of_their_input(spark, monkeypatch):
+    from reportkit import session
+    from reportkit.operators import commerce, revenue
+    n = session.tasks_for(spark.range(1000), 10)
+    assert n == 100 and session.tasks_for(spark.range(3), 10) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(revenue, "tasks_for", lambda rows: 77)
+    monkeypatch.setattr(commerce, "tasks_for", lambda rows: 77)
+    for name in ("mrr_bridge", "sales_velocity"):
+        assert "77), REPARTITION_BY_NUM" in _plan(spark, name), name
