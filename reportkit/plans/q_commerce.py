@@ -14,6 +14,7 @@ from ..functions.columns import rnd
 
 from ..operators import commerce as cm
 from ..operators.joins import enrich
+from ..session import tasks_for
 from .common import finalize, load, sql_date, sql_ts, sx
 
 # line money is posted in cents before it is summed (engine-independent totals)
@@ -66,7 +67,9 @@ def sales_by_product(spark, d):
     li = load(spark, d, "lineitem")
     o = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     p = load(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    lines = li.join(o, "l_orderkey").join(p, "l_partkey").withColumns(
+    lines = li.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount").join(p, "l_partkey")
+    # dealt by order, so that an order's lines are counted where they are joined
+    lines = lines.where("l_orderkey IS NOT NULL").repartition(tasks_for(li), "l_orderkey").join(o, "l_orderkey").withColumns(
         {"gross": F.col("l_extendedprice"), "net": sx(NET)})
     return finalize(cm.sales_by_product(lines, ["p_brand"], "o_orderdate", "l_quantity", "gross", "net", "l_orderkey"))
 
