@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import tasks_for
+
+# Rows of a report per task of ``audit``: few columns each.
+AUDIT_ROWS_A_TASK = 250_000
+
 
 def _l(x):
     return [x] if isinstance(x, str) else list(x)
@@ -130,23 +135,37 @@ def watched(df: DataFrame, rows: dict[str, Column]) -> tuple[DataFrame, Observat
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[_misses(ok).alias(name) for name, ok in rows.items()]), seen
 
 
-def audit(df: DataFrame, rows: dict[str, Column], keys: dict[str, list[str]] | None = None) -> DataFrame:
+def audit(df: DataFrame, rows: dict[str, Column], keys: dict[str, list[str]] | None = None, tasks: int | None = None) -> DataFrame:
     """Q1, Q3-Q6, Q8, Q10, Q13 in one pass over a report: ``(check, violations, rows)``, one row per check.
 
     ``rows``: name -> condition every row must meet (not TRUE counts as a violation). ``keys``: name -> columns that must
-    tell rows apart (violations: key values that occur more than once; NULLs are values). All of them are counted from one
-    shared aggregate on the key columns taken together (without ``keys``: one row), so the report is read once and its
-    rows are combined before they are shuffled.
+    tell rows apart (violations: key values that occur more than once; NULLs are values). The report is read once: every row
+    stands once per key set, the row-level counts travel with the first set. Rows are dealt to ``tasks`` (``tasks_for(df)``
+    if not given) in pieces of the report and combined there; only then are a key's counts brought together, so that neither
+    a long report nor a key of many rows fills a task.
     """
-    keys = keys or {}
-    every = list(dict.fromkeys(c for cols in keys.values() for c in cols))
-    names = list(rows)
-    shared = df.groupBy(*every).agg(F.count(F.lit(1)).alias("_n"), *[_misses(rows[n]).alias(f"_r{i}") for i, n in enumerate(names)])
-    # per key set one row and key value; the row-level counts travel with the first set only
-    parts = [F.struct(F.lit(name).alias("check"), F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("key"), F.col("_n").alias("n"),
-                      F.lit(0).cast("long").alias("miss"), F.lit(0).cast("long").alias("rows")) for name, cols in keys.items()]
-    parts += [F.struct(F.lit(name).alias("check"), F.lit(None).cast("string").alias("key"), F.lit(0).cast("long").alias("n"),
-                       F.col(f"_r{i}").alias("miss"), F.lit(0).cast("long").alias("rows")) for i, name in enumerate(names)]
-    ex = shared.select("_n", F.explode(F.array(*parts)).alias("k")).select("_n", "k.*")
-    g = ex.groupBy("check", "key").agg(F.sum("n").alias("n"), F.sum("miss").alias("miss"), F.sum("_n").alias("rows"))
-    return g.groupBy("check").agg((F.count_if(F.col("n") > 1) + F.sum("miss")).alias("violations"), F.sum("rows").alias("rows"))
+    names, sets = list(rows), list((keys or {}).items())
+    missed = [f"_r{i}" for i in range(len(names))]
+    every = list(dict.fromkeys(c for _, cols in sets for c in cols))
+    flags = df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(every)],
+                      *[F.when(F.coalesce(rows[n], F.lit(False)), 0).otherwise(1).alias(m) for n, m in zip(names, missed)])
+    if sets:
+        n = tasks or tasks_for(df, AUDIT_ROWS_A_TASK)
+        place = [f"_k{i}" for i in range(len(every))]
+        # a row's piece follows from its partition and its keys, so it is the same if a lost task runs again
+        flags = flags.withColumn("_part", F.spark_partition_id())
+        flags = flags.withColumn("_piece", F.pmod(F.xxhash64("_part", *place), F.lit(16 * n))).drop("_part").repartition(n, "_piece")
+        types = dict(flags.dtypes)
+        copies = [F.struct(F.lit(s).alias("_set"), *[F.col(k) if c in cols else F.lit(None).cast(types[k]).alias(k) for k, c in zip(place, every)],
+                           *[(F.col(m) if s == 0 else F.lit(0)).alias(m) for m in missed]) for s, (_, cols) in enumerate(sets)]
+        flags = flags.select("_piece", F.explode(F.array(*copies)).alias("_c")).select("_piece", "_c.*")
+        g = flags.groupBy("_piece", "_set", *place).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(m).alias(m) for m in missed])
+        g = g.repartition(n, "_set", *place).groupBy("_set", *place).agg(F.sum("_n").alias("_n"), *[F.sum(m).alias(m) for m in missed])
+        g = g.groupBy("_set").agg(F.count_if(F.col("_n") > 1).alias("_twice"), F.sum("_n").alias("_rows"), *[F.sum(m).alias(m) for m in missed])
+    else:
+        g = flags.agg(F.count(F.lit(1)).alias("_rows"), *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in missed])
+        g = g.withColumns({"_set": F.lit(0), "_twice": F.lit(0).cast("long")})
+    found = [(s, name, "_twice") for s, (name, _) in enumerate(sets)] + [(0, name, m) for name, m in zip(names, missed)]
+    out = F.array(*[F.struct(F.lit(s).alias("_of"), F.lit(name).alias("check"), F.col(c).alias("violations"), F.col("_rows").alias("rows"))
+                    for s, name, c in found])
+    return g.select("_set", F.explode(out).alias("_o")).where("_set = _o._of").select("_o.check", "_o.violations", "_o.rows")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import parse_hhmm
 from ..operators import checks as q
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, tasks_for
 from ..sources.published import published, refresh
 from . import q_marketing
 from .common import finalize, load, sql_date
@@ -38,12 +38,13 @@ def audits(spark, d):
     ad = q_marketing.ad_performance_daily(spark, d)
     e = load(spark, d, "events").withColumn("clock", F.date_format("ts", "H:mm"))
     li = load(spark, d, "lineitem")
+    from_events = tasks_for(e, q.AUDIT_ROWS_A_TASK)     # no more days and campaigns than events
     return reduce(lambda a, b: a.unionByName(b), [
         q.audit(ad, {"ad_spend_not_negative": F.col("spend") >= 0, "ad_clicks_within_impressions": F.col("clicks") <= F.col("impressions")},
-                {"ad_day_and_campaign_unique": ["date", "campaign_id"]}),
+                {"ad_day_and_campaign_unique": ["date", "campaign_id"]}, tasks=from_events),
         q.audit(e, {"event_type_accepted": F.col("event_type").isin("view", "click", "purchase", "signup", "error"),
                     "event_value_in_range": F.col("value").between(0, 90), "event_clock_parses": parse_hhmm("clock").isNotNull()},
-                {"event_unique": ["event_id"]}),
+                {"event_unique": ["event_id"]}, tasks=from_events),
         q.audit(li, {"line_discount_in_range": F.col("l_discount").between(0, 0.1), "line_not_returned": F.col("l_returnflag") != "R"},
                 {"line_key_unique": ["l_orderkey", "l_linenumber"], "line_part_unique": ["l_orderkey", "l_partkey"]})])
 

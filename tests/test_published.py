@@ -96,6 +96,15 @@ def test_audit_counts_all_checks_from_one_scan(spark, tmp_path):
     assert none in ({"positive": 0}, {})
 
 
+def test_audit_deals_rows_and_keys_to_as_many_tasks_as_told(spark):
+    hot = spark.range(3000).select((F.col("id") % 2).cast("int").alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("b"),
+                                   (F.col("id") - 5).cast("double").alias("v"))
+    out = q.audit(hot, {"positive": F.col("v") > 0}, {"ab": ["a", "b"], "b": ["b"], "a": ["a"]}, tasks=37)
+    assert out._jdf.queryExecution().executedPlan().toString().count(" 37), REPARTITION_BY_NUM") == 2
+    assert {r.check: (r.violations, r.rows) for r in out.collect()} == {
+        "positive": (6, 3000), "ab": (2, 3000), "b": (1, 3000), "a": (2, 3000)}
+
+
 def test_watched_counts_while_the_report_is_written(spark, tmp_path):
     df = spark.range(100).select((F.col("id") - 10).alias("v"))
     out, seen = q.watched(df, {"positive": F.col("v") > 0})
