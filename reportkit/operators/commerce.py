@@ -105,16 +105,16 @@ def dominant(df: DataFrame, keys, type_col: str, weight: str, out: str = "domina
 
 
 def point_in_time(facts: DataFrame, history: DataFrame, on, date: str, eff: str, cols: list[str],
-                  fallback: str | None = "earliest", distinct_points: bool = False) -> DataFrame:
+                  fallback: str | None = "earliest", distinct_points: bool = False, tasks: int | None = None) -> DataFrame:
     """Value effective on the fact's day (effective_ts < day + 1, newest first);
     with no earlier row, the earliest later one (``fallback='earliest'``)."""
     from pyspark.sql.types import DateType
     h = history.withColumn("_eff_day", F.to_date(F.col(eff).cast("timestamp")))
     h = h.drop(eff).withColumnRenamed("_eff_day", eff)
     if isinstance(facts.schema[date].dataType, DateType):
-        return asof_join(facts, h, on, date, eff, cols, fallback, distinct_points=distinct_points)
+        return asof_join(facts, h, on, date, eff, cols, fallback, distinct_points=distinct_points, tasks=tasks)
     f = facts.withColumn("_day", F.to_date(F.col(date).cast("timestamp")))
-    return asof_join(f, h, on, "_day", eff, cols, fallback).drop("_day")
+    return asof_join(f, h, on, "_day", eff, cols, fallback, tasks=tasks).drop("_day")
 
 
 def contribution_margin(parts: list[DataFrame], keys: list[str], cost: DataFrame, sku: str, date: str,

@@ -130,7 +130,8 @@ def range_join(a: DataFrame, b: DataFrame, on, point: str, lo: str, hi: str,
 
 
 def asof_join(a: DataFrame, b: DataFrame, on, a_time: str, b_time: str, cols: list[str],
-              fallback: str | None = "earliest", bucket: str = "month", distinct_points: bool = False) -> DataFrame:
+              fallback: str | None = "earliest", bucket: str = "month", distinct_points: bool = False,
+              tasks: int | None = None) -> DataFrame:
     """For each row of ``a`` the ``b`` row effective at or before ``a_time``.
 
     No inequality join and no pairs: the distinct (key, time) points of ``a`` are
@@ -138,25 +139,33 @@ def asof_join(a: DataFrame, b: DataFrame, on, a_time: str, b_time: str, cols: li
     in time order (``seq_carry_forward``: per key x ``bucket`` of time, then across
     the key's buckets), so a key with a huge history or many points is spread
     over its time buckets. ``fallback='earliest'`` takes the key's earliest row when
-    nothing was effective yet (a per-key hash aggregate); ``None`` leaves NULL. Facts
-    join back on (key, time) as an equi-join, unless ``distinct_points`` says ``a`` is
-    already the distinct (key, time) set.
+    nothing was effective yet (carried by the same step); ``None`` leaves NULL. Facts
+    join back on (key, time) as an equi-join, unless ``distinct_points`` says that ``a`` has
+    one row, or a few, per (key, time): then its rows themselves are the points, with their other
+    columns (NULL keys are values there). ``tasks``: see ``seq_carry_forward``.
     """
     from .windows import seq_carry_forward
     keys = _keys(on)
-    pts = a.select(*keys, F.col(a_time).alias("_t")).distinct()
+    rest = [c for c in a.columns if c not in keys + [a_time]] if distinct_points else []
+    row = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(None).cast("int")
+    pts = a.select(*keys, F.col(a_time).alias("_t"), row.alias("_a"))
+    if not distinct_points:
+        pts = pts.distinct()
     hist = b.select(*keys, F.col(b_time).alias("_t"), F.struct(*[F.col(c) for c in cols]).alias("_v"))
-    u = (pts.select(*keys, "_t", F.lit(None).cast(hist.schema["_v"].dataType).alias("_v"), F.lit(1).alias("_o"))
-         .unionByName(hist.withColumn("_o", F.lit(0))))
+    u = (pts.withColumns({"_v": F.lit(None).cast(hist.schema["_v"].dataType), "_o": F.lit(1)})
+         .unionByName(hist.withColumns({"_a": F.lit(None).cast(pts.schema["_a"].dataType), "_o": F.lit(0)})))
     bk = F.trunc(F.to_date(F.col("_t").cast("timestamp")), bucket) if bucket in ("month", "year", "week") \
         else F.to_date(F.col("_t").cast("timestamp"))
-    u = seq_carry_forward(u, keys, ["_t", "_o"], "_v", "_asof", bk)
-    res = u.where(F.col("_o") == 1).select(*keys, F.col("_t").alias(a_time), "_asof")
-    if fallback == "earliest":
-        first = hist.groupBy(*keys).agg(F.min_by("_v", "_t").alias("_first"))
-        res = res.join(first, keys, "left").withColumn("_asof", F.coalesce("_asof", "_first")).drop("_first")
-    if distinct_points and set(a.columns) == set(keys + [a_time]):  # the facts are the points: no join back
-        return res.select(*keys, a_time, *[F.col("_asof")[c].alias(c) for c in cols])
+    earliest = fallback == "earliest"
+    u = seq_carry_forward(u, keys, ["_t", "_o"], "_v", "_asof", bk, tasks, "_first" if earliest else None)
+    res = u.where(F.col("_o") == 1)
+    if earliest:    # a NULL key has no earliest row
+        known = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+        res = res.withColumn("_asof", F.coalesce("_asof", F.when(known, F.col("_first"))))
+    if distinct_points:     # the facts are the points: no join back
+        back = {a_time: F.col("_t"), **{c: F.col("_a")[c] for c in rest}}
+        return res.select(*[back.get(c, F.col(c)).alias(c) for c in a.columns], *[F.col("_asof")[c].alias(c) for c in cols])
+    res = res.select(*keys, F.col("_t").alias(a_time), "_asof")
     return a.join(res, keys + [a_time], "left").select("*", *[F.col("_asof")[c].alias(c) for c in cols]).drop("_asof")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import c_, rnd
+from ..session import tasks_for
 
 
 def _l(x) -> list:
@@ -343,20 +344,34 @@ def seq_number(df: DataFrame, keys, order: list[str], out: str, bucket: Column,
     return d
 
 
-def seq_carry_forward(df: DataFrame, keys, order: list[str], c: str, out: str, bucket: Column) -> DataFrame:
+def seq_carry_forward(df: DataFrame, keys, order: list[str], c: str, out: str, bucket: Column, tasks: int | None = None,
+                      first_out: str | None = None) -> DataFrame:
     """W13 in two levels: last non-NULL ``c`` at or before each row, per key. Inside a
     (key, bucket) window, then from the key's earlier buckets (each bucket's last
-    non-NULL value, carried over the bucket rows of the key)."""
+    non-NULL value, carried over the bucket rows of the key). ``first_out`` also gives the
+    key's first non-NULL ``c``, at or after the row included. Every step is dealt to ``tasks`` partitions
+    (``tasks_for(df)`` if not given); key and bucket are one struct, whose equality takes NULLs as values."""
     keys = _l(keys)
-    d = df.withColumn("_bk", bucket)
-    w = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_in", F.last(c, ignorenulls=True).over(w))
-    ordering = F.struct(*[F.col(o) for o in order])
-    agg = d.groupBy(*keys, "_bk").agg(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordering)).alias("_blast"))
-    wb = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    agg = agg.select(*keys, "_bk", F.last("_blast", ignorenulls=True).over(wb).alias("_before"))
-    d = _ns_join(d, agg, keys + ["_bk"])
-    return d.withColumn(out, F.coalesce("_in", "_before")).drop("_bk", "_in", "_before")
+    order = [o for o in order if o not in keys]
+    n = tasks or tasks_for(df)
+    # the hash comes first because numbers sort faster than structs; it is made again after a shuffle, not carried
+    at = ["_h", "_at"]
+
+    def dealt(rows):
+        return rows.repartition(n, F.xxhash64("_at"), "_at").withColumn("_h", F.xxhash64("_at"))
+
+    d = dealt(df.withColumn("_at", F.struct(*keys, bucket.alias("_bk"))).drop(*keys))
+    w = Window.partitionBy(*at).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ordering = F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order]))
+    agg = d.groupBy(*at).agg(F.max_by(c, ordering).alias("_blast"), F.min_by(c, ordering).alias("_bfirst"))
+    per_key = Window.partitionBy(*keys).orderBy("_bk")
+    agg = agg.select("_at", "_at.*", "_blast", "_bfirst").repartition(n, *keys).select(
+        "_at", F.last("_blast", ignorenulls=True).over(per_key.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.first("_bfirst", ignorenulls=True).over(per_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_of_key"))
+    d = d.withColumn("_in", F.last(c, ignorenulls=True).over(w)).join(dealt(agg), at, "left")
+    new = {out: F.coalesce("_in", "_before"), **({first_out: F.col("_of_key")} if first_out else {})}
+    back = [F.col("_at")[k].alias(k) if k in keys else F.col(k) for k in df.columns if k not in new]
+    return d.select(*back, *[x.alias(k) for k, x in new.items()])
 
 
 def seq_prev_and_next_when(df: DataFrame, keys, order: list[str], prev_cols: list[str], cond: Column, c: str,

@@ -81,21 +81,29 @@ def customer_summary(spark, d):
     return finalize(enrich(s, c, "o_custkey"))
 
 
+# Lines per task where a step keeps few columns of them and makes no more rows.
+LINES_A_TASK = 250_000
+
+
 def _price_history(spark, d):
     li = load(spark, d, "lineitem")
     o = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    n = tasks_for(li, LINES_A_TASK)
     # one cost per part and day: that day's realised unit price (ratio of sums)
-    h = li.join(o, "l_orderkey").select("l_partkey", F.to_date("o_orderdate").alias("effective_date"),
-                                        "l_extendedprice", "l_quantity")
-    return (h.groupBy("l_partkey", "effective_date")
+    li = li.select("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity").repartition(n, "l_orderkey")
+    h = li.join(o.repartition(n, "l_orderkey"), "l_orderkey").select("l_partkey", F.to_date("o_orderdate").alias("effective_date"),
+                                                                     "l_extendedprice", "l_quantity")
+    return (h.repartition(n, "l_partkey", "effective_date").groupBy("l_partkey", "effective_date")
             .agg(F.try_divide(F.sum("l_extendedprice"), F.nullif(F.sum("l_quantity"), F.lit(0.0))).alias("unit_cost")))
 
 
 def point_in_time_cost(spark, d):
-    facts = load(spark, d, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("date")).distinct()
+    li = load(spark, d, "lineitem")
+    n = tasks_for(li, LINES_A_TASK)
+    facts = li.select("l_partkey", F.to_date("l_shipdate").alias("date")).repartition(n, "l_partkey", "date").distinct()
     hist = _price_history(spark, d)
     r = cm.point_in_time(facts, hist, "l_partkey", "date", "effective_date", ["unit_cost", "effective_date"],
-                         distinct_points=True)
+                         distinct_points=True, tasks=n)
     return finalize(r.select("l_partkey", "date", rnd("unit_cost", 4).alias("unit_cost"),
                              (F.col("effective_date") > F.col("date")).alias("is_fallback")))
 

@@ -29,6 +29,24 @@ def test_asof_join_newest_before_with_earliest_fallback(spark):
     assert got == {("a", "2024-01-01"): 1.0, ("a", "2024-01-05"): 2.0, ("a", "2024-01-10"): 3.0, ("b", "2024-01-01"): None}
 
 
+def test_asof_rows_as_points_equal_the_join_back(spark):
+    facts = spark.createDataFrame([("a", f"2024-0{m}-10", m * 10 + i) for m in range(1, 8) for i in range(2)] + [("b", "2024-01-01", 1),
+                                  ("c", "2024-01-01", 2), (None, "2024-02-01", 3), ("a", None, 4)], "sku string, d string, x int"
+                                  ).withColumn("d", F.to_date("d"))
+    hist = spark.createDataFrame([("a", "2024-03-11", 1.0), ("a", "2024-05-01", None), ("b", "2024-03-01", 3.0), (None, "2024-01-01", 4.0)],
+                                 "sku string, eff string, cost double").withColumn("eff", F.to_date("eff"))
+    for fallback, early in (("earliest", 1.0), (None, None)):
+        want = {("a", m * 10 + i): early if m < 4 else 1.0 if m < 5 else None for m in range(1, 8) for i in range(2)}
+        want |= {("b", 1): 3.0 if fallback else None, ("c", 2): None}
+        for points in (False, True):
+            r = asof_join(facts, hist, "sku", "d", "eff", ["cost"], fallback, distinct_points=points, tasks=5)
+            assert r.columns == ["sku", "d", "x", "cost"]
+            got = [(x.sku, x.x, x.cost) for x in r.where("d IS NOT NULL").collect()]
+            assert len(got) == len(want) + 1
+            assert {(a, b): c for a, b, c in got if a} == want
+            assert [c for a, _, c in got if a is None] == [4.0 if points else None]
+
+
 def test_range_join_half_open_and_open_ended(spark):
     pts = spark.createDataFrame([("a", D(2024, 1, 10)), ("a", D(2024, 2, 1)), ("a", D(2025, 1, 1))], "sku string, d date")
     rng = spark.createDataFrame([("a", D(2024, 1, 1), D(2024, 2, 1), 1.0), ("a", D(2024, 2, 1), None, 2.0)],

@@ -41,3 +41,15 @@ def test_wide_steps_are_dealt_by_the_rows_of_their_input(spark, monkeypatch):
     monkeypatch.setattr(commerce, "tasks_for", lambda rows: 77)
     for name in ("mrr_bridge", "sales_velocity"):
         assert "77), REPARTITION_BY_NUM" in _plan(spark, name), name
+
+
+def _dealt_otherwise(plan, n):
+    """Grouping columns of the exchanges not dealt to ``n`` partitions."""
+    return {m[1] for m in re.finditer(r"Exchange hashpartitioning\((.*), (\d+)\), (\w+)", plan) if (m[2], m[3]) != (str(n), "REPARTITION_BY_NUM")}
+
+
+def test_prices_of_a_day_and_their_carry_are_dealt_by_lines(spark, monkeypatch):
+    from reportkit.plans import q_commerce
+    monkeypatch.setattr(q_commerce, "tasks_for", lambda rows, rows_a_task=0: 77)
+    plan = _plan(spark, "point_in_time_cost")
+    assert "77), REPARTITION_BY_NUM" in plan and not _dealt_otherwise(plan, 77)
