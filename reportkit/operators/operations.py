@@ -122,7 +122,7 @@ def incident_response(events: DataFrame, entity: str, ts: str, kind: str, incide
 
 
 def headcount(spans: DataFrame, person: str, org: str, start: str, end: str, as_of,
-              history: DataFrame | None = None, hist_ts: str | None = None) -> DataFrame:
+              history: DataFrame | None = None, hist_ts: str | None = None, tasks: int | None = None) -> DataFrame:
     """Per month x org: headcount at the start (started <= previous month end and not
     ended by it) and at the end of the month, hires and leavers inside the month,
     turnover = leavers / mean(start, end). Each person is exploded onto the months of
@@ -130,7 +130,7 @@ def headcount(spans: DataFrame, person: str, org: str, start: str, end: str, as_
 
     With ``history`` (person, ``hist_ts``, ``org``; one row per person and day) the
     org is time-varying: the latest history row at ``least(month end, end date)``
-    (J6 as-of join); otherwise ``spans[org]`` is used.
+    (J6 as-of join, its steps dealt to ``tasks`` partitions); otherwise ``spans[org]`` is used.
     """
     from .joins import asof_join
     a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
@@ -145,7 +145,9 @@ def headcount(spans: DataFrame, person: str, org: str, start: str, end: str, as_
     if history is not None:
         ex = ex.withColumn("_ref", F.least(F.last_day("month"), F.coalesce("_e", F.last_day("month"))))
         h = history.select(person, F.to_date(F.col(hist_ts).cast("timestamp")).alias("_eff"), org)
-        ex = asof_join(ex, h, person, "_ref", "_eff", [org], fallback=None)
+        # a person has one row a month, so few per day; a row without a person has no history
+        ex = asof_join(ex, h, person, "_ref", "_eff", [org], fallback=None, distinct_points=True, tasks=tasks)
+        ex = ex.withColumn(org, F.when(F.col(person).isNotNull(), F.col(org)))
     prev_end = F.date_sub(F.col("month"), 1)
     mend = F.last_day("month")
     g = ex.groupBy("month", org).agg(

@@ -13,7 +13,7 @@ from ..operators import crm
 from ..operators import operations as op
 from ..operators import support as sp
 from ..operators.windows import seq_neighbors
-from ..session import cut_lineage
+from ..session import cut_lineage, tasks_for
 from .common import finalize, load, sql_date
 
 ACTIVITY_KINDS = ["signup", "view", "click", "purchase", "error"]
@@ -85,14 +85,17 @@ def incident_response(spark, d):
 
 def headcount_monthly(spark, d):
     o = load(spark, d, "orders")
-    spans = o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("start_date"), F.max("o_orderdate").alias("_last"))
+    n = tasks_for(o)
+    # org history: the priority of the person's latest order (one row per person and day); spans come from the same rows
+    days = o.select("o_custkey", F.to_date("o_orderdate").alias("changed_on"), "o_orderdate", "o_orderpriority").repartition(
+        n, "o_custkey", "changed_on").groupBy("o_custkey", "changed_on").agg(
+        F.max("o_orderpriority").alias("org"), F.min("o_orderdate").alias("_first"), F.max("o_orderdate").alias("_last"))
+    spans = days.repartition(n, "o_custkey").groupBy("o_custkey").agg(F.min("_first").alias("start_date"), F.max("_last").alias("_last"))
     spans = spans.withColumn("end_date", F.date_add(F.to_date("_last"), 180))
     spans = spans.withColumn("end_date", F.when(F.col("end_date") <= F.lit(HEADCOUNT_AS_OF).cast("date"), F.col("end_date")))
-    # org history: the priority of the person's latest order (one row per person and day)
-    hist = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("changed_on")).agg(
-        F.max("o_orderpriority").alias("org"))
+    hist = days.select("o_custkey", "changed_on", "org")
     return finalize(op.headcount(spans, "o_custkey", "org", "start_date", "end_date", HEADCOUNT_AS_OF,
-                                 history=hist, hist_ts="changed_on"))
+                                 history=hist, hist_ts="changed_on", tasks=n))
 
 
 QUERIES = {

@@ -53,3 +53,11 @@ def test_prices_of_a_day_and_their_carry_are_dealt_by_lines(spark, monkeypatch):
     monkeypatch.setattr(q_commerce, "tasks_for", lambda rows, rows_a_task=0: 77)
     plan = _plan(spark, "point_in_time_cost")
     assert "77), REPARTITION_BY_NUM" in plan and not _dealt_otherwise(plan, 77)
+
+
+def test_days_of_a_person_and_their_months_are_dealt_by_orders(spark, monkeypatch):
+    from reportkit.plans import q_activity
+    monkeypatch.setattr(q_activity, "tasks_for", lambda rows: 77)
+    plan = _plan(spark, "headcount_monthly")
+    (report,) = _dealt_otherwise(plan, 77)      # the report's own groups, combined before they are shuffled
+    assert "77), REPARTITION_BY_NUM" in plan and report.startswith("month#")
